@@ -37,26 +37,20 @@ def _with_hash(df: DataFrame, key: str, seed: int, digits: int) -> DataFrame:
     return df.withColumn(_H, h).withColumn(_B, hash_bucket(F.col(_H), digits))
 
 
-def hash_rank_filter(df: DataFrame, key: str, k_of, *, by: list[str] | None = None,
-                     seed: int = 42, digits: int = 5, complement: bool = False) -> DataFrame:
-    """Rows whose rank in ``(md5(seed:key), key)`` order within their ``by``
-    group is below ``k``; with ``complement=True`` the other rows.
-
-    ``k_of`` maps a dict of group totals ``{group_tuple: n}`` to
-    ``{group_tuple: k}`` (so one class's ``k`` may depend on another's size).
-    """
-    by = list(by or [])
+def _hash_cut(df: DataFrame, key: str, k_of, by: list[str], seed: int, digits: int):
+    """Compute, per group, the buckets taken whole and the boundary bucket
+    with the number of its rows still needed. Two small driver round trips:
+    group totals, then the boundary rows (one per group)."""
     d = _with_hash(df, key, seed, digits)
     counts = d.groupBy(*by, _B).count()
     w = Window.partitionBy(*by).orderBy(_B) if by else Window.orderBy(_B)
     cum = counts.withColumn("_cum", F.sum("count").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     totals_rows = counts.groupBy(*by).agg(F.sum("count").alias("n")).collect()
     if len(totals_rows) > MAX_GROUPS:
-        raise ValueError(f"hash_rank_filter supports at most {MAX_GROUPS} groups")
+        raise ValueError(f"hash sampling supports at most {MAX_GROUPS} groups")
     totals = {tuple(r[c] for c in by): int(r["n"]) for r in totals_rows}
     ks = k_of(totals)
 
-    # Boundary bucket per group: the bucket whose running count crosses k.
     bound_rows, cut_k = [], None
     for g, n in totals.items():
         k = int(ks.get(g, 0))
@@ -87,7 +81,11 @@ def hash_rank_filter(df: DataFrame, key: str, k_of, *, by: list[str] | None = No
     false = F.lit(False)
     whole_cond = reduce(lambda a, c: a | c, take_whole, false)
     edge_cond = reduce(lambda a, c: a | c, edge, false)
+    return d, whole_cond, edge_cond, need
 
+
+def _select_side(d: DataFrame, key: str, by: list[str], whole_cond, edge_cond, need,
+                 complement: bool) -> DataFrame:
     wr = Window.partitionBy(*by, _B).orderBy(_H, key)
     ranked_edge = d.filter(edge_cond).withColumn(_RN, F.row_number().over(wr))
     if complement:
@@ -101,13 +99,27 @@ def hash_rank_filter(df: DataFrame, key: str, k_of, *, by: list[str] | None = No
     return out.drop(_H, _B)
 
 
+def hash_rank_filter(df: DataFrame, key: str, k_of, *, by: list[str] | None = None,
+                     seed: int = 42, digits: int = 5, complement: bool = False) -> DataFrame:
+    """Rows whose rank in ``(md5(seed:key), key)`` order within their ``by``
+    group is below ``k``; with ``complement=True`` the other rows.
+
+    ``k_of`` maps a dict of group totals ``{group_tuple: n}`` to
+    ``{group_tuple: k}`` (so one class's ``k`` may depend on another's size).
+    """
+    by = list(by or [])
+    d, whole_cond, edge_cond, need = _hash_cut(df, key, k_of, by, seed, digits)
+    return _select_side(d, key, by, whole_cond, edge_cond, need, complement)
+
+
 def split_exact(df: DataFrame, key: str, frac: float = 0.8, seed: int = 42,
                 digits: int = 5) -> tuple[DataFrame, DataFrame]:
     """SMP1: train = ``bround(frac * n)`` rows first in hash order; val = the
     rest (a filter, no join)."""
     k_of = lambda t: {g: round(frac * n) for g, n in t.items()}  # noqa: E731 (banker's rounding)
-    train = hash_rank_filter(df, key, k_of, seed=seed, digits=digits)
-    val = hash_rank_filter(df, key, k_of, seed=seed, digits=digits, complement=True)
+    d, whole_cond, edge_cond, need = _hash_cut(df, key, k_of, [], seed, digits)
+    train = _select_side(d, key, [], whole_cond, edge_cond, need, complement=False)
+    val = _select_side(d, key, [], whole_cond, edge_cond, need, complement=True)
     return train, val
 
 
