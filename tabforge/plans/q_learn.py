@@ -114,3 +114,30 @@ def pca_scores(spark, sf_dir):
     train, val = emb_splits(spark, sf_dir)
     m = fit_pca_path(train, "features", 8)
     return m.transform(val, "features", ["vec_id", "y"])
+
+
+# SCO1: the full train/select/tune/evaluate/submit job on the order features.
+def order_job(spark, sf_dir, search_trials=2, rounds=15):
+    from ..operators.prep import MissingPlan
+    from .jobs import TrainConfig, train_select_tune
+    of = fx.order_features(spark, sf_dir)
+    labelled, test = sample.split_exact(of, "id", 0.8, 42)
+    train, val = sample.split_exact(labelled, "id", 0.8, 42)
+    cfg = TrainConfig(
+        label="label", key="id",
+        plan=MissingPlan(exclude=["id", "label"], zero_contains=["discount"], sentinel_cols=["max_tax"],
+                         categorical_cols=["status", "priority"]),
+        categorical=["status", "priority"], threshold=0.1, select_cut=0.99, min_features=50,
+        importance_params={"n_estimators": 10, "max_depth": 4},
+        search_trials=search_trials,
+        search_space={"learning_rate": ("logfloat", 0.05, 0.3), "max_depth": ("int", 2, 5),
+                      "subsample": ("float", 0.5, 1.0)},
+        params={"n_estimators": rounds, "max_depth": 4, "learning_rate": 0.1, "subsample": 0.8},
+        patience=5)
+    return train_select_tune(spark, cfg, train, val, test.drop("label"))
+
+
+@query("order_submission")
+def order_submission(spark, sf_dir):
+    """SCO1 + PRJ10-PRJ11: (id, label) for the unlabelled test split."""
+    return order_job(spark, sf_dir)["submission"]
