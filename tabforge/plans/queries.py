@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_learn, q_metrics, q_prep, q_profile, q_select  # noqa: F401
+from . import q_hist, q_learn, q_metrics, q_prep, q_profile, q_select  # noqa: F401
 from .registry import REGISTRY
 
 
