@@ -27,7 +27,7 @@ LOG_EPS = 1e-15
 
 
 def threshold(p: Column | str, thr: float) -> Column:
-    """PRJ10: ``(p > thr)`` as 0/1 int (strict, like the reference)."""
+    """PRJ10 + SCL4: ``(p > thr)`` as 0/1 int (strict, like the reference)."""
     p = F.col(p) if isinstance(p, str) else p
     return (p > F.lit(float(thr))).cast("int")
 
@@ -69,7 +69,8 @@ def _metric_cols(tn: Column, fp: Column, fn: Column, tp: Column) -> list[Column]
 
 
 def binary_metrics(df: DataFrame, y: str, pred: str, by: list[str] | None = None) -> DataFrame:
-    """MET2-MET4: accuracy, precision, recall, F1 of the positive class."""
+    """MET2, MET3, MET4: accuracy, precision, recall, F1 of the positive class
+    (0/0 -> 0)."""
     c = confusion_counts(df, y, pred, by)
     return c.select(*(by or []), *_metric_cols(F.col("tn"), F.col("fp"), F.col("fn"), F.col("tp")))
 

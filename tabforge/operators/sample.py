@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +43,9 @@ def _hash_cut(df: DataFrame, key: str, k_of, by: list[str], seed: int, digits: i
     with the number of its rows still needed. Two small driver round trips:
     group totals, then the boundary rows (one per group)."""
     d = _with_hash(df, key, seed, digits)
-    counts = d.groupBy(*by, _B).count()
+    # Bucket counts: bounded (groups x 16**digits rows) and read twice below;
+    # kept so the input is scanned once for both round trips.
+    counts = d.groupBy(*by, _B).count().persist(StorageLevel.MEMORY_AND_DISK)
     w = Window.partitionBy(*by).orderBy(_B) if by else Window.orderBy(_B)
     cum = counts.withColumn("_cum", F.sum("count").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     totals_rows = counts.groupBy(*by).agg(F.sum("count").alias("n")).collect()
@@ -68,6 +71,7 @@ def _hash_cut(df: DataFrame, key: str, k_of, by: list[str], seed: int, digits: i
         for r in hits:
             g = tuple(r[c] for c in by)
             bound_rows.append((g, "cut", int(r[_B]), int(r["_k"]) - (int(r["_cum"]) - int(r["count"]))))
+    counts.unpersist()
 
     take_whole, edge, need = [], [], None
     for g, kind, b, nd in bound_rows:
@@ -135,7 +139,7 @@ def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 
 def downsample_majority(df: DataFrame, label: str, key: str, seed: int = 42,
                         minority=1, majority=0) -> DataFrame:
-    """SMP3 + SET1: majority class cut to the minority's size, minority kept
+    """SMP3 + SET1 (FLT1 per class): majority class cut to the minority's size, minority kept
     whole, rows of other classes dropped (the reference keeps only 0 and 1)."""
     def k_of(totals):
         n_min = totals.get((minority,), 0)

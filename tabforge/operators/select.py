@@ -29,7 +29,8 @@ def importance_table(spark: SparkSession, names: list[str], importances) -> Data
 def cumulative_selection(imp: DataFrame, threshold: float = 0.99, min_features: int = 50,
                          max_features: int = 2000, feature: str = "feature",
                          importance: str = "importance") -> DataFrame:
-    """FEA13: ``(feature, importance, rank, cumulative_ratio, selected)``."""
+    """FEA13 (WIN1, WIN3, AGG12 total, FLT3, SRT2):
+    ``(feature, importance, rank, cumulative_ratio, selected)``."""
     ranked = ranked_running_sum(imp.select(feature, F.col(importance).cast("double").alias(importance)),
                                 importance, feature)
     ranked = ranked.withColumn("cumulative_ratio", F.try_divide(F.col("cum"), F.col("total")))

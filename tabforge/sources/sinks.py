@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BOM = "\ufeff"
 
@@ -45,3 +46,11 @@ def with_json_params(df: DataFrame, map_col: str) -> DataFrame:
     """RPT3 helper: a ``map<string,string>`` column flattened to JSON text
     so the summary row fits a CSV file."""
     return df.withColumn(map_col, F.to_json(F.col(map_col)))
+
+
+def round_report(df: DataFrame, digits: int = 4) -> DataFrame:
+    """SCL10: every floating column rounded half-up to ``digits`` places
+    (the reference prints report metrics with four decimals)."""
+    return df.select(*[F.round(F.col(f"`{f.name}`"), digits).alias(f.name)
+                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])

@@ -218,3 +218,10 @@ def test_threshold_sweep_best_first_wins(spark):
     t = tune.threshold_sweep(df, "y", "p", [0.2, 0.3, 0.7])
     best = tune.best_trial(t, "f1").first()
     assert best["trial"] == 0 and best["f1"] == pytest.approx(0.8)   # tie with trial 1: first wins
+
+
+def test_round_report_only_touches_floats(spark):
+    from tabforge.sources.sinks import round_report
+    df = spark.createDataFrame([("a", 3, 0.123456, 2.00005)], "name string, n int, x double, y double")
+    r = round_report(df).first()
+    assert (r["name"], r["n"], r["x"], r["y"]) == ("a", 3, 0.1235, 2.0001)
