@@ -7,7 +7,7 @@ Layout
 ``functions``  column expressions: hashing, fills, number-to-text (SCL*)
 ``operators``  relational and ML operators (PRJ*, AGG*, SMP*, FEA*, MET*, LRN*, TUN*, EXP*)
 ``plans``      fixtures derived from the input tables, the query registry, end-to-end jobs
-``streaming``  scoring a stream with a fitted pipeline
+``streaming``  intentionally empty: the surveyed workload has no stream operator
 """
 
 __version__ = "0.1.0"

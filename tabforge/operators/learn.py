@@ -172,20 +172,19 @@ def final_scores(df: DataFrame, model: GBTClassificationModel, table: LeafTable,
                  n_trees: int, features: str = "features") -> DataFrame:
     """LRN11 with the best iteration: ``(keep..., p)`` from the first
     ``n_trees`` trees (one margin per row, no explode)."""
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(table.values[:n_trees])
-
-    @F.pandas_udf(T.DoubleType())
-    def margin(leaves: pd.Series) -> pd.Series:
-        vals = bc.value
-        idx = np.stack(leaves.to_numpy()).astype(np.int64)[:, : vals.shape[0]]
-        return pd.Series(vals[np.arange(vals.shape[0])[None, :], idx].sum(axis=1))
-
+    vals = table.values[:n_trees]
+    # Leaf values as one folded array literal (bounded by MAX_LEAF_TABLE);
+    # the margin is a JVM-side sum over trees, no Python worker involved.
+    lit = F.from_json(F.lit(json.dumps(vals.tolist())), "array<array<double>>")
     from pyspark.ml.functions import vector_to_array
     m = model.copy()
     m.setLeafCol("_leaf")
     scored = m.transform(df.select(*keep, features)).select(*keep, vector_to_array("_leaf").alias("_leaf"))
-    return scored.select(*keep, (F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * margin("_leaf")))).alias("p"))
+    leaf = F.col("_leaf")
+    margin = F.aggregate(
+        F.sequence(F.lit(1), F.lit(int(vals.shape[0]))), F.lit(0.0),
+        lambda acc, t: acc + F.element_at(F.element_at(lit, t), F.element_at(leaf, t).cast("int") + 1))
+    return scored.select(*keep, (F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * margin))).alias("p"))
 
 
 def round_history(staged: DataFrame, label: str, split: str, weight: str | None = None,

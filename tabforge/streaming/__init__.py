@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The surveyed workload is batch only: no watermark, window, state or
+late-data handling exists in it, so no streaming operator is built here.
+Stages of a fitted ``pyspark.ml`` pipeline that support it can score a
+streaming DataFrame directly; that needs no code of ours.
+"""
