@@ -16,9 +16,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .running import grouped_ordinal
+
 MAP_LIMIT = 200_000
 
 
@@ -32,8 +34,9 @@ def category_dictionary(train: DataFrame, cols: list[str]) -> DataFrame:
             .unpivot([], cols, "feature", "value")
             .filter(F.col("value").isNotNull())
             .distinct())
-    w = Window.partitionBy("feature").orderBy("value")
-    return long.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    # codes by range partitions + offsets: a high-cardinality column is not
+    # ranked in one task
+    return grouped_ordinal(long, "feature", "value")
 
 
 @dataclass

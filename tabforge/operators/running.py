@@ -47,3 +47,30 @@ def ranked_running_sum(df: DataFrame, value: str, tiebreak: str, n_parts: int |
                     (F.col("_on") + F.col("_lrn") - 1).cast("long").alias("rank"),
                     (F.col("_osum") + F.col("_lcum")).alias("cum"),
                     "total"))
+
+
+def grouped_ordinal(df: DataFrame, group: str, value: str, n_parts: int | None = None) -> DataFrame:
+    """``(group, value, code)``: 0-based position of each (distinct) value in
+    ascending order within its group, without a window over a whole group
+    (one group may hold most of the values).
+
+    Range partitions on ``(group, value)`` split a large group across tasks;
+    a row's code is its rank inside its partition plus the number of the
+    group's values in earlier partitions (per-partition counts: at most
+    ``n_parts`` x groups rows)."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    if n_parts is None:
+        n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.select(group, value)
+              .repartitionByRange(n_parts, F.asc(group), F.asc(value))
+              .withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
+    local = ranged.withColumn("_lrn", F.row_number().over(
+        Window.partitionBy("_pid", group).orderBy(value)))
+    counts = ranged.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_pn"))
+    wp = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", group, F.coalesce(F.sum("_pn").over(wp), F.lit(0)).alias("_off"))
+    # offsets: one row per (range partition, group) present -- bounded.
+    return (local.join(F.broadcast(offsets), ["_pid", group])
+            .select(group, value, (F.col("_off") + F.col("_lrn") - 1).cast("int").alias("code")))

@@ -225,3 +225,15 @@ def test_round_report_only_touches_floats(spark):
     df = spark.createDataFrame([("a", 3, 0.123456, 2.00005)], "name string, n int, x double, y double")
     r = round_report(df).first()
     assert (r["name"], r["n"], r["x"], r["y"]) == ("a", 3, 0.1235, 2.0001)
+
+
+def test_grouped_ordinal_spans_partitions(spark):
+    from tabforge.operators.running import grouped_ordinal
+    rows = [("a", f"v{i:04d}") for i in range(1000)] + [("b", "x"), ("b", "m"), ("c", "z")]
+    df = spark.createDataFrame(rows, "feature string, value string")
+    got = {(r["feature"], r["value"]): r["code"] for r in grouped_ordinal(df, "feature", "value", 8).collect()}
+    want = {}
+    for g in ("a", "b", "c"):
+        for i, v in enumerate(sorted(v for f, v in rows if f == g)):
+            want[(g, v)] = i
+    assert got == want
