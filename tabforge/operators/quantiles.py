@@ -4,16 +4,18 @@ Spark's ``median`` is exact but merges a value->count map per column in one
 task, which grows with the number of distinct values. Here:
 
 1. long form ``(feature, value)`` (``unpivot``, NULL/NaN dropped);
-2. per feature: ``count`` and a Greenwald-Khanna sketch
-   (``percentile_approx``, rank error <= n/accuracy) giving a band
-   ``[lo, hi]`` that must contain the two middle order statistics;
-3. one aggregate reduces each column to ``(value, count)`` over the band,
-   plus one row counting the values below ``lo`` — a hot value is one row;
-4. a running count over the band's distinct values (per feature; at most
-   ~4n/accuracy rows) picks the exact order statistics.
-
-A band that misses (impossible under the sketch guarantee, checked anyway)
-is widened and recomputed.
+2. a band ``[lo, hi]`` per feature that must contain the two middle order
+   statistics, with ``below`` = number of values under ``lo``. It starts as
+   the whole column and is narrowed by a Greenwald-Khanna sketch
+   (``percentile_approx``, rank error <= m/accuracy) *over the band only*, so
+   each round shrinks it ~accuracy/4 times: at 10^12 values two rounds leave
+   ~10^5 — the band never grows with the data beyond ``band_limit``;
+3. once every band is small, one aggregate reduces it to ``(value, count)``
+   (a hot value is one row) and a running count over the band's distinct
+   values picks the exact order statistics.
+
+A sketch band that misses the middle ranks (impossible under the sketch
+guarantee, checked anyway) is widened and recomputed.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BAND_LIMIT = 1_000_000
+
 
 def long_values(df: DataFrame, cols: list[str]) -> DataFrame:
     """``(feature, value double)`` rows for the non-missing cells of ``cols``."""
@@ -30,49 +34,87 @@ def long_values(df: DataFrame, cols: list[str]) -> DataFrame:
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def median_map(df: DataFrame, cols: list[str], accuracy: int = 10000) -> dict:
+def _bounds_df(spark, bands: dict) -> DataFrame:
+    # one row per feature (bounded by the column count)
+    return spark.createDataFrame([(f, lo, hi) for f, (lo, hi, _, _) in bands.items()],
+                                 "feature string, lo double, hi double")
+
+
+def _narrow(long: DataFrame, bands: dict, n: dict, accuracy: int, probs: list[float]) -> dict:
+    """One sketch round over the current bands of the features in ``bands``
+    (``{feature: (lo, hi, below, m)}``); returns the narrowed bands. The
+    percentages are one fixed list for every feature (``percentile_approx``
+    needs literals); each feature brackets its own middle ranks with them,
+    keeping a margin of the sketch's rank error. Every new band is verified
+    with exact counts; a band that fails keeps its old bounds."""
+    spark = long.sparkSession
+    band = long.join(F.broadcast(_bounds_df(spark, bands)), "feature").filter(
+        (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
+    sk = band.groupBy("feature").agg(F.percentile_approx("value", probs, accuracy).alias("_q")).collect()
+    eps = 1.0 / accuracy
+    cand = {}
+    for r in sk:  # one row per feature
+        f = r["feature"]
+        lo, hi, below, m = bands[f]
+        k1, k2 = (n[f] - 1) // 2 - below, n[f] // 2 - below          # ranks inside the band
+        lo_i = [i for i, p in enumerate(probs) if p <= k1 / m - eps]
+        hi_i = [i for i, p in enumerate(probs) if p >= (k2 + 1) / m + eps]
+        cand[f] = (r["_q"][lo_i[-1]] if lo_i else lo, r["_q"][hi_i[0]] if hi_i else hi)
+    cb = spark.createDataFrame([(f, a, b) for f, (a, b) in cand.items()], "feature string, nlo double, nhi double")
+    cnt = (band.join(F.broadcast(cb), "feature").groupBy("feature")
+           .agg(F.count_if(F.col("value") < F.col("nlo")).alias("under"),
+                F.count_if((F.col("value") >= F.col("nlo")) & (F.col("value") <= F.col("nhi"))).alias("m"))
+           .collect())  # one row per feature
+    out = dict(bands)
+    for r in cnt:
+        f = r["feature"]
+        below = bands[f][2] + int(r["under"])
+        m = int(r["m"])
+        if below <= (n[f] - 1) // 2 and n[f] // 2 < below + m:
+            out[f] = (cand[f][0], cand[f][1], below, m)
+    return out
+
+
+def median_map(df: DataFrame, cols: list[str], accuracy: int = 10000, band_limit: int = BAND_LIMIT) -> dict:
     """``{column: (median, n)}``: exact medians (mean of the two middle
     values for even ``n``); ``(None, 0)`` for an all-missing column."""
     long = long_values(df, cols)
-    delta = 2.0 / accuracy
-    for attempt in range(4):
-        d = min(0.5, delta * (8 ** attempt))
-        lo_q, hi_q = max(0.0, 0.5 - d), min(1.0, 0.5 + d)
-        sketch = long.groupBy("feature").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.percentile_approx("value", [lo_q, hi_q], accuracy).alias("_q"))
-        if attempt == 3:  # last resort: the band is the whole column
-            sketch = long.groupBy("feature").agg(
-                F.count(F.lit(1)).alias("n"), F.array(F.min("value"), F.max("value")).alias("_q"))
-        bounds = sketch.select("feature", "n", F.col("_q")[0].alias("lo"), F.col("_q")[1].alias("hi"),
-                               F.floor((F.col("n") - 1) / 2).cast("long").alias("k1"),
-                               F.floor(F.col("n") / 2).cast("long").alias("k2"))
-        # bounds: one row per feature (bounded by the column count).
-        tagged = long.join(F.broadcast(bounds), "feature")
-        # One aggregate: values below the band collapse into a NULL bucket
-        # (its count is the band's rank offset); band values are grouped by
-        # value, so a hot value is a single row.
-        agg = (tagged.filter(F.col("value") <= F.col("hi"))
-               .groupBy("feature", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("bv"))
-               .agg(F.count(F.lit(1)).alias("c")))
-        w = (Window.partitionBy("feature").orderBy(F.col("bv").asc_nulls_first())
-             .rowsBetween(Window.unboundedPreceding, 0))
-        ranked = (agg.join(F.broadcast(bounds.select("feature", "n", "k1", "k2")), "feature")
-                  .withColumn("_end", F.sum("c").over(w))
-                  .withColumn("_start", F.col("_end") - F.col("c"))
-                  .filter(F.col("bv").isNotNull())
-                  .withColumnRenamed("bv", "value"))
+    stats = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"),
+                                        F.max("value").alias("hi")).collect()  # one row per column
+    n = {r["feature"]: int(r["n"]) for r in stats}
+    bands = {r["feature"]: (r["lo"], r["hi"], 0, int(r["n"])) for r in stats}
+    first = [0.5 - 2.0 / accuracy, 0.5 + 2.0 / accuracy]       # whole column: the middle is at 0.5
+    grid = [i / 256 for i in range(257)]                           # inside a band: anywhere
+    for rnd in range(8):
+        big = {f: b for f, b in bands.items() if b[3] > band_limit}
+        if not big:
+            break
+        narrowed = _narrow(long, big, n, accuracy, first if rnd == 0 else grid)
+        bands.update(narrowed)
+        if all(narrowed[f][3] >= big[f][3] for f in big):   # no progress: stop narrowing
+            break
+    found = {}
+    if bands:
+        spark = df.sparkSession
+        bdf = spark.createDataFrame(
+            [(f, lo, hi, below, n[f], (n[f] - 1) // 2, n[f] // 2) for f, (lo, hi, below, _) in bands.items()],
+            "feature string, lo double, hi double, below long, n long, k1 long, k2 long")
+        # bands: one row per feature; each band holds <= band_limit values,
+        # collapsed to distinct values before the per-feature running count.
+        agg = (long.join(F.broadcast(bdf.select("feature", "lo", "hi")), "feature")
+               .filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
+               .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c")))
+        w = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = (agg.join(F.broadcast(bdf.select("feature", "below", "n", "k1", "k2")), "feature")
+                  .withColumn("_end", F.col("below") + F.sum("c").over(w))
+                  .withColumn("_start", F.col("_end") - F.col("c")))
         hit = lambda k: (F.col("_start") <= F.col(k)) & (F.col(k) < F.col("_end"))
         picked = ranked.groupBy("feature").agg(
-            F.first("n").alias("n"),
             F.max(F.when(hit("k1"), F.col("value"))).alias("v1"),
             F.max(F.when(hit("k2"), F.col("value"))).alias("v2"))
-        rows = picked.select("feature", ((F.col("v1") + F.col("v2")) / 2).alias("median"), "n").collect()
-        # rows: one per column (bounded). Each column with values must have
-        # found both middle ranks inside its band.
-        if all(r["median"] is not None for r in rows):
-            break
-    found = {r["feature"]: (r["median"], int(r["n"])) for r in rows}
+        for r in picked.collect():  # one row per column
+            found[r["feature"]] = ((r["v1"] + r["v2"]) / 2 if r["v1"] is not None and r["v2"] is not None
+                                   else None, n[r["feature"]])
     return {c: found.get(c, (None, 0)) for c in cols}
 
 

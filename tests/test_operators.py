@@ -237,3 +237,16 @@ def test_grouped_ordinal_spans_partitions(spark):
         for i, v in enumerate(sorted(v for f, v in rows if f == g)):
             want[(g, v)] = i
     assert got == want
+
+
+def test_exact_median_band_narrowing(spark):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=3001).round(2)                 # odd n, many ties
+    b = np.concatenate([np.full(1500, 4.0), rng.uniform(0, 10, 1701)])   # a hot value
+    rows = [(float(x), float(y)) for x, y in zip(a, b[:3001])]
+    df = spark.createDataFrame(rows, "a double, b double")
+    for limit, acc in ((40, 50), (200, 1000)):
+        med = median_map(df, ["a", "b"], accuracy=acc, band_limit=limit)
+        assert med["a"] == (float(np.median(a)), 3001)
+        assert med["b"] == (float(np.median(b[:3001])), 3001)
