@@ -75,47 +75,71 @@ def _narrow(long: DataFrame, bands: dict, n: dict, accuracy: int, probs: list[fl
     return out
 
 
+def _pick(long: DataFrame, bounds: dict, n: dict) -> dict:
+    """One pass: values under each band collapse into one NULL row (its
+    count is the band's rank offset), band values into ``(value, count)``;
+    a running count per feature over at most band-size rows picks the two
+    middle order statistics. ``{feature: median or None if missed}``."""
+    spark = long.sparkSession
+    bdf = spark.createDataFrame(
+        [(f, lo, hi, (n[f] - 1) // 2, n[f] // 2) for f, (lo, hi) in bounds.items()],
+        "feature string, lo double, hi double, k1 long, k2 long")   # one row per feature
+    agg = (long.join(F.broadcast(bdf.select("feature", "lo", "hi")), "feature")
+           .filter(F.col("value") <= F.col("hi"))
+           .groupBy("feature", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("bv"))
+           .agg(F.count(F.lit(1)).alias("c")))
+    w = (Window.partitionBy("feature").orderBy(F.col("bv").asc_nulls_first())
+         .rowsBetween(Window.unboundedPreceding, 0))
+    ranked = (agg.join(F.broadcast(bdf.select("feature", "k1", "k2")), "feature")
+              .withColumn("_end", F.sum("c").over(w))
+              .withColumn("_start", F.col("_end") - F.col("c"))
+              .filter(F.col("bv").isNotNull()))
+    hit = lambda k: (F.col("_start") <= F.col(k)) & (F.col(k) < F.col("_end"))
+    picked = ranked.groupBy("feature").agg(F.max(F.when(hit("k1"), F.col("bv"))).alias("v1"),
+                                           F.max(F.when(hit("k2"), F.col("bv"))).alias("v2"))
+    out = {f: None for f in bounds}
+    for r in picked.collect():  # one row per column
+        if r["v1"] is not None and r["v2"] is not None:
+            out[r["feature"]] = (r["v1"] + r["v2"]) / 2
+    return out
+
+
 def median_map(df: DataFrame, cols: list[str], accuracy: int = 10000, band_limit: int = BAND_LIMIT) -> dict:
     """``{column: (median, n)}``: exact medians (mean of the two middle
-    values for even ``n``); ``(None, 0)`` for an all-missing column."""
+    values for even ``n``); ``(None, 0)`` for an all-missing column.
+
+    Typical case: two passes (count + sketch band, then the pick). Columns
+    whose sketch band could exceed ``band_limit`` values (n > band_limit *
+    accuracy / 4) are narrowed first; a missed pick (outside the sketch
+    guarantee) falls back to narrowing from the whole column."""
     long = long_values(df, cols)
-    stats = long.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"),
-                                        F.max("value").alias("hi")).collect()  # one row per column
-    n = {r["feature"]: int(r["n"]) for r in stats}
-    bands = {r["feature"]: (r["lo"], r["hi"], 0, int(r["n"])) for r in stats}
     first = [0.5 - 2.0 / accuracy, 0.5 + 2.0 / accuracy]       # whole column: the middle is at 0.5
     grid = [i / 256 for i in range(257)]                           # inside a band: anywhere
-    for rnd in range(8):
-        big = {f: b for f, b in bands.items() if b[3] > band_limit}
-        if not big:
-            break
-        narrowed = _narrow(long, big, n, accuracy, first if rnd == 0 else grid)
-        bands.update(narrowed)
-        if all(narrowed[f][3] >= big[f][3] for f in big):   # no progress: stop narrowing
-            break
-    found = {}
-    if bands:
-        spark = df.sparkSession
-        bdf = spark.createDataFrame(
-            [(f, lo, hi, below, n[f], (n[f] - 1) // 2, n[f] // 2) for f, (lo, hi, below, _) in bands.items()],
-            "feature string, lo double, hi double, below long, n long, k1 long, k2 long")
-        # bands: one row per feature; each band holds <= band_limit values,
-        # collapsed to distinct values before the per-feature running count.
-        agg = (long.join(F.broadcast(bdf.select("feature", "lo", "hi")), "feature")
-               .filter((F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi")))
-               .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("c")))
-        w = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-        ranked = (agg.join(F.broadcast(bdf.select("feature", "below", "n", "k1", "k2")), "feature")
-                  .withColumn("_end", F.col("below") + F.sum("c").over(w))
-                  .withColumn("_start", F.col("_end") - F.col("c")))
-        hit = lambda k: (F.col("_start") <= F.col(k)) & (F.col(k) < F.col("_end"))
-        picked = ranked.groupBy("feature").agg(
-            F.max(F.when(hit("k1"), F.col("value"))).alias("v1"),
-            F.max(F.when(hit("k2"), F.col("value"))).alias("v2"))
-        for r in picked.collect():  # one row per column
-            found[r["feature"]] = ((r["v1"] + r["v2"]) / 2 if r["v1"] is not None and r["v2"] is not None
-                                   else None, n[r["feature"]])
-    return {c: found.get(c, (None, 0)) for c in cols}
+    stats = long.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("mn"), F.max("value").alias("mx"),
+        F.percentile_approx("value", first, accuracy).alias("q")).collect()  # one row per column
+    n = {r["feature"]: int(r["n"]) for r in stats}
+    whole = {r["feature"]: (r["mn"], r["mx"], 0, int(r["n"])) for r in stats}
+
+    def narrowed(feats):
+        bands = {f: whole[f] for f in feats}
+        for _ in range(8):
+            big = {f: b for f, b in bands.items() if b[3] > band_limit}
+            if not big:
+                break
+            new = _narrow(long, big, n, accuracy, grid)
+            bands.update(new)
+            if all(new[f][3] >= big[f][3] for f in big):      # no progress: stop narrowing
+                break
+        return {f: (b[0], b[1]) for f, b in bands.items()}
+
+    direct = {r["feature"]: (r["q"][0], r["q"][1]) for r in stats if 4 * n[r["feature"]] <= band_limit * accuracy}
+    wide = [f for f in n if f not in direct]
+    found = _pick(long, {**direct, **narrowed(wide)}, n) if n else {}
+    missed = [f for f, v in found.items() if v is None]
+    if missed:
+        found.update(_pick(long, narrowed(missed), n))
+    return {c: ((found.get(c), n[c]) if c in n else (None, 0)) for c in cols}
 
 
 def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 10000) -> DataFrame:
