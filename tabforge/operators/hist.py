@@ -40,6 +40,7 @@ from pyspark.sql import types as T
 
 from ..functions.hashing import hash_unit
 from . import metrics
+from .quantiles import long_values
 
 
 @dataclass
@@ -144,12 +145,15 @@ def best_splits(cands: DataFrame, node: str = "node") -> list:
 # --- binning -------------------------------------------------------------------
 
 def fit_bins(train: DataFrame, cols: list[str], max_bins: int, accuracy: int = 10000) -> dict:
-    """Quantile cut points per column (one aggregate, bounded by
-    columns x bins)."""
+    """Quantile cut points per column. Long form ``(feature, value)`` grouped
+    by feature: one sketch per group, so a task's memory does not scale
+    with the table width (the object aggregate can fall back to sort-based
+    aggregation), and the result is bounded by columns x bins."""
     probs = [i / max_bins for i in range(1, max_bins)]
-    row = train.agg(*[F.percentile_approx(F.col(f"`{c}`").cast("double"), probs, accuracy).alias(f"q{i}")
-                      for i, c in enumerate(cols)]).first()
-    return {c: sorted(set(float(v) for v in (row[f"q{i}"] or []))) for i, c in enumerate(cols)}
+    rows = (long_values(train, cols).groupBy("feature")
+            .agg(F.percentile_approx("value", probs, accuracy).alias("q")).collect())  # one row per column
+    found = {r["feature"]: sorted(set(float(v) for v in (r["q"] or []))) for r in rows}
+    return {c: found.get(c, []) for c in cols}
 
 
 def apply_bins(df: DataFrame, cols: list[str], cuts: dict, keep: list[str]) -> DataFrame:
