@@ -12,6 +12,10 @@ group (a class can hold 99% of the rows) into one task:
    rows need ranking; all lower buckets are taken whole, higher ones dropped.
 
 Only the boundary (one row per group) reaches the driver.
+
+Precondition: ``key`` identifies a row (the reference samples rows by their
+index). Rows sharing a key share a hash, so duplicated keys land in one
+bucket and their relative order inside it is not defined.
 """
 
 from __future__ import annotations
