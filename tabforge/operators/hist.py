@@ -40,6 +40,7 @@ from pyspark.sql import types as T
 
 from ..functions.hashing import hash_unit
 from . import metrics
+from ..session import ensure_checkpoint_dir
 from .quantiles import long_values
 
 
@@ -294,6 +295,7 @@ def fit_hist(train: DataFrame, cols: list[str], label: str, key: str, weight: st
              params: HistParams | None = None, val: DataFrame | None = None) -> HistModel:
     """Train with optional early stopping on ``val`` (the last eval set)."""
     p = params or HistParams()
+    ensure_checkpoint_dir(train.sparkSession)   # row tables are checkpointed every few rounds
     cuts = fit_bins(train, cols, p.max_bins)
     base = math.log(p.base_score / (1 - p.base_score))
     keep = [key, label] + ([weight] if weight else [])

@@ -189,11 +189,15 @@ class MissingPlan:
                          + (C.select_cols(sub, suffix=self.categorical_suffix) if self.categorical_suffix else []))
         done = set(zero) | set(sentinel) | set(cats)
         numeric_rest = [c for c in C.numeric_cols(sub) if c not in done]
-        if self.median and numeric_rest:
-            med = fit_median_imputer(train, numeric_rest, only_missing=not self.fill_all).values
+        med_cols = numeric_rest if self.median else []
+        # one aggregate flags the gaps of both the median and the token columns
+        gaps = set() if self.fill_all else set(columns_with_missing(train, med_cols + cats))
+        if med_cols:
+            med = fit_median_imputer(train, med_cols if self.fill_all else
+                                     [c for c in med_cols if c in gaps], only_missing=False).values
         else:
             med = {}
-        cat_fill = cats if self.fill_all else columns_with_missing(train, cats)
+        cat_fill = cats if self.fill_all else [c for c in cats if c in gaps]
         return MissingPlanModel(dropped=drops, zero=zero, sentinel=sentinel, sentinel_value=self.sentinel,
                                 medians=med, token_cols=cat_fill, categorical=cats)
 

@@ -120,7 +120,11 @@ def pca_scores(spark, sf_dir):
 def order_job(spark, sf_dir, search_trials=2, rounds=15):
     from ..operators.prep import MissingPlan
     from .jobs import TrainConfig, train_select_tune
-    of = fx.order_features(spark, sf_dir)
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    # The derived feature table is read by both splits and every fit pass:
+    # write it once to the checkpoint folder and cut its lineage there.
+    of = fx.order_features(spark, sf_dir).checkpoint(eager=True)
     labelled, test = sample.split_exact(of, "id", 0.8, 42)
     train, val = sample.split_exact(labelled, "id", 0.8, 42)
     cfg = TrainConfig(
