@@ -2,8 +2,20 @@
 
 from __future__ import annotations
 
+from tabforge.llm import sharding
+from tabforge.llm.neighbours import op10_nearest_neighbours
+from tabforge.llm.packing import op2_best_fit_packing
 from tabforge.llm.quality import op9_quality_rules
+from tabforge.llm.repeats import op4_suffix_dedup
+from tabforge.llm.toxicity import op6_toxicity
 
-QUERIES = {"op9_quality_rules": op9_quality_rules}
+QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op6_toxicity": op6_toxicity,
+    "op8_sharding": sharding.op8_sharding,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
+}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_sharding": sharding.SQL}
