@@ -29,9 +29,12 @@ from pyspark.sql import functions as F
 FIT_ROWS_PER_CLASS = 12_000
 #: Lexicon entries at most: the strongest ones are broadcast to the tasks.
 MAX_ENTRIES = 20_000
-#: A pattern needs this many toxic rows, and this log-odds ratio against the other rows.
+#: A pattern needs this many toxic rows.
 MIN_TOXIC_ROWS = 3
-MIN_LOG_ODDS = 3.0
+#: Least weights of an entry that are tried; the one with the fewest errors is kept.
+FLOORS = (1.0, 1.5, 2.0, 2.5, 3.0, 3.5)
+#: The weight is the log-odds ratio less so many of its standard errors.
+STANDARD_ERRORS = 2.0
 #: Word beginnings of these lengths (letters) are patterns as well as whole words.
 STEM_LENGTHS = range(4, 9)
 #: Words added to a text's length, so that a short text's single hit is not over-weighted.
@@ -131,8 +134,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, usable) -> DataFrame:
     return texts.join(sample, "doc_id").select("text", "_toxic")
 
 
+def weight_of(n1: float, n0: float, toxic: int, rest: int) -> float:
+    """Log-odds ratio of a pattern seen in ``n1`` toxic and ``n0`` other rows, less its error."""
+    n1, n0 = max(n1, 0), max(n0, 0)
+    odds = math.log(((n1 + 0.5) / (toxic + 1)) / ((n0 + 0.5) / (rest + 1)))
+    return odds - STANDARD_ERRORS * math.sqrt(1 / (n1 + 0.5) + 1 / (n0 + 0.5))
+
+
 def fit_lexicon(docs: DataFrame, labels: DataFrame, usable=None) -> Lexicon:
-    """Learn weights from the labelled rows for which ``usable`` (a Column) holds."""
+    """Learn from the labelled rows for which ``usable`` (a Column) holds."""
     sample = labelled_sample(docs, labels, F.lit(True) if usable is None else usable)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,59 +151,60 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, usable=None) -> Lexicon:
             for text, y in zip(batch["text"], batch["_toxic"], strict=True):
                 seen[y > 0].update(patterns_of(fold(text)))
             keys = list(seen[0].keys() | seen[1].keys())
-            yield pd.DataFrame(
-                {
-                    "pattern": keys,
-                    "n0": [seen[0][k] for k in keys],
-                    "n1": [seen[1][k] for k in keys],
-                }
-            )
+            yield pd.DataFrame({"pattern": keys, "n0": [seen[0][k] for k in keys], "n1": [seen[1][k] for k in keys]})
 
-    counts = (
-        sample.mapInPandas(count, "pattern string, n0 long, n1 long")
-        .groupBy("pattern")
-        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .filter(F.col("n1") >= MIN_TOXIC_ROWS)
-    )
-    toxic, rest = sample.agg(F.sum("_toxic").alias("t1"), (F.count("*") - F.sum("_toxic")).alias("t0")).first()
-    odds = F.log(((F.col("n1") + 0.5) / ((toxic or 0) + 1)) / ((F.col("n0") + 0.5) / ((rest or 0) + 1)))
+    counted = sample.mapInPandas(count, "pattern string, n0 long, n1 long").groupBy("pattern")
+    toxic, rest = sample.agg(F.sum("_toxic"), F.count("*") - F.sum("_toxic")).first()
+    toxic, rest = toxic or 0, rest or 0
+    share = (F.col("n1") + 0.5) / (F.col("n0") + 0.5)
     chosen = (
-        counts.withColumn("w", odds)
-        .filter(F.col("w") >= MIN_LOG_ODDS)
-        .orderBy(F.desc(F.col("w") * F.sqrt("n1")), "pattern")
+        counted.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        .filter((F.col("n1") >= MIN_TOXIC_ROWS) & (share > math.e * (toxic + 1) / (rest + 1)))
+        .orderBy(F.desc(F.log(share) * F.sqrt("n1")), "pattern")
         .limit(MAX_ENTRIES)
-        .select("pattern", "w")
         .collect()
     )
-    lexicon = Lexicon({r["pattern"]: float(r["w"]) for r in chosen})
-    lexicon.cut = fit_cut(sample, lexicon)
-    return lexicon
+    counts = {r["pattern"]: (r["n1"], r["n0"]) for r in chosen}
+    floor, cut = fit_cut(sample, counts, toxic, rest)
+    weights = {p: weight_of(*n, toxic, rest) for p, n in counts.items()}
+    return Lexicon({p: w for p, w in weights.items() if w >= floor}, cut=cut)
 
 
-def fit_cut(sample: DataFrame, lexicon: Lexicon) -> float:
-    """The length-normalised weight that separates the labelled rows with the fewest errors
-    (each class weighs the same), taken half-way between neighbouring values."""
+def fit_cut(sample: DataFrame, counts: dict, toxic: int, rest: int) -> tuple[float, float]:
+    """The least weight of an entry and the length-normalised cut that together separate the
+    labelled rows with the fewest errors (each class weighs the same). A row is left out of the
+    counts behind its own weights."""
 
     def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        machine = lexicon.automaton()
+        def without(y: int) -> dict[str, float]:
+            return {p: max(weight_of(n1 - y, n0 - (1 - y), toxic, rest), 0.0) for p, (n1, n0) in counts.items()}
+
+        machines = []
+        for y in (0, 1):
+            weights = without(y)
+            machines.append([Lexicon({p: w for p, w in weights.items() if w >= f}).automaton() for f in FLOORS])
         for batch in batches:
-            values = [normalised(w, n) for w, _, n in (text_hits(machine, fold(t)) for t in batch["text"])]
-            yield pd.DataFrame({"x": np.round(values, 4), "y": batch["_toxic"].to_numpy()})
-
-    rows = sample.mapInPandas(weigh, "x double, y int").groupBy("x", "y").count().collect()  # at most the sample
-    if not rows:
-        return 1.0
-    x = np.array([r["x"] for r in rows])
-    y = np.array([r["y"] for r in rows]) > 0
-    n = np.array([r["count"] for r in rows], dtype=float)
-    n /= np.where(y, max(n[y].sum(), 1.0), max(n[~y].sum(), 1.0))
-    edges = np.unique(x)
-    errors = np.array([n[y & (x < e)].sum() + n[~y & (x >= e)].sum() for e in edges])
-    best = int(errors.argmin())
-    if edges[best] <= 0:
-        return 1.0
-    below = edges[best - 1] if best else 0.0
-    return float((edges[best] + below) / 2)
+            rows = []
+            for text, y in zip(batch["text"], batch["_toxic"], strict=True):
+                folded = fold(text)
+                found = (text_hits(m, folded) for m in machines[int(y)])
+                rows.extend((k, int(y), round(normalised(w, n), 3)) for k, (w, _, n) in enumerate(found))
+            yield pd.DataFrame(rows, columns=["k", "y", "x"])
+
+    placed = sample.mapInPandas(weigh, "k int, y int, x double").groupBy("k", "y", "x").count().toPandas()  # at most the sample
+    if not toxic or not rest:
+        return FLOORS[-1], 1.0
+    tried = []
+    for k, part in placed.groupby("k"):
+        x, y = part["x"].to_numpy(), part["y"].to_numpy() > 0
+        n = part["count"].to_numpy() / np.where(y, toxic, rest)
+        edges = np.unique(x[x > 0])
+        errors = [n[y & (x < e)].sum() + n[~y & (x >= e)].sum() for e in edges]
+        if errors:
+            best = int(np.argmin(errors))
+            below = edges[best - 1] if best else 0.0
+            tried.append((round(errors[best], 4), FLOORS[int(k)], float((edges[best] + below) / 2)))
+    return min(tried)[1:] if tried else (FLOORS[-1], 1.0)
 
 
 def score_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
