@@ -10,12 +10,13 @@ buckets, coarse ones first, and only what is still undecided is refined:
    but the first entry of a refined bucket repeat it; a first entry whose q-gram bucket holds
    other entries too stays undecided.
 3. The undecided runs' single strings are refined by the bucket numbers at the offsets 25, 50
-   and 75, reusing the numbers of step 1. All but the first of such a bucket are repeats.
+   and 75, recursively reusing those of shorter strings. All but the first of such a bucket are
+   repeats.
 
 Buckets are dealt to partitions by their number. Each task first reduces equal entries of its own
-texts to the first, and a q-gram that is frequent in a task skips step 2, so that no bucket
-gathers an unbounded number of entries. Bucket numbers have 64 bits and are compared together
-with the q-gram's own number.
+texts to the first; a q-gram that is frequent in a task skips step 2, and its strings are dealt
+one by one, so that no bucket gathers an unbounded number of entries. Bucket numbers have 64
+bits and are compared together with the q-gram's own number.
 
 Cases: a null text is empty; the order of texts is that of ``doc_id``, null first; rows with equal
 ``doc_id`` and text count as one document and get the same result; texts shorter than ``LENGTH``
@@ -43,12 +44,16 @@ REACH = LENGTH - GRAM + 1
 #: Longer texts are cut into overlapping segments of so many string starts.
 SEGMENT = 1 << 22
 PLACE_BITS = 24
+#: Bytes hashed at once; the working arrays stay in the processor's cache.
+BLOCK = 1 << 17
 #: A q-gram with more distinct surroundings than this in one block skips step 2.
 FREQUENT = 64
 NULL_ID = -(1 << 63)
 
 ENTRIES = "pid int, kind int, a array<long>, b array<long>, doc array<long>, at array<long>"
-REPEATED, UNDECIDED, MARK, ENTRY = 0, 1, 2, 3
+#: Kinds: a repeated run, an undecided run (SPREAD: of a frequent q-gram), the mark of a frequent
+#: q-gram, and an entry that step 2 decides.
+REPEATED, UNDECIDED, SPREAD, MARK, ENTRY = 0, 1, 2, 3, 4
 
 
 def gram_buckets(raw: np.ndarray) -> np.ndarray:
@@ -92,7 +97,7 @@ def segments(texts: list[bytes]) -> Iterator[tuple[list[bytes], np.ndarray, np.n
             parts.append(raw[at : at + SEGMENT + LENGTH - 1])
             owner.append(i)
             base.append(at)
-    for first, block in blocks_of(parts, 1 << 20):
+    for first, block in blocks_of(parts, BLOCK):
         at = slice(first, first + len(block))
         yield block, np.array(owner[at], dtype=np.int64), np.array(base[at], dtype=np.int64)
 
@@ -125,14 +130,32 @@ def packed_at(lo: np.ndarray, n: np.ndarray, mark: np.ndarray) -> np.ndarray:
 
 
 def first_of_equal(a: np.ndarray, b: np.ndarray, doc: np.ndarray, at: np.ndarray):
-    """Sort order by (a, b, doc, at); for each sorted entry, whether its (a, b) begins there, and
-    whether it repeats an earlier place (an equal place is the same string)."""
-    order = np.lexsort((at, doc, b, a))
-    a, b, doc, lo = a[order], b[order], doc[order], at[order] >> 32
-    head = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, dtype=bool)
-    lead = np.maximum.accumulate(np.where(head, np.arange(len(a)), 0))
-    repeat = ~head & ((doc != doc[lead]) | (lo != lo[lead]))
-    return order, head, repeat
+    """Indexes of the first entry (by doc, then place) of each bucket (a, b), and of the entries
+    that repeat it. An entry at the very place of the first is the same string, and in neither."""
+    key = refine(a.view(np.uint64), b.view(np.uint64))
+    order = np.argsort(key)
+    sorted_key = key[order]
+    head = np.r_[True, sorted_key[1:] != sorted_key[:-1]][: len(key)]
+    group = np.cumsum(head) - 1
+    alone = (np.bincount(group) == 1)[group] if len(key) else head
+    some = order[~alone]
+    some = some[np.lexsort((at[some], doc[some], b[some], a[some]))]
+    sa, sb, sd, lo = a[some], b[some], doc[some], at[some] >> 32
+    head = np.r_[True, (sa[1:] != sa[:-1]) | (sb[1:] != sb[:-1])][: len(some)]
+    lead = np.maximum.accumulate(np.where(head, np.arange(len(some)), 0))
+    repeat = ~head & ((sd != sd[lead]) | (lo != lo[lead]))
+    return np.concatenate([order[alone], some[head]]), some[repeat]
+
+
+def group_sizes(values: np.ndarray) -> np.ndarray:
+    """For each value, how often it occurs."""
+    order = np.argsort(values)
+    ranked = values[order]
+    head = np.r_[True, ranked[1:] != ranked[:-1]][: len(values)]
+    group = np.cumsum(head) - 1
+    sizes = np.empty(len(values), dtype=np.int64)
+    sizes[order] = np.bincount(group)[group] if len(values) else 0
+    return sizes
 
 
 def dealt(kind: int, by: np.ndarray, a, b, doc, at, pids: int) -> pd.DataFrame:
@@ -148,7 +171,7 @@ def dealt(kind: int, by: np.ndarray, a, b, doc, at, pids: int) -> pd.DataFrame:
         {
             "pid": pid[cuts].astype(np.int32),
             "kind": np.full(len(cuts), kind, dtype=np.int32),
-            "a": none if kind < MARK else split(a),
+            "a": none if kind == REPEATED else split(a),
             "b": split(b) if kind == ENTRY else none,
             "doc": split(doc) if kind != MARK else none,
             "at": split(at) if kind != MARK else none,
@@ -181,26 +204,21 @@ def run_entries(pids: int):
             if not found:
                 continue
             a, b, doc, at = (np.concatenate(x) for x in zip(*found, strict=True))
-            order, head, repeat = first_of_equal(a, b, doc, at)
-            a, b, doc, at = a[order], b[order], doc[order], at[order]
-            yield dealt(REPEATED, doc[repeat], a[repeat], b[repeat], doc[repeat], at[repeat], pids)
-            a, b, doc, at = a[head], b[head], doc[head], at[head]
-            gram = np.r_[True, a[1:] != a[:-1]]
-            group = np.cumsum(gram) - 1
-            frequent = (np.bincount(group) > FREQUENT)[group]
-            yield dealt(UNDECIDED, doc[frequent], a[frequent], b[frequent], doc[frequent], at[frequent], pids)
-            told = frequent & gram
-            yield dealt(MARK, a[told], a[told], b[told], doc[told], at[told], pids)
-            rest = ~frequent
-            yield dealt(ENTRY, a[rest], a[rest], b[rest], doc[rest], at[rest], pids)
+            first, repeat = first_of_equal(a, b, doc, at)
+            frequent = group_sizes(a[first]) > FREQUENT
+            often, rest = first[frequent], first[~frequent]
+            told = often[np.unique(a[often], return_index=True)[1]]
+            for kind, some in ((REPEATED, repeat), (SPREAD, often), (MARK, told), (ENTRY, rest)):
+                by = doc if kind < MARK else a
+                yield dealt(kind, by[some], a[some], b[some], doc[some], at[some], pids)
 
     return emit
 
 
-PLACES = "doc long, mark int, lo int, n int, kind int"
+PLACES = "doc long, mark int, lo int, n int, kind int, bucket long"
 
 
-def places(kind: int, doc: np.ndarray, at: np.ndarray) -> pd.DataFrame:
+def places(kind: int, bucket: np.ndarray | None, doc: np.ndarray, at: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame(
         {
             "doc": doc,
@@ -208,100 +226,137 @@ def places(kind: int, doc: np.ndarray, at: np.ndarray) -> pd.DataFrame:
             "lo": (at >> 32).astype(np.int32),
             "n": ((at >> 24) & 0xFF).astype(np.int32),
             "kind": np.full(len(doc), kind, dtype=np.int32),
+            "bucket": np.zeros(len(doc), dtype=np.int64) if bucket is None else bucket,
         }
     )
 
 
-def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Steps 2 and 3 on one partition of buckets: what repeats, and what stays undecided."""
+def decide_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Step 2 on one partition of buckets: the runs that repeat, and those still undecided."""
     entries: dict[int, list] = {ENTRY: [], MARK: []}
     for batch in batches:
         for kind, *row in batch[["kind", "a", "b", "doc", "at"]].itertuples(index=False):
+            a, b, doc, at = (np.asarray(x, dtype=np.int64) for x in row)
             if kind in entries:
-                entries[kind].append([np.asarray(x, dtype=np.int64) for x in row])
+                entries[kind].append((a, b, doc, at))
             else:
-                yield places(kind, np.asarray(row[2], dtype=np.int64), np.asarray(row[3], dtype=np.int64))
+                yield places(kind, a if kind == SPREAD else None, doc, at)
     if not entries[ENTRY]:
         return
     a, b, doc, at = (np.concatenate(x) for x in zip(*entries[ENTRY], strict=True))
-    order, head, repeat = first_of_equal(a, b, doc, at)
-    a, doc, at = a[order], doc[order], at[order]
-    yield places(REPEATED, doc[repeat], at[repeat])
-    a, doc, at = a[head], doc[head], at[head]
-    gram = np.r_[True, a[1:] != a[:-1]]
-    group = np.cumsum(gram) - 1
-    shared = (np.bincount(group) > 1)[group]
-    if entries[MARK]:
-        shared |= np.isin(a, np.concatenate([x[0] for x in entries[MARK]]))
-    yield places(UNDECIDED, doc[shared], at[shared])
+    first, repeat = first_of_equal(a, b, doc, at)
+    yield places(REPEATED, None, doc[repeat], at[repeat])
+    marked = np.concatenate([x[0] for x in entries[MARK]]) if entries[MARK] else np.zeros(0, dtype=np.int64)
+    spread = np.isin(a[first], marked)
+    yield places(SPREAD, a[first[spread]], doc[first[spread]], at[first[spread]])
+    first = first[~spread]
+    first = first[group_sizes(a[first]) > 1]
+    yield places(UNDECIDED, a[first], doc[first], at[first])
 
 
-def string_entries(pids: int):
-    """Step 3: the single strings of undecided runs."""
+#: Undecided runs: the bytes of all strings of the run, dealt by the run's q-gram or, for SPREAD
+#: runs, string by string.
+RUNS = "pid int, doc long, at long, bytes binary"
 
+
+def run_bytes(pids: int):
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, texts, marks = own_ids(batch)
-            found = []
-            for i, (raw, runs) in enumerate(zip(texts, batch["_runs"], strict=True)):
-                start, end = runs_to_spans(*run_ranges(runs))
-                for s, e in zip(start.tolist(), end.tolist(), strict=True):
-                    grams = gram_buckets(np.frombuffer(raw[s : e + LENGTH - 1], dtype=np.uint8))
-                    at = np.arange(s, e, dtype=np.int64)
-                    found.append(
-                        (
-                            string_buckets(grams).view(np.int64),
-                            grams[: e - s].view(np.int64),
-                            np.full(e - s, ids[i]),
-                            packed_at(at, np.ones_like(at), marks[i]),
-                        )
-                    )
-            if not found:
-                continue
-            a, b, doc, at = (np.concatenate(x) for x in zip(*found, strict=True))
-            order, head, repeat = first_of_equal(a, b, doc, at)
-            a, b, doc, at = a[order], b[order], doc[order], at[order]
-            yield dealt(REPEATED, doc[repeat], a[repeat], b[repeat], doc[repeat], at[repeat], pids)
-            yield dealt(ENTRY, a[head], a[head], b[head], doc[head], at[head], pids)
+            doc, texts, marks = own_ids(batch)
+            pid, owner, at, parts = [], [], [], []
+            for i, raw in enumerate(texts):
+                lo, hi = run_ranges(batch["_runs"].iloc[i])
+                bucket = np.asarray(batch["_buckets"].iloc[i], dtype=np.int64)
+                spread = np.asarray(batch["_spread"].iloc[i], dtype=np.int64) > 0
+                begin, count = lo[~spread], (hi - lo)[~spread]
+                deal = mix(bucket[~spread].view(np.uint64))
+                single = [np.arange(a, b) for a, b in zip(lo[spread].tolist(), hi[spread].tolist(), strict=True)]
+                if single:
+                    alone = np.concatenate(single)
+                    hashes = string_buckets(gram_buckets(np.frombuffer(raw, dtype=np.uint8)))[alone]
+                    begin, count = np.r_[begin, alone], np.r_[count, np.ones_like(alone)]
+                    deal = np.r_[deal, mix(hashes)]
+                pid.append((deal % U64(pids)).astype(np.int32))
+                at.append(packed_at(begin, count, marks[i]))
+                owner.append(np.full(len(begin), doc[i]))
+                parts.extend(raw[s : s + n + LENGTH - 1] for s, n in zip(begin.tolist(), count.tolist(), strict=True))
+            if pid:
+                yield pd.DataFrame(
+                    {"pid": np.concatenate(pid), "doc": np.concatenate(owner), "at": np.concatenate(at), "bytes": parts}
+                )
 
     return emit
 
 
+def decide_strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Step 3 on one partition of undecided runs: the strings that start earlier as well."""
+    found, runs = [], 0
+    for batch in batches:
+        doc, at = batch["doc"].to_numpy(), batch["at"].to_numpy()
+        for begin, block in blocks_of(batch["bytes"].tolist(), BLOCK):
+            raw = np.frombuffer(b"".join(block), dtype=np.uint8)
+            grams = gram_buckets(raw)
+            strings = string_buckets(grams)
+            own = slice(begin, begin + len(block))
+            count = (at[own] >> 24) & 0xFF
+            start = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
+            run = np.repeat(np.arange(len(block)), count)
+            step = np.arange(len(run)) - np.repeat(np.cumsum(count) - count, count)
+            place = start[run] + step
+            lo = packed_at((at[own] >> 32)[run] + step, np.ones_like(step), (at[own] & 0xFFFFFF)[run])
+            found.append((strings[place].view(np.int64), grams[place].view(np.int64), doc[own][run], lo, runs + run))
+            runs += len(block)
+    if not found:
+        return
+    a, b, doc, at, run = (np.concatenate(x) for x in zip(*found, strict=True))
+    _, repeat = first_of_equal(a, b, doc, at)
+    if len(repeat) == 0:
+        return
+    # Neighbouring strings of one run make one place again.
+    repeat = np.sort(repeat)
+    run, at, doc = run[repeat], at[repeat], doc[repeat]
+    lo = at >> 32
+    head = np.flatnonzero(np.r_[True, (run[1:] != run[:-1]) | (lo[1:] != lo[:-1] + 1)])
+    count = np.diff(np.r_[head, len(lo)])
+    yield places(REPEATED, None, doc[head], packed_at(lo[head], count, at[head] & 0xFFFFFF))
+
+
 def run_ranges(runs) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the string starts in a text's list of runs."""
     packed = np.zeros(0, dtype=np.int64) if runs is None else np.asarray(runs, dtype=np.int64)
     return packed >> 8, (packed >> 8) + (packed & 0xFF)
 
 
-def runs_by_text(found: DataFrame, kind: int) -> DataFrame:
-    """The runs of one kind, listed per text (a list is no longer than its text)."""
+def runs_by_text(found: DataFrame, **also: str) -> DataFrame:
+    """The runs of each text as a list (no longer than the text), with lists of other columns."""
     run = F.shiftleft(F.col("lo").cast("long"), 8) + F.col("n")
-    chosen = found.filter(F.col("kind") == kind)
-    return chosen.groupBy(F.col("doc").alias("_doc"), F.col("mark").alias("_mark")).agg(F.collect_list(run).alias("_runs"))
+    lists = [F.collect_list(run).alias("_runs")]
+    lists += [F.collect_list(F.expr(value).cast("long")).alias(name) for name, value in also.items()]
+    return found.groupBy(F.col("doc").alias("_doc"), F.col("mark").alias("_mark")).agg(*lists)
 
 
 def keyed(docs: DataFrame, text: str) -> DataFrame:
-    """Adds the key that entries carry: the order number of the text, and its fingerprint."""
-    return docs.withColumns(
-        {
-            "_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)),
-            "_text": F.coalesce(F.col(text), F.lit("")),
-        }
-    ).withColumn("_mark", F.pmod(F.xxhash64("_text"), F.lit(1 << 24)).cast("int"))
+    """``doc_id`` and ``text`` as ``_doc`` (the order number) and ``_text``, and the fingerprint
+    ``_mark`` that entries carry together with the order number."""
+    named = docs.withColumns(
+        {"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), "_text": F.coalesce(text, F.lit(""))}
+    )
+    return named.withColumn("_mark", F.xxhash64("_text").bitwiseAND(F.lit((1 << 24) - 1)).cast("int")).drop("doc_id", text)
 
 
 def with_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus ``_doc``, ``_mark``, ``_text`` and ``_runs``: the runs of strings that start
-    earlier as well."""
+    """``docs`` keyed, plus ``_runs``: the runs of strings that start earlier as well."""
     parts = partitions(docs.sparkSession)
     pids = 16 * parts
-    plain = keyed(docs.select("doc_id", text), text).select("_doc", "_mark", "_text")
-    entries = plain.mapInPandas(run_entries(pids), ENTRIES).repartition(parts, "pid")
-    found = materialize(entries.mapInPandas(decide, PLACES), "repeats-runs")
-    waiting = plain.join(runs_by_text(found, UNDECIDED), ["_doc", "_mark"])
-    strings = waiting.mapInPandas(string_entries(pids), ENTRIES).repartition(parts, "pid")
-    repeated = found.unionByName(strings.mapInPandas(decide, PLACES))
-    return keyed(docs, text).join(runs_by_text(repeated, REPEATED), ["_doc", "_mark"], "left")
+    whole = keyed(docs, text)
+    entries = whole.select("_doc", "_mark", "_text").mapInPandas(run_entries(pids), ENTRIES).repartition(parts, "pid")
+    found = materialize(entries.mapInPandas(decide_runs, PLACES), "repeats-runs")
+    undecided = runs_by_text(found.filter(F.col("kind") > REPEATED), _buckets="bucket", _spread=f"int(kind = {SPREAD})")
+    # Both joins read all columns of the texts, so that they share one shuffle of them.
+    waiting = whole.join(undecided, ["_doc", "_mark"]).mapInPandas(run_bytes(pids), RUNS)
+    strings = waiting.repartition(parts, "pid").mapInPandas(decide_strings, PLACES)
+    repeated = runs_by_text(found.filter(F.col("kind") == REPEATED).unionByName(strings))
+    return whole.join(repeated, ["_doc", "_mark"], "left")
 
 
 def kept_bytes(raw: bytes, start: np.ndarray, end: np.ndarray) -> bytes:
@@ -313,7 +368,8 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the repeated bytes taken out of ``text``, plus ``n_bytes``, ``n_removed``,
     ``n_spans`` and ``kept_sha256``. A cut through a character leaves its bytes out of the text
     (they count as kept in the digest)."""
-    columns = [f for f in docs.schema.fields if f.name not in ("n_bytes", "n_removed", "n_spans", "kept_sha256")]
+    results = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
+    columns = [f for f in docs.schema.fields if f.name not in results]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -324,15 +380,18 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
                 first, last = run_ranges(runs)
                 start, end = runs_to_spans(first, last + LENGTH - 1)
                 kept = kept_bytes(raw, start, end)
-                rows.append(
-                    (kept.decode("utf-8", "ignore"), len(raw), len(raw) - len(kept), len(start), hashlib.sha256(kept).hexdigest())
-                )
-            out = batch[[f.name for f in columns]].copy()
-            for k, name in enumerate((text, "n_bytes", "n_removed", "n_spans", "kept_sha256")):
+                digest = hashlib.sha256(kept).hexdigest()
+                rows.append((kept.decode("utf-8", "ignore"), len(raw), len(raw) - len(kept), len(start), digest))
+            out = batch.drop(columns=["_doc", "_mark", "_text", "_runs"])
+            own = batch["_doc"].to_numpy()
+            out["doc_id"] = pd.array(own, dtype="Int64")
+            out.loc[own == NULL_ID, "doc_id"] = pd.NA
+            for k, name in enumerate((text, *results)):
                 out[name] = [r[k] for r in rows]
-            yield out
+            yield out[[f.name for f in columns] + list(results)]
 
-    return with_repeats(docs.select(*[f.name for f in columns]), text).mapInPandas(cut, f"{schema}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    whole = with_repeats(docs.select(*[f.name for f in columns]), text)
+    return whole.mapInPandas(cut, f"{schema}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
