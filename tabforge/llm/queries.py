@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from tabforge.llm import sharding
+from tabforge.llm.jaccard import op1_ngram_jaccard_join
 from tabforge.llm.neighbours import op10_nearest_neighbours
 from tabforge.llm.packing import op2_best_fit_packing
 from tabforge.llm.quality import op9_quality_rules
 from tabforge.llm.repeats import op4_suffix_dedup
+from tabforge.llm.sampling import op7_sampled_segmentations
+from tabforge.llm.token_counts import op3_token_counts
 from tabforge.llm.toxicity import op6_toxicity
 
 QUERIES = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_token_counts": op3_token_counts,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op6_toxicity": op6_toxicity,
+    "op7_sampled_segmentations": op7_sampled_segmentations,
     "op8_sharding": sharding.op8_sharding,
     "op9_quality_rules": op9_quality_rules,
     "op10_nearest_neighbours": op10_nearest_neighbours,
