@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tabforge.llm import sharding
+from tabforge.llm.html import op5_html_extraction
 from tabforge.llm.jaccard import op1_ngram_jaccard_join
 from tabforge.llm.neighbours import op10_nearest_neighbours
 from tabforge.llm.packing import op2_best_fit_packing
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_token_counts": op3_token_counts,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_html_extraction": op5_html_extraction,
     "op6_toxicity": op6_toxicity,
     "op7_sampled_segmentations": op7_sampled_segmentations,
     "op8_sharding": sharding.op8_sharding,
