@@ -13,6 +13,7 @@ SF_ORACLE = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
+    scratch = tempfile.mkdtemp(prefix="tabforge-test-")
     s = (SparkSession.builder.master("local[4]")
          .appName("tabforge-tests")
          .config("spark.sql.shuffle.partitions", "8")
@@ -20,9 +21,12 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.driver.memory", "6g")
+         .config("spark.checkpoint.dir", f"file://{scratch}/shared")
+         .config("spark.sql.warehouse.dir", f"file://{scratch}/warehouse")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tabforge-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(f"file://{scratch}/shared")
     yield s
     s.stop()
