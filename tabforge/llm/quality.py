@@ -190,3 +190,41 @@ RESULT = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repe
 def op9_quality_rules(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return quality_rules(docs).select(*RESULT)
+
+
+def _sql() -> str:
+    words = r"list_filter(regexp_split_to_array({}, '[\x09-\x0D ]+'), lambda x: x <> '')"
+    boilerplate = " OR ".join(f"contains(lower(line), '{phrase}')" for phrase in BOILERPLATE)
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, {words.format("t")} AS ws,
+             list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x09-\x0D ]')) AS ls FROM d),
+windows AS (SELECT doc_id, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS k
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM w)),
+twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
+repeats AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + {WINDOW})) AS p FROM twice)
+            GROUP BY doc_id),
+lines AS (SELECT doc_id, line, {words.format("line")} AS lw FROM (SELECT doc_id, unnest(list_distinct(ls)) AS line FROM w)),
+passing AS (SELECT doc_id, sum(len(lw)) AS n FROM lines WHERE NOT (
+    length(line) - length(regexp_replace(line, '[{SYMBOLS}]', '', 'g')) > length(array_to_string(lw, '')) * {MAX_SYMBOL_SHARE}
+    OR (len(lw) >= 3 AND ((length(line) - length(replace(line, '!!', ''))) / 2 >= len(lw) * {MAX_NOISE_SHARE}
+                          OR (upper(line) = line AND lower(line) <> line)))
+    OR (len(lw) <= {SHORT_LINE_WORDS} AND NOT regexp_matches(line, '{TERMINAL.replace("'", "''")}'))
+    OR len(list_filter(lw, lambda x: x IN ('|', '»', '›', '•', '·'))) >= len(lw) * {MAX_NOISE_SHARE}
+    OR (len(lw) <= {BOILERPLATE_WORDS} AND ({boilerplate}))
+    OR (len(lw) >= 5 AND len(list_filter(range(1, len(lw)), lambda i: lw[i] = lw[i + 1])) >= len(lw) * {MAX_NOISE_SHARE}))
+  GROUP BY doc_id),
+m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(regexp_replace(t, '[{SYMBOLS}]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words, coalesce(passing.n, 0) AS n_kept
+      FROM w LEFT JOIN repeats USING (doc_id) LEFT JOIN passing USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND n_kept >= n_words * {MIN_KEPT_SHARE} AS kept
+FROM m
+"""
+
+
+#: The registered query in DuckDB SQL.
+SQL = _sql()

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from tabforge.llm import sharding
+from tabforge.llm import quality, sharding
 from tabforge.llm.html import op5_html_extraction
 from tabforge.llm.jaccard import op1_ngram_jaccard_join
 from tabforge.llm.neighbours import op10_nearest_neighbours
 from tabforge.llm.packing import op2_best_fit_packing
-from tabforge.llm.quality import op9_quality_rules
 from tabforge.llm.repeats import op4_suffix_dedup
 from tabforge.llm.sampling import op7_sampled_segmentations
 from tabforge.llm.token_counts import op3_token_counts
@@ -22,8 +21,8 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_sampled_segmentations": op7_sampled_segmentations,
     "op8_sharding": sharding.op8_sharding,
-    "op9_quality_rules": op9_quality_rules,
+    "op9_quality_rules": quality.op9_quality_rules,
     "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 
-ORACLES: dict[str, str] = {"op8_sharding": sharding.SQL}
+ORACLES: dict[str, str] = {"op8_sharding": sharding.SQL, "op9_quality_rules": quality.SQL}

@@ -32,7 +32,7 @@ from tabforge.llm.unigram import KEPT_CHUNKS, Vocabulary, chunks, decode, defaul
 SAMPLES = 2
 #: The vocabulary's scores are merge ranks; this turns them into moderate log-probabilities.
 TEMPERATURE = 0.002
-#: Pieces below this score (runs of blanks) are never produced by the tokenizer and not sampled.
+#: Scores below this one mark pieces without a rank; they weigh as little as unknown characters.
 LEAST_SCORE = -1e8
 
 
@@ -55,17 +55,15 @@ class Sampler:
         """Edges into each position (start, ids, log-weight) and the forward log-sums."""
         edges: list[list] = [[] for _ in range(len(chunk) + 1)]
         for end, (length, score, i) in self.matches(chunk):
-            if score > LEAST_SCORE:
-                edges[end + 1].append((end + 1 - length, (i,), self.temperature * score))
+            weight = self.temperature * score if score > LEAST_SCORE else self.unknown
+            edges[end + 1].append((end + 1 - length, (i,), weight))
         for at, c in enumerate(chunk):
             if c not in self.known:
                 ids = tuple(self.vocabulary.byte_ids[b] for b in c.encode()) or (0,)
                 edges[at + 1].append((at, ids, self.unknown))
         forward = [0.0] + [-inf] * len(chunk)
         for end in range(1, len(chunk) + 1):
-            edges[end] = [e for e in edges[end] if forward[e[0]] > -inf]
-            if edges[end]:
-                forward[end] = log_sum([forward[s] + w for s, _, w in edges[end]])
+            forward[end] = log_sum([forward[s] + w for s, _, w in edges[end]])
         return edges, forward
 
     def kept_lattice(self, chunk: str) -> tuple:

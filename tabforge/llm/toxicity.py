@@ -151,7 +151,8 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, usable=None) -> Lexicon:
             for text, y in zip(batch["text"], batch["_toxic"], strict=True):
                 seen[y > 0].update(patterns_of(fold(text)))
             keys = list(seen[0].keys() | seen[1].keys())
-            yield pd.DataFrame({"pattern": keys, "n0": [seen[0][k] for k in keys], "n1": [seen[1][k] for k in keys]})
+            pattern = pd.Series(keys, dtype=object)
+            yield pd.DataFrame({"pattern": pattern, "n0": [seen[0][k] for k in keys], "n1": [seen[1][k] for k in keys]})
 
     counted = sample.mapInPandas(count, "pattern string, n0 long, n1 long").groupBy("pattern")
     toxic, rest = sample.agg(F.sum("_toxic"), F.count("*") - F.sum("_toxic")).first()
