@@ -7,8 +7,9 @@ Exact links between documents whose sets of word shingles have a Jaccard similar
    how many sets hold a shingle, in a table of fixed size (the counts of a slot's shingles add up).
 2. The shingles of a set are ordered by that count, rarest first. Similar sets share at least
    ``l`` of their ``l``-prefixes (``size - least overlap + l`` shingles), for every ``l``. Each set
-   takes the ``l`` that its estimated candidate cost, the counts in its prefix, suggests; a pair
-   must share as many shingles of its shorter prefixes before it is verified.
+   takes an ``l`` that grows with its prefix and with its estimated candidate cost, the counts in
+   its prefix; a pair must share as many shingles of its shorter prefixes before it is verified,
+   and a set that shares too few shingles with any other leaves at once.
 3. Groups of near copies are linked first through one member each: sets that share one of their
    first shingles are verified against the smallest of them. Only prefix shingles that still lie
    in several components make pairs, and only between different components; every member of the
@@ -33,8 +34,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.bytehash import blocks_of, shingle_set, word_hashes
-from tabforge.llm.common import materialize
+from tabforge.llm.bytehash import blocks_of, group_sizes, shingle_set, word_hashes
+from tabforge.llm.common import materialize, mix, partitions
 from tabforge.llm.components import connected_components
 
 #: Slots of the shingle counts (the table that is broadcast: two megabytes at any input size).
@@ -42,8 +43,13 @@ SLOTS = 1 << 18
 SLOT_BLOCK = 1 << 12
 #: Merging groups of the count tables of single tasks.
 MERGE_GROUPS = 64
-#: Most shared prefix shingles that a set may ask for.
-MAX_MATCH = 4
+#: A set asks for one more shared shingle per so many prefix shingles, up to a limit, and for up
+#: to EXTRA_MATCH more if its prefix is costly.
+PREFIX_PER_MATCH = 6
+MAX_MATCH = 16
+EXTRA_MATCH = 3
+#: A shingle with more sets than this in one batch of prefixes counts as frequent.
+FREQUENT = 64
 #: First shingles of each set through which near copies find their common member.
 HUB_KEYS = 3
 #: Stands for a missing ``doc_id`` inside the join.
@@ -63,6 +69,14 @@ class Rule:
         least = -(-self.num * size // self.den)
         return min(size, size - least + match)
 
+    def match(self, size: int) -> int:
+        """Shared prefix shingles that sets of this size ask for at least; grows with the size."""
+        return max(1, min(MAX_MATCH, 1 + self.prefix(size, 1) // PREFIX_PER_MATCH))
+
+    def least_match(self, size: int) -> int:
+        """What the smallest set that is similar to one of this size asks for at least."""
+        return self.match(-(-self.num * size // self.den))
+
     def can_differ(self, size: int) -> bool:
         """Whether a different set can be similar to one of ``size`` (at best one shingle more)."""
         return self.num * (size + 1) <= self.den * size
@@ -153,10 +167,9 @@ def prefixes(docs: DataFrame, counts: np.ndarray, rule: Rule) -> DataFrame:
                 if cls in seen:
                     continue
                 cost = held[(shingles % np.uint64(SLOTS)).astype(np.int64)]
-                longest = rule.prefix(size, MAX_MATCH)
-                order = np.lexsort((shingles, cost))[:longest]
+                order = np.lexsort((shingles, cost))
                 excess = np.maximum(cost[order[: rule.prefix(size, 1)]] / usual - 1.0, 0.0).sum()
-                match = 1 + min(MAX_MATCH - 1, int(np.log2(1.0 + excess)))
+                match = rule.match(size) + min(EXTRA_MATCH, int(np.log2(1.0 + excess)))
                 match = max(1, min(match, size - rule.prefix(size, 1) + 1))
                 seen[cls] = (size, match, shingles[order[: rule.prefix(size, match)]].view(np.int64))
             yield pd.DataFrame(
@@ -183,17 +196,23 @@ def verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 
 
 def needed_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
-    """(id, shingles) of the wanted (id, cls, doc_id), from the text of each class's first document."""
+    """(id, shingles) of the wanted (id, cls, doc_id), from the text of each class's first
+    document. The join brings repeated rows of a document to one task, which keeps one of them."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        done: set[int] = set()
         for batch in batches:
-            sets = list(text_sets(batch["text"].tolist(), rule.words))
-            keep = [set_class(s) == bytes(c) for s, c in zip(sets, batch["cls"], strict=True)]
-            kept = [s.view(np.int64) for s, k in zip(sets, keep, strict=True) if k]
-            yield pd.DataFrame({"id": batch["id"][keep].to_numpy(), "shingles": pd.Series(kept, dtype=object)})
+            ids, kept = [], []
+            sets = text_sets(batch["text"].tolist(), rule.words)
+            for i, cls, shingles in zip(batch["id"].tolist(), batch["cls"], sets, strict=True):
+                if i not in done and set_class(shingles) == bytes(cls):
+                    done.add(i)
+                    ids.append(i)
+                    kept.append(shingles.view(np.int64))
+            yield pd.DataFrame({"id": np.array(ids, dtype=np.int64), "shingles": pd.Series(kept, dtype=object)})
 
     texts = docs.join(wanted, "doc_id").select("id", "cls", "text")
-    return texts.mapInPandas(scan, "id long, shingles array<long>").dropDuplicates(["id"])
+    return texts.mapInPandas(scan, "id long, shingles array<long>")
 
 
 def hub_pairs(heads: DataFrame) -> DataFrame:
@@ -236,25 +255,84 @@ def cross_pairs(tokens: DataFrame, roots: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
+ENTRIES = "pid int, kind int, token array<long>, id array<long>, p array<long>"
+TOKENS = "token long, id long, p long"
+ENTRY, SHARED, MARK = 0, 1, 2
+
+
+def token_entries(pids: int):
+    """The prefix shingles of a batch, dealt by shingle. Frequent ones are known to be shared:
+    their entries are dealt evenly, and a mark tells it to the shingle's partition."""
+
+    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if batch.empty:
+                continue
+            size = batch["tokens"].map(len).to_numpy()
+            token = np.concatenate(batch["tokens"].tolist()).astype(np.int64)
+            owner = np.repeat(np.arange(len(batch)), size)
+            place = np.arange(len(token)) - np.repeat(np.cumsum(size) - size, size)
+            ids = batch["id"].to_numpy()[owner]
+            # Size, place and matches travel as one number.
+            p = (batch["n"].to_numpy().astype(np.int64)[owner] << 32) | (place << 8) | batch["l"].to_numpy()[owner]
+            frequent = group_sizes(token) > FREQUENT
+            told = np.unique(token[frequent])
+            yield dealt_by(pids, ENTRY, token[~frequent], token[~frequent], ids[~frequent], p[~frequent])
+            yield dealt_by(pids, SHARED, ids[frequent] + place[frequent], token[frequent], ids[frequent], p[frequent])
+            yield dealt_by(pids, MARK, told, told, told, told)
+
+    return emit
+
+
+def dealt_by(pids: int, kind: int, by: np.ndarray, *columns: np.ndarray) -> pd.DataFrame:
+    """Entries grouped by the partition number of ``by``, as one row of arrays each."""
+    pid = mix(by.view(np.uint64)) % np.uint64(pids)
+    order = np.argsort(pid, kind="stable")
+    pid = pid[order]
+    cuts = np.flatnonzero(np.r_[True, pid[1:] != pid[:-1]][: len(pid)])
+    split = [pd.Series(np.split(c[order], cuts[1:]) if len(cuts) else [], dtype=object) for c in columns]
+    return pd.DataFrame(
+        {"pid": pid[cuts].astype(np.int32), "kind": np.full(len(cuts), kind, dtype=np.int32)}
+        | dict(zip(("token", "id", "p"), split, strict=True))
+    )
+
+
+def keep_shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of one partition of shingles, the entries of those that several sets hold."""
+    held: dict[int, list] = {ENTRY: [], MARK: []}
+    for batch in batches:
+        for kind, *row in batch[["kind", "token", "id", "p"]].itertuples(index=False):
+            arrays = [np.asarray(x, dtype=np.int64) for x in row]
+            if kind == SHARED:
+                yield pd.DataFrame(dict(zip(("token", "id", "p"), arrays, strict=True)))
+            else:
+                held[kind].append(arrays)
+    if held[ENTRY]:
+        token, ids, p = (np.concatenate(x) for x in zip(*held[ENTRY], strict=True))
+        shared = group_sizes(token) > 1
+        if held[MARK]:
+            shared |= np.isin(token, np.concatenate([x[0] for x in held[MARK]]))
+        yield pd.DataFrame({"token": token[shared], "id": ids[shared], "p": p[shared]})
+
+
 def shared_tokens(found: DataFrame, rule: Rule) -> DataFrame:
     """Prefix shingles that several sets hold: (token, id, i, n, l, d), ``i`` the place in the
-    prefix and ``d`` the shortest multi-match prefix that reaches it."""
-    # Place, size and matches travel as one number; this is the widest shuffle of the join.
-    packed = F.shiftleft(F.shiftleft(F.col("n").cast("long"), 24) + F.col("i"), 3) + F.col("l") - 1
-    rows = found.select("id", "n", "l", F.posexplode("tokens").alias("i", "token")).select("token", "id", packed.alias("p"))
-    shared = rows.groupBy("token").agg(F.count("*").alias("_n")).filter(F.col("_n") > 1).select("token")
-    n = F.shiftright("p", 27).cast("int")
-    base = n - F.ceil(n * rule.num / rule.den).cast("int") + 1
+    prefix and ``d`` the shortest multi-match prefix that reaches it. Sets that share fewer
+    shingles than any partner would ask for are gone."""
+    parts = partitions(found.sparkSession)
+    entries = found.select("id", "n", "l", "tokens").mapInPandas(token_entries(16 * parts), ENTRIES)
+    shared = materialize(entries.repartition(parts, "pid").mapInPandas(keep_shared, TOKENS), "jaccard-shared")
+    n = F.shiftright("p", 32).cast("int")
+    least = F.ceil(n * rule.num / rule.den).cast("int")
+    smallest = F.ceil(least * rule.num / rule.den).cast("int")
+    asked = F.least(F.lit(MAX_MATCH), 1 + F.floor((least - smallest + 1) / PREFIX_PER_MATCH))
+    open_sets = shared.groupBy("id").agg(F.count("*").alias("_shared"), F.first(asked).alias("_asked"))
+    open_sets = open_sets.filter(F.col("_shared") >= F.col("_asked")).select("id")
+    place = F.shiftright("p", 8).bitwiseAND(F.lit((1 << 24) - 1)).cast("int")
     return (
-        rows.join(shared, "token")
-        .withColumns(
-            {
-                "n": n,
-                "i": F.shiftright("p", 3).bitwiseAND(F.lit((1 << 24) - 1)).cast("int"),
-                "l": (F.col("p").bitwiseAND(F.lit(7)) + 1).cast("int"),
-            }
-        )
-        .withColumn("d", F.greatest(F.lit(1), F.col("i") - base + 2).cast("int"))
+        shared.join(open_sets, "id")
+        .withColumns({"n": n, "i": place, "l": F.col("p").bitwiseAND(F.lit(255)).cast("int")})
+        .withColumn("d", F.greatest(F.lit(1), F.col("i") - (n - least + 1) + 2).cast("int"))
         .drop("p")
     )
 

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.bytehash import BYTE_VALUE, blocks_of, refine
+from tabforge.llm.bytehash import BYTE_VALUE, blocks_of, group_sizes, refine
 from tabforge.llm.common import U64, materialize, mix, partitions, runs_to_spans
 
 LENGTH = 100
@@ -147,17 +147,6 @@ def first_of_equal(a: np.ndarray, b: np.ndarray, doc: np.ndarray, at: np.ndarray
     return np.concatenate([order[alone], some[head]]), some[repeat]
 
 
-def group_sizes(values: np.ndarray) -> np.ndarray:
-    """For each value, how often it occurs."""
-    order = np.argsort(values)
-    ranked = values[order]
-    head = np.r_[True, ranked[1:] != ranked[:-1]][: len(values)]
-    group = np.cumsum(head) - 1
-    sizes = np.empty(len(values), dtype=np.int64)
-    sizes[order] = np.bincount(group)[group] if len(values) else 0
-    return sizes
-
-
 def dealt(kind: int, by: np.ndarray, a, b, doc, at, pids: int) -> pd.DataFrame:
     """Entries grouped by the partition number of ``by``; decided ones need no buckets."""
     pid = mix(by.view(np.uint64)) % U64(pids)

@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from tabforge.llm import repeats
+from tabforge.llm import jaccard, repeats
 from tabforge.llm.components import connected_components
 from tabforge.llm.jaccard import Rule, jaccard_components
 from tabforge.llm.repeats import remove_repeats
@@ -60,8 +60,10 @@ def by_id(frame):
     return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in frame.collect()}
 
 
-@pytest.mark.parametrize("rule", [Rule(3, 90, 100), Rule(3, 80, 100)])
-def test_components_equal_brute_force(spark, rule):
+@pytest.mark.parametrize(("rule", "frequent"), [(Rule(3, 90, 100), 64), (Rule(3, 80, 100), 64), (Rule(3, 80, 100), 2)])
+def test_components_equal_brute_force(spark, monkeypatch, rule, frequent):
+    monkeypatch.setattr(jaccard, "FREQUENT", frequent)
+    monkeypatch.setattr(jaccard, "PREFIX_PER_MATCH", 2)
     rows = [*near_copies(), (900, ""), (901, None), (902, " \n\t"), (903, "A"), (904, "a")]
     extra = [*rows[:3], (None, "a b c")]
     frame = spark.createDataFrame(rows + extra, SCHEMA)
@@ -86,9 +88,12 @@ def test_prefix_never_asks_for_more_than_the_least_overlap():
     rule = Rule(3, 90, 100)
     for size in range(1, 300):
         least = -(-90 * size // 100)
-        for match in (1, 2, 3, 4):
+        for match in (1, 2, 3, rule.match(size)):
             if match <= least:
                 assert rule.prefix(size, match) == size - least + match
+        # Every similar partner asks for at least as many matches as the early filter supposes.
+        for partner in range(least, size * 100 // 90 + 1):
+            assert rule.match(partner) >= rule.least_match(size)
     assert not rule.can_differ(8) and rule.can_differ(9)
 
 
