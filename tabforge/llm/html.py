@@ -341,14 +341,11 @@ def label_pages(model: Labeller, pages: list[Page]) -> list[np.ndarray]:
 
 def fit_labeller(pages: DataFrame, column: str = "html") -> Labeller:
     """Train on a bounded sample of the pages."""
-    sample = (
-        pages.select(F.xxhash64(column).alias("_h"), F.col(column).alias("_p"))
-        .filter(F.col("_p").isNotNull())
-        .orderBy("_h")
-        .limit(FIT_PAGES)
-        .select("_p")
-        .collect()
-    )
+    hashed = pages.select(F.xxhash64(column).alias("_h"), F.col(column).alias("_p")).filter(F.col("_p").isNotNull())
+    smallest = hashed.select("_h").distinct().orderBy("_h").limit(FIT_PAGES).agg(F.max("_h")).first()[0]
+    if smallest is None:
+        return train([])
+    sample = hashed.filter(F.col("_h") <= smallest).dropDuplicates(["_h"]).select("_p").collect()  # FIT_PAGES pages
     return train([read_page(r["_p"]) for r in sample])
 
 
