@@ -22,7 +22,7 @@ def _sci_to_python(s: Column) -> Column:
     digits = F.regexp_replace(F.regexp_replace(mant, r"\.", ""), r"0+$", "")
     digits = F.when(digits == "", F.lit("0")).otherwise(digits)
     nd = F.length(digits)
-    # positional, exponent 7..15: digits then zeros, keep one decimal
+    # positional, exponent 0..15: digits then zeros, keep one decimal
     big = F.when(nd <= exp + 1,
                  F.concat(F.rpad(digits, exp + 1, "0"), F.lit(".0"))).otherwise(
         F.concat(F.substr(digits, F.lit(1), exp + 1), F.lit("."), F.substr(digits, exp + 2, F.lit(1000))))
@@ -34,16 +34,28 @@ def _sci_to_python(s: Column) -> Column:
     e_txt = F.concat(F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
                      F.lpad(F.abs(exp).cast("string"), 2, "0"))
     sci = F.concat(m, F.lit("e"), e_txt)
-    body = (F.when((exp >= 7) & (exp < 16), big)
+    body = (F.when((exp >= 0) & (exp < 16), big)
             .when((exp >= -4) & (exp < 0), small)
             .otherwise(sci))
     return F.concat(sign, body)
 
 
+def _shortest(c: Column, s: Column) -> Column:
+    """Some Java versions print more digits than are needed to read a double
+    back; of the texts with 15 to 17 digits take the first that does."""
+    digits = F.length(F.regexp_replace(F.regexp_replace(s, "E.*$", ""), "[^0-9]", ""))
+    out = s
+    for places in (16, 15, 14):
+        t = F.format_string(f"%.{places}e", c)
+        t = F.regexp_replace(F.upper(t), r"E\+", "E")
+        out = F.when(t.cast("double") == c, t).otherwise(out)
+    return F.when(digits > 16, out).otherwise(s)
+
+
 def num_to_text(c: Column, data_type: T.DataType) -> Column:
     """SCL7: Python-style text of a value of ``data_type``."""
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        s = c.cast("string")
+        s = _shortest(c, c.cast("string")) if isinstance(data_type, T.DoubleType) else c.cast("string")
         return (F.when(F.isnan(c), F.lit("nan"))
                 .when(c == float("inf"), F.lit("inf"))
                 .when(c == float("-inf"), F.lit("-inf"))

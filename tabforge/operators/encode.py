@@ -5,24 +5,25 @@ order (0-based), like a pandas ``category`` built on train. Applying it is a
 lookup; an unseen value (or a NULL) becomes a NULL code, and unseen values
 are counted per column (FEA10).
 
-Lookup strategy, chosen by the dictionary's size (counted first):
-* small (<= ``map_limit`` entries in total): one ``map`` literal per column,
-  a JVM-side hash lookup inside the projection — no join, no shuffle;
-* large: an equi-join on ``(value)`` per column against the dictionary,
-  left-outer, planned by Spark (broadcast when AQE sees it is small).
+Lookup (an explicit choice, not one by size):
+* ``index`` (default): all columns in one projection by the hash lookup of
+  MLlib's ``StringIndexerModel``; the dictionary is held by the driver and every
+  executor;
+* ``join``: for dictionaries beyond that, a left join per column, planned by
+  Spark (AQE splits hot values).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .profile import long_cells
 from .running import grouped_ordinal
 
-MAP_LIMIT = 200_000
-
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -30,10 +31,8 @@ def _q(name: str) -> Column:
 
 def category_dictionary(train: DataFrame, cols: list[str]) -> DataFrame:
     """AGG10: ``(feature, value, code)``; NULL is not a category."""
-    long = (train.select(*[_q(c).cast("string").alias(c) for c in cols])
-            .unpivot([], cols, "feature", "value")
-            .filter(F.col("value").isNotNull())
-            .distinct())
+    cells = [_q(c).cast("string") for c in cols]
+    long = long_cells(train, cells, cols).filter(F.col("value").isNotNull()).distinct()
     # codes by range partitions + offsets: a high-cardinality column is not
     # ranked in one task
     return grouped_ordinal(long, "feature", "value")
@@ -43,68 +42,71 @@ def category_dictionary(train: DataFrame, cols: list[str]) -> DataFrame:
 class CategoryEncoderModel:
     cols: list
     dictionary: DataFrame
-    n_entries: int
-    map_limit: int = MAP_LIMIT
-    _maps: dict | None = None
-
-    def _lookup_maps(self) -> dict:
-        if self._maps is None:
-            maps: dict = {c: {} for c in self.cols}
-            for r in self.dictionary.collect():  # bounded: n_entries <= map_limit
-                maps[r["feature"]][r["value"]] = r["code"]
-            self._maps = maps
-        return self._maps
+    lookup: str = "index"
+    _labels: dict | None = None
+
+    def labels(self) -> dict[str, list]:
+        """Values per column in code order (held by the driver for ``index``)."""
+        if self._labels is None:
+            found: dict = {c: [] for c in self.cols}
+            for r in self.dictionary.orderBy("feature", "code").collect():
+                found[r["feature"]].append(r["value"])
+            self._labels = found
+        return self._labels
 
     def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
         """Replace each categorical column by its code (or add ``<c><suffix>``)."""
         cols = [c for c in self.cols if c in df.columns]
-        if self.n_entries <= self.map_limit:
-            maps = self._lookup_maps()
-            exprs = []
-            for c in df.columns:
-                if c in cols:
-                    m = maps.get(c, {})
-                    if m:
-                        lit_map = F.create_map(*[x for k, v in sorted(m.items()) for x in (F.lit(k), F.lit(v))])
-                        code = F.try_element_at(lit_map, _q(c).cast("string"))
-                    else:
-                        code = F.lit(None).cast("int")
-                    if suffix:
-                        exprs += [_q(c), code.alias(c + suffix)]
-                    else:
-                        exprs.append(code.alias(c))
-                else:
-                    exprs.append(_q(c))
-            return df.select(*exprs)
+        coded = self._joined(df, cols) if self.lookup == "join" else self._indexed(df, cols)
+        codes = {c: F.col(f"_tf_code{i}") for i, c in enumerate(cols)}
+        out = []
+        for c in df.columns:
+            if c not in codes:
+                out.append(_q(c))
+            elif suffix:
+                out += [_q(c), codes[c].alias(c + suffix)]
+            else:
+                out.append(codes[c].alias(c))
+        return coded.select(*out)
+
+    def _indexed(self, df: DataFrame, cols: list[str]) -> DataFrame:
+        known = [(i, self.labels()[c]) for i, c in enumerate(cols) if self.labels()[c]]
+        ready = df.withColumns({f"_tf_in{i}": _q(c).cast("string") for i, c in enumerate(cols)})
+        if known:
+            # NULL and unseen values get the code after the last one.
+            model = StringIndexerModel.from_arrays_of_labels(
+                [v for _, v in known], inputCols=[f"_tf_in{i}" for i, _ in known],
+                outputCols=[f"_tf_out{i}" for i, _ in known], handleInvalid="keep")
+            ready = model.transform(ready)
+        size = {i: len(v) for i, v in known}
+        return ready.withColumns({
+            f"_tf_code{i}": F.when(F.col(f"_tf_out{i}") < size[i], F.col(f"_tf_out{i}").cast("int")) if i in size
+            else F.lit(None).cast("int") for i in range(len(cols))})
+
+    def _joined(self, df: DataFrame, cols: list[str]) -> DataFrame:
         out = df
-        for c in cols:
+        for i, c in enumerate(cols):
             d = (self.dictionary.filter(F.col("feature") == c)
-                 .select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_code_{c}")))
-            out = out.join(d, _q(c).cast("string") == F.col(f"_v_{c}"), "left").drop(f"_v_{c}")
-            if suffix:
-                out = out.withColumnRenamed(f"_code_{c}", c + suffix)
-            else:
-                out = out.drop(c).withColumnRenamed(f"_code_{c}", c)
-        return out.select(*[x for c in df.columns for x in ([c, c + suffix] if suffix and c in cols else [c])])
+                 .select(F.col("value").alias(f"_tf_in{i}"), F.col("code").alias(f"_tf_code{i}")))
+            out = out.join(d, _q(c).cast("string") == F.col(f"_tf_in{i}"), "left")
+        return out
 
     def unseen_counts(self, df: DataFrame) -> DataFrame:
         """FEA10: ``(feature, n_unseen)`` — non-NULL values without a code."""
-        enc = self.transform(df.select(*[c for c in self.cols if c in df.columns]), suffix="__code")
         cols = [c for c in self.cols if c in df.columns]
-        wide = enc.agg(*[F.count_if(_q(c).isNotNull() & _q(c + "__code").isNull()).alias(f"u{i}")
-                         for i, c in enumerate(cols)])
-        stack = ", ".join(f"'{c}', u{i}" for i, c in enumerate(cols))
-        return wide.selectExpr(f"stack({len(cols)}, {stack}) as (feature, n_unseen)")
+        coded = self.transform(df.select(*[_q(c) for c in cols]), suffix="__code")
+        unseen = [(_q(c).isNotNull() & _q(c + "__code").isNull()).cast("long") for c in cols]
+        return long_cells(coded, unseen, cols).groupBy("feature").agg(F.sum("value").alias("n_unseen"))
 
 
 class CategoryEncoder:
     """FEA9: fit the train dictionary for ``cols``."""
 
-    def __init__(self, cols: list[str], map_limit: int = MAP_LIMIT):
+    def __init__(self, cols: list[str], lookup: str = "index"):
+        if lookup not in ("index", "join"):
+            raise ValueError(f"unknown lookup {lookup}")
         self.cols = list(cols)
-        self.map_limit = map_limit
+        self.lookup = lookup
 
     def fit(self, train: DataFrame) -> CategoryEncoderModel:
-        d = category_dictionary(train, self.cols)
-        n = d.count()
-        return CategoryEncoderModel(cols=self.cols, dictionary=d, n_entries=n, map_limit=self.map_limit)
+        return CategoryEncoderModel(cols=self.cols, dictionary=category_dictionary(train, self.cols), lookup=self.lookup)

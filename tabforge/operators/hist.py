@@ -31,9 +31,10 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.feature import Bucketizer
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,9 +80,13 @@ def _score(g: Column, h: Column, lam: float, alpha: float) -> Column:
 def level_histogram(rows: DataFrame, node: str = "node", bins: str = "bins", g: str = "g", h: str = "h",
                     features: list[int] | None = None) -> DataFrame:
     """``(node, f, b, G, H)``: gradient/hessian sums per bin (b = -1: missing)."""
-    ex = rows.select(node, g, h, F.posexplode(bins).alias("f", "b"))
-    if features is not None:
-        ex = ex.filter(F.col("f").isin(features))
+    if features is None:
+        ex = rows.select(node, g, h, F.posexplode(bins).alias("f", "b"))
+    else:
+        # Only the sampled columns are taken out of the row.
+        picked = F.transform(F.array(*[F.lit(f) for f in features]),
+                             lambda f: F.struct(f.alias("f"), F.element_at(F.col(bins), f + 1).alias("b")))
+        ex = rows.select(node, g, h, F.explode(picked).alias("_c")).select(node, g, h, "_c.f", "_c.b")
     return ex.groupBy(node, "f", "b").agg(F.sum(g).alias("G"), F.sum(h).alias("H"))
 
 
@@ -110,9 +115,9 @@ def split_candidates(hist: DataFrame, p: HistParams, node: str = "node") -> Data
         GL = F.col("GLc") + (F.col("Gm") if left else F.lit(0.0))
         HL = F.col("HLc") + (F.col("Hm") if left else F.lit(0.0))
         GR, HR = F.col("G_tot") - GL, F.col("H_tot") - HL
-        gain = (F.lit(0.5) * (_score(GL, HL, p.reg_lambda, p.reg_alpha) + _score(GR, HR, p.reg_lambda, p.reg_alpha)
-                              - _score(F.col("G_tot"), F.col("H_tot"), p.reg_lambda, p.reg_alpha))
-                - F.lit(p.gamma))
+        # The library's scale: no factor 1/2 before gamma is taken off.
+        gain = (_score(GL, HL, p.reg_lambda, p.reg_alpha) + _score(GR, HR, p.reg_lambda, p.reg_alpha)
+                - _score(F.col("G_tot"), F.col("H_tot"), p.reg_lambda, p.reg_alpha) - F.lit(p.gamma))
         ok = (HL >= p.min_child_weight) & (HR >= p.min_child_weight)
         dirs.append(F.struct(F.lit(left).alias("missing_left"), F.when(ok, gain).alias("gain"),
                              GL.alias("GL"), HL.alias("HL")))
@@ -158,16 +163,22 @@ def fit_bins(train: DataFrame, cols: list[str], max_bins: int, accuracy: int = 1
 
 
 def apply_bins(df: DataFrame, cols: list[str], cuts: dict, keep: list[str]) -> DataFrame:
-    """``bins array<int>``: bin i holds values in [cut_{i-1}, cut_i); missing -> -1."""
-    tmp = df.select(*keep, *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))).alias(f"_x{i}")
-                             for i, c in enumerate(cols)])
-    bz = Bucketizer(splitsArray=[[-math.inf] + cuts[c] + [math.inf] for c in cols],
-                    inputCols=[f"_x{i}" for i in range(len(cols))],
-                    outputCols=[f"_b{i}" for i in range(len(cols))], handleInvalid="keep")
-    out = bz.transform(tmp)
-    arr = F.array(*[F.when(F.isnan(f"_x{i}"), F.lit(-1)).otherwise(F.col(f"_b{i}").cast("int"))
-                    for i in range(len(cols))])
-    return out.select(*keep, arr.alias("bins"))
+    """``bins array<int>``: bin i holds values in [cut_{i-1}, cut_i); missing -> -1.
+    One array of all cells, searched column by column per Arrow batch, so the plan
+    does not grow with the number of columns."""
+    edges = [np.asarray(cuts[c], dtype=np.float64) for c in cols]
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def binned(cells: pd.Series) -> pd.Series:
+        x = np.array([np.asarray(r, dtype=np.float64) for r in cells]).reshape(len(cells), len(edges))
+        out = np.empty(x.shape, dtype=np.int32)
+        for j, e in enumerate(edges):
+            out[:, j] = np.searchsorted(e, x[:, j], side="right")
+        out[np.isnan(x)] = -1
+        return pd.Series(list(out), dtype=object)
+
+    cells = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in cols])
+    return df.select(*keep, binned(cells).alias("bins"))
 
 
 # --- model ---------------------------------------------------------------------
@@ -212,6 +223,23 @@ class HistModel:
         s = sum(avg.values()) or 1.0
         return {c: avg.get(c, 0.0) / s for c in self.cols}
 
+    def save(self, spark, path: str) -> None:
+        """SNK6: the model as one JSON line in a text folder."""
+        text = json.dumps({"cols": self.cols, "cuts": self.cuts, "params": asdict(self.params),
+                           "base_margin": self.base_margin, "history": self.history,
+                           "best_iteration": self.best_iteration,
+                           "trees": [{"splits": list(t.splits.items()), "leaves": list(t.leaves.items())}
+                                     for t in self.trees]})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> HistModel:
+        d = json.loads(spark.read.text(path).first()["value"])
+        trees = [HistTree({int(n): tuple(v) for n, v in t["splits"]}, {int(n): v for n, v in t["leaves"]})
+                 for t in d["trees"]]
+        return cls(cols=d["cols"], cuts=d["cuts"], params=HistParams(**d["params"]), base_margin=d["base_margin"],
+                   trees=trees, history=[tuple(h) for h in d["history"]], best_iteration=d["best_iteration"])
+
     def margin_expr(self, n_trees: int | None = None) -> Column:
         """Margin of the first ``n_trees`` trees as ONE fixed-size expression:
         the trees are array literals (size trees x 2^(depth+1), bounded by the
@@ -338,6 +366,10 @@ def fit_hist(train: DataFrame, cols: list[str], label: str, key: str, weight: st
             for n in active:          # active but unsampled / empty nodes: the pending stats
                 if n not in lvl_splits and n not in leaves and n in pending:
                     leaves[n] = _leaf(*pending[n], p)
+            if lvl == 0 and 0 not in lvl_splits and 0 not in leaves:
+                # No cell of the sampled columns is present: the root is a leaf.
+                total = sampled.agg(F.sum("g").alias("G"), F.sum("h").alias("H")).first()
+                leaves[0] = _leaf(total["G"] or 0.0, total["H"] or 0.0, p)
             if not lvl_splits:
                 break
             splits_all.update(lvl_splits)

@@ -35,8 +35,10 @@ def early_stopping(history: DataFrame, patience: int, maximize: bool = True,
     return at_stop.join(best_val, "best_round").select("best_round", "best_value", "stop_round", "n_rounds")
 
 
-def history_table(per_round: DataFrame, split_col: str = "split", metric_col: str = "metric") -> DataFrame:
-    """RPT1: ``(round, <split>_<metric> ...)`` — a pivot of the long history
-    ``(round, split, metric, value)``."""
+def history_table(per_round: DataFrame, series: list[tuple[str, str]],
+                  split_col: str = "split", metric_col: str = "metric") -> DataFrame:
+    """RPT1: ``(round, <split>_<metric> ...)`` from the long history ``(round,
+    split, metric, value)``; ``series`` names the (split, metric) columns, so no
+    job runs to find them."""
     keyed = per_round.withColumn("_k", F.concat_ws("_", split_col, metric_col))
-    return keyed.groupBy("round").pivot("_k").agg(F.first("value")).orderBy("round")
+    return keyed.groupBy("round").pivot("_k", [f"{s}_{m}" for s, m in series]).agg(F.first("value"))

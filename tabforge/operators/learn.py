@@ -31,11 +31,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import scratch_dir
+from ..session import delete_folder, scratch_dir
 from . import metrics
 from .history import early_stopping
 
-MAX_LEAF_TABLE = 4_000_000  # trees x leaves held in the broadcast matrix
+MAX_LEAF_TABLE = 4_000_000  # trees x leaves held in the broadcast matrix; checked before the fit
 
 
 def class_weight_col(label: str, scale_pos_weight: float) -> F.Column:
@@ -69,10 +69,13 @@ def assemble(df: DataFrame, numeric: list[str], categorical: dict[str, int] | No
 
 # Reference-style parameter names -> MLlib GBT parameters.
 def gbt_params(params: dict) -> dict:
-    """Map learner parameters to ``GBTClassifier``. Not representable in
-    MLlib (kept for backend B): L1/L2 regularisation; ``gamma`` maps to
-    ``minInfoGain`` (a different gain scale); column subsampling is per
+    """Map learner parameters to ``GBTClassifier``. What MLlib cannot do (L1/L2
+    regularisation, the ``gamma`` split penalty) stops with an error instead of
+    being dropped: use the histogram booster for it. Column subsampling is per
     node, not per tree."""
+    refused = [k for k in ("reg_alpha", "reg_lambda", "gamma") if float(params.get(k) or 0.0) != 0.0]
+    if refused:
+        raise ValueError(f"MLlib trees have no {', '.join(refused)}; fit the histogram booster")
     p = {}
     if "n_estimators" in params:
         p["maxIter"] = int(params["n_estimators"])
@@ -84,8 +87,6 @@ def gbt_params(params: dict) -> dict:
         p["subsamplingRate"] = float(params["subsample"])
     if "colsample_bytree" in params:
         p["featureSubsetStrategy"] = repr(float(params["colsample_bytree"]))
-    if "gamma" in params:
-        p["minInfoGain"] = float(params["gamma"])
     if "max_bins" in params:
         p["maxBins"] = int(params["max_bins"])
     if "seed" in params or "random_state" in params:
@@ -98,6 +99,11 @@ def fit_gbt(train: DataFrame, label: str, features: str = "features", weight: st
     """LRN1/LRN5/LRN6: distributed boosted-tree fit (logistic loss)."""
     kw = dict(seed=42, maxIter=20, maxDepth=5)
     kw.update(gbt_params(params or {}))
+    if kw["maxIter"] * 2 ** kw["maxDepth"] > MAX_LEAF_TABLE:
+        raise ValueError(f"{kw['maxIter']} rounds of depth {kw['maxDepth']} pass {MAX_LEAF_TABLE} leaves")
+    # Category-set splits need a bin per category.
+    nominal = train.schema[features].metadata.get("ml_attr", {}).get("attrs", {}).get("nominal", [])
+    kw["maxBins"] = max([kw.get("maxBins", 32), *(len(a["vals"]) for a in nominal)])
     gbt = GBTClassifier(featuresCol=features, labelCol=label, lossType="logistic",
                         checkpointInterval=checkpoint_interval, cacheNodeIds=True, **kw)
     if weight:
@@ -124,16 +130,16 @@ class LeafTable:
 def leaf_table(spark: SparkSession, model: GBTClassificationModel, path: str | None = None) -> LeafTable:
     """Persist the model (SNK6) and read its node table: leaves in preorder
     are the ``leafCol`` indices."""
-    if path is None:
+    scratch = path is None
+    if scratch:
         path = scratch_dir(spark, f"gbt-{uuid.uuid4().hex}")
     model.write().overwrite().save(path)
     nodes = spark.read.parquet(os.path.join(path, "data"))
     leaves = (nodes.filter(F.col("nodeData.leftChild") < 0)
               .select("treeID", F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("pred")))
-    n_leaves = leaves.count()
-    if n_leaves > MAX_LEAF_TABLE:
-        raise ValueError(f"leaf table too large to broadcast: {n_leaves}")
-    rows = leaves.collect()  # bounded: trees x 2**maxDepth, checked above
+    rows = leaves.collect()  # bounded: trees x 2**maxDepth, checked before the fit
+    if scratch:
+        delete_folder(spark, path)
     weights = list(model.treeWeights)
     by_tree: dict[int, list] = {}
     for r in rows:

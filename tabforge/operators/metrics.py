@@ -15,6 +15,10 @@ computed without a single-task global window:
 Conventions (chosen to equal the reference's library): precision 0/0 -> 0,
 PR curve anchored at (recall 0, precision 1), trapezoids for both AUCs,
 ROC-AUC NULL when only one class is present, strict ``>`` thresholding.
+
+One rule for gaps in all metrics: a row counts when it has a label and a score
+(or prediction); rows with a NULL label or a NULL or NaN score are in no
+metric, and ``left_out`` counts them.
 """
 
 from __future__ import annotations
@@ -38,6 +42,24 @@ def positive_probability(prob_col: str = "probability") -> Column:
     return vector_to_array(F.col(prob_col)).getItem(1)
 
 
+def _present(df: DataFrame, name: str) -> Column:
+    c = F.col(f"`{name}`")
+    floats = df.schema[name].dataType.simpleString() in ("double", "float")
+    return c.isNotNull() & ~F.isnan(c) if floats else c.isNotNull()
+
+
+def usable(df: DataFrame, y: str, score: str) -> DataFrame:
+    """The rows that count in a metric: label and score present."""
+    return df.filter(_present(df, y) & _present(df, score))
+
+
+def left_out(df: DataFrame, y: str, score: str) -> DataFrame:
+    """One row: rows in all, without a label, and with a label but no score."""
+    label, value = _present(df, y), _present(df, score)
+    return df.agg(F.count(F.lit(1)).alias("n"), F.count_if(~label).alias("no_label"),
+                  F.count_if(label & ~value).alias("no_score"))
+
+
 def _safe_div(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
@@ -114,7 +136,7 @@ def score_curve(df: DataFrame, y: str, score: str, by: list[str] | None = None,
     by = list(by or [])
     w = F.col(weight).cast("double") if weight else F.lit(1)
     yy = F.col(y)
-    distinct = (df.filter(F.col(score).isNotNull())
+    distinct = (usable(df, y, score)
                 .groupBy(*by, F.col(score).alias("score"))
                 .agg(F.sum(F.when(yy == 1, w).otherwise(0)).alias("tp"),
                      F.sum(F.when(yy == 1, 0).otherwise(w)).alias("fp")))
@@ -135,7 +157,7 @@ def score_curve(df: DataFrame, y: str, score: str, by: list[str] | None = None,
                             F.coalesce(F.sum("_btp").over(wo), F.lit(0)).alias("_otp"),
                             F.coalesce(F.sum("_bfp").over(wo), F.lit(0)).alias("_ofp"))
     # offsets: one row per (group, bucket) -- bounded by groups x n_buckets.
-    joined = bucketed.join(F.broadcast(offsets), on=[*by, "_bkt"], how="inner")
+    joined = bucketed.join(offsets, on=[*by, "_bkt"], how="inner")
     wi = Window.partitionBy(*by, "_bkt").orderBy(F.desc("score"))
     run = wi.rowsBetween(Window.unboundedPreceding, 0)
     cum_tp = F.col("_otp") + F.sum("tp").over(run)
@@ -146,14 +168,19 @@ def score_curve(df: DataFrame, y: str, score: str, by: list[str] | None = None,
 
 
 def pr_curve(df: DataFrame, y: str, score: str, by: list[str] | None = None) -> DataFrame:
-    """MET7: one point per distinct score: ``(threshold, precision, recall)``.
-    The end point (recall 0, precision 1) is implicit (see ``pr_auc``)."""
+    """MET7: one point per distinct score ``(threshold, precision, recall)``, and
+    the end point (recall 0, precision 1) with a NULL threshold."""
     by = list(by or [])
     curve = score_curve(df, y, score, by)
-    c = _with_totals(curve, by)
-    return c.select(*by, F.col("score").alias("threshold"),
-                    _safe_div(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp")).alias("precision"),
-                    _recall(F.col("cum_tp"), F.col("_P")).alias("recall"))
+    # Total positives per group: the curve's last running total.
+    totals = curve.groupBy(*by).agg(F.max("cum_tp").alias("_P"))
+    c = curve.join(totals, on=by) if by else _one_row_join(curve, totals)
+    points = c.select(*by, F.col("score").alias("threshold"),
+                      _safe_div(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp")).alias("precision"),
+                      _recall(F.col("cum_tp"), F.col("_P")).alias("recall"))
+    end = totals.filter(F.col("_P").isNotNull()).select(
+        *by, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"))
+    return points.withColumn("threshold", F.col("threshold").cast("double")).unionByName(end)
 
 
 def _recall(cum_tp: Column, total_pos: Column) -> Column:
@@ -161,38 +188,34 @@ def _recall(cum_tp: Column, total_pos: Column) -> Column:
     return F.when(total_pos == 0, F.lit(1.0)).otherwise(cum_tp.cast("double") / total_pos)
 
 
-def _with_totals(curve: DataFrame, by: list[str]) -> DataFrame:
-    """Attach per-group totals ``_P``/``_N`` (one row per group: bounded)."""
-    totals = curve.groupBy(*by).agg(F.sum("tp").alias("_P"), F.sum("fp").alias("_N"))
-    if by:
-        return curve.join(F.broadcast(totals), on=by, how="inner")
-    return _one_row_join(curve, totals)
-
-
-def pr_auc(df: DataFrame, y: str, score: str, by: list[str] | None = None) -> DataFrame:
-    """MET8/MET10: trapezoid area under the PR curve anchored at
-    (recall 0, precision 1); one row (per ``by`` group): ``pr_auc``."""
+def curve_metrics(df: DataFrame, y: str, score: str, by: list[str] | None = None) -> DataFrame:
+    """MET6 + MET8/MET10 from one pass over one curve: ``roc_auc`` (ties as
+    diagonal segments; NULL with one class only) and ``pr_auc`` (trapezoids,
+    anchored at recall 0, precision 1) per ``by`` group. Areas are summed
+    unscaled and divided by the class totals of the same aggregate."""
     by = list(by or [])
-    c = _with_totals(score_curve(df, y, score, by), by)
+    c = score_curve(df, y, score, by)
     prec = _safe_div(F.col("cum_tp"), F.col("cum_tp") + F.col("cum_fp"))
     prev_prec = F.when(F.col("prev_tp") + F.col("prev_fp") == 0, F.lit(1.0)).otherwise(
         _safe_div(F.col("prev_tp"), F.col("prev_tp") + F.col("prev_fp")))
-    rec = _recall(F.col("cum_tp"), F.col("_P"))
-    prev_rec = F.when(F.col("_P") == 0, F.when(F.col("prev_tp") + F.col("prev_fp") == 0, 0.0)
-                      .otherwise(1.0)).otherwise(F.col("prev_tp").cast("double") / F.col("_P"))
-    area = (rec - prev_rec) * (prec + prev_prec) / 2
-    return c.groupBy(*by).agg(F.sum(area).alias("pr_auc"))
+    roc_area = (F.col("cum_fp") - F.col("prev_fp")) * (F.col("cum_tp") + F.col("prev_tp")) / 2.0
+    pr_area = (F.col("cum_tp") - F.col("prev_tp")).cast("double") * (prec + prev_prec) / 2
+    sums = c.groupBy(*by).agg(F.sum("tp").alias("_P"), F.sum("fp").alias("_N"),
+                              F.sum(roc_area).alias("_roc"), F.sum(pr_area).alias("_pr"))
+    roc = F.when((F.col("_P") > 0) & (F.col("_N") > 0), F.col("_roc") / (F.col("_P").cast("double") * F.col("_N")))
+    # Without a positive the recall is 1 from the first point on, at precision 0.
+    pr = F.when(F.col("_P") == 0, F.lit(0.5)).otherwise(F.col("_pr") / F.col("_P"))
+    return sums.select(*by, roc.alias("roc_auc"), pr.alias("pr_auc"))
+
+
+def pr_auc(df: DataFrame, y: str, score: str, by: list[str] | None = None) -> DataFrame:
+    """MET8/MET10: area under the PR curve; one row (per ``by`` group)."""
+    return curve_metrics(df, y, score, by).drop("roc_auc")
 
 
 def roc_auc(df: DataFrame, y: str, score: str, by: list[str] | None = None) -> DataFrame:
-    """MET6: trapezoid ROC-AUC (ties as diagonal segments); NULL with one
-    class only."""
-    by = list(by or [])
-    c = _with_totals(score_curve(df, y, score, by), by)
-    area = (F.col("cum_fp") - F.col("prev_fp")) * (F.col("cum_tp") + F.col("prev_tp")) / 2.0
-    return c.groupBy(*by).agg(
-        F.when((F.first("_P") > 0) & (F.first("_N") > 0),
-               F.sum(area) / (F.first("_P").cast("double") * F.first("_N"))).alias("roc_auc"))
+    """MET6: area under the ROC curve; one row (per ``by`` group)."""
+    return curve_metrics(df, y, score, by).drop("pr_auc")
 
 
 def log_loss(df: DataFrame, y: str, p: str, by: list[str] | None = None,
@@ -202,6 +225,7 @@ def log_loss(df: DataFrame, y: str, p: str, by: list[str] | None = None,
     pc = F.least(F.greatest(F.col(p).cast("double"), F.lit(eps)), F.lit(1.0 - eps))
     yy = F.col(y).cast("double")
     ll = -(yy * F.log(pc) + (1 - yy) * F.log(1 - pc))
+    df = usable(df, y, p)
     if weight:
         w = F.col(weight).cast("double")
         return df.groupBy(*(by or [])).agg((F.sum(w * ll) / F.sum(w)).alias("log_loss"))
@@ -212,13 +236,10 @@ def metrics_table(df: DataFrame, y: str, p: str, thr: float, by: list[str] | Non
     """MET11: accuracy, F1, precision, recall (at ``thr``) and ROC-AUC, PR-AUC
     for every ``by`` group (a trial, a round) in one table."""
     by = list(by or [])
-    scored = df.withColumn("_pred", threshold(F.col(p), thr))
+    scored = usable(df, y, p).withColumn("_pred", threshold(F.col(p), thr))
     base = binary_metrics(scored, y, "_pred", by)
-    ra = roc_auc(df, y, p, by)
-    pa = pr_auc(df, y, p, by)
-    if by:
-        return base.join(ra, by).join(pa, by)
-    return _one_row_join(base, ra, pa)
+    areas = curve_metrics(df, y, p, by)
+    return base.join(areas, by) if by else _one_row_join(base, areas)
 
 
 def _one_row_join(*dfs: DataFrame) -> DataFrame:

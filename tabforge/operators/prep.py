@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import columns as C
-from .profile import is_missing, missing_ratios
+from .profile import is_missing, long_cells, missing_counts, missing_ratios, numeric_cells
 from .quantiles import median_map
 
 SENTINEL = 999999
@@ -67,8 +67,8 @@ def columns_with_missing(df: DataFrame, cols: list[str]) -> list[str]:
     aggregate)."""
     if not cols:
         return []
-    row = df.agg(*[F.max(is_missing(df, c).cast("int")).alias(f"c{i}") for i, c in enumerate(cols)]).first()
-    return [c for i, c in enumerate(cols) if row[f"c{i}"] == 1]
+    gaps = {r["column_name"] for r in missing_counts(df, cols).collect()}  # at most one row per column
+    return [c for c in cols if c in gaps]
 
 
 def high_missing(df: DataFrame, cols: list[str], threshold: float) -> list[str]:
@@ -79,9 +79,11 @@ def high_missing(df: DataFrame, cols: list[str], threshold: float) -> list[str]:
 
 @dataclass
 class FillModel:
-    """A fitted per-column fill (median / mean / constant)."""
+    """A fitted per-column fill (median / mean / constant). ``unfilled`` names the
+    columns without any value in train: they have no median and keep their gaps."""
     values: dict = field(default_factory=dict)
     dropped: list = field(default_factory=list)
+    unfilled: list = field(default_factory=list)
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = df.drop(*C.present(df, self.dropped))
@@ -106,19 +108,26 @@ def fit_median_imputer(train: DataFrame, cols: list[str], only_missing: bool = T
     with gaps in train, like the reference)."""
     cols = columns_with_missing(train, cols) if only_missing else list(cols)
     med = median_map(train, cols) if cols else {}
-    return FillModel(values={c: m for c, (m, _) in med.items() if m is not None})
+    return FillModel(values={c: m for c, (m, _) in med.items() if m is not None},
+                     unfilled=[c for c, (m, _) in med.items() if m is None])
 
 
 def fit_mean_imputer(train: DataFrame, cols: list[str]) -> FillModel:
     """FEA4/AGG8: train means for every column; an all-missing column is
     dropped (it has no mean)."""
-    row = train.agg(*[F.avg(F.when(~is_missing(train, c), _q(c).cast("double"))).alias(f"c{i}")
-                      for i, c in enumerate(cols)]).first()
-    vals = {c: row[f"c{i}"] for i, c in enumerate(cols)}
+    vals = {c: m for c, (m, _) in column_moments(train, cols).items()}
     return FillModel(values={c: v for c, v in vals.items() if v is not None},
                      dropped=[c for c, v in vals.items() if v is None])
 
 
+def column_moments(df: DataFrame, cols: list[str]) -> dict:
+    """``{column: (mean, population std)}`` over the present cells, one aggregate."""
+    long = long_cells(df, numeric_cells(df, cols), cols)
+    rows = long.groupBy("feature").agg(F.avg("value").alias("m"), F.stddev_pop("value").alias("s")).collect()
+    found = {r["feature"]: (r["m"], r["s"]) for r in rows}  # one row per column
+    return {c: found.get(c, (None, None)) for c in cols}
+
+
 @dataclass
 class ScalerModel:
     """FEA5: ``(x - mean) / std_pop``; a zero-variance column maps to 0."""
@@ -140,13 +149,8 @@ class ScalerModel:
 def fit_standard_scaler(train: DataFrame, cols: list[str]) -> ScalerModel:
     """FEA5/AGG9: mean and population std (divide by n, like the
     reference's scaler; MLlib's ``StandardScaler`` divides by n-1)."""
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.when(~is_missing(train, c), _q(c).cast("double"))
-        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
-    row = train.agg(*aggs).first()
-    return ScalerModel(mean={c: row[f"m{i}"] for i, c in enumerate(cols)},
-                       std={c: row[f"s{i}"] for i, c in enumerate(cols)})
+    moments = column_moments(train, cols)
+    return ScalerModel(mean={c: m for c, (m, _) in moments.items()}, std={c: sd for c, (_, sd) in moments.items()})
 
 
 @dataclass
@@ -225,10 +229,11 @@ class MissingPlanModel:
         filled = fill_values(out, values)
         return FillModel(values={c: v for c, v in self.medians.items() if c in out.columns}).transform(filled)
 
-    def residual_missing(self, splits: dict[str, DataFrame]) -> DataFrame:
-        """F: total missing cells per split after the plan (AGG6)."""
+    def residual_missing(self, flagged: DataFrame, split: str = "split") -> DataFrame:
+        """F: total missing cells per split after the plan (AGG6), one scan of a
+        table with a split flag."""
         from .profile import missing_total_by_split
-        return missing_total_by_split({k: self.transform(v) for k, v in splits.items()})
+        return missing_total_by_split(self.transform(flagged), split=split)
 
     def to_json(self) -> str:
         return json.dumps(asdict(self), ensure_ascii=False)

@@ -1,7 +1,8 @@
 """Profiling: AGG1-AGG6, AGG11, RPT4, RPT5.
 
-Every profile is a single aggregate with map-side partial aggregation; the
-per-column report is a one-row wide aggregate that is unpivoted in Spark, so
+Every profile is a single aggregate with map-side partial aggregation. What is
+counted per column goes through one array of the row's cells and a group per
+position, so the plan does not grow with the number of columns (thousands) and
 nothing per-row reaches the driver.
 """
 
@@ -26,22 +27,34 @@ def is_missing(df: DataFrame, name: str) -> Column:
     return c.isNull()
 
 
+def long_cells(df: DataFrame, cells: list[Column], names: list[str], keep: list[str] | None = None,
+               name_col: str = "feature") -> DataFrame:
+    """``(keep..., feature, value)``: one row per cell. The name is looked up in a
+    constant array by the cell's position."""
+    constant = F.array(*[F.lit(n) for n in names])
+    long = df.select(*[_q(k) for k in keep or []], F.posexplode(F.array(*cells)).alias("_i", "value"))
+    return long.select(*[_q(k) for k in keep or []], F.element_at(constant, F.col("_i") + 1).alias(name_col), "value")
+
+
+def numeric_cells(df: DataFrame, cols: list[str]) -> list[Column]:
+    """The cells as doubles, NaN as NULL."""
+    out = []
+    for c in cols:
+        x = _q(c).cast("double")
+        out.append(F.nanvl(x, F.lit(None).cast("double")) if isinstance(df.schema[c].dataType, _FLOATS) else x)
+    return out
+
+
 def label_distribution(df: DataFrame, label: str) -> DataFrame:
     """AGG1: ``value_counts`` — count per label value, NULL excluded,
     descending by count (label as tie-break)."""
-    return (df.filter(~is_missing(df, label)).groupBy(_q(label).alias(label))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), F.col(label)))
+    return label_counts(df, label).orderBy(F.desc("n"), _q(label))
 
 
-def label_distribution_by_split(splits: dict[str, DataFrame], label: str) -> DataFrame:
-    """RPT5: label distribution of several splits in one table."""
-    parts = [label_distribution(df, label).withColumn("split", F.lit(name))
-             for name, df in splits.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("split", label, "n")
+def label_counts(df: DataFrame, label: str, by: list[str] | None = None) -> DataFrame:
+    """RPT5 with ``by=["split"]``: rows per label value (and split), one scan."""
+    keys = [_q(c) for c in [*(by or []), label]]
+    return df.filter(~is_missing(df, label)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
 
 
 def class_weight(df: DataFrame, label: str) -> DataFrame:
@@ -56,47 +69,35 @@ def class_weight(df: DataFrame, label: str) -> DataFrame:
 
 def missing_counts(df: DataFrame, cols: list[str] | None = None,
                    name_col: str = "column_name", count_col: str = "n_missing",
-                   only_missing: bool = True) -> DataFrame:
-    """AGG4 (+FLT2, RPT4): ``(column, n_missing)`` long table from one wide
-    aggregate, optionally keeping only columns with gaps."""
-    cols = list(cols or df.columns)
-    wide = df.agg(*[F.count_if(is_missing(df, c)).cast("long").alias(f"c{i}")
-                    for i, c in enumerate(cols)])
-    stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', c{i}" for i, c in enumerate(cols))
-    long = wide.selectExpr(f"stack({len(cols)}, {stack}) as ({name_col}, {count_col})")
-    if only_missing:
-        long = long.filter(F.col(count_col) > 0)
-    return long
+                   only_missing: bool = True, by: list[str] | None = None) -> DataFrame:
+    """AGG4 (+FLT2, RPT4): ``(by..., column, n_missing)``, optionally only the
+    columns with gaps; with ``by=["split"]`` every split in one scan."""
+    cols = list(cols or [c for c in df.columns if c not in (by or [])])
+    flags = [is_missing(df, c).cast("long") for c in cols]
+    long = long_cells(df, flags, cols, by, name_col).groupBy(*[_q(c) for c in by or []], name_col)
+    counts = long.agg(F.sum("value").alias(count_col))
+    return counts.filter(F.col(count_col) > 0) if only_missing else counts
 
 
 def missing_ratios(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """AGG4 with ratio: ``(column_name, n_missing, n_rows, missing_ratio)``."""
     cols = list(cols or df.columns)
-    exprs = [F.count(F.lit(1)).alias("_n")] + [
-        F.count_if(is_missing(df, c)).cast("long").alias(f"c{i}") for i, c in enumerate(cols)]
-    wide = df.agg(*exprs)
-    stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', c{i}" for i, c in enumerate(cols))
-    return (wide.selectExpr("_n as n_rows", f"stack({len(cols)}, {stack}) as (column_name, n_missing)")
-            .withColumn("missing_ratio", F.try_divide(F.col("n_missing").cast("double"), F.col("n_rows"))))
+    long = long_cells(df, [is_missing(df, c).cast("long") for c in cols], cols, name_col="column_name")
+    counts = long.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").alias("n_missing"))
+    return counts.select("n_rows", "column_name", "n_missing",
+                         F.try_divide(F.col("n_missing").cast("double"), F.col("n_rows")).alias("missing_ratio"))
 
 
 def missing_total(df: DataFrame, cols: list[str] | None = None) -> Column:
     """AGG6: total missing cells as one aggregate expression."""
-    cols = list(cols or df.columns)
-    terms = [F.count_if(is_missing(df, c)).cast("long") for c in cols]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total
-
-
-def missing_total_by_split(splits: dict[str, DataFrame], cols: list[str] | None = None) -> DataFrame:
-    """AGG6 for several splits: ``(split, total_missing)``."""
-    out = None
-    for name, df in splits.items():
-        part = df.agg(missing_total(df, cols).alias("total_missing")).withColumn("split", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out.select("split", "total_missing")
+    flags = F.array(*[is_missing(df, c) for c in (cols or df.columns)])
+    return F.sum(F.size(F.filter(flags, lambda x: x)).cast("long"))
+
+
+def missing_total_by_split(df: DataFrame, cols: list[str] | None = None, split: str = "split") -> DataFrame:
+    """AGG6 per split: ``(split, total_missing)`` of a table with a split flag."""
+    cols = list(cols or [c for c in df.columns if c != split])
+    return df.groupBy(split).agg(missing_total(df, cols).alias("total_missing"))
 
 
 def shape(df: DataFrame) -> tuple[int, int]:

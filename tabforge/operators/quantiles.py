@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .profile import long_cells, numeric_cells
+
 BAND_LIMIT = 1_000_000
 
 
 def long_values(df: DataFrame, cols: list[str]) -> DataFrame:
     """``(feature, value double)`` rows for the non-missing cells of ``cols``."""
-    sub = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
-    long = sub.unpivot([], cols, "feature", "value")
-    return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    return long_cells(df, numeric_cells(df, cols), cols).filter(F.col("value").isNotNull())
 
 
 def _bounds_df(spark, bands: dict) -> DataFrame:
@@ -139,6 +139,9 @@ def median_map(df: DataFrame, cols: list[str], accuracy: int = 10000, band_limit
     missed = [f for f, v in found.items() if v is None]
     if missed:
         found.update(_pick(long, narrowed(missed), n))
+    lost = [c for c in n if found.get(c) is None]
+    if lost:
+        raise RuntimeError(f"no median found for columns that have values: {lost[:5]}")
     return {c: ((found.get(c), n[c]) if c in n else (None, 0)) for c in cols}
 
 

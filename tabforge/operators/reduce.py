@@ -46,6 +46,17 @@ class PCAPathModel:
         arr = vector_to_array(F.col(features))
         return df.select(*keep, project(arr).alias(out))
 
+    def save(self, spark, path: str) -> None:
+        """SNK7: one row of arrays in Parquet."""
+        row = (self.mean.tolist(), self.scale.tolist(), self.components.tolist(), self.explained_variance_ratio.tolist())
+        spark.createDataFrame([row], "mean array<double>, scale array<double>, components array<array<double>>, "
+                              "ratio array<double>").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> "PCAPathModel":
+        r = spark.read.parquet(path).first()
+        return cls(*(np.asarray(r[c], dtype=float) for c in ("mean", "scale", "components", "ratio")))
+
     def variance_table(self, spark) -> DataFrame:
         """FEA8 + WIN2: ``(component, ratio, cumulative_ratio)``."""
         rows = [(i, float(r)) for i, r in enumerate(self.explained_variance_ratio)]
@@ -54,14 +65,19 @@ class PCAPathModel:
         return df.withColumn("cumulative_ratio", F.sum("ratio").over(w))
 
 
+def vector_moments(arrays: DataFrame) -> DataFrame:
+    """``(i, m, v)``: mean and population variance of each position of ``a``."""
+    cells = arrays.select(F.posexplode("a").alias("i", "x"))
+    return cells.groupBy("i").agg(F.avg("x").alias("m"), F.var_pop("x").alias("v"))
+
+
 def fit_pca_path(train: DataFrame, features: str, k: int) -> PCAPathModel:
     """FEA4 + FEA5 + FEA6 on a vector column."""
     arr = vector_to_array(F.col(features))
     clean = train.select(F.transform(arr, lambda x: F.when(F.isnan(x), None).otherwise(x)).alias("a"))
     d = len(train.select(arr.alias("a")).first()["a"])
     # mean over present values per dimension, population variance
-    stats = clean.select(F.posexplode("a").alias("i", "x")).groupBy("i").agg(
-        F.avg("x").alias("m"), F.var_pop("x").alias("v")).collect()  # d rows
+    stats = vector_moments(clean).collect()  # d rows
     mean = np.zeros(d)
     var = np.zeros(d)
     for r in stats:

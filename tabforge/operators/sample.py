@@ -1,134 +1,106 @@
 """Sampling and set operators: SMP1-SMP4, JON1/SET2, SET1, SRT5.
 
 All samples are *exact-size* and *deterministic by key*: a row's place in the
-draw is ``(md5('<seed>:' || key), key)``. Taking the first ``k`` rows of that
-order per group is done without a global sort and without putting a whole
-group (a class can hold 99% of the rows) into one task:
+draw is ``(md5('<seed>:' || key), key)``. The first ``k`` rows of that order
+per group are everything up to the group's boundary row, so a sample is one
+filter ``place <= boundary`` and its complement the negation: one scan, no
+window and no union over the rows. The boundary is found without a global
+sort and without putting a whole group (a class can hold 99% of the rows)
+into one task:
 
 1. every row gets a bucket = the leading hex digits of its hash;
 2. ``groupBy(group, bucket).count()`` (map-side combined, at most
    ``16**digits`` rows per group) gives running counts per group;
-3. the bucket where the running count crosses ``k`` is the only one whose
-   rows need ranking; all lower buckets are taken whole, higher ones dropped.
+3. only the rows of the bucket where the running count crosses ``k`` are
+   ranked, and the ``k``-th one is the boundary: one row per group, which
+   stays a DataFrame, so the number of groups is not limited.
 
-Only the boundary (one row per group) reaches the driver.
-
-Precondition: ``key`` identifies a row (the reference samples rows by their
-index). Rows sharing a key share a hash, so duplicated keys land in one
-bucket and their relative order inside it is not defined.
+``key`` identifies a row (the reference samples rows by their index); a NULL
+key stops the job, since its row would have no place. Rows that share a key
+share a place and are taken or left together.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_bucket, hash_hex
 
-_H, _B, _RN = "_tf_h", "_tf_b", "_tf_rn"
-MAX_GROUPS = 1000
-
-
-def _group_eq(by: list[str], values: tuple) -> Column:
-    conds = [F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(by, values)]
-    return reduce(lambda a, b: a & b, conds, F.lit(True))
-
-
-def _with_hash(df: DataFrame, key: str, seed: int, digits: int) -> DataFrame:
-    h = hash_hex(F.col(key), seed)
-    return df.withColumn(_H, h).withColumn(_B, hash_bucket(F.col(_H), digits))
-
-
-def _hash_cut(df: DataFrame, key: str, k_of, by: list[str], seed: int, digits: int):
-    """Compute, per group, the buckets taken whole and the boundary bucket
-    with the number of its rows still needed. Two small driver round trips:
-    group totals, then the boundary rows (one per group)."""
-    d = _with_hash(df, key, seed, digits)
-    # Bucket counts: bounded (groups x 16**digits rows) and read twice below;
-    # kept so the input is scanned once for both round trips.
-    counts = d.groupBy(*by, _B).count().persist(StorageLevel.MEMORY_AND_DISK)
-    w = Window.partitionBy(*by).orderBy(_B) if by else Window.orderBy(_B)
-    cum = counts.withColumn("_cum", F.sum("count").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    totals_rows = counts.groupBy(*by).agg(F.sum("count").alias("n")).collect()
-    if len(totals_rows) > MAX_GROUPS:
-        raise ValueError(f"hash sampling supports at most {MAX_GROUPS} groups")
-    totals = {tuple(r[c] for c in by): int(r["n"]) for r in totals_rows}
-    ks = k_of(totals)
-
-    bound_rows, cut_k = [], None
-    for g, n in totals.items():
-        k = int(ks.get(g, 0))
-        if k <= 0:
-            bound_rows.append((g, "none", None, None))
-        elif k >= n:
-            bound_rows.append((g, "all", None, None))
-        else:
-            ge = _group_eq(by, g)
-            cut_k = F.when(ge, F.lit(k)) if cut_k is None else cut_k.when(ge, F.lit(k))
-    if cut_k is not None:
-        hits = (cum.withColumn("_k", cut_k)
-                .filter((F.col("_cum") >= F.col("_k")) & (F.col("_cum") - F.col("count") < F.col("_k")))
-                .collect())
-        for r in hits:
-            g = tuple(r[c] for c in by)
-            bound_rows.append((g, "cut", int(r[_B]), int(r["_k"]) - (int(r["_cum"]) - int(r["count"]))))
-    counts.unpersist()
-
-    take_whole, edge, need = [], [], None
-    for g, kind, b, nd in bound_rows:
-        ge = _group_eq(by, g)
-        if kind == "all":
-            take_whole.append(ge)
-        elif kind == "cut":
-            take_whole.append(ge & (F.col(_B) < b))
-            edge.append(ge & (F.col(_B) == b))
-            need = (F.when(ge, F.lit(nd)) if need is None else need.when(ge, F.lit(nd)))
-    false = F.lit(False)
-    whole_cond = reduce(lambda a, c: a | c, take_whole, false)
-    edge_cond = reduce(lambda a, c: a | c, edge, false)
-    return d, whole_cond, edge_cond, need
-
-
-def _select_side(d: DataFrame, key: str, by: list[str], whole_cond, edge_cond, need,
-                 complement: bool) -> DataFrame:
-    wr = Window.partitionBy(*by, _B).orderBy(_H, key)
-    ranked_edge = d.filter(edge_cond).withColumn(_RN, F.row_number().over(wr))
-    if complement:
-        rest = d.filter(~whole_cond & ~edge_cond)
-        edge_part = ranked_edge.filter(F.col(_RN) > need) if need is not None else ranked_edge
-        out = rest.unionByName(edge_part.drop(_RN))
-    else:
-        whole = d.filter(whole_cond)
-        edge_part = ranked_edge.filter(F.col(_RN) <= need) if need is not None else ranked_edge.limit(0)
-        out = whole.unionByName(edge_part.drop(_RN))
-    return out.drop(_H, _B)
-
-
-def hash_rank_filter(df: DataFrame, key: str, k_of, *, by: list[str] | None = None,
-                     seed: int = 42, digits: int = 5, complement: bool = False) -> DataFrame:
-    """Rows whose rank in ``(md5(seed:key), key)`` order within their ``by``
-    group is below ``k``; with ``complement=True`` the other rows.
+_H, _B, _K = "_tf_h", "_tf_b", "_tf_key"
+DIGITS = 4
+
+
+def _q(name: str) -> Column:
+    return F.col(f"`{name}`")
 
-    ``k_of`` maps a dict of group totals ``{group_tuple: n}`` to
-    ``{group_tuple: k}`` (so one class's ``k`` may depend on another's size).
-    """
-    by = list(by or [])
-    d, whole_cond, edge_cond, need = _hash_cut(df, key, k_of, by, seed, digits)
-    return _select_side(d, key, by, whole_cond, edge_cond, need, complement)
 
+def _place(key: str, seed: int) -> Column:
+    """Hash of the key; a NULL key raises when its row is read."""
+    k = _q(key)
+    return F.when(k.isNull(), F.raise_error(F.lit(f"NULL in sampling key {key}")).cast("string")).otherwise(hash_hex(k, seed))
 
-def split_exact(df: DataFrame, key: str, frac: float = 0.8, seed: int = 42,
-                digits: int = 5) -> tuple[DataFrame, DataFrame]:
-    """SMP1: train = ``bround(frac * n)`` rows first in hash order; val = the
-    rest (a filter, no join)."""
-    k_of = lambda t: {g: round(frac * n) for g, n in t.items()}  # noqa: E731 (banker's rounding)
-    d, whole_cond, edge_cond, need = _hash_cut(df, key, k_of, [], seed, digits)
-    train = _select_side(d, key, [], whole_cond, edge_cond, need, complement=False)
-    val = _select_side(d, key, [], whole_cond, edge_cond, need, complement=True)
-    return train, val
+
+def _group_name(by: list[str]) -> Column:
+    """One non-NULL text per group, so that NULL is a group like others."""
+    return F.to_json(F.struct(*[_q(c) for c in by]), {"ignoreNullFields": "false"}) if by else F.lit("")
+
+
+def boundaries(df: DataFrame, key: str, k_of: Callable[[DataFrame], DataFrame], by: list[str] | None = None,
+               seed: int = 42, digits: int = DIGITS) -> DataFrame:
+    """``(_g, _cut_h, _cut_k)``: the last row of each group's sample; groups
+    without a row have no sampled row. ``k_of`` adds ``k`` to the group totals
+    ``(by..., _g, n)``."""
+    by = list(by or [])
+    keyed = df.select(*[_q(c) for c in by], _group_name(by).alias("_g"), _place(key, seed).alias(_H), _q(key).alias(_K))
+    keyed = keyed.withColumn(_B, hash_bucket(F.col(_H), digits))
+    counts = keyed.groupBy(*[_q(c) for c in by], "_g", _B).count()
+    totals = counts.groupBy(*[_q(c) for c in by], "_g").agg(F.sum("count").alias("n"))
+    wanted = k_of(totals).select("_g", F.least("k", "n").cast("long").alias("k")).filter(F.col("k") > 0)
+    # Running counts over a group's buckets: at most 16**digits rows.
+    upto = Window.partitionBy("_g").orderBy(_B).rowsBetween(Window.unboundedPreceding, 0)
+    cum = counts.withColumn("_cum", F.sum("count").over(upto))
+    cut = (cum.join(wanted, "_g").filter((F.col("_cum") >= F.col("k")) & (F.col("_cum") - F.col("count") < F.col("k")))
+           .select("_g", _B, (F.col("k") - F.col("_cum") + F.col("count")).alias("_need")))
+    ranked = keyed.select("_g", _B, _H, _K).join(cut, ["_g", _B]).withColumn(
+        "_rn", F.row_number().over(Window.partitionBy("_g", _B).orderBy(_H, _K)))
+    return ranked.filter(F.col("_rn") == F.col("_need")).select(
+        "_g", F.col(_H).alias("_cut_h"), F.col(_K).alias("_cut_k"))
+
+
+def _in_sample(key: str, seed: int, cut_h: Column, cut_k: Column) -> Column:
+    h = _place(key, seed)
+    return F.coalesce((h < cut_h) | ((h == cut_h) & (_q(key) <= cut_k)), F.lit(False))
+
+
+def split_flag(df: DataFrame, key: str, frac: float = 0.8, seed: int = 42, name: str = "split") -> DataFrame:
+    """SMP1 as a column: 'train' for the first ``bround(frac * n)`` rows in hash
+    order, 'val' for the rest. The boundary row is fetched once."""
+    k_of = lambda t: t.withColumn("k", F.bround(F.lit(frac) * F.col("n"), 0))
+    row = boundaries(df, key, k_of, seed=seed).first()
+    if row is None:
+        return df.withColumn(name, F.lit("val"))
+    taken = _in_sample(key, seed, F.lit(row["_cut_h"]), F.lit(row["_cut_k"]))
+    return df.withColumn(name, F.when(taken, "train").otherwise("val"))
+
+
+def split_exact(df: DataFrame, key: str, frac: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """SMP1: train and val, each one filter over the input."""
+    flagged = split_flag(df, key, frac, seed, "_tf_split")
+    return tuple(flagged.filter(F.col("_tf_split") == s).drop("_tf_split") for s in ("train", "val"))
+
+
+def hash_rank_filter(df: DataFrame, key: str, k_of: Callable[[DataFrame], DataFrame], *, by: list[str] | None = None,
+                     seed: int = 42, complement: bool = False) -> DataFrame:
+    """Rows whose rank in ``(md5(seed:key), key)`` order within their ``by``
+    group is at most ``k``; with ``complement=True`` the other rows."""
+    by = list(by or [])
+    cuts = boundaries(df, key, k_of, by, seed)
+    named = df.withColumn("_g", _group_name(by)).join(cuts, "_g", "left")
+    taken = _in_sample(key, seed, F.col("_cut_h"), F.col("_cut_k"))
+    return named.filter(~taken if complement else taken).drop("_g", "_cut_h", "_cut_k")
 
 
 def anti_complement(full: DataFrame, part: DataFrame, key: str) -> DataFrame:
@@ -138,31 +110,46 @@ def anti_complement(full: DataFrame, part: DataFrame, key: str) -> DataFrame:
 
 def sample_n(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """SMP2: exactly ``n`` rows without replacement, deterministic by key."""
-    return hash_rank_filter(df, key, lambda t: {g: n for g in t}, seed=seed)
+    row = boundaries(df, key, lambda t: t.withColumn("k", F.lit(n)), seed=seed).first()
+    if row is None:
+        return df.limit(0)
+    return df.filter(_in_sample(key, seed, F.lit(row["_cut_h"]), F.lit(row["_cut_k"])))
 
 
 def downsample_majority(df: DataFrame, label: str, key: str, seed: int = 42,
-                        minority=1, majority=0) -> DataFrame:
+                        minority=1, majority=0, shuffle: bool = True) -> DataFrame:
     """SMP3 + SET1 (FLT1 per class): majority class cut to the minority's size, minority kept
-    whole, rows of other classes dropped (the reference keeps only 0 and 1)."""
-    def k_of(totals):
-        n_min = totals.get((minority,), 0)
-        return {g: (n if g == (minority,) else n_min) if g in ((minority,), (majority,)) else 0
-                for g, n in totals.items()}
-    return hash_rank_filter(df, key, k_of, by=[label], seed=seed)
+    whole, rows of other classes dropped (the reference keeps only 0 and 1), in a seeded order."""
+    y = _q(label)
+
+    def k_of(totals: DataFrame) -> DataFrame:
+        n_min = F.coalesce(F.max(F.when(y == minority, F.col("n"))).over(Window.partitionBy()), F.lit(0))  # a row per class
+        return totals.withColumn("k", F.when(y == minority, F.col("n")).when(y == majority, n_min).otherwise(0))
 
+    both = df.filter(y.isin(minority, majority))
+    out = hash_rank_filter(both, key, k_of, by=[label], seed=seed)
+    return shuffle_rows(out, key, seed) if shuffle else out
 
-def stratified_fraction(df: DataFrame, label: str, key: str, frac: float = 0.5,
-                        seed: int = 42) -> DataFrame:
-    """SMP4: per class ``bround(frac * n_class)`` rows (``sampleBy`` is only
-    approximate)."""
-    return hash_rank_filter(df, key, lambda t: {g: round(frac * n) for g, n in t.items()},
-                            by=[label], seed=seed)
+
+def stratified_fraction(df: DataFrame, label: str, key: str, frac: float = 0.5, seed: int = 42) -> DataFrame:
+    """SMP4: ``bround(frac * n)`` rows in all; each class gets the whole part of
+    its share, and the rows left over go to the classes with the largest
+    remainders (ties: the larger class, then its name)."""
+
+    def k_of(totals: DataFrame) -> DataFrame:
+        every = Window.partitionBy()  # a row per class
+        share = totals.withColumn("_share", F.lit(frac) * F.col("n")).withColumn("_whole", F.floor("_share"))
+        spare = F.bround(F.lit(frac) * F.sum("n").over(every), 0) - F.sum("_whole").over(every)
+        order = every.orderBy(F.desc(F.round(F.col("_share") - F.col("_whole"), 9)), F.desc("n"), "_g")
+        rank = F.row_number().over(order)
+        return share.withColumn("k", F.col("_whole") + (rank <= spare).cast("int"))
+
+    return hash_rank_filter(df, key, k_of, by=[label], seed=seed)
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """SRT5: a seeded row order (distributed range sort on the hash)."""
-    return df.orderBy(hash_hex(F.col(key), seed), F.col(key))
+    return df.orderBy(hash_hex(_q(key), seed), _q(key))
 
 
 def concat_rows(a: DataFrame, b: DataFrame) -> DataFrame:

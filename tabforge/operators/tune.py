@@ -46,6 +46,30 @@ def best_trial(trials: DataFrame, objective: str, maximize: bool = True, trial_c
     return trials.orderBy(order, F.asc(trial_col)).limit(1)
 
 
+def weight_sweep(train: DataFrame, val: DataFrame, label: str, key: str, weights: list[float], threshold: float,
+                 params: dict | None = None, features: str = "features", patience: int = 20):
+    """TUN1: one weighted fit per positive-class weight, all scored on ``val``;
+    the table ``(weight, accuracy, precision, recall, f1, roc_auc, pr_auc)`` at the
+    threshold, and the refit with the weight of the best F1 (the first one wins
+    ties). Returns ``(table, best_weight, model)``."""
+    from . import learn, metrics
+
+    scored, fits = None, {}
+    for w in weights:
+        weighted = train.withColumn("_w", learn.class_weight_col(label, w))
+        fits[w] = learn.fit_with_early_stopping(weighted, val, label, key, features, "_w", params, patience)
+        one = fits[w].predict_proba(val, [key, label], features).withColumn("weight", F.lit(float(w)))
+        scored = one if scored is None else scored.unionByName(one)
+    # A row per weight and validation row, read by two aggregates: written once.
+    table = metrics.metrics_table(scored.checkpoint(eager=True), label, "p", threshold, by=["weight"])
+    order = {float(w): i for i, w in enumerate(weights)}
+    rows = table.select("weight", "f1").collect()  # one row per weight
+    best = min(rows, key=lambda r: (-r["f1"], order[r["weight"]]))["weight"]
+    weighted = train.withColumn("_w", learn.class_weight_col(label, best))
+    model = learn.fit_with_early_stopping(weighted, val, label, key, features, "_w", params, patience)
+    return table, best, model
+
+
 # Search space (TUN2) ------------------------------------------------------------
 
 def _unit(seed: int, trial: int, name: str) -> float:
@@ -90,7 +114,7 @@ def random_search(spark: SparkSession, space: dict, n_trials: int,
     return spark.createDataFrame(rows, schema)
 
 
-# The reference's search space (v6), as parameters.
+# The reference's search space, as parameters.
 XGB_SPACE = {
     "learning_rate": ("logfloat", 1e-3, 0.2),
     "max_depth": ("int", 3, 10),
@@ -100,3 +124,5 @@ XGB_SPACE = {
     "reg_alpha": ("logfloat", 1e-8, 10.0),
     "reg_lambda": ("logfloat", 1e-8, 10.0),
 }
+#: The part of it that MLlib's trees have.
+GBT_SPACE = {k: v for k, v in XGB_SPACE.items() if k not in ("gamma", "reg_alpha", "reg_lambda")}

@@ -13,7 +13,7 @@ from . import fixtures as fx
 from .registry import query, r6
 
 
-@query("root_split_gain", sql="""
+_ROOT_SQL = """
 WITH r AS (SELECT CASE WHEN l_returnflag = 'R' THEN 1e0 ELSE 0e0 END AS y,
                   CAST(l_quantity AS INTEGER) AS b0,
                   coalesce(NULLIF(CAST(round(l_discount * 100) AS INTEGER), 0), -1) AS b1
@@ -30,16 +30,15 @@ c AS (SELECT cum.f, cum.b, GLc, HLc, coalesce(Gm, 0e0) AS Gm, coalesce(Hm, 0e0)
 d AS (SELECT f, b, false AS missing_left, GLc AS GL, HLc AS HL, Gt, Ht FROM c
       UNION ALL SELECT f, b, true AS missing_left, GLc + Gm AS GL, HLc + Hm AS HL, Gt, Ht FROM c)
 SELECT CAST(f AS INTEGER) AS f, CAST(b AS INTEGER) AS b, missing_left,
-       round(0.5e0 * (GL * GL / (HL + 1e0) + (Gt - GL) * (Gt - GL) / (Ht - HL + 1e0) - Gt * Gt / (Ht + 1e0)), 6)
+       round(GL * GL / (HL + 1e0) + (Gt - GL) * (Gt - GL) / (Ht - HL + 1e0) - Gt * Gt / (Ht + 1e0), 6)
          AS gain
 FROM d WHERE HL >= 1e0 AND Ht - HL >= 1e0
-""")
+"""
+
+
+@query("root_split_gain", sql=_ROOT_SQL)
 def root_split_gain(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem")
-    y = (F.col("l_returnflag") == "R").cast("double")
-    b1 = F.coalesce(F.nullif(F.round(F.col("l_discount") * 100).cast("int"), F.lit(0)), F.lit(-1))
-    rows = li.select(F.array(F.col("l_quantity").cast("int"), b1).alias("bins"),
-                     (F.lit(0.5) - y).alias("g"), F.lit(0.25).alias("h"), F.lit(0).alias("node"))
+    rows = _lineitem_bins(spark, sf_dir)
     h = hist.level_histogram(rows)
     c = hist.split_candidates(h, hist.HistParams(reg_lambda=1.0, reg_alpha=0.0, gamma=0.0,
                                                  min_child_weight=1.0))
@@ -47,22 +46,48 @@ def root_split_gain(spark, sf_dir):
                     r6("gain").alias("gain"))
 
 
-_HIST_COLS = ["n_lines", "sum_qty", "avg_discount", "max_tax", "total_price", "status", "priority"]
+def _lineitem_bins(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    y = (F.col("l_returnflag") == "R").cast("double")
+    b1 = F.coalesce(F.nullif(F.round(F.col("l_discount") * 100).cast("int"), F.lit(0)), F.lit(-1))
+    return li.select(F.array(F.col("l_quantity").cast("int"), b1).alias("bins"),
+                     (F.lit(0.5) - y).alias("g"), F.lit(0.25).alias("h"), F.lit(0).alias("node"))
 
 
-_FITTED: dict = {}
+@query("root_split_best", sql=f"""
+SELECT f, b, missing_left, gain FROM ({_ROOT_SQL}) ORDER BY gain DESC, f, b, missing_left LIMIT 1
+""")
+def root_split_best(spark, sf_dir):
+    """The split that the booster takes at the root."""
+    c = hist.split_candidates(hist.level_histogram(_lineitem_bins(spark, sf_dir)), hist.HistParams())
+    (_, _, _, (f, b, left, gain, _, _)), = hist.best_splits(c)
+    return spark.createDataFrame([(int(f), int(b), bool(left), round(gain, 6))],
+                                 "f int, b int, missing_left boolean, gain double")
+
+
+@query("fixed_tree_score", sql="""
+SELECT l_orderkey, l_linenumber, round(1e0 / (1e0 + exp(-(
+    CASE WHEN l_quantity < 10 THEN CASE WHEN d IS NULL OR d >= 0.05e0 THEN -0.5e0 ELSE 0.25e0 END
+         WHEN l_quantity < 30 THEN 0.75e0 ELSE -1e0 END
+  + CASE WHEN d IS NULL OR d < 0.03e0 THEN 0.1e0 ELSE -0.2e0 END))), 6) AS p
+FROM (SELECT *, NULLIF(l_discount, 0e0) AS d FROM lineitem)
+""")
+def fixed_tree_score(spark, sf_dir):
+    """LRN11: two given trees walked by the scoring expression, missing cells included."""
+    trees = [hist.HistTree({0: (0, 0, False, 1.0), 1: (1, 1, False, 1.0), 2: (0, 1, False, 1.0)},
+                           {3: 0.25, 4: -0.5, 5: 0.75, 6: -1.0}),
+             hist.HistTree({0: (1, 0, True, 1.0)}, {1: 0.1, 2: -0.2})]
+    model = hist.HistModel(cols=["l_quantity", "d"], cuts={"l_quantity": [10.0, 30.0], "d": [0.03, 0.05]},
+                           params=hist.HistParams(max_depth=2), base_margin=0.0, trees=trees, best_iteration=1)
+    li = read_table(spark, sf_dir, "lineitem").withColumn("d", F.nullif(F.col("l_discount"), F.lit(0.0)))
+    scored = model.predict_proba(li, ["l_orderkey", "l_linenumber"])
+    return scored.select("l_orderkey", "l_linenumber", r6("p").alias("p"))
 
 
-def hist_fit(spark, sf_dir):
-    """One fit per (session, table folder), shared by the two queries below:
-    the model is a small driver-side object (splits + leaf values)."""
-    k = (id(spark), sf_dir)
-    if k not in _FITTED:
-        _FITTED[k] = _hist_fit(spark, sf_dir)
-    return _FITTED[k]
+_HIST_COLS = ["n_lines", "sum_qty", "avg_discount", "max_tax", "total_price", "status", "priority"]
 
 
-def _hist_fit(spark, sf_dir):
+def hist_fit(spark, sf_dir):
     of = fx.order_features(spark, sf_dir)
     train, val = sample.split_exact(of, "id", 0.8, 42)
     enc = CategoryEncoder(["status", "priority"]).fit(train)

@@ -65,7 +65,7 @@ def gbt_history(spark, sf_dir):
     spw = _spw(train)
     st = learn.staged_scores(_weighted(val, spw), bm.model, bm.leaves, ["vec_id", "y", "w"])
     long = learn.round_history(st, "y", "eval", weight="w")
-    return history_table(long)
+    return history_table(long, [("eval", "aucpr"), ("eval", "logloss")])
 
 
 @query("gbt_score")
@@ -99,6 +99,30 @@ def search_trials(spark, sf_dir):
     return trials.select("trial", F.to_json("params").alias("params"), r6("objective").alias("objective"))
 
 
+@query("weight_sweep")
+def weight_sweep(spark, sf_dir):
+    """TUN1: class weights 1, ratio/2 and ratio, one fit each, metrics at 0.5 with both
+    areas; the refit takes the best F1."""
+    train, val = emb_splits(spark, sf_dir)
+    spw = _spw(train)
+    table, best, _ = tune.weight_sweep(train, val, "y", "vec_id", [1.0, spw / 2, spw], 0.5,
+                                       {"n_estimators": 6, "max_depth": 2, "seed": 42}, patience=PATIENCE)
+    return table.select(*[r6(c).alias(c) for c in table.columns], (F.col("weight") == F.lit(best)).alias("chosen"))
+
+
+@query("embedding_moments", sql="""
+SELECT CAST(i AS INTEGER) AS i, round(avg(x), 6) AS mean, round(var_pop(x), 6) AS variance
+FROM (SELECT unnest(range(0, len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings)
+GROUP BY i
+""")
+def embedding_moments(spark, sf_dir):
+    """FEA6 input: the moments that standardise the vectors."""
+    from pyspark.ml.functions import vector_to_array
+    from ..operators.reduce import vector_moments
+    m = vector_moments(fx.emb_binary(spark, sf_dir).select(vector_to_array("features").alias("a")))
+    return m.select("i", r6("m").alias("mean"), r6("v").alias("variance"))
+
+
 @query("pca_variance")
 def pca_variance(spark, sf_dir):
     """FEA6 + FEA8 + WIN2: explained-variance ratios of 8 components."""

@@ -101,6 +101,7 @@ pts AS (SELECT score, ctp, cfp, ctp - tp AS ptp, cfp - fp AS pfp, P, N,
 
 @query("pr_curve", sql=_CURVE_SQL + """
 SELECT round(score, 6) AS threshold, round(prec, 6) AS precision, round(rec, 6) AS recall FROM pts
+UNION ALL SELECT NULL, 1e0, 0e0
 """)
 def pr_curve(spark, sf_dir):
     c = metrics.pr_curve(fx.line_scores(spark, sf_dir), "y", "score")
@@ -125,6 +126,65 @@ def roc_auc(spark, sf_dir):
     return metrics.roc_auc(fx.line_scores(spark, sf_dir), "y", "score").select(r6("roc_auc").alias("roc_auc"))
 
 
+# Gaps in label and score: such rows are in no metric ---------------------------------
+_GAPS_SQL = f"""
+SELECT CASE WHEN l_linenumber = 3 AND l_orderkey % 5 = 0 THEN NULL ELSE y END AS y,
+       CASE WHEN l_linenumber = 2 AND l_orderkey % 3 = 0 THEN NULL ELSE score END AS score,
+       l_linenumber AS trial
+FROM ({fx.LINE_SCORES_SQL})
+"""
+
+
+def gappy_scores(spark, sf_dir):
+    ls = fx.line_scores(spark, sf_dir)
+    no_label = (F.col("l_linenumber") == 3) & (F.col("l_orderkey") % 5 == 0)
+    no_score = (F.col("l_linenumber") == 2) & (F.col("l_orderkey") % 3 == 0)
+    nan = F.lit(float("nan"))
+    # Half of the missing scores are NaN, half NULL: both are gaps.
+    gap = F.when(F.col("l_orderkey") % 2 == 0, nan)
+    return ls.select(F.when(~no_label, F.col("y")).alias("y"),
+                     F.when(no_score, gap).otherwise(F.col("score")).alias("score"),
+                     F.col("l_linenumber").alias("trial"))
+
+
+_TRIAL_SQL = f"""
+WITH u AS (SELECT * FROM ({_GAPS_SQL}) WHERE y IS NOT NULL AND score IS NOT NULL),
+g AS (SELECT trial, score, sum(y) AS tp, sum(1 - y) AS fp FROM u GROUP BY trial, score),
+c AS (SELECT *, sum(tp) OVER w AS ctp, sum(fp) OVER w AS cfp FROM g
+      WINDOW w AS (PARTITION BY trial ORDER BY score DESC ROWS UNBOUNDED PRECEDING)),
+t AS (SELECT trial, sum(tp) AS P, sum(fp) AS N FROM g GROUP BY trial),
+a AS (SELECT trial, sum((cfp - (cfp - fp)) * (ctp + ctp - tp) / 2e0) / max(P * 1e0 * N) AS roc_auc,
+             sum(tp * (ctp * 1e0 / (ctp + cfp) + CASE WHEN ctp - tp + cfp - fp = 0 THEN 1e0
+                       ELSE (ctp - tp) * 1e0 / (ctp - tp + cfp - fp) END) / 2e0) / max(P) AS pr_auc
+      FROM c JOIN t USING (trial) GROUP BY trial),
+m AS (SELECT trial, count(*) FILTER (WHERE y = 0 AND score <= 0.5e0) * 1e0 AS tn,
+             count(*) FILTER (WHERE y = 0 AND score > 0.5e0) * 1e0 AS fp,
+             count(*) FILTER (WHERE y = 1 AND score <= 0.5e0) * 1e0 AS fn,
+             count(*) FILTER (WHERE y = 1 AND score > 0.5e0) * 1e0 AS tp FROM u GROUP BY trial)
+SELECT trial, round((tp + tn) / (tp + tn + fp + fn), 6) AS accuracy,
+       round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision,
+       round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
+       round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1,
+       round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc
+FROM m JOIN a USING (trial)
+"""
+
+
+@query("metrics_by_trial", sql=_TRIAL_SQL)
+def metrics_by_trial(spark, sf_dir):
+    """MET10 + MET11: the sweep table, one row per trial."""
+    t = metrics.metrics_table(gappy_scores(spark, sf_dir), "y", "score", 0.5, by=["trial"])
+    return t.select("trial", *[r6(c).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")])
+
+
+@query("rows_left_out", sql=f"""
+SELECT count(*) AS n, count(*) FILTER (WHERE y IS NULL) AS no_label,
+       count(*) FILTER (WHERE y IS NOT NULL AND score IS NULL) AS no_score FROM ({_GAPS_SQL})
+""")
+def rows_left_out(spark, sf_dir):
+    return metrics.left_out(gappy_scores(spark, sf_dir), "y", "score")
+
+
 @query("log_loss", sql=f"""
 SELECT round(avg(-(y * ln(pc) + (1 - y) * ln(1e0 - pc))), 6) AS log_loss
 FROM (SELECT y, least(greatest(score, 1e-15), 1e0 - 1e-15) AS pc FROM ({fx.LINE_SCORES_SQL}))

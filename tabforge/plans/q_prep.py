@@ -176,7 +176,7 @@ WITH s AS ({_PART_SPLIT})
 """)
 def unseen_categories(spark, sf_dir):
     train, val = _parts(spark, sf_dir)
-    model = CategoryEncoder(_UNSEEN, map_limit=1000).fit(train)
+    model = CategoryEncoder(_UNSEEN, lookup="join").fit(train)
     return model.unseen_counts(val)
 
 

@@ -11,11 +11,6 @@ from . import fixtures as fx
 from .registry import query, split_sql
 
 
-def _split_of(spark, sf_dir):
-    of = fx.order_features(spark, sf_dir)
-    return sample.split_exact(of, "id", 0.8, 42)
-
-
 # AGG1 ----------------------------------------------------------------------
 @query("label_distribution", sql="""
 SELECT 'quality' AS label_col, quality AS label, count(*) AS n FROM labels WHERE quality IS NOT NULL GROUP BY quality
@@ -50,8 +45,8 @@ SELECT split, label, count(*) AS n FROM ({split_sql(fx.ORDER_FEATURES_SQL, 'id')
 WHERE label IS NOT NULL GROUP BY split, label
 """)
 def label_distribution_by_split(spark, sf_dir):
-    train, val = _split_of(spark, sf_dir)
-    return profile.label_distribution_by_split({"train": train, "val": val}, "label")
+    flagged = sample.split_flag(fx.order_features(spark, sf_dir), "id", 0.8, 42)
+    return profile.label_counts(flagged, "label", by=["split"])
 
 
 # SMP1 -----------------------------------------------------------------------
@@ -93,13 +88,14 @@ def downsample_balanced(spark, sf_dir):
 
 # SMP4 ----------------------------------------------------------------------------
 @query("stratified_half", sql="""
-SELECT o_orderkey, o_orderstatus FROM (
-  SELECT o_orderkey, o_orderstatus,
-         row_number() OVER (PARTITION BY o_orderstatus
-                            ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) AS rn,
-         count(*) OVER (PARTITION BY o_orderstatus) AS n
-  FROM orders)
-WHERE rn <= round_even(0.5e0 * n, 0)
+WITH c AS (SELECT o_orderstatus, count(*) AS n, 0.5e0 * count(*) AS share, floor(0.5e0 * count(*)) AS whole
+           FROM orders GROUP BY o_orderstatus),
+k AS (SELECT o_orderstatus, whole + CAST(row_number() OVER (ORDER BY share - whole DESC, n DESC, o_orderstatus)
+             <= (SELECT round_even(0.5e0 * sum(n), 0) - sum(whole) FROM c) AS INTEGER) AS k FROM c),
+r AS (SELECT o_orderkey, o_orderstatus,
+             row_number() OVER (PARTITION BY o_orderstatus
+                                ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) AS rn FROM orders)
+SELECT o_orderkey, r.o_orderstatus FROM r JOIN k ON r.o_orderstatus = k.o_orderstatus WHERE rn <= k
 """)
 def stratified_half(spark, sf_dir):
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
@@ -160,5 +156,30 @@ FROM ({split_sql(_LINE_GAP_SQL, 'line_id')}) GROUP BY split
 """)
 def missing_total_by_split(spark, sf_dir):
     lg = _line_gaps(spark, sf_dir)
-    train, val = sample.split_exact(lg, "line_id", 0.8, 42)
-    return profile.missing_total_by_split({"train": train, "val": val}, _LINE_GAP_COLS)
+    return profile.missing_total_by_split(sample.split_flag(lg, "line_id", 0.8, 42), _LINE_GAP_COLS)
+
+
+# RPT4 per split -----------------------------------------------------------------------
+@query("missing_report_by_split", sql=f"""
+WITH t AS ({split_sql(_LINE_GAP_SQL, 'line_id')})
+SELECT * FROM ({' UNION ALL '.join(
+    f"SELECT split, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_missing FROM t GROUP BY split"
+    for c in _LINE_GAP_COLS)}) WHERE n_missing > 0
+""")
+def missing_report_by_split(spark, sf_dir):
+    flagged = sample.split_flag(_line_gaps(spark, sf_dir), "line_id", 0.8, 42)
+    return profile.missing_counts(flagged, _LINE_GAP_COLS, by=["split"])
+
+
+# SET1 --------------------------------------------------------------------------------
+@query("concat_splits", sql="SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus")
+def concat_splits(spark, sf_dir):
+    train, val = sample.split_exact(read_table(spark, sf_dir, "orders"), "o_orderkey", 0.8, 42)
+    return sample.concat_rows(train, val).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+
+
+# AGG3 --------------------------------------------------------------------------------
+@query("table_shape", sql="SELECT count(*) AS n_rows, CAST(5 AS INTEGER) AS n_columns FROM documents")
+def table_shape(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return docs.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(docs.columns)))

@@ -11,6 +11,54 @@ from . import fixtures as fx
 from .registry import query, r6
 
 
+# EXP2 + AGG11 ---------------------------------------------------------------------
+@query("export_counts", sql=f"""
+SELECT count(*) FILTER (WHERE toxic IS NOT NULL) AS n_good, count(*) FILTER (WHERE toxic IS NULL) AS n_rejected
+FROM ({fx.DOC_LABELS_SQL})
+""")
+def export_counts(spark, sf_dir):
+    good, bad = export.split_good_bad(fx.doc_labels(spark, sf_dir), "toxic")
+    flagged = good.select(F.lit(1).alias("g")).unionByName(bad.select(F.lit(0).alias("g")))
+    return flagged.agg(F.count_if(F.col("g") == 1).alias("n_good"), F.count_if(F.col("g") == 0).alias("n_rejected"))
+
+
+# SCL7, both branches -----------------------------------------------------------------
+@query("number_text", sql="""
+SELECT o_orderkey, CAST(x AS VARCHAR) AS plain, CAST(x * 1e7 AS VARCHAR) AS large, CAST(x * 1e14 AS VARCHAR) AS huge,
+       CAST(x / 1e9 AS VARCHAR) AS small, CAST(-x / 1e6 AS VARCHAR) AS negative
+FROM (SELECT o_orderkey, o_totalprice AS x FROM orders)
+""")
+def number_text(spark, sf_dir):
+    from pyspark.sql import types as T
+    from ..functions.text import num_to_text
+    x = F.col("o_totalprice")
+    shown = {"plain": x, "large": x * 1e7, "huge": x * 1e14, "small": x / 1e9, "negative": -x / 1e6}
+    return read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", *[num_to_text(v, T.DoubleType()).alias(k) for k, v in shown.items()])
+
+
+# RPT1 --------------------------------------------------------------------------------
+@query("history_pivot", sql="""
+SELECT l_linenumber AS round, round(avg(l_discount) FILTER (WHERE l_returnflag = 'A'), 6) AS a_disc,
+       round(avg(l_discount) FILTER (WHERE l_returnflag = 'N'), 6) AS n_disc
+FROM lineitem GROUP BY l_linenumber
+""")
+def history_pivot(spark, sf_dir):
+    li = read_table(spark, sf_dir, "lineitem")
+    long = li.groupBy(F.col("l_linenumber").alias("round"), F.lower("l_returnflag").alias("split")).agg(
+        r6(F.avg("l_discount")).alias("value")).withColumn("metric", F.lit("disc"))
+    return history.history_table(long, [("a", "disc"), ("n", "disc")])
+
+
+# FEA14 + SET3 + CHK3 -----------------------------------------------------------------
+@query("common_features", sql="SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def common_features(spark, sf_dir):
+    from ..operators import columns as C
+    orders = read_table(spark, sf_dir, "orders")
+    other = orders.select("o_orderstatus", "o_totalprice", "o_orderkey")
+    return orders.select(*C.common_columns(orders, other))
+
+
 # WIN1 + FLT3 + SRT1-SRT2 + FEA13 ------------------------------------------------
 @query("cumulative_selection", sql=f"""
 WITH s AS ({fx.PART_SHARE_SQL}),

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -31,26 +30,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only a local-mode
-    session without one gets a fresh scratch folder (tests, bench)."""
+    """The folder that driver and executors share: the one already set, else
+    ``spark.checkpoint.dir``, else a folder in the warehouse. Never a
+    machine-local temporary folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return conf_dir
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; iterative jobs need a shared "
-            "checkpoint folder on a cluster")
-    path = tempfile.mkdtemp(prefix="tabforge-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint dir for intermediate written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder on whatever file system it is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

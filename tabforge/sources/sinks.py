@@ -21,11 +21,13 @@ def write_report_csv(df: DataFrame, path: str) -> None:
 
 
 def write_submission_csv(df: DataFrame, path: str) -> None:
-    """SNK4: ``utf-8-sig`` CSV. The byte-order mark is the first bytes of the
-    header line, so it is prepended to the first column's name; files are
-    written in parallel, one header per part file."""
+    """SNK4: one ``utf-8-sig`` CSV file. The byte-order mark is the first bytes
+    of the header line, so it is prepended to the first column's name. The
+    rows, an id and a label each, are scored in parallel and moved to a single
+    writer task, since marks and headers of several part files would not join
+    to one valid file."""
     first = df.columns[0]
-    out = df.withColumnRenamed(first, BOM + first)
+    out = df.repartition(1).withColumnRenamed(first, BOM + first)
     out.write.mode("overwrite").option("header", True).csv(path)
 
 

@@ -53,24 +53,35 @@ def normalize_nan(df: DataFrame) -> DataFrame:
     return df.select(*exprs) if changed else df
 
 
-def infer_csv_schema(spark: SparkSession, path: str, sample_ratio: float = 0.01,
-                     encoding: str = "UTF-8") -> T.StructType:
-    """SRC1 helper: infer once on a sample, then pin the schema for the job
-    (the reference re-infers per chunk, so types can flip between chunks)."""
+REJECT = "_corrupt_record"
+
+
+def infer_csv_schema(spark: SparkSession, path: str, encoding: str = "UTF-8") -> T.StructType:
+    """SRC1 helper: infer over all rows, then pin the schema for the job (the
+    reference re-infers per chunk, so types can flip between chunks)."""
     return (spark.read.option("header", True).option("encoding", encoding)
-            .option("inferSchema", True).option("samplingRatio", sample_ratio)
+            .option("inferSchema", True).option("samplingRatio", 1.0)
             .csv(path).schema)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              encoding: str = "UTF-8", corrupt_col: str | None = None) -> DataFrame:
     """SRC1/SRC2: header CSV with a pinned schema. Input splits replace the
-    reference's 10,000-row chunk iterator. With ``corrupt_col`` malformed rows
-    are kept in PERMISSIVE mode and flagged (used by EXP2)."""
+    reference's 10,000-row chunk iterator. A value that does not fit the schema
+    stops the read; with ``corrupt_col`` such rows are kept there instead, for
+    the reject table (EXP2). Never a silent NULL."""
     if schema is None:
         schema = infer_csv_schema(spark, path, encoding=encoding)
     reader = spark.read.option("header", True).option("encoding", encoding)
     if corrupt_col:
         schema = T.StructType(list(schema.fields) + [T.StructField(corrupt_col, T.StringType())])
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_col)
+    else:
+        reader = reader.option("mode", "FAILFAST")
     return normalize_nan(reader.schema(schema).csv(path))
+
+
+def split_rejects(df: DataFrame, corrupt_col: str = REJECT) -> tuple[DataFrame, DataFrame]:
+    """EXP2/AGG11: the rows that were read, and the raw lines that were not."""
+    bad = F.col(f"`{corrupt_col}`").isNotNull()
+    return df.filter(~bad).drop(corrupt_col), df.filter(bad).select(F.col(f"`{corrupt_col}`").alias("line"))

@@ -100,8 +100,8 @@ def test_missing_plan_requires_columns(gappy):
 
 def test_category_encoder_unseen_and_order(gappy):
     train, val = gappy.filter("split = 'train'"), gappy.filter("split = 'val'")
-    for limit in (1000, 0):   # map-literal path and join path
-        model = CategoryEncoder(["cat"], map_limit=limit).fit(train)
+    for lookup in ("index", "join"):
+        model = CategoryEncoder(["cat"], lookup=lookup).fit(train)
         d = {(r["value"], r["code"]) for r in model.dictionary.collect()}
         assert d == {("a", 0), ("b", 1)}
         enc = {r["id"]: r["cat"] for r in model.transform(gappy).collect()}
@@ -125,7 +125,7 @@ def test_column_rules(spark):
 
 def test_split_is_exact_disjoint_and_complete(spark):
     df = spark.range(0, 1001).withColumnRenamed("id", "k")
-    train, val = sample.split_exact(df, "k", 0.8, 42, digits=2)
+    train, val = sample.split_exact(df, "k", 0.8, 42)
     t = {r["k"] for r in train.collect()}
     v = {r["k"] for r in val.collect()}
     assert len(t) == round(0.8 * 1001) and not (t & v) and len(t | v) == 1001
