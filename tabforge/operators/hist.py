@@ -11,8 +11,9 @@ Data flow per round (all Spark, nothing row-level on the driver):
 
 1. rows carry ``bins array<int>`` (quantile bins, fitted once; missing = -1),
    the label, weight and current margin;
-2. per level: ``posexplode(bins)`` -> ``groupBy(node, feature, bin)`` sums of
-   g and h (map-side combined; size nodes x features x bins), cumulative sums
+2. per level: every Arrow batch adds its rows' g and h per (node, feature, bin)
+   in numpy, and only these sums are shuffled and merged (size nodes x features x
+   bins, never rows x features), cumulative sums
    per (node, feature) over at most ``max_bins`` bins, gains for both
    missing directions, best split per node by ``max_by`` — only the splits
    (<= 2^level rows) reach the driver;
@@ -22,8 +23,10 @@ Data flow per round (all Spark, nothing row-level on the driver):
 4. the eval metric per round drives patience-based early stopping; row
    tables are checkpointed every few rounds to cut lineage.
 
-* LRN4 (category-set splits) is not built here: category codes are binned as
-  ordered values; backend A handles nominal splits.
+* LRN4 (category-set splits): the bins of a categorical column are its codes.
+  At each node they are ordered by their gradient ratio, and a prefix of that
+  order is the set that goes left, as in the published optimal-partition method
+  for one-dimensional gradients (Fisher's grouping).
 """
 
 from __future__ import annotations
@@ -31,6 +34,7 @@ from __future__ import annotations
 import hashlib
 import json
 import math
+from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
@@ -77,23 +81,45 @@ def _score(g: Column, h: Column, lam: float, alpha: float) -> Column:
     return t * t / (h + F.lit(lam))
 
 
+#: Cells (rows x features) that are counted at once.
+CELLS = 4_000_000
+
+
 def level_histogram(rows: DataFrame, node: str = "node", bins: str = "bins", g: str = "g", h: str = "h",
                     features: list[int] | None = None) -> DataFrame:
-    """``(node, f, b, G, H)``: gradient/hessian sums per bin (b = -1: missing)."""
-    if features is None:
-        ex = rows.select(node, g, h, F.posexplode(bins).alias("f", "b"))
-    else:
-        # Only the sampled columns are taken out of the row.
-        picked = F.transform(F.array(*[F.lit(f) for f in features]),
-                             lambda f: F.struct(f.alias("f"), F.element_at(F.col(bins), f + 1).alias("b")))
-        ex = rows.select(node, g, h, F.explode(picked).alias("_c")).select(node, g, h, "_c.f", "_c.b")
-    return ex.groupBy(node, "f", "b").agg(F.sum(g).alias("G"), F.sum(h).alias("H"))
-
-
-def split_candidates(hist: DataFrame, p: HistParams, node: str = "node") -> DataFrame:
+    """``(node, f, b, G, H)``: gradient/hessian sums per bin (b = -1: missing).
+    Batches are summed in numpy, so the shuffle holds sums, not cells."""
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if batch.empty:
+                continue
+            x = np.array([np.asarray(r, dtype=np.int64) for r in batch[bins]])
+            chosen = np.arange(x.shape[1]) if features is None else np.asarray(features)
+            x = x[:, chosen] + 1
+            wide = int(x.max()) + 1
+            step = max(1, CELLS // max(1, len(chosen)))
+            for at in range(0, len(x), step):
+                part = slice(at, at + step)
+                nodes = batch[node].to_numpy()[part].astype(np.int64)
+                key = (nodes[:, None] * len(chosen) + np.arange(len(chosen))) * wide + x[part]
+                cells, place = np.unique(key.ravel(), return_inverse=True)
+                sums = [np.bincount(place, weights=np.repeat(batch[c].to_numpy()[part], len(chosen))) for c in (g, h)]
+                yield pd.DataFrame({node: (cells // wide // len(chosen)).astype(np.int32),
+                                    "f": chosen[cells // wide % len(chosen)].astype(np.int32),
+                                    "b": (cells % wide - 1).astype(np.int32), "G": sums[0], "H": sums[1]})
+
+    sums = rows.select(node, g, h, bins).mapInPandas(partial, f"{node} int, f int, b int, G double, H double")
+    return sums.groupBy(node, "f", "b").agg(F.sum("G").alias("G"), F.sum("H").alias("H"))
+
+
+def split_candidates(hist: DataFrame, p: HistParams, node: str = "node",
+                     categorical: list[int] | None = None) -> DataFrame:
     """Every (node, feature, threshold bin, missing direction) with its gain
     (NULL where a child is below ``min_child_weight``): left = bins <= b,
-    plus the missing bin if ``missing_left``.
+    plus the missing bin if ``missing_left``. For the features in ``categorical``
+    the bins are taken in the order of their gradient ratio, and ``cats`` lists
+    the ones that go left (it is empty for other features).
 
     One window over ``(node, f)`` gives the running sums, the missing-bin
     sums and the node totals (every row sits in exactly one bin of each
@@ -101,10 +127,15 @@ def split_candidates(hist: DataFrame, p: HistParams, node: str = "node") -> Data
     therefore read once: no self-join, no second pass over the rows, and no
     filter that Catalyst could push below the aggregate into extra scans."""
     part = Window.partitionBy(node, "f")
-    run = part.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+    is_set = F.col("f").isin(list(categorical or []))
+    # The missing bin stays in front, where the running sums skip it.
+    ratio = F.when(F.col("b") >= 0, F.col("G") / (F.col("H") + F.lit(p.reg_lambda + 1e-12)))
+    order = [F.when(is_set, ratio).otherwise(F.col("b").cast("double")).asc_nulls_first(), F.col("b")]
+    run = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     nonmiss = F.col("b") >= 0
     c = hist.select(
         node, "f", "b",
+        F.collect_list(F.when(is_set & nonmiss, F.col("b"))).over(run).alias("cats"),
         F.sum(F.when(nonmiss, F.col("G")).otherwise(0.0)).over(run).alias("GLc"),
         F.sum(F.when(nonmiss, F.col("H")).otherwise(0.0)).over(run).alias("HLc"),
         F.sum(F.when(~nonmiss, F.col("G")).otherwise(0.0)).over(part).alias("Gm"),
@@ -122,8 +153,8 @@ def split_candidates(hist: DataFrame, p: HistParams, node: str = "node") -> Data
         dirs.append(F.struct(F.lit(left).alias("missing_left"), F.when(ok, gain).alias("gain"),
                              GL.alias("GL"), HL.alias("HL")))
     return (c.filter(nonmiss)
-            .select(node, "f", "b", "G_tot", "H_tot", F.explode(F.array(*dirs)).alias("d"))
-            .select(node, "f", "b", "d.missing_left", "d.gain", "d.GL", "d.HL", "G_tot", "H_tot"))
+            .select(node, "f", "b", "cats", "G_tot", "H_tot", F.explode(F.array(*dirs)).alias("d"))
+            .select(node, "f", "b", "cats", "d.missing_left", "d.gain", "d.GL", "d.HL", "G_tot", "H_tot"))
 
 
 def best_splits(cands: DataFrame, node: str = "node") -> list:
@@ -137,13 +168,13 @@ def best_splits(cands: DataFrame, node: str = "node") -> list:
     key = F.struct(F.coalesce(F.col("gain"), F.lit(-math.inf)), -F.col("f"), -F.col("b"),
                    (~F.col("missing_left")).cast("int"))
     best = cands.groupBy(node).agg(
-        F.max_by(F.struct("f", "b", "missing_left", "gain", "GL", "HL", "G_tot", "H_tot"), key).alias("s"))
+        F.max_by(F.struct("f", "b", "cats", "missing_left", "gain", "GL", "HL", "G_tot", "H_tot"), key).alias("s"))
     out = []
     for r in best.collect():
         s = r["s"]
         split = None
         if s["gain"] is not None and s["gain"] > 0:
-            split = (s["f"], s["b"], s["missing_left"], s["gain"], s["GL"], s["HL"])
+            split = (s["f"], sorted(s["cats"]) if s["cats"] else s["b"], s["missing_left"], s["gain"], s["GL"], s["HL"])
         out.append((int(r[node]), s["G_tot"], s["H_tot"], split))
     return out
 
@@ -166,14 +197,15 @@ def apply_bins(df: DataFrame, cols: list[str], cuts: dict, keep: list[str]) -> D
     """``bins array<int>``: bin i holds values in [cut_{i-1}, cut_i); missing -> -1.
     One array of all cells, searched column by column per Arrow batch, so the plan
     does not grow with the number of columns."""
-    edges = [np.asarray(cuts[c], dtype=np.float64) for c in cols]
+    # A categorical column has no cuts (None): its codes are its bins.
+    edges = [None if cuts[c] is None else np.asarray(cuts[c], dtype=np.float64) for c in cols]
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def binned(cells: pd.Series) -> pd.Series:
         x = np.array([np.asarray(r, dtype=np.float64) for r in cells]).reshape(len(cells), len(edges))
         out = np.empty(x.shape, dtype=np.int32)
         for j, e in enumerate(edges):
-            out[:, j] = np.searchsorted(e, x[:, j], side="right")
+            out[:, j] = np.nan_to_num(x[:, j], nan=-1) if e is None else np.searchsorted(e, x[:, j], side="right")
         out[np.isnan(x)] = -1
         return pd.Series(list(out), dtype=object)
 
@@ -185,7 +217,7 @@ def apply_bins(df: DataFrame, cols: list[str], cuts: dict, keep: list[str]) -> D
 
 @dataclass
 class HistTree:
-    splits: dict  # node -> (feature, bin, missing_left, gain)
+    splits: dict  # node -> (feature, bin or list of category codes that go left, missing_left, gain)
     leaves: dict  # node -> value (eta applied)
 
 
@@ -204,12 +236,14 @@ class HistModel:
         rows = []
         for t, tr in enumerate(self.trees):
             for n, (f, b, ml, g) in tr.splits.items():
-                thr = self.cuts[self.cols[f]][b] if b < len(self.cuts[self.cols[f]]) else math.inf
-                rows.append((t, n, self.cols[f], int(b), float(thr), bool(ml), float(g), None))
+                cats = [int(c) for c in b] if isinstance(b, (list, tuple)) else None
+                edges = self.cuts[self.cols[f]]
+                thr = None if cats else float(edges[b]) if b < len(edges) else math.inf
+                rows.append((t, n, self.cols[f], None if cats else int(b), thr, cats, bool(ml), float(g), None))
             for n, v in tr.leaves.items():
-                rows.append((t, n, None, None, None, None, None, float(v)))
-        schema = ("tree int, node int, feature string, bin int, threshold double, missing_left boolean, "
-                  "gain double, leaf_value double")
+                rows.append((t, n, None, None, None, None, None, None, float(v)))
+        schema = ("tree int, node int, feature string, bin int, threshold double, categories array<int>, "
+                  "missing_left boolean, gain double, leaf_value double")
         return spark.createDataFrame(rows, schema)
 
     def importances(self) -> dict:
@@ -252,7 +286,7 @@ class HistModel:
         depth = self.params.max_depth
         packed = [_pack(tr, depth) for tr in trees]
         lit = F.from_json(F.lit(json.dumps(packed)),
-                          "array<struct<f:array<int>,b:array<int>,ml:array<boolean>,v:array<double>>>")
+                          f"array<{PACKED}>")
         return F.lit(self.base_margin) + F.aggregate(
             lit, F.lit(0.0), lambda acc, t: acc + _walk(t, depth))
 
@@ -262,16 +296,24 @@ class HistModel:
         return binned.select(*keep, (F.lit(1.0) / (F.lit(1.0) + F.exp(-self.margin_expr(n)))).alias("p"))
 
 
+PACKED = "struct<f:array<int>,b:array<int>,s:array<array<int>>,ml:array<boolean>,v:array<double>>"
+
+
 def _pack(tr: HistTree, depth: int) -> dict:
     """Heap-ordered arrays of one tree: feature (-1 = leaf), bin, missing
     direction and leaf value per node id 0 .. 2^(depth+1)-2."""
     size = 2 ** (depth + 1) - 1
     f, b, ml, v = [-1] * size, [0] * size, [False] * size, [0.0] * size
+    s: list[list[int]] = [[] for _ in range(size)]
     for n, (fi, bi, mli, _) in tr.splits.items():
-        f[n], b[n], ml[n] = int(fi), int(bi), bool(mli)
+        f[n], ml[n] = int(fi), bool(mli)
+        if isinstance(bi, (list, tuple)):
+            s[n] = [int(c) for c in bi]
+        else:
+            b[n] = int(bi)
     for n, val in tr.leaves.items():
         v[n] = float(val)
-    return {"f": f, "b": b, "ml": ml, "v": v}
+    return {"f": f, "b": b, "s": s, "ml": ml, "v": v}
 
 
 def _walk(t: Column, depth: int) -> Column:
@@ -280,7 +322,9 @@ def _walk(t: Column, depth: int) -> Column:
         i = node + 1
         f = F.element_at(t["f"], i)
         v = F.element_at(F.col("bins"), f + 1)
-        left = F.when(v < 0, F.element_at(t["ml"], i)).otherwise(v <= F.element_at(t["b"], i))
+        cats = F.element_at(t["s"], i)
+        inside = F.when(F.size(cats) > 0, F.array_contains(cats, v)).otherwise(v <= F.element_at(t["b"], i))
+        left = F.when(v < 0, F.element_at(t["ml"], i)).otherwise(inside)
         return F.when(f < 0, node).otherwise(F.when(left, node * 2 + 1).otherwise(node * 2 + 2))
     leaf = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
     return F.element_at(t["v"], leaf + 1)
@@ -293,7 +337,8 @@ def _route(node: Column, splits: dict) -> Column:
     expr = None
     for n, (f, b, ml, _) in splits.items():
         v = F.element_at(F.col("bins"), f + 1)
-        left = F.when(v < 0, F.lit(bool(ml))).otherwise(v <= F.lit(b))
+        inside = v.isin([int(c) for c in b]) if isinstance(b, (list, tuple)) else v <= F.lit(b)
+        left = F.when(v < 0, F.lit(bool(ml))).otherwise(inside)
         child = F.when(left, F.lit(2 * n + 1)).otherwise(F.lit(2 * n + 2))
         expr = F.when(node == n, child) if expr is None else expr.when(node == n, child)
     return expr.otherwise(node)
@@ -307,7 +352,7 @@ def _leaf(g: float, h: float, p: HistParams) -> float:
 def _tree_margin(tr: HistTree, depth: int) -> Column:
     """One tree's contribution (used for the per-round margin update)."""
     packed = F.from_json(F.lit(json.dumps(_pack(tr, depth))),
-                         "struct<f:array<int>,b:array<int>,ml:array<boolean>,v:array<double>>")
+                         PACKED)
     return _walk(packed, depth)
 
 
@@ -320,11 +365,15 @@ def _col_sample(n_features: int, frac: float, seed: int, rnd: int) -> list[int]
 
 
 def fit_hist(train: DataFrame, cols: list[str], label: str, key: str, weight: str | None = None,
-             params: HistParams | None = None, val: DataFrame | None = None) -> HistModel:
-    """Train with optional early stopping on ``val`` (the last eval set)."""
+             params: HistParams | None = None, val: DataFrame | None = None,
+             categorical: list[str] | None = None) -> HistModel:
+    """Train with optional early stopping on ``val`` (the last eval set).
+    ``categorical`` columns hold codes 0, 1, ... (NULL: missing)."""
     p = params or HistParams()
     ensure_checkpoint_dir(train.sparkSession)   # row tables are checkpointed every few rounds
-    cuts = fit_bins(train, cols, p.max_bins)
+    sets = [c for c in cols if c in set(categorical or [])]
+    cuts = fit_bins(train, [c for c in cols if c not in sets], p.max_bins) | {c: None for c in sets}
+    set_places = [i for i, c in enumerate(cols) if c in sets]
     base = math.log(p.base_score / (1 - p.base_score))
     keep = [key, label] + ([weight] if weight else [])
 
@@ -356,7 +405,7 @@ def fit_hist(train: DataFrame, cols: list[str], label: str, key: str, weight: st
             sampled = cur.filter(F.col("_in") & F.col("node").isin(active))
             hist = level_histogram(sampled, features=feats)
             lvl_splits = {}
-            for n, g_tot, h_tot, split in best_splits(split_candidates(hist, p)):
+            for n, g_tot, h_tot, split in best_splits(split_candidates(hist, p, categorical=set_places)):
                 if split is None:
                     leaves[n] = _leaf(g_tot, h_tot, p)
                     continue

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import columns as C
-from ..operators import learn, metrics, profile, sample, select, tune
+from ..operators import hist, learn, metrics, profile, sample, select, tune
 from ..operators.encode import CategoryEncoder
 from ..operators.prep import MissingPlan
 from ..sources import sinks
@@ -55,7 +55,8 @@ def ingest_csv(spark: SparkSession, labelled_csv: str, out_dir: str, label: str,
 class TrainConfig:
     label: str
     key: str
-    plan: MissingPlan
+    plan: MissingPlan | None = None        # None: train on the gaps (FEA12, "hist" backend)
+    backend: str = "mllib"                 # "mllib" or "hist" (all regularisation, gaps, category sets)
     categorical: list = field(default_factory=list)
     threshold: float = 0.1                 # PRJ10 decision threshold
     select_cut: float | None = 0.99        # FEA13 cumulative cut (None: all features)
@@ -72,8 +73,9 @@ class TrainConfig:
 
 
 def _prepare(cfg: TrainConfig, train: DataFrame, others: dict):
-    plan = cfg.plan.fit(train)
-    prep = {k: plan.transform(v) for k, v in {"train": train, **others}.items() if v is not None}
+    plan = cfg.plan.fit(train) if cfg.plan else None
+    given = {k: v for k, v in {"train": train, **others}.items() if v is not None}
+    prep = {k: plan.transform(v) for k, v in given.items()} if plan else given
     cats = C.present(prep["train"], cfg.categorical)
     enc = CategoryEncoder(cats).fit(prep["train"]) if cats else None
     if enc is not None:
@@ -87,6 +89,63 @@ def _prepare(cfg: TrainConfig, train: DataFrame, others: dict):
     return plan, enc, prep, numeric, {c: card.get(c, 1) for c in cats}
 
 
+class _Gbt:
+    """MLlib trees behind the job's calls."""
+
+    def __init__(self, cfg: TrainConfig, numeric: list, cards: dict):
+        self.cfg, self.numeric, self.cards = cfg, numeric, cards
+
+    def ready(self, df: DataFrame) -> DataFrame:
+        return learn.assemble(df, self.numeric, self.cards)
+
+    def importances(self, train: DataFrame, params: dict):
+        return learn.fit_gbt(self.ready(train), self.cfg.label, weight="_w", params=params).featureImportances
+
+    def fit(self, train: DataFrame, val: DataFrame, params: dict):
+        return learn.fit_with_early_stopping(self.ready(train), self.ready(val), self.cfg.label, self.cfg.key,
+                                             weight="_w", params=params, patience=self.cfg.patience)
+
+    def score(self, model, df: DataFrame, keep: list) -> DataFrame:
+        return model.predict_proba(self.ready(df), keep)
+
+    def save(self, spark, model, path: str) -> None:
+        sinks.save_model(model.model, path)
+
+
+class _Hist:
+    """The histogram booster behind the job's calls: L1/L2, gamma, gaps, category sets, and a
+    fit that ends when patience does."""
+
+    NAMES = {"n_estimators": "n_rounds", "learning_rate": "eta", "random_state": "seed"}
+
+    def __init__(self, cfg: TrainConfig, numeric: list, cards: dict):
+        self.cfg, self.cols, self.cards = cfg, [*numeric, *cards], cards
+
+    def _params(self, params: dict) -> hist.HistParams:
+        named = {self.NAMES.get(k, k): v for k, v in params.items()}
+        return hist.HistParams(**{"patience": self.cfg.patience, **named})
+
+    def importances(self, train: DataFrame, params: dict):
+        model = hist.fit_hist(train, self.cols, self.cfg.label, self.cfg.key, "_w", self._params(params),
+                              categorical=list(self.cards))
+        found = model.importances()
+        return [found[c] for c in self.cols]
+
+    def fit(self, train: DataFrame, val: DataFrame, params: dict):
+        model = hist.fit_hist(train, self.cols, self.cfg.label, self.cfg.key, "_w", self._params(params), val,
+                              list(self.cards))
+        return model
+
+    def score(self, model, df: DataFrame, keep: list) -> DataFrame:
+        return model.predict_proba(df, keep)
+
+    def save(self, spark, model, path: str) -> None:
+        model.save(spark, path)
+
+
+BACKENDS = {"mllib": _Gbt, "hist": _Hist}
+
+
 def train_select_tune(spark: SparkSession, cfg: TrainConfig, train: DataFrame, val: DataFrame,
                       test: DataFrame | None = None, out_dir: str | None = None) -> dict:
     """The full job. Returns a dict of result tables and the summary row."""
@@ -105,9 +164,9 @@ def train_select_tune(spark: SparkSession, cfg: TrainConfig, train: DataFrame, v
 
     # importance fit + selection (LRN6, LRN7, FEA13, FEA14)
     feats_all = numeric + list(cards)
-    assembled = learn.assemble(prep["train"], numeric, cards)
-    quick = learn.fit_gbt(assembled, cfg.label, weight="_w", params=dict(cfg.importance_params, seed=cfg.seed))
-    imp = select.importance_table(spark, feats_all, quick.featureImportances)
+    backend = BACKENDS[cfg.backend]
+    quick = backend(cfg, numeric, cards).importances(prep["train"], dict(cfg.importance_params, seed=cfg.seed))
+    imp = select.importance_table(spark, feats_all, quick)
     if cfg.select_cut is not None:
         sel = select.cumulative_selection(imp, cfg.select_cut, cfg.min_features, cfg.max_features)
         chosen = select.selected_names(sel)
@@ -116,23 +175,19 @@ def train_select_tune(spark: SparkSession, cfg: TrainConfig, train: DataFrame, v
     sel_num = [c for c in numeric if c in chosen]
     sel_cat = {c: k for c, k in cards.items() if c in chosen}
 
-    def assembled_split(df):
-        return learn.assemble(df, sel_num, sel_cat)
-
-    a_train, a_val = assembled_split(prep["train"]), assembled_split(prep["val"])
+    learner = backend(cfg, sel_num, sel_cat)
     timings["importance_select"] = time.time() - t0 - sum(timings.values())
 
     # search on a stratified fraction (TUN2-TUN4)
     trials = None
     params = dict(cfg.params, seed=cfg.seed)
     if cfg.search_trials > 0:
-        half = sample.stratified_fraction(a_train, cfg.label, cfg.key, cfg.search_fraction, cfg.seed)
+        half = sample.stratified_fraction(prep["train"], cfg.label, cfg.key, cfg.search_fraction, cfg.seed)
 
         def objective(p):
             fit_p = dict(p, n_estimators=cfg.params.get("n_estimators", 100), seed=cfg.seed)
-            bm = learn.fit_with_early_stopping(half, a_val, cfg.label, cfg.key, weight="_w", params=fit_p,
-                                               patience=cfg.patience)
-            scored = bm.predict_proba(a_val, [cfg.key, cfg.label]).checkpoint(eager=True)
+            trial = learner.fit(half, prep["val"], fit_p)
+            scored = learner.score(trial, prep["val"], [cfg.key, cfg.label]).checkpoint(eager=True)
             return metrics.pr_auc(scored, cfg.label, "p").first()["pr_auc"] or 0.0
 
         trials = tune.random_search(spark, cfg.search_space, cfg.search_trials, objective, cfg.seed)
@@ -141,17 +196,16 @@ def train_select_tune(spark: SparkSession, cfg: TrainConfig, train: DataFrame, v
     timings["search"] = time.time() - t0 - sum(timings.values())
 
     # final fit with early stopping on val (LRN1, LRN8-LRN10)
-    bm = learn.fit_with_early_stopping(a_train, a_val, cfg.label, cfg.key, weight="_w", params=params,
-                                       patience=cfg.patience)
+    bm = learner.fit(prep["train"], prep["val"], params)
     # Scored once; every metric below reads the written table.
-    scored = bm.predict_proba(a_val, [cfg.key, cfg.label]).withColumn(
+    scored = learner.score(bm, prep["val"], [cfg.key, cfg.label]).withColumn(
         "pred", metrics.threshold("p", cfg.threshold)).checkpoint(eager=True)
     timings["final_fit"] = time.time() - t0 - sum(timings.values())
     m = metrics.binary_metrics(scored, cfg.label, "pred").first()
     areas = metrics.curve_metrics(scored, cfg.label, "p").first()
     roc, prauc = areas["roc_auc"], areas["pr_auc"]
     summary = {
-        "model_type": "boosted trees (MLlib GBT)",
+        "model_type": f"boosted trees ({cfg.backend})",
         "feature_selection": f"top {len(chosen)} features" + (f" ({cfg.select_cut} cum importance)"
                                                                if cfg.select_cut else ""),
         "hyperparameters": {k: str(v) for k, v in params.items()},
@@ -170,8 +224,7 @@ def train_select_tune(spark: SparkSession, cfg: TrainConfig, train: DataFrame, v
     # score test -> submission (SCO1, SNK4)
     if test is not None:
         C.check_required(prep["test"], sel_num + list(sel_cat), "test split")
-        a_test = assembled_split(prep["test"])
-        sub = (bm.predict_proba(a_test, [cfg.key])
+        sub = (learner.score(bm, prep["test"], [cfg.key])
                .select(cfg.key, metrics.threshold("p", cfg.threshold).alias(cfg.label)))
         result["submission"] = sub
         if out_dir:
@@ -184,5 +237,5 @@ def train_select_tune(spark: SparkSession, cfg: TrainConfig, train: DataFrame, v
     if out_dir:
         sinks.write_report_csv(imp, os.path.join(out_dir, "feature_importance"))
         sinks.write_report_csv(sinks.with_json_params(row, "hyperparameters"), os.path.join(out_dir, "summary"))
-        sinks.save_model(bm.model, os.path.join(out_dir, "model"))
+        learner.save(spark, bm, os.path.join(out_dir, "model"))
     return result

@@ -94,7 +94,7 @@ def hist_fit(spark, sf_dir):
     train, val = enc.transform(train), enc.transform(val)   # NULL codes stay NULL (missing)
     p = hist.HistParams(n_rounds=8, max_depth=3, eta=0.3, max_bins=32, subsample=0.8,
                         colsample_bytree=0.8, reg_alpha=0.1, gamma=0.1, patience=3, checkpoint_every=4)
-    model = hist.fit_hist(train, _HIST_COLS, "label", "id", params=p, val=val)
+    model = hist.fit_hist(train, _HIST_COLS, "label", "id", params=p, val=val, categorical=["status", "priority"])
     return model, val
 
 
