@@ -10,6 +10,8 @@ document there, of which one row stays; an empty table passes through every stag
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,24 +26,26 @@ from tabforge.llm.toxicity import fit_lexicon, fold_of, score_toxicity
 NEAR_DUPLICATES = Rule(words=5, num=8, den=10)
 
 
-def as_documents(changed: DataFrame, like: DataFrame) -> DataFrame:
-    """The columns of ``like``, with the character count of the new texts."""
-    if "n_chars" in like.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(like.schema["n_chars"].dataType))
-    return changed.select(*like.columns)
+def on_texts(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Apply ``work`` to ``doc_id`` and ``text`` with the other columns carried under names that
+    no operator uses; the columns of ``docs`` come back, with the character counts of the texts."""
+    carried = {c: f"_carried{i}" for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    done = work(docs.select("doc_id", "text", *[F.col(f"`{c}`").alias(name) for c, name in carried.items()]))
+    if "n_chars" in carried:
+        done = done.withColumn(carried["n_chars"], F.length("text").cast(docs.schema["n_chars"].dataType))
+    return done.select(*[F.col(carried.get(c, c)).alias(c) for c in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; of the others, the failing lines."""
-    kept = quality_rules(docs).filter("kept").withColumn("text", F.col("clean_text"))
-    return as_documents(kept, docs)
+    return on_texts(docs, lambda d: quality_rules(d).filter("kept").withColumn("text", F.col("clean_text")))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Toxic documents go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     lexicon = fit_lexicon(docs.select("doc_id", "text"), labels, usable=fold_of() != 0)
-    return score_toxicity(docs, lexicon).filter("predicted = 0").select(*docs.columns)
+    return on_texts(docs, lambda d: score_toxicity(d, lexicon).filter("predicted = 0"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +58,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that start earlier as well are cut out."""
-    return as_documents(remove_repeats(docs), docs)
+    return on_texts(docs, remove_repeats)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -359,28 +359,26 @@ def remove_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     (they count as kept in the digest)."""
     results = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
     columns = [f for f in docs.schema.fields if f.name not in results]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for t, runs in zip(batch["_text"], batch["_runs"], strict=True):
-                raw = t.encode()
-                first, last = run_ranges(runs)
-                start, end = runs_to_spans(first, last + LENGTH - 1)
-                kept = kept_bytes(raw, start, end)
-                digest = hashlib.sha256(kept).hexdigest()
-                rows.append((kept.decode("utf-8", "ignore"), len(raw), len(raw) - len(kept), len(start), digest))
-            out = batch.drop(columns=["_doc", "_mark", "_text", "_runs"])
-            own = batch["_doc"].to_numpy()
-            out["doc_id"] = pd.array(own, dtype="Int64")
-            out.loc[own == NULL_ID, "doc_id"] = pd.NA
-            for k, name in enumerate((text, *results)):
-                out[name] = [r[k] for r in rows]
-            yield out[[f.name for f in columns] + list(results)]
-
-    whole = with_repeats(docs.select(*[f.name for f in columns]), text)
-    return whole.mapInPandas(cut, f"{schema}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    @F.pandas_udf("text string, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    def cut(texts: pd.Series, lists: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t, runs in zip(texts, lists, strict=True):
+            raw = t.encode()
+            first, last = run_ranges(runs)
+            start, end = runs_to_spans(first, last + LENGTH - 1)
+            kept = kept_bytes(raw, start, end)
+            digest = hashlib.sha256(kept).hexdigest()
+            rows.append((kept.decode("utf-8", "ignore"), len(raw), len(raw) - len(kept), len(start), digest))
+        return pd.DataFrame(rows, columns=["text", *results])
+
+    whole = with_repeats(docs.select(*[F.col(f"`{f.name}`") for f in columns]), text)
+    done = whole.withColumn("_cut", cut("_text", "_runs"))
+    doc_id = F.when(F.col("_doc") != NULL_ID, F.col("_doc")).cast(docs.schema["doc_id"].dataType)
+    made = {"doc_id": doc_id, text: F.col("_cut.text")}
+    return done.select(
+        *[made.get(f.name, F.col(f"`{f.name}`")).alias(f.name) for f in columns], *[F.col(f"_cut.{c}") for c in results]
+    )
 
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -202,6 +202,18 @@ def test_stages_take_odd_rows(spark):
         assert (docs.count() > 0) == (table is odd)
 
 
+def test_stages_leave_clashing_columns_alone(spark):
+    text = " ".join(f"w{i}" for i in range(40)) + "."
+    rows = [(2**60 + i, f"{text} n{i}.", i, None if i else 2**60 + 1, f"s{i}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_words int, n_removed long, score string")
+    for stage in (corpus_pipeline.quality, corpus_pipeline.toxicity, corpus_pipeline.repeats):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["score"]) for r in out.collect()) == [
+            (r[0], r[2], r[3], r[4]) for r in rows
+        ]
+
+
 def test_near_duplicates_keep_one_row_of_each_group(spark):
     words = " ".join(f"w{i}" for i in range(80))
     rows = [(5, words), (5, words), (3, words + " end"), (9, "other text of seven words is here"), (None, words), (None, words)]
