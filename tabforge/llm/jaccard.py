@@ -8,10 +8,11 @@ Exact links between documents whose sets of word shingles have a Jaccard similar
 2. The shingles of a set are ordered by that count, rarest first. Similar sets share at least
    ``l`` of their ``l``-prefixes (``size - least overlap + l`` shingles), for every ``l``. Each set
    takes an ``l`` that grows with its prefix and with its estimated candidate cost, the counts in
-   its prefix; a pair must share as many shingles of its shorter prefixes before it is verified,
-   and a set that shares too few shingles with any other leaves at once.
+   its prefix; a pair must share as many shingles of the prefixes that its two sizes leave before
+   it is verified, and a set that shares too few shingles with any other leaves at once. Parity
+   bits of the whole sets bound their difference from below and spare most verifications.
 3. Groups of near copies are linked first through one member each: sets that share one of their
-   first shingles are verified against the smallest of them. Only prefix shingles that still lie
+   first shared shingles are verified against the smallest of them. Only prefix shingles that still lie
    in several components make pairs, and only between different components; every member of the
    components that are not the shingle's largest is paired with the others. Verification intersects
    the whole sets.
@@ -28,19 +29,21 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabforge.llm.bytehash import blocks_of, group_sizes, shingle_set, word_hashes
 from tabforge.llm.common import materialize, mix, partitions
 from tabforge.llm.components import connected_components
 
-#: Slots of the shingle counts (the table that is broadcast: two megabytes at any input size).
-SLOTS = 1 << 18
-SLOT_BLOCK = 1 << 12
+#: Slots of the shingle counts (the table that is broadcast: eight megabytes at any input size).
+SLOTS = 1 << 21
+SLOT_BLOCK = 1 << 15
 #: Merging groups of the count tables of single tasks.
 MERGE_GROUPS = 64
 #: A set asks for one more shared shingle per so many prefix shingles, up to a limit, and for up
@@ -50,8 +53,12 @@ MAX_MATCH = 16
 EXTRA_MATCH = 3
 #: A shingle with more sets than this in one batch of prefixes counts as frequent.
 FREQUENT = 64
-#: First shingles of each set through which near copies find their common member.
+#: First shared shingles of each set through which near copies find their common member.
 HUB_KEYS = 3
+#: Words of the parity bits of a set: every shingle flips one of 64 * PARITY_WORDS bits, so two
+#: sets differ in at least as many shingles as their bits differ.
+PARITY_WORDS = 16
+PARITY = [f"b{i}" for i in range(PARITY_WORDS)]
 #: Stands for a missing ``doc_id`` inside the join.
 NO_ID = -(1 << 63)
 
@@ -93,7 +100,7 @@ def text_sets(texts: list[str], words: int) -> Iterator[np.ndarray]:
             yield shingle_set(part, words)
 
 
-PROFILE = "doc_id long, n_shingles long, cls binary, slot int, counts array<long>"
+PROFILE = "doc_id long, n_shingles long, cls binary, slot int, counts array<int>"
 
 
 def profile(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -101,11 +108,11 @@ def profile(docs: DataFrame, rule: Rule) -> DataFrame:
     counts of each task in blocks of slots."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(SLOTS, dtype=np.int64)
+        counts = np.zeros(SLOTS, dtype=np.int32)
         for batch in batches:
             sets = list(text_sets(batch["text"].tolist(), rule.words))
             slots = np.concatenate([*sets, np.zeros(0, dtype=np.uint64)]) % np.uint64(SLOTS)
-            counts += np.bincount(slots.astype(np.int64), minlength=SLOTS)
+            counts += np.bincount(slots.astype(np.int64), minlength=SLOTS).astype(np.int32)
             yield pd.DataFrame(
                 {
                     "doc_id": batch["doc_id"],
@@ -132,22 +139,39 @@ def profile(docs: DataFrame, rule: Rule) -> DataFrame:
 def shingle_counts(profiled: DataFrame) -> np.ndarray:
     """The tasks' count tables, added up in two steps."""
 
-    def add(batch: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"slot": [batch["slot"].iloc[0]], "counts": pd.Series([np.sum(batch["counts"].tolist(), axis=0)], dtype=object)}
-        )
+    def merge(batch: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum(batch["counts"].tolist(), axis=0, dtype=np.int64)
+        return pd.DataFrame({"slot": [batch["slot"].iloc[0]], "counts": pd.Series([total], dtype=object)})
 
     tables = profiled.filter(F.col("cls").isNull()).select("slot", "counts")
     dealt = tables.withColumn("_g", F.pmod(F.monotonically_increasing_id(), F.lit(MERGE_GROUPS)))
-    partial = dealt.groupBy("slot", "_g").applyInPandas(add, "slot int, counts array<long>")
-    rows = partial.groupBy("slot").applyInPandas(add, "slot int, counts array<long>").collect()  # SLOTS numbers
+    partial = dealt.groupBy("slot", "_g").applyInPandas(merge, "slot int, counts array<long>")
+    rows = partial.groupBy("slot").applyInPandas(merge, "slot int, counts array<long>").collect()  # SLOTS numbers
     total = np.zeros(SLOTS, dtype=np.int64)
     for row in rows:
         total[row["slot"] : row["slot"] + SLOT_BLOCK] = row["counts"]
-    return total
+    return np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
+
+
+PREFIXES = "cls binary, n int, l int, tokens array<long>, parity array<long>"
+
+
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    bits = np.bincount((shingles >> np.uint64(40)).astype(np.int64) % (64 * PARITY_WORDS), minlength=64 * PARITY_WORDS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-PREFIXES = "cls binary, n int, l int, tokens array<long>"
+def least_difference(left: str, right: str) -> Column:
+    """A lower bound on the shingles that are in one of two sets only."""
+    return reduce(add, (F.bit_count(F.col(left + b).bitwiseXOR(F.col(right + b))) for b in PARITY))
+
+
+def may_be_similar(left: str, right: str, rule: Rule) -> Column:
+    """Whether the sizes and parity bits of two sets allow the similarity."""
+    x, y = F.col(left + "n"), F.col(right + "n")
+    overlap = F.ceil(rule.num * (x + y) / (rule.num + rule.den))
+    sizes = rule.den * F.least(x, y) >= rule.num * F.greatest(x, y)
+    return sizes & (least_difference(left, right) <= x + y - 2 * overlap)
 
 
 def prefixes(docs: DataFrame, counts: np.ndarray, rule: Rule) -> DataFrame:
@@ -171,13 +195,15 @@ def prefixes(docs: DataFrame, counts: np.ndarray, rule: Rule) -> DataFrame:
                 excess = np.maximum(cost[order[: rule.prefix(size, 1)]] / usual - 1.0, 0.0).sum()
                 match = rule.match(size) + min(EXTRA_MATCH, int(np.log2(1.0 + excess)))
                 match = max(1, min(match, size - rule.prefix(size, 1) + 1))
-                seen[cls] = (size, match, shingles[order[: rule.prefix(size, match)]].view(np.int64))
+                prefix = shingles[order[: rule.prefix(size, match)]].view(np.int64)
+                seen[cls] = (size, match, prefix, parity_bits(shingles))
             yield pd.DataFrame(
                 {
                     "cls": list(seen),
                     "n": np.array([s[0] for s in seen.values()], dtype=np.int32),
                     "l": np.array([s[1] for s in seen.values()], dtype=np.int32),
                     "tokens": pd.Series([s[2] for s in seen.values()], dtype=object),
+                    "parity": pd.Series([s[3] for s in seen.values()], dtype=object),
                 }
             )
 
@@ -215,14 +241,22 @@ def needed_sets(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     return texts.mapInPandas(scan, "id long, shingles array<long>")
 
 
-def hub_pairs(heads: DataFrame) -> DataFrame:
-    """Pairs of each set with the smallest one that shares a first shingle with it."""
+def hub_pairs(tokens: DataFrame, traits: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of each set with the smallest one that has one of its first shared shingles there
+    too, if sizes and parity bits allow a link."""
+    order = Window.partitionBy("id").orderBy("i")  # one set's prefix
+    heads = tokens.select("id", "token", F.row_number().over(order).alias("_k")).filter(F.col("_k") <= HUB_KEYS)
     hubs = heads.groupBy("token").agg(F.min("id").alias("b"))
-    joined = heads.join(hubs, "token").filter(F.col("id") != F.col("b"))
-    return joined.select(F.col("id").alias("a"), "b").distinct()
+    pairs = heads.join(hubs, "token").filter(F.col("id") != F.col("b")).select(F.col("id").alias("a"), "b").distinct()
+    kept = pairs.join(prefixed(traits, "x_", "a"), "a").join(prefixed(traits, "y_", "b"), "b")
+    return kept.filter(may_be_similar("x_", "y_", rule)).select("a", "b")
+
+
+def prefixed(traits: DataFrame, prefix: str, key: str) -> DataFrame:
+    return traits.select(F.col("id").alias(key), *[F.col(c).alias(prefix + c) for c in ("n", *PARITY)])
 
 
-def cross_pairs(tokens: DataFrame, roots: DataFrame, rule: Rule) -> DataFrame:
+def cross_pairs(tokens: DataFrame, roots: DataFrame, traits: DataFrame, rule: Rule) -> DataFrame:
     """Candidate pairs of different components that share enough prefix shingles."""
     named = roots.withColumnRenamed("node", "id")
     placed = tokens.join(named, "id", "left").withColumn("root", F.coalesce("root", "id"))
@@ -234,17 +268,20 @@ def cross_pairs(tokens: DataFrame, roots: DataFrame, rule: Rule) -> DataFrame:
         .filter(F.col("_roots") > 1)
         .select("token", "major")
     )
-    rows = materialize(placed.join(mixed, "token"), "jaccard-mixed")
-    sides = ("id", "root", "n", "l", "d")
+    rows = materialize(placed.join(mixed, "token").drop("n").join(traits, "id"), "jaccard-mixed")
+    sides = ("id", "root", "n", "l", "i", *PARITY)
     x = rows.filter(F.col("root") != F.col("major")).select("token", *[F.col(c).alias(f"x_{c}") for c in sides])
     y = rows.select("token", "major", *[F.col(c).alias(f"y_{c}") for c in sides])
     match = F.least("x_l", "y_l")
+    # Similar sets of these sizes overlap in so many shingles; each one's prefix for that.
+    overlap = F.ceil(rule.num * (F.col("x_n") + F.col("y_n")) / (rule.num + rule.den))
     found = x.join(y, "token").filter(
         (F.col("x_root") != F.col("y_root"))
         # Two sets outside the major component meet twice; one of the two counts.
         & ((F.col("y_root") == F.col("major")) | (F.col("x_id") < F.col("y_id")))
-        & (rule.den * F.least("x_n", "y_n") >= rule.num * F.greatest("x_n", "y_n"))
-        & (F.greatest("x_d", "y_d") <= match)
+        & (F.col("x_i") < F.col("x_n") - overlap + match)
+        & (F.col("y_i") < F.col("y_n") - overlap + match)
+        & may_be_similar("x_", "y_", rule)
     )
     # Which side is outside the major component differs by shingle: count both orders together.
     return (
@@ -316,9 +353,8 @@ def keep_shared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def shared_tokens(found: DataFrame, rule: Rule) -> DataFrame:
-    """Prefix shingles that several sets hold: (token, id, i, n, l, d), ``i`` the place in the
-    prefix and ``d`` the shortest multi-match prefix that reaches it. Sets that share fewer
-    shingles than any partner would ask for are gone."""
+    """Prefix shingles that several sets hold: (token, id, i, n, l), ``i`` the place in the
+    prefix. Sets that share fewer shingles than any partner would ask for are gone."""
     parts = partitions(found.sparkSession)
     entries = found.select("id", "n", "l", "tokens").mapInPandas(token_entries(16 * parts), ENTRIES)
     shared = materialize(entries.repartition(parts, "pid").mapInPandas(keep_shared, TOKENS), "jaccard-shared")
@@ -332,7 +368,6 @@ def shared_tokens(found: DataFrame, rule: Rule) -> DataFrame:
     return (
         shared.join(open_sets, "id")
         .withColumns({"n": n, "i": place, "l": F.col("p").bitwiseAND(F.lit(255)).cast("int")})
-        .withColumn("d", F.greatest(F.lit(1), F.col("i") - (n - least + 1) + 2).cast("int"))
         .drop("p")
     )
 
@@ -350,8 +385,9 @@ def similar_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     named = materialize(classes.join(found.select("cls", "id"), "cls", "left"), "jaccard-classes")
     wanted = named.join(tokens.select("id").distinct(), "id", "left_semi")
     sets = materialize(needed_sets(plain, wanted, rule), "jaccard-sets")
-    near = materialize(verified(hub_pairs(tokens.filter(F.col("i") < HUB_KEYS)), sets, rule), "jaccard-near")
-    rest = verified(cross_pairs(tokens.drop("i"), connected_components(near), rule), sets, rule)
+    traits = found.select("id", "n", *[F.element_at("parity", i + 1).alias(b) for i, b in enumerate(PARITY)])
+    near = materialize(verified(hub_pairs(tokens, traits, rule), sets, rule), "jaccard-near")
+    rest = verified(cross_pairs(tokens, connected_components(near), traits, rule), sets, rule)
     roots = connected_components(near.unionByName(rest)).withColumnRenamed("node", "id")
     rooted = named.join(roots, "id", "left")
     # Linked classes take their component's smallest document, the others their own.
