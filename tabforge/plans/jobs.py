@@ -21,6 +21,7 @@ from ..operators.encode import CategoryEncoder
 from ..operators.prep import MissingPlan
 from ..sources import sinks
 from ..session import ensure_checkpoint_dir
+from .budgets import REFERENCE
 from ..sources.tables import REJECT, normalize_nan, read_csv, split_rejects
 
 
@@ -62,13 +63,15 @@ class TrainConfig:
     select_cut: float | None = 0.99        # FEA13 cumulative cut (None: all features)
     min_features: int = 50
     max_features: int = 2000
-    importance_params: dict = field(default_factory=lambda: {"n_estimators": 20, "max_depth": 5})
-    search_trials: int = 0                 # TUN3 budget (0: fixed params)
+    importance_params: dict = field(default_factory=lambda: {"n_estimators": REFERENCE.importance_rounds,
+                                                              "max_depth": REFERENCE.importance_depth})
+    search_trials: int = 0                 # TUN3 budget (0: fixed params; budgets.REFERENCE.search_trials to search)
     search_fraction: float = 0.5           # TUN4 stratified subsample
     search_space: dict = field(default_factory=lambda: dict(tune.GBT_SPACE))
-    params: dict = field(default_factory=lambda: {"n_estimators": 100, "max_depth": 7, "learning_rate": 0.05,
+    params: dict = field(default_factory=lambda: {"n_estimators": REFERENCE.rounds, "max_depth": REFERENCE.depth,
+                                                   "learning_rate": 0.05,
                                                    "subsample": 0.8, "colsample_bytree": 0.8})
-    patience: int = 50
+    patience: int = REFERENCE.patience
     seed: int = 42
 
 
@@ -185,7 +188,7 @@ def train_select_tune(spark: SparkSession, cfg: TrainConfig, train: DataFrame, v
         half = sample.stratified_fraction(prep["train"], cfg.label, cfg.key, cfg.search_fraction, cfg.seed)
 
         def objective(p):
-            fit_p = dict(p, n_estimators=cfg.params.get("n_estimators", 100), seed=cfg.seed)
+            fit_p = dict(p, n_estimators=cfg.params.get("n_estimators", REFERENCE.search_rounds), seed=cfg.seed)
             trial = learner.fit(half, prep["val"], fit_p)
             scored = learner.score(trial, prep["val"], [cfg.key, cfg.label]).checkpoint(eager=True)
             return metrics.pr_auc(scored, cfg.label, "p").first()["pr_auc"] or 0.0

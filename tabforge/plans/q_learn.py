@@ -14,10 +14,10 @@ from ..operators.history import history_table
 from ..operators.profile import class_weight
 from ..operators.reduce import fit_pca_path
 from . import fixtures as fx
+from .budgets import QUERIES as BUDGET
 from .registry import query, r6
 
-# Test-scale budgets (the reference runs 500-1000 rounds, patience 20-50).
-ROUNDS, PATIENCE, DEPTH = 20, 5, 3
+ROUNDS, PATIENCE, DEPTH = BUDGET.rounds, BUDGET.patience, BUDGET.depth
 
 
 def emb_splits(spark, sf_dir):
@@ -50,7 +50,7 @@ def gbt_importance(spark, sf_dir):
     train, _ = emb_splits(spark, sf_dir)
     spw = _spw(train)
     m = learn.fit_gbt(_weighted(train, spw), "y", weight="w",
-                      params={"n_estimators": 10, "max_depth": DEPTH, "seed": 42})
+                      params={"n_estimators": BUDGET.importance_rounds, "max_depth": DEPTH, "seed": 42})
     names = [f"f{i}" for i in range(m.numFeatures)]
     imp = select.importance_table(spark, names, m.featureImportances)
     sel = select.cumulative_selection(imp, 0.95, min_features=10, max_features=2000)
@@ -85,17 +85,16 @@ def search_trials(spark, sf_dir):
     train, val = emb_splits(spark, sf_dir)
     spw = _spw(train)
     half = sample.stratified_fraction(train, "y", "vec_id", 0.5, 42)
-    space = {k: v for k, v in tune.XGB_SPACE.items() if k in ("learning_rate", "max_depth", "subsample")}
-    space["max_depth"] = ("int", 2, 4)
+    space = dict(tune.GBT_SPACE, max_depth=("int", 2, DEPTH + 1))  # every dimension that MLlib has
 
     def objective(params):
-        p = dict(params, n_estimators=10, seed=42)
+        p = dict(params, n_estimators=BUDGET.search_rounds, seed=42)
         bm = learn.fit_with_early_stopping(_weighted(half, spw), _weighted(val, spw), "y", "vec_id",
                                            weight="w", params=p, patience=PATIENCE)
         scored = bm.predict_proba(val, ["vec_id", "y"])
         return metrics.pr_auc(scored, "y", "p").first()["pr_auc"]
 
-    trials = tune.random_search(spark, space, 3, objective, seed=42)
+    trials = tune.random_search(spark, space, BUDGET.search_trials, objective, seed=42)
     return trials.select("trial", F.to_json("params").alias("params"), r6("objective").alias("objective"))
 
 
@@ -141,7 +140,7 @@ def pca_scores(spark, sf_dir):
 
 
 # SCO1: the full train/select/tune/evaluate/submit job on the order features.
-def order_job(spark, sf_dir, search_trials=2, rounds=15):
+def order_job(spark, sf_dir, search_trials=BUDGET.search_trials, rounds=BUDGET.rounds):
     from ..operators.prep import MissingPlan
     from .jobs import TrainConfig, train_select_tune
     from ..session import ensure_checkpoint_dir
@@ -155,13 +154,13 @@ def order_job(spark, sf_dir, search_trials=2, rounds=15):
         label="label", key="id",
         plan=MissingPlan(exclude=["id", "label"], zero_contains=["discount"], sentinel_cols=["max_tax"],
                          categorical_cols=["status", "priority"]),
-        categorical=["status", "priority"], threshold=0.1, select_cut=0.99, min_features=50,
-        importance_params={"n_estimators": 10, "max_depth": 4},
+        categorical=["status", "priority"], threshold=0.1, select_cut=0.99, min_features=3,
+        importance_params={"n_estimators": BUDGET.importance_rounds, "max_depth": BUDGET.importance_depth},
         search_trials=search_trials,
         search_space={"learning_rate": ("logfloat", 0.05, 0.3), "max_depth": ("int", 2, 5),
                       "subsample": ("float", 0.5, 1.0)},
         params={"n_estimators": rounds, "max_depth": 4, "learning_rate": 0.1, "subsample": 0.8},
-        patience=5)
+        patience=PATIENCE)
     return train_select_tune(spark, cfg, train, val, test.drop("label"))
 
 
