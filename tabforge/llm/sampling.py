@@ -34,6 +34,8 @@ SAMPLES = 2
 TEMPERATURE = 0.002
 #: Scores below this one mark pieces without a rank; they weigh as little as unknown characters.
 LEAST_SCORE = -1e8
+#: Pieces after which the samples of a batch are handed on, so that long texts stay few in memory.
+BATCH_PIECES = 1 << 20
 
 
 def log_sum(values: list[float]) -> float:
@@ -145,15 +147,18 @@ def sample_segmentations(
         vocabulary = load_vocabulary(model)
         sampler = Sampler(vocabulary)
         for batch in batches:
-            owner, found = [], []
+            owner, found, pieces = [], [], 0
             for i, (t, seed) in enumerate(zip(batch["_text"], batch["_seed"], strict=True)):
                 for n, (ids, log_prob, inclusion) in enumerate(sampler.sample(t, k, int(seed)), 1):
                     owner.append(i)
                     found.append((n, array("i", ids), log_prob, inclusion, decode(vocabulary, ids) if ids else ""))
-            out = batch[key].iloc[owner].reset_index(drop=True)
-            for c, column in enumerate(("sample", "ids", "log_prob", "inclusion", "decoded")):
-                out[column] = pd.Series([f[c] for f in found], dtype=object if column in ("ids", "decoded") else None)
-            yield out
+                    pieces += len(ids)
+                if pieces > BATCH_PIECES or i == len(batch) - 1:
+                    out = batch[key].iloc[owner].reset_index(drop=True)
+                    for c, column in enumerate(("sample", "ids", "log_prob", "inclusion", "decoded")):
+                        out[column] = pd.Series([f[c] for f in found], dtype=object if column in ("ids", "decoded") else None)
+                    yield out
+                    owner, found, pieces = [], [], 0
 
     seeded = rows.select(
         *key, F.coalesce(F.col(text), F.lit("")).alias("_text"), F.xxhash64(*[F.col(c).cast("string") for c in key]).alias("_seed")
@@ -162,10 +167,16 @@ def sample_segmentations(
 
 
 def op7_sampled_segmentations(spark, sf_dir: str) -> DataFrame:
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "text")
-    drawn = sample_segmentations(turns, ["conv_id", "turn"])
+    """Samples of every whole text of ``documents`` (``turn`` is NULL) and of every turn of ``conversations``."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        F.lit("documents").alias("source"), F.col("doc_id").cast("string").alias("id"), F.lit(None).cast("int").alias("turn"), "text"
+    )
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
+        F.lit("conversations").alias("source"), F.col("conv_id").cast("string").alias("id"), F.col("turn").cast("int").alias("turn"), "text"
+    )
+    drawn = sample_segmentations(documents.unionByName(turns), ["source", "id", "turn"])
     return drawn.select(
-        "conv_id", "turn", "sample", F.size("ids").alias("n_pieces"), ids_digest("ids").alias("ids_crc32"),
+        "source", "id", "turn", "sample", F.size("ids").alias("n_pieces"), ids_digest("ids").alias("ids_crc32"),
         "log_prob", "inclusion", F.length("decoded").alias("n_chars"),
     )
 

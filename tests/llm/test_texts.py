@@ -235,6 +235,15 @@ def test_samples_decode_to_the_text_and_are_distinct(spark):
     assert sampling.sample_segmentations(frame.limit(0), ["doc_id"]).collect() == []
 
 
+def test_op7_reads_every_whole_document(spark, documents):
+    small = "/root/testdata/sf0.001"
+    out = sampling.op7_sampled_segmentations(spark, small).collect()
+    chars = {r["id"]: r["n_chars"] for r in out if r["source"] == "documents"}
+    assert chars == {str(i): len(t or "") for i, t in documents}
+    turns = {(r["id"], r["turn"]) for r in out if r["source"] == "conversations"}
+    assert len(turns) == spark.read.parquet(f"{small}/conversations.parquet").select("conv_id", "turn").distinct().count()
+
+
 def test_inclusion_weights_are_unbiased():
     sampler = sampling.Sampler(unigram.load_vocabulary(unigram.default_model()), 0.0005)
     first, estimate, exact, runs = {}, {}, {}, 1500
