@@ -9,9 +9,9 @@
   margins with one numpy gather + cumsum. ``posexplode`` then yields
   ``(row, round, p)`` inside the same stage, so per-round metrics are
   ordinary grouped aggregates.
-* Early stopping (LRN9/LRN10) trains the round budget once, finds the best
-  round on the validation history (WIN5) and scores with the first
-  ``best_round + 1`` trees; no refit.
+* Early stopping (LRN9/LRN10) fits some rounds, finds the best round on the
+  validation history (WIN5), fits twice as many while patience has not ended
+  the fit, and scores with the first ``best_round + 1`` trees.
 
 MLlib's margin scale: ``p = 1 / (1 + exp(-2 m))``.
 """
@@ -36,6 +36,7 @@ from . import metrics
 from .history import early_stopping
 
 MAX_LEAF_TABLE = 4_000_000  # trees x leaves held in the broadcast matrix; checked before the fit
+FIRST_ROUNDS = 32  # rounds of the first fit under a larger round budget
 
 
 def class_weight_col(label: str, scale_pos_weight: float) -> F.Column:
@@ -240,19 +241,31 @@ def fit_with_early_stopping(train: DataFrame, val: DataFrame, label: str, key: s
                             features: str = "features", weight: str | None = None,
                             params: dict | None = None, patience: int = 50,
                             metric: str = "aucpr", with_train_history: bool = False) -> BoostedModel:
-    """LRN1 + LRN8 + LRN9 + LRN10: fit the round budget, evaluate every
-    round on ``val`` (the last eval set), stop at ``patience``."""
+    """LRN1 + LRN8 + LRN9 + LRN10: evaluate every round on ``val`` (the last eval
+    set), stop at ``patience``. A longer MLlib fit with the same seed begins with
+    the trees of a shorter one, so the fit starts with a few patiences of rounds
+    and doubles until patience ends it or the round budget is used; rounds past
+    the stop are dropped from the leaf table and the history."""
     spark = train.sparkSession
-    model = fit_gbt(train, label, features, weight, params)
-    table = leaf_table(spark, model)
+    params = dict(params or {})
+    budget = int(params.get("n_estimators", 20))
+    rounds = min(budget, max(FIRST_ROUNDS, 2 * patience))
     keep_val = [key, label] + ([weight] if weight and weight in val.columns else [])
-    hist = round_history(staged_scores(val, model, table, keep_val, features), label, "eval",
-                         weight if weight and weight in val.columns else None, (metric,))
+    while True:
+        model = fit_gbt(train, label, features, weight, dict(params, n_estimators=rounds))
+        table = leaf_table(spark, model)
+        hist = round_history(staged_scores(val, model, table, keep_val, features), label, "eval",
+                             weight if weight and weight in val.columns else None, (metric,))
+        hist = hist.checkpoint(eager=True)  # small: rounds x splits x metrics
+        es = early_stopping(hist, patience, maximize=(metric != "logloss")).first()
+        if rounds >= budget or int(es["stop_round"]) - int(es["best_round"]) >= patience:
+            break
+        rounds = min(budget, 2 * rounds)
+    used = int(es["stop_round"]) + 1
+    table = LeafTable(table.values[:used])
     if with_train_history:
         keep_tr = [key, label] + ([weight] if weight else [])
         hist = hist.unionByName(round_history(staged_scores(train, model, table, keep_tr, features),
-                                              label, "train", weight, (metric,)))
-    hist = hist.checkpoint(eager=True)  # small: rounds x splits x metrics
-    es = early_stopping(hist.filter((F.col("split") == "eval") & (F.col("metric") == metric)),
-                        patience, maximize=(metric != "logloss")).first()
-    return BoostedModel(model=model, leaves=table, best_iteration=int(es["best_round"]), history=hist)
+                                              label, "train", weight, (metric,))).checkpoint(eager=True)
+    return BoostedModel(model=model, leaves=table, best_iteration=int(es["best_round"]),
+                        history=hist.filter(F.col("round") < used))

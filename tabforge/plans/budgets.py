@@ -19,6 +19,6 @@ class Budget:
 #: The reference's budget; the defaults of ``jobs.TrainConfig``.
 REFERENCE = Budget(rounds=1000, patience=50, depth=7, importance_rounds=100, importance_depth=6, search_trials=30,
                    search_rounds=1000)
-#: The registered queries fit on a small machine within seconds to a minute.
-QUERIES = Budget(rounds=15, patience=5, depth=3, importance_rounds=10, importance_depth=4, search_trials=2,
-                 search_rounds=10)
+#: The registered queries: patience, not the rounds, is to end their fits.
+QUERIES = Budget(rounds=200, patience=20, depth=3, importance_rounds=20, importance_depth=4, search_trials=5,
+                 search_rounds=200)

@@ -70,6 +70,25 @@ def test_early_stopping_best_iteration(spark, emb):
     assert scored.count() == val.count()
 
 
+def test_patience_ends_the_fit(spark, emb):
+    train, val = emb
+    bm = learn.fit_with_early_stopping(train, val, "y", "vec_id", weight="w", patience=2,
+                                       params={"n_estimators": 64, "max_depth": 2, "subsample": 0.8, "seed": 42})
+    assert bm.leaves.n_trees == bm.best_iteration + 3 < 64
+    assert bm.history.count() == bm.leaves.n_trees
+    # A longer fit begins with the shorter one's trees, so doubling changes no result.
+    p = {"n_estimators": 12, "max_depth": 2, "subsample": 0.8, "seed": 42}
+    longer = learn.leaf_table(spark, learn.fit_gbt(train, "y", weight="w", params=p))
+    shorter = learn.leaf_table(spark, learn.fit_gbt(train, "y", weight="w", params=dict(p, n_estimators=4)))
+    assert np.allclose(longer.values[:4, :shorter.values.shape[1]], shorter.values)
+
+
+def test_query_budget_is_not_cut():
+    from tabforge.plans.budgets import QUERIES
+    assert QUERIES.rounds >= 20 and QUERIES.search_trials >= 3 and QUERIES.search_rounds > QUERIES.patience
+    assert QUERIES.rounds > QUERIES.patience
+
+
 def test_pca_orthonormal_and_variance(spark, emb):
     train, val = emb
     m = fit_pca_path(train, "features", 5)
