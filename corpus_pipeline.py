@@ -4,8 +4,8 @@ Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is writt
 read again as the next stage's documents. All but the last keep the columns of ``documents``.
 
 Cases: null texts and documents without enough words go with the quality rules; rows without
-``doc_id`` pass the near-duplicate stage unchanged; rows that repeat a ``doc_id`` count as one
-document there, of which one row stays; an empty table passes through every stage.
+``doc_id`` pass the near-duplicate stage unchanged; rows that repeat a ``doc_id`` with another text
+are documents of their own there; an empty table passes through every stage.
 """
 
 from __future__ import annotations
@@ -49,11 +49,16 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest ``doc_id`` stays."""
-    components = jaccard_components(docs.select("doc_id", "text"), NEAR_DUPLICATES)
-    stay = materialize(components.filter("doc_id = component_id").select("doc_id").distinct(), "pipeline-stay")
-    named = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter(F.col("doc_id").isNull())).select(*docs.columns)
+    """Of each group of linked texts the one with the smallest ``doc_id`` stays. Rows are told apart
+    by ``doc_id`` and text, so that only equal or linked texts go where an id is used again."""
+    rows = docs.filter(F.col("doc_id").isNotNull()).withColumn("_row", F.xxhash64("doc_id", "text"))
+    components = jaccard_components(rows.select(F.col("_row").alias("doc_id"), "text"), NEAR_DUPLICATES)
+    grouped = components.select(F.col("doc_id").alias("_row"), "component_id").distinct()
+    owned = rows.select("_row", "doc_id").distinct().join(grouped, "_row")
+    first = owned.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("first"))
+    stay = materialize(first.select("first._row"), "pipeline-stay")
+    named = rows.join(stay, "_row", "left_semi").dropDuplicates(["_row"])
+    return named.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

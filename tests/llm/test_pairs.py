@@ -175,3 +175,14 @@ def test_string_buckets_depend_on_the_string_alone():
     assert len(buckets) == len(raw) - 99
     assert (buckets[400:451] == buckets[100:151]).all()
     assert len(np.unique(buckets)) == len({raw[i : i + 100].tobytes() for i in range(601)})
+
+
+def test_pipeline_keeps_other_texts_of_a_reused_id(spark):
+    import corpus_pipeline
+
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, b + " more"), (3, c), (3, c), (1, "short"), (1, "other"), (None, a), (4, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    want = [(1, a), (1, b), (3, c), (1, "short"), (1, "other"), (None, a)]
+    assert sorted(map(str, map(tuple, out))) == sorted(map(str, want))
