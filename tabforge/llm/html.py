@@ -46,7 +46,9 @@ HIDE = 0.2
 RUN_STEPS = 1 << 15
 
 # Elements by their role in a page.
-RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|select"
+#: Without an end tag, the first run to the end of the page; the others hide nothing then, nor when closed by "/>".
+RAW_TO_END = "script|style|textarea"
+RAW_IF_CLOSED = "noscript|template|svg|iframe|object|select"
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset "
     "figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre "
@@ -62,7 +64,7 @@ BOILERPLATE_WORDS = frozenset(
 )
 
 MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<[!?][^>]*(?:>|\Z)|</?\Z|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<({RAW_TO_END})\b[^>]*>.*?(?:</\1\s*>|\Z)|<({RAW_IF_CLOSED})\b(?:[^>]*[^/>])?>.*?</\2\s*>|<[!?][^>]*(?:>|\Z)|</?\Z|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S | re.I,
 )
 MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -109,9 +111,9 @@ def read_page(markup: str) -> Page:
             pieces.append(markup[at : m.start()])
             link_chars += (m.start() - at) * (links > 0)
         at = m.end()
-        name = m[3]
+        name = m[4]
         if name is None:
-            if m[1]:
+            if m[1] or m[2]:
                 pieces.append(" ")
             continue
         name = name.lower()
@@ -121,10 +123,10 @@ def read_page(markup: str) -> Page:
             else:
                 pieces.append(" " if name == "br" else "")
         elif name == "a":
-            links = max(0, links + (-1 if m[2] else 1))
+            links = max(0, links + (-1 if m[3] else 1))
         elif name in BLOCKS:
             close_block()
-            if m[2]:
+            if m[3]:
                 for depth in range(len(stack) - 1, -1, -1):
                     if stack[depth][0] == name:
                         del stack[depth:]
@@ -132,7 +134,7 @@ def read_page(markup: str) -> Page:
             else:
                 if stack and (stack[-1][0] == "p" or (name == stack[-1][0] and name in ("li", "dt", "dd", "tr", "td", "th", "option"))):
                     stack.pop()
-                stack.append((name, marks_of(m[4])))
+                stack.append((name, marks_of(m[5])))
     if at < len(markup):
         pieces.append(markup[at:])
     close_block()

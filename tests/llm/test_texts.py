@@ -181,6 +181,12 @@ def test_gradients_equal_differences():
         assert abs((up - down) / 2e-3 - g[at]) < 2e-4, key
 
 
+def test_unclosed_elements_do_not_swallow_the_page():
+    page = "<article><p>one<svg viewBox='0' /> two</p><p>three <math><mi>x</mi></math></p><object data='a'><p>four</p></article>"
+    assert html.read_page(page).texts == ["one two", "three x", "four"]
+    assert html.read_page("<p>a<svg><text>b</text></svg>c</p><script>d<p>e").texts == ["a c"]
+
+
 # token counts and samples --------------------------------------------------------------------
 
 
