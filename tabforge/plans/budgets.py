@@ -14,6 +14,7 @@ class Budget:
     importance_depth: int
     search_trials: int
     search_rounds: int
+    max_bins: int = 256
 
 
 #: The reference's budget; the defaults of ``jobs.TrainConfig``.

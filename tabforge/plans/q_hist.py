@@ -10,6 +10,7 @@ from ..operators import hist, sample
 from ..operators.encode import CategoryEncoder
 from ..sources.tables import read_table
 from . import fixtures as fx
+from .budgets import QUERIES as BUDGET
 from .registry import query, r6
 
 
@@ -92,8 +93,8 @@ def hist_fit(spark, sf_dir):
     train, val = sample.split_exact(of, "id", 0.8, 42)
     enc = CategoryEncoder(["status", "priority"]).fit(train)
     train, val = enc.transform(train), enc.transform(val)   # NULL codes stay NULL (missing)
-    p = hist.HistParams(n_rounds=8, max_depth=3, eta=0.3, max_bins=32, subsample=0.8,
-                        colsample_bytree=0.8, reg_alpha=0.1, gamma=0.1, patience=3, checkpoint_every=4)
+    p = hist.HistParams(n_rounds=BUDGET.rounds, max_depth=BUDGET.depth, eta=0.3, max_bins=BUDGET.max_bins, subsample=0.8,
+                        colsample_bytree=0.8, reg_alpha=0.1, gamma=0.1, patience=BUDGET.patience, checkpoint_every=4)
     model = hist.fit_hist(train, _HIST_COLS, "label", "id", params=p, val=val, categorical=["status", "priority"])
     return model, val
 

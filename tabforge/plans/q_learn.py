@@ -100,12 +100,12 @@ def search_trials(spark, sf_dir):
 
 @query("weight_sweep")
 def weight_sweep(spark, sf_dir):
-    """TUN1: class weights 1, ratio/2 and ratio, one fit each, metrics at 0.5 with both
+    """TUN1: class weights 1, ratio/2, ratio and twice the ratio, one fit each, metrics at 0.5 with both
     areas; the refit takes the best F1."""
     train, val = emb_splits(spark, sf_dir)
     spw = _spw(train)
-    table, best, _ = tune.weight_sweep(train, val, "y", "vec_id", [1.0, spw / 2, spw], 0.5,
-                                       {"n_estimators": 6, "max_depth": 2, "seed": 42}, patience=PATIENCE)
+    table, best, _ = tune.weight_sweep(train, val, "y", "vec_id", [1.0, spw / 2, spw, 2 * spw], 0.5,
+                                       {"n_estimators": ROUNDS, "max_depth": DEPTH, "seed": 42}, patience=PATIENCE)
     return table.select(*[r6(c).alias(c) for c in table.columns], (F.col("weight") == F.lit(best)).alias("chosen"))
 
 

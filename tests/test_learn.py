@@ -89,6 +89,33 @@ def test_query_budget_is_not_cut():
     assert QUERIES.rounds > QUERIES.patience
 
 
+def test_hist_and_sweep_take_the_budget(spark, monkeypatch):
+    from tabforge.operators import hist, tune
+    from tabforge.plans import q_hist
+    from tabforge.plans.budgets import QUERIES
+    seen = {}
+
+    class Seen(Exception):
+        pass
+
+    def fit(*args, params=None, **kw):
+        seen["hist"] = params
+        raise Seen
+
+    def sweep(train, val, label, key, weights, threshold, params, patience):
+        seen["sweep"] = (len(weights), params["n_estimators"], params["max_depth"], patience)
+        raise Seen
+
+    monkeypatch.setattr(hist, "fit_hist", fit)
+    monkeypatch.setattr(tune, "weight_sweep", sweep)
+    for run in (q_hist.hist_fit, q_learn.weight_sweep):
+        with pytest.raises(Seen):
+            run(spark, SF_SMALL)
+    p = seen["hist"]
+    assert (p.n_rounds, p.max_depth, p.max_bins, p.patience) == (QUERIES.rounds, QUERIES.depth, QUERIES.max_bins, QUERIES.patience)
+    assert seen["sweep"] == (4, QUERIES.rounds, QUERIES.depth, QUERIES.patience)
+
+
 def test_pca_orthonormal_and_variance(spark, emb):
     train, val = emb
     m = fit_pca_path(train, "features", 5)
