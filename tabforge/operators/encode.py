@@ -6,11 +6,11 @@ lookup; an unseen value (or a NULL) becomes a NULL code, and unseen values
 are counted per column (FEA10).
 
 Lookup (an explicit choice, not one by size):
-* ``index`` (default): all columns in one projection by the hash lookup of
-  MLlib's ``StringIndexerModel``; the dictionary is held by the driver and every
-  executor;
-* ``join``: for dictionaries beyond that, a left join per column, planned by
-  Spark (AQE splits hot values).
+* ``join`` (default): a left join per column, planned by Spark (small dictionaries
+  are broadcast, AQE splits hot values);
+* ``index``: all columns in one projection by the hash lookup of MLlib's
+  ``StringIndexerModel``; the dictionary is held by the driver and every executor,
+  so more than ``INDEX_VALUES`` values are an error.
 """
 
 from __future__ import annotations
@@ -25,6 +25,9 @@ from .profile import long_cells
 from .running import grouped_ordinal
 
 
+INDEX_VALUES = 100_000  # dictionary rows of ``index``, all columns together
+
+
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -42,14 +45,17 @@ def category_dictionary(train: DataFrame, cols: list[str]) -> DataFrame:
 class CategoryEncoderModel:
     cols: list
     dictionary: DataFrame
-    lookup: str = "index"
+    lookup: str = "join"
     _labels: dict | None = None
 
     def labels(self) -> dict[str, list]:
         """Values per column in code order (held by the driver for ``index``)."""
         if self._labels is None:
             found: dict = {c: [] for c in self.cols}
-            for r in self.dictionary.orderBy("feature", "code").collect():
+            rows = self.dictionary.orderBy("feature", "code").limit(INDEX_VALUES + 1).collect()
+            if len(rows) > INDEX_VALUES:
+                raise ValueError(f"more than {INDEX_VALUES} category values; use lookup 'join'")
+            for r in rows:
                 found[r["feature"]].append(r["value"])
             self._labels = found
         return self._labels
@@ -102,7 +108,7 @@ class CategoryEncoderModel:
 class CategoryEncoder:
     """FEA9: fit the train dictionary for ``cols``."""
 
-    def __init__(self, cols: list[str], lookup: str = "index"):
+    def __init__(self, cols: list[str], lookup: str = "join"):
         if lookup not in ("index", "join"):
             raise ValueError(f"unknown lookup {lookup}")
         self.cols = list(cols)

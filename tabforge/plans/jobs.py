@@ -59,6 +59,7 @@ class TrainConfig:
     plan: MissingPlan | None = None        # None: train on the gaps (FEA12, "hist" backend)
     backend: str = "mllib"                 # "mllib" or "hist" (all regularisation, gaps, category sets)
     categorical: list = field(default_factory=list)
+    lookup: str = "join"                   # category lookup; "index" only for at most encode.INDEX_VALUES values
     threshold: float = 0.1                 # PRJ10 decision threshold
     select_cut: float | None = 0.99        # FEA13 cumulative cut (None: all features)
     min_features: int = 50
@@ -80,7 +81,7 @@ def _prepare(cfg: TrainConfig, train: DataFrame, others: dict):
     given = {k: v for k, v in {"train": train, **others}.items() if v is not None}
     prep = {k: plan.transform(v) for k, v in given.items()} if plan else given
     cats = C.present(prep["train"], cfg.categorical)
-    enc = CategoryEncoder(cats).fit(prep["train"]) if cats else None
+    enc = CategoryEncoder(cats, cfg.lookup).fit(prep["train"]) if cats else None
     if enc is not None:
         prep = {k: enc.transform(v) for k, v in prep.items()}
         card = {r["feature"]: r["k"] for r in enc.dictionary.groupBy("feature")

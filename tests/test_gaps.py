@@ -165,3 +165,15 @@ def test_submission_is_one_file_with_one_mark(spark, tmp_path):
     raw = parts[0].read_bytes()
     assert len(parts) == 1 and raw.startswith(b"\xef\xbb\xbfID,y\n") and raw.count(b"\xef\xbb\xbf") == 1
     assert len(raw.splitlines()) == 41
+
+
+def test_category_lookup_joins_unless_bounded(spark, monkeypatch):
+    from tabforge.operators import encode
+    from tabforge.plans.jobs import TrainConfig
+    df = spark.createDataFrame([(i, f"v{i}") for i in range(5)], "id long, c string")
+    monkeypatch.setattr(encode, "INDEX_VALUES", 4)
+    assert encode.CategoryEncoder(["c"]).lookup == TrainConfig(label="y", key="id").lookup == "join"
+    coded = encode.CategoryEncoder(["c"]).fit(df).transform(df)
+    assert sorted((r["id"], r["c"]) for r in coded.collect()) == [(i, i) for i in range(5)]
+    with pytest.raises(ValueError):
+        encode.CategoryEncoder(["c"], lookup="index").fit(df).transform(df)
