@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tabforge.llm import quality, sharding
 from tabforge.llm.html import op5_html_extraction
+from tabforge.llm.imatch import op12_document_fingerprints
 from tabforge.llm.jaccard import op1_ngram_jaccard_join
 from tabforge.llm.neighbours import op10_nearest_neighbours
 from tabforge.llm.packing import op2_best_fit_packing
@@ -23,6 +24,7 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op12_document_fingerprints": op12_document_fingerprints,
 }
 
 ORACLES: dict[str, str] = {"op8_sharding": sharding.SQL, "op9_quality_rules": quality.SQL}
