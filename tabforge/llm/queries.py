@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabforge.llm import quality, sharding
+from tabforge.llm import collocations, quality, sharding
 from tabforge.llm.html import op5_html_extraction
 from tabforge.llm.imatch import op12_document_fingerprints
 from tabforge.llm.jaccard import op1_ngram_jaccard_join
@@ -25,6 +25,11 @@ QUERIES = {
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_nearest_neighbours": op10_nearest_neighbours,
     "op12_document_fingerprints": op12_document_fingerprints,
+    "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
 
-ORACLES: dict[str, str] = {"op8_sharding": sharding.SQL, "op9_quality_rules": quality.SQL}
+ORACLES: dict[str, str] = {
+    "op8_sharding": sharding.SQL,
+    "op9_quality_rules": quality.SQL,
+    "op13_phrase_collocations": collocations.SQL,
+}
