@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -45,6 +46,28 @@ def blocks_of(texts: Iterable[bytes], limit: int = 1 << 20) -> Iterator[tuple[in
         yield first, block
 
 
+def cut_at(raw: bytes, pattern: re.Pattern[bytes], limit: int = 1 << 20) -> Iterator[bytes]:
+    """A long text in blocks of about ``limit`` bytes, cut behind matches of ``pattern``."""
+    at = 0
+    while len(raw) - at > limit and (end := pattern.search(raw, at + limit)):
+        yield raw[at : end.end()]
+        at = end.end()
+    yield raw[at:]
+
+
+def run_hashes(raw: bytes, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of each maximal run of the bytes that ``inside`` marks, A-Z lower-cased."""
+    lowered = LOWER[np.frombuffer(raw, dtype=np.uint8)]
+    apart = ~inside[lowered]
+    edge = np.flatnonzero(np.diff(apart.view(np.int8), prepend=np.int8(1), append=np.int8(1)))
+    start, end = edge[0::2], edge[1::2]
+    up, down = powers(len(lowered))
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(lowered) + 1, dtype=np.uint64)
+        np.cumsum(BYTE_VALUE[lowered] * up[: len(lowered)], out=total[1:])
+        return mix((total[end] - total[start]) * down[start]), start, end
+
+
 def word_hashes(texts: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of each word (maximal run of bytes that are no separators) of all texts in
     order, and the number of words of each text."""

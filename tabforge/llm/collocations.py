@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabforge.llm.bytehash import BYTE_VALUE, LOWER, blocks_of, powers
+from tabforge.llm.bytehash import LOWER, blocks_of, cut_at, run_hashes
 from tabforge.llm.common import U64, materialize, mix
 
 PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
@@ -62,32 +62,17 @@ class Rule:
 
 def words_in(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, bytes]:
     """Hash, start, end and piece number of each word of some texts, and the bytes they lie in."""
-    raw = LOWER[np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)]
-    kind = KIND[raw]
-    edge = np.flatnonzero(np.diff((kind > 0).view(np.int8), prepend=np.int8(1)))
-    start, end = edge[0::2], edge[1::2]
-    up, down = powers(len(raw))
-    with np.errstate(over="ignore"):
-        total = np.zeros(len(raw) + 1, dtype=np.uint64)
-        np.cumsum(BYTE_VALUE[raw] * up[: len(raw)], out=total[1:])
-        hashes = mix((total[end] - total[start]) * down[start])
+    raw = b"\n".join(texts) + b"\n"
+    hashes, start, end = run_hashes(raw, KIND == 0)
     # 0 stands for the end of a piece.
     hashes[hashes == 0] = 1
-    return hashes, start, end, np.cumsum(kind == 2)[start], raw.tobytes()
-
-
-def cut_between_pieces(raw: bytes, limit: int = 1 << 20) -> Iterator[bytes]:
-    """A long text in blocks of whole pieces."""
-    at = 0
-    while len(raw) - at > limit and (end := PIECE_END.search(raw, at + limit)):
-        yield raw[at : end.end()]
-        at = end.end()
-    yield raw[at:]
+    lowered = LOWER[np.frombuffer(raw, dtype=np.uint8)]
+    return hashes, start, end, np.cumsum(KIND[lowered] == 2)[start], lowered.tobytes()
 
 
 def by_language(batch: pd.DataFrame) -> Iterator[tuple[str, list[bytes]]]:
     for lang, rows in batch.groupby("lang", sort=False):
-        for _, block in blocks_of(b for t in rows["text"] for b in cut_between_pieces(t.encode())):
+        for _, block in blocks_of(b for t in rows["text"] for b in cut_at(t.encode(), PIECE_END)):
             yield lang, block
 
 

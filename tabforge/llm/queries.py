@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabforge.llm import collocations, quality, sharding
+from tabforge.llm import collocations, quality, ranked, sharding
 from tabforge.llm.html import op5_html_extraction
 from tabforge.llm.imatch import op12_document_fingerprints
 from tabforge.llm.jaccard import op1_ngram_jaccard_join
@@ -24,6 +24,7 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_ranked_search": ranked.op11_ranked_search,
     "op12_document_fingerprints": op12_document_fingerprints,
     "op13_phrase_collocations": collocations.op13_phrase_collocations,
 }
@@ -31,5 +32,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op8_sharding": sharding.SQL,
     "op9_quality_rules": quality.SQL,
+    "op11_ranked_search": ranked.SQL,
     "op13_phrase_collocations": collocations.SQL,
 }
