@@ -17,7 +17,7 @@ Cases: a null text is empty. A text without lexicon terms is fingerprinted by al
 without any term by itself, so equal texts always have equal fingerprints, and texts whose sizes are
 more than about two to four times apart have likeness 0. Rows without ``doc_id`` come last in descending
 order; rows that repeat a ``doc_id`` with another text are documents of their own, ordered by the
-hash of the text; rows equal in ``doc_id`` and text are one document and come back once. The next
+hash of the text (``doc_id`` must be a number); rows equal in ``doc_id`` and text are one document and come back once. The next
 document of a single document is itself. An empty table gives an empty result. Other columns
 are ignored.
 """
@@ -37,6 +37,10 @@ from tabforge.llm.quality import bound
 NO_TERM = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
+#: Ranges of ``doc_id`` for each shuffle partition; they even out.
+RANGES_PER_PARTITION = 8
+
+
 @dataclass(frozen=True)
 class Band:
     """Terms with more than ``1 / max_terms`` of all (document, term) pairs, in two documents at
@@ -61,10 +65,9 @@ def slot(term: Column, band: Band) -> Column:
 def fit_lexicon(docs: DataFrame, band: Band, text: str = "text") -> DataFrame:
     """(term) of the band, counted over all documents."""
     listed = docs.select(F.explode(terms(text_or_empty(text))).alias("term"))
-    counted = materialize(listed.groupBy("term").agg(F.count("*").alias("df")).filter("df > 1"), "imatch-counts")
-    # Terms of one document are no candidates; they count among the pairs.
-    totals = docs.agg(F.count("*").alias("docs"), F.sum(F.size(terms(text_or_empty(text)))).alias("pairs")).first()
-    kept = (F.col("df") * band.max_terms > (totals["pairs"] or 0)) & (F.col("df") <= band.high * totals["docs"])
+    counted = materialize(listed.groupBy("term").agg(F.count("*").alias("df")), "imatch-counts")
+    pairs, n_docs = counted.agg(F.sum("df")).first()[0] or 0, docs.count()
+    kept = (F.col("df") > 1) & (F.col("df") * band.max_terms > pairs) & (F.col("df") <= band.high * n_docs)
     return materialize(counted.filter(kept).select("term"), "imatch-lexicon")
 
 
@@ -151,38 +154,59 @@ def likeness(a: Column, b: Column) -> Column:
     )
 
 
-def neighbours_in_order(rows: DataFrame) -> DataFrame:
-    """(_k, n, next_k) of the rows (doc_id, _k, n): the key of the next row in descending
-    ``doc_id``, and of the first row after the last one. Rows are ordered in range partitions; only
-    one row of each partition is looked at by its neighbour."""
-    spark = rows.sparkSession
-    order = [F.desc_nulls_last("doc_id"), F.asc("_k")]
-    once = materialize(rows.dropDuplicates(["_k"]), "imatch-rows")
-    ranged = once.repartitionByRange(partitions(spark), *order).withColumn("_pid", F.spark_partition_id())
-    placed = materialize(ranged, "imatch-order")
-    inside = Window.partitionBy("_pid").orderBy(*order)
-    led = placed.select("_k", "n", "_pid", F.lead("_k").over(inside).alias("next_k"), F.row_number().over(inside).alias("_i"))
-    heads = materialize(led.filter(F.col("_i") == 1).select("_pid", "_k"), "imatch-heads")
-    # One row for each range partition.
-    across = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    later = heads.select(
-        "_pid", F.coalesce(F.lead("_k").over(Window.orderBy("_pid")), F.first("_k").over(across)).alias("_head")
-    )
-    return led.join(later, "_pid").select("_k", "n", F.coalesce("next_k", "_head").alias("next_k"))
+def range_of(value: Column, bounds: list) -> Column:
+    """Number of the sorted ``bounds`` that are greater than ``value``, by binary search; null counts as smallest."""
+    if not bounds:
+        return F.lit(0)
+    table = F.array(*[F.lit(b) for b in bounds])
+
+    def halve(at: Column, _: Column) -> Column:
+        middle = F.call_function("div", at["lo"] + at["hi"], F.lit(2)).cast("int")
+        below = F.element_at(table, middle + 1) <= value
+        more = at["lo"] < at["hi"]
+        return F.struct(
+            F.when(more & below, middle + 1).otherwise(at["lo"]).alias("lo"),
+            F.when(more & ~below, middle).otherwise(at["hi"]).alias("hi"),
+        )
+
+    start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
+    steps = F.sequence(F.lit(0), F.lit(len(bounds).bit_length()))
+    found = F.aggregate(steps, start, halve, lambda at: F.lit(len(bounds)) - at["lo"])
+    return F.when(value.isNull(), F.lit(len(bounds))).otherwise(found)
 
 
 def edited_texts(docs: DataFrame) -> DataFrame:
     """(_k, doc_id, n, next_k, text, edited) of ``docs`` (doc_id, text): the last ``n div 2`` code points
-    replaced by the first as many of the next document."""
+    replaced by the first as many of the next document.
+
+    Texts are shuffled once, by ranges of ``doc_id``; inside a range a window brings each row the
+    next one, and the first row of each range (one row a range) goes to the range before.
+    """
     key = F.concat_ws(":", F.hex(F.xxhash64("text")), F.col("doc_id").cast("string"))
     keyed = docs.select("doc_id", text_or_empty().alias("text")).withColumn("_k", key)
-    order = neighbours_in_order(keyed.select("doc_id", "_k", F.length("text").alias("n")))
-    wanted = order.select(F.col("next_k").alias("_k"), F.col("_k").alias("_for"), F.expr("n div 2").cast("int").alias("_half"))
-    plan = materialize(order.join(wanted, "_k"), "imatch-plan")
-    held = keyed.join(plan, "_k")
-    heads = held.select(F.col("_for").alias("_k"), F.left("text", F.col("_half")).alias("_head")).dropDuplicates(["_k"])
-    kept = F.left("text", F.col("n") - F.expr("n div 2").cast("int"))
-    return held.join(heads, "_k").withColumn("edited", F.concat(kept, F.col("_head")))
+    ranges = RANGES_PER_PARTITION * partitions(docs.sparkSession)
+    cuts = F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10 * ranges)
+    bounds = sorted(set(keyed.agg(cuts).first()[0] or []))
+    dealt = keyed.withColumn("_range", range_of(F.col("doc_id"), bounds))
+    order = [F.desc_nulls_last("doc_id"), F.asc("_k")]
+    # The first row of every range, then its text.
+    heads = dealt.groupBy("_range").agg(F.min(F.struct(F.col("doc_id").isNull(), -F.col("doc_id"), "_k"))["_k"].alias("_k"))
+    heads = materialize(heads, "imatch-heads")
+    first_rows = materialize(keyed.join(heads, "_k").select("_range", "_k", "text").dropDuplicates(["_range"]), "imatch-firsts")
+    names = [r["_range"] for r in heads.select("_range").orderBy("_range").collect()]  # one number a range
+    before = dict(zip(names, [*names[-1:], *names[:-1]], strict=True))
+    taken = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])[F.col("_range")] if before else F.lit(0)
+    later = first_rows.select(taken.alias("_range"), F.col("_k").alias("_head_k"), F.col("text").alias("_head"))
+    inside = Window.partitionBy("_range").orderBy(*order)
+    placed = dealt.repartition(partitions(docs.sparkSession), "_range")
+    once = placed.withColumn("_same", F.lag("_k").over(inside)).filter(F.col("_same").isNull() | (F.col("_same") != F.col("_k")))
+    led = once.select("*", F.lead("_k").over(inside).alias("_next_k"), F.lead("text").over(inside).alias("_next"))
+    both = led.join(later, "_range").select(
+        "_k", "doc_id", "text", F.length("text").alias("n"),
+        F.coalesce("_next_k", "_head_k").alias("next_k"), F.when(F.col("_next_k").isNull(), F.col("_head")).otherwise(F.col("_next")).alias("_next"),
+    )
+    half = F.expr("n div 2").cast("int")
+    return both.withColumn("edited", F.concat(F.left("text", F.col("n") - half), F.left("_next", half))).drop("_next")
 
 
 def fingerprints(docs: DataFrame, band: Band = Band()) -> DataFrame:
@@ -199,7 +223,7 @@ def fingerprints(docs: DataFrame, band: Band = Band()) -> DataFrame:
         worded.select(
             "_k", "doc_id", "n", "next_k", "sha",
             *[fingerprint(F.col(s), F.col(f"{s}_bare"), table, band).alias(f"{s}_print") for _, s in sides],
-        ).dropDuplicates(["_k"]),
+        ),
         "imatch-prints",
     )
     following = made.select(F.col("_k").alias("next_k"), F.col("own_print").alias("next_print"))
