@@ -1,32 +1,27 @@
-"""Histogram gradient boosting as Spark jobs (backend B): LRN2, LRN4*, LRN5.
+"""Histogram gradient boosting as Spark jobs (backend B): LRN2, LRN4, LRN5, LRN8, LRN9.
 
 Published method: Chen & Guestrin, "XGBoost: A Scalable Tree Boosting
-System" (KDD 2016) — second-order gradients, L1/L2-regularised leaf weights,
-``gamma`` split penalty, quantile histograms, and a *learned default
+System" (KDD 2016): second-order gradients, L1/L2-regularised leaf weights,
+``gamma`` split penalty, weighted quantile bins, and a *learned default
 direction* for missing values (each split is scored twice, missing sent
-left and right). MLlib's trees lack the last two, which is why this backend
+left and right). MLlib's trees lack these, which is why this backend
 exists (training on unimputed tables, LRN2).
 
-Data flow per round (all Spark, nothing row-level on the driver):
-
-1. rows carry ``bins array<int>`` (quantile bins, fitted once; missing = -1),
-   the label, weight and current margin;
-2. per level: every Arrow batch adds its rows' g and h per (node, feature, bin)
-   in numpy, and only these sums are shuffled and merged (size nodes x features x
-   bins, never rows x features), cumulative sums
-   per (node, feature) over at most ``max_bins`` bins, gains for both
-   missing directions, best split per node by ``max_by`` — only the splits
-   (<= 2^level rows) reach the driver;
-3. rows are routed with one ``CASE`` per level; leaf weights come from one
-   grouped aggregate; margins of train and eval rows are updated by the
-   same expressions;
-4. the eval metric per round drives patience-based early stopping; row
-   tables are checkpointed every few rounds to cut lineage.
+Data flow:
+
+1. cut points from a mergeable weighted summary (``wquantile``); rows are packed once into
+   column blocks in the shared folder (``blocks``);
+2. a level of a tree is one pass over the blocks and one shuffle of sums; only the best
+   splits (nodes x feature chunks) reach the driver;
+3. the first pass of a round also sketches the scores of the round before, for train and eval
+   rows alike (``score_sketch``): the history and patience-based stopping cost no job. The exact
+   PR-AUC is computed for the chosen round only;
+4. every ``checkpoint_every`` rounds the blocks are written anew with their margins.
 
 * LRN4 (category-set splits): the bins of a categorical column are its codes.
-  At each node they are ordered by their gradient ratio, and a prefix of that
+  At each node they are ranked once by their gradient ratio, and a prefix of that
   order is the set that goes left, as in the published optimal-partition method
-  for one-dimensional gradients (Fisher's grouping).
+  for one-dimensional gradients (Fisher's grouping). A set travels as one bit per code.
 """
 
 from __future__ import annotations
@@ -34,19 +29,19 @@ from __future__ import annotations
 import hashlib
 import json
 import math
-from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
+from typing import ClassVar
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.hashing import hash_unit
-from . import metrics
 from ..session import ensure_checkpoint_dir
-from .quantiles import long_values
+from . import blocks as B
+from . import metrics
+from .wquantile import CELLS, cells_of, quantile_cuts
 
 
 @dataclass
@@ -58,6 +53,7 @@ class HistParams:
     reg_alpha: float = 0.0
     gamma: float = 0.0
     min_child_weight: float = 1.0
+    scale_pos_weight: float = 1.0   # LRN3: factor on the weight of positive rows in training
     subsample: float = 1.0
     colsample_bytree: float = 1.0
     max_bins: int = 256
@@ -65,152 +61,64 @@ class HistParams:
     seed: int = 42
     patience: int | None = None
     eval_metric: str = "aucpr"
-    checkpoint_every: int = 5
-
-
-# --- split finding (shared with the root-gain oracle query) -----------------
-
-def _soft(g: Column, alpha: float) -> Column:
-    if alpha == 0:
-        return g
-    return F.signum(g) * F.greatest(F.abs(g) - F.lit(alpha), F.lit(0.0))
-
-
-def _score(g: Column, h: Column, lam: float, alpha: float) -> Column:
-    t = _soft(g, alpha)
-    return t * t / (h + F.lit(lam))
-
-
-#: Cells (rows x features) that are counted at once.
-CELLS = 4_000_000
-
-
-def level_histogram(rows: DataFrame, node: str = "node", bins: str = "bins", g: str = "g", h: str = "h",
-                    features: list[int] | None = None) -> DataFrame:
-    """``(node, f, b, G, H)``: gradient/hessian sums per bin (b = -1: missing).
-    Batches are summed in numpy, so the shuffle holds sums, not cells."""
-
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if batch.empty:
-                continue
-            x = np.array([np.asarray(r, dtype=np.int64) for r in batch[bins]])
-            chosen = np.arange(x.shape[1]) if features is None else np.asarray(features)
-            x = x[:, chosen] + 1
-            wide = int(x.max()) + 1
-            step = max(1, CELLS // max(1, len(chosen)))
-            for at in range(0, len(x), step):
-                part = slice(at, at + step)
-                nodes = batch[node].to_numpy()[part].astype(np.int64)
-                key = (nodes[:, None] * len(chosen) + np.arange(len(chosen))) * wide + x[part]
-                cells, place = np.unique(key.ravel(), return_inverse=True)
-                sums = [np.bincount(place, weights=np.repeat(batch[c].to_numpy()[part], len(chosen))) for c in (g, h)]
-                yield pd.DataFrame({node: (cells // wide // len(chosen)).astype(np.int32),
-                                    "f": chosen[cells // wide % len(chosen)].astype(np.int32),
-                                    "b": (cells % wide - 1).astype(np.int32), "G": sums[0], "H": sums[1]})
-
-    sums = rows.select(node, g, h, bins).mapInPandas(partial, f"{node} int, f int, b int, G double, H double")
-    return sums.groupBy(node, "f", "b").agg(F.sum("G").alias("G"), F.sum("H").alias("H"))
-
-
-def split_candidates(hist: DataFrame, p: HistParams, node: str = "node",
-                     categorical: list[int] | None = None) -> DataFrame:
-    """Every (node, feature, threshold bin, missing direction) with its gain
-    (NULL where a child is below ``min_child_weight``): left = bins <= b,
-    plus the missing bin if ``missing_left``. For the features in ``categorical``
-    the bins are taken in the order of their gradient ratio, and ``cats`` lists
-    the ones that go left (it is empty for other features).
-
-    One window over ``(node, f)`` gives the running sums, the missing-bin
-    sums and the node totals (every row sits in exactly one bin of each
-    feature, so a feature's bins sum to the node total). The histogram is
-    therefore read once: no self-join, no second pass over the rows, and no
-    filter that Catalyst could push below the aggregate into extra scans."""
-    part = Window.partitionBy(node, "f")
-    is_set = F.col("f").isin(list(categorical or []))
-    # The missing bin stays in front, where the running sums skip it.
-    ratio = F.when(F.col("b") >= 0, F.col("G") / (F.col("H") + F.lit(p.reg_lambda + 1e-12)))
-    order = [F.when(is_set, ratio).otherwise(F.col("b").cast("double")).asc_nulls_first(), F.col("b")]
-    run = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    nonmiss = F.col("b") >= 0
-    c = hist.select(
-        node, "f", "b",
-        F.collect_list(F.when(is_set & nonmiss, F.col("b"))).over(run).alias("cats"),
-        F.sum(F.when(nonmiss, F.col("G")).otherwise(0.0)).over(run).alias("GLc"),
-        F.sum(F.when(nonmiss, F.col("H")).otherwise(0.0)).over(run).alias("HLc"),
-        F.sum(F.when(~nonmiss, F.col("G")).otherwise(0.0)).over(part).alias("Gm"),
-        F.sum(F.when(~nonmiss, F.col("H")).otherwise(0.0)).over(part).alias("Hm"),
-        F.sum("G").over(part).alias("G_tot"), F.sum("H").over(part).alias("H_tot"))
-    dirs = []
-    for left in (False, True):
-        GL = F.col("GLc") + (F.col("Gm") if left else F.lit(0.0))
-        HL = F.col("HLc") + (F.col("Hm") if left else F.lit(0.0))
-        GR, HR = F.col("G_tot") - GL, F.col("H_tot") - HL
-        # The library's scale: no factor 1/2 before gamma is taken off.
-        gain = (_score(GL, HL, p.reg_lambda, p.reg_alpha) + _score(GR, HR, p.reg_lambda, p.reg_alpha)
-                - _score(F.col("G_tot"), F.col("H_tot"), p.reg_lambda, p.reg_alpha) - F.lit(p.gamma))
-        ok = (HL >= p.min_child_weight) & (HR >= p.min_child_weight)
-        dirs.append(F.struct(F.lit(left).alias("missing_left"), F.when(ok, gain).alias("gain"),
-                             GL.alias("GL"), HL.alias("HL")))
-    return (c.filter(nonmiss)
-            .select(node, "f", "b", "cats", "G_tot", "H_tot", F.explode(F.array(*dirs)).alias("d"))
-            .select(node, "f", "b", "cats", "d.missing_left", "d.gain", "d.GL", "d.HL", "G_tot", "H_tot"))
-
-
-def best_splits(cands: DataFrame, node: str = "node") -> list:
-    """Best candidate per node (ties: lower feature, lower bin, missing
-    right first); one row per node reaches the driver (<= 2^level rows),
-    partial aggregation keeps the shuffle at one row per node per task.
-
-    Returns every node of the level as ``(node, G_tot, H_tot, split)``,
-    split = ``(f, b, missing_left, gain, GL, HL)`` or None when no candidate
-    has a positive gain — leaf values then need no further job."""
-    key = F.struct(F.coalesce(F.col("gain"), F.lit(-math.inf)), -F.col("f"), -F.col("b"),
-                   (~F.col("missing_left")).cast("int"))
-    best = cands.groupBy(node).agg(
-        F.max_by(F.struct("f", "b", "cats", "missing_left", "gain", "GL", "HL", "G_tot", "H_tot"), key).alias("s"))
-    out = []
-    for r in best.collect():
-        s = r["s"]
-        split = None
-        if s["gain"] is not None and s["gain"] > 0:
-            split = (s["f"], sorted(s["cats"]) if s["cats"] else s["b"], s["missing_left"], s["gain"], s["GL"], s["HL"])
-        out.append((int(r[node]), s["G_tot"], s["H_tot"], split))
-    return out
+    checkpoint_every: int = 16
+
+
+    #: Names of the published library for the same parameters.
+    NAMES: ClassVar[dict] = {"n_estimators": "n_rounds", "learning_rate": "eta", "random_state": "seed"}
+
+    @classmethod
+    def of(cls, params: dict, **defaults) -> HistParams:
+        return cls(**{**defaults, **{cls.NAMES.get(k, k): v for k, v in params.items()}})
 
 
 # --- binning -------------------------------------------------------------------
 
-def fit_bins(train: DataFrame, cols: list[str], max_bins: int, accuracy: int = 10000) -> dict:
-    """Quantile cut points per column. Long form ``(feature, value)`` grouped
-    by feature: one sketch per group, so a task's memory does not scale
-    with the table width (the object aggregate can fall back to sort-based
-    aggregation), and the result is bounded by columns x bins."""
-    probs = [i / max_bins for i in range(1, max_bins)]
-    rows = (long_values(train, cols).groupBy("feature")
-            .agg(F.percentile_approx("value", probs, accuracy).alias("q")).collect())  # one row per column
-    found = {r["feature"]: sorted(set(float(v) for v in (r["q"] or []))) for r in rows}
-    return {c: found.get(c, []) for c in cols}
+def fit_bins(train: DataFrame, cols: list[str], max_bins: int, weight: str | None = None) -> dict:
+    """Cut points per column, at even ranks of the weight (at the base score every hessian is the
+    row's weight times one constant)."""
+    return quantile_cuts(train, cols, max_bins, weight) if cols else {}
+
+
+def bin_cells(x: np.ndarray, layout: B.Layout) -> np.ndarray:
+    """Bins of a matrix of cells, a column of the result per feature."""
+    return np.stack([layout.code(x[:, j], j).astype(np.int64) for j in range(x.shape[1])], axis=1)
+
 
+def in_slices(cells: pd.Series, width: int):
+    """Matrices of at most ``CELLS`` cells."""
+    step = max(1, CELLS // max(1, width))
+    for at in range(0, len(cells), step):
+        yield np.array([np.asarray(r, dtype=np.float64) for r in cells.iloc[at : at + step]]).reshape(-1, width)
 
-def apply_bins(df: DataFrame, cols: list[str], cuts: dict, keep: list[str]) -> DataFrame:
+
+def apply_bins(df: DataFrame, cols: list[str], cuts: dict, keep: list[str], codes: dict | None = None) -> DataFrame:
     """``bins array<int>``: bin i holds values in [cut_{i-1}, cut_i); missing -> -1.
     One array of all cells, searched column by column per Arrow batch, so the plan
     does not grow with the number of columns."""
-    # A categorical column has no cuts (None): its codes are its bins.
-    edges = [None if cuts[c] is None else np.asarray(cuts[c], dtype=np.float64) for c in cols]
+    layout = layout_of(cols, cuts, codes or {})
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def binned(cells: pd.Series) -> pd.Series:
-        x = np.array([np.asarray(r, dtype=np.float64) for r in cells]).reshape(len(cells), len(edges))
-        out = np.empty(x.shape, dtype=np.int32)
-        for j, e in enumerate(edges):
-            out[:, j] = np.nan_to_num(x[:, j], nan=-1) if e is None else np.searchsorted(e, x[:, j], side="right")
-        out[np.isnan(x)] = -1
-        return pd.Series(list(out), dtype=object)
+        out = []
+        for x in in_slices(cells, len(cols)):
+            bins = bin_cells(x, layout)
+            out += list(np.where(bins == np.array(layout.slots) - 1, -1, bins).astype(np.int32))
+        return pd.Series(out, dtype=object)
+
+    return df.select(*keep, binned(cells_of(cols)).alias("bins"))
+
+
+def layout_of(cols: list[str], cuts: dict, codes: dict) -> B.Layout:
+    return B.Layout.of([cuts[c] for c in cols], [codes.get(c, 0) for c in cols])
+
 
-    cells = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in cols])
-    return df.select(*keep, binned(cells).alias("bins"))
+def count_codes(df: DataFrame, cols: list[str]) -> dict:
+    """Number of codes (0, 1, ...) of each column."""
+    if not cols:
+        return {}
+    row = df.agg(*[F.max(F.col(f"`{c}`")).alias(str(i)) for i, c in enumerate(cols)]).first()
+    return {c: int(row[str(i)]) + 1 if row[str(i)] is not None else 0 for i, c in enumerate(cols)}
 
 
 # --- model ---------------------------------------------------------------------
@@ -228,8 +136,11 @@ class HistModel:
     params: HistParams
     base_margin: float
     trees: list = field(default_factory=list)
-    history: list = field(default_factory=list)   # (round, eval metric)
+    history: list = field(default_factory=list)   # (round, eval metric), from the score sketches
     best_iteration: int = 0
+    codes: dict = field(default_factory=dict)     # number of codes of each column without cut points
+    rounds: list = field(default_factory=list)    # (round, split, metric, value) of train and eval rows
+    best_value: float | None = None               # exact eval metric of the best round
 
     def node_table(self, spark) -> DataFrame:
         """The model as a node table (SNK6 for this backend)."""
@@ -238,7 +149,8 @@ class HistModel:
             for n, (f, b, ml, g) in tr.splits.items():
                 cats = [int(c) for c in b] if isinstance(b, (list, tuple)) else None
                 edges = self.cuts[self.cols[f]]
-                thr = None if cats else float(edges[b]) if b < len(edges) else math.inf
+                # A column of ordered codes has no cut points; its bin says it all.
+                thr = None if cats or edges is None else float(edges[b]) if b < len(edges) else math.inf
                 rows.append((t, n, self.cols[f], None if cats else int(b), thr, cats, bool(ml), float(g), None))
             for n, v in tr.leaves.items():
                 rows.append((t, n, None, None, None, None, None, None, float(v)))
@@ -261,7 +173,8 @@ class HistModel:
         """SNK6: the model as one JSON line in a text folder."""
         text = json.dumps({"cols": self.cols, "cuts": self.cuts, "params": asdict(self.params),
                            "base_margin": self.base_margin, "history": self.history,
-                           "best_iteration": self.best_iteration,
+                           "best_iteration": self.best_iteration, "codes": self.codes, "rounds": self.rounds,
+                           "best_value": self.best_value,
                            "trees": [{"splits": list(t.splits.items()), "leaves": list(t.leaves.items())}
                                      for t in self.trees]})
         spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
@@ -272,76 +185,39 @@ class HistModel:
         trees = [HistTree({int(n): tuple(v) for n, v in t["splits"]}, {int(n): v for n, v in t["leaves"]})
                  for t in d["trees"]]
         return cls(cols=d["cols"], cuts=d["cuts"], params=HistParams(**d["params"]), base_margin=d["base_margin"],
-                   trees=trees, history=[tuple(h) for h in d["history"]], best_iteration=d["best_iteration"])
-
-    def margin_expr(self, n_trees: int | None = None) -> Column:
-        """Margin of the first ``n_trees`` trees as ONE fixed-size expression:
-        the trees are array literals (size trees x 2^(depth+1), bounded by the
-        parameters, not the data) and each row walks them with ``aggregate``
-        over the levels, so plan size is linear in the model, never in the
-        number of paths."""
-        trees = self.trees[: len(self.trees) if n_trees is None else n_trees]
-        if not trees:
-            return F.lit(self.base_margin)
-        depth = self.params.max_depth
-        packed = [_pack(tr, depth) for tr in trees]
-        lit = F.from_json(F.lit(json.dumps(packed)),
-                          f"array<{PACKED}>")
-        return F.lit(self.base_margin) + F.aggregate(
-            lit, F.lit(0.0), lambda acc, t: acc + _walk(t, depth))
+                   trees=trees, history=[tuple(h) for h in d["history"]], best_iteration=d["best_iteration"],
+                   codes=d["codes"], rounds=[tuple(r) for r in d["rounds"]], best_value=d["best_value"])
 
-    def predict_proba(self, df: DataFrame, keep: list[str], use_best: bool = True) -> DataFrame:
-        binned = apply_bins(df, self.cols, self.cuts, keep)
-        n = self.best_iteration + 1 if use_best else None
-        return binned.select(*keep, (F.lit(1.0) / (F.lit(1.0) + F.exp(-self.margin_expr(n)))).alias("p"))
-
-
-PACKED = "struct<f:array<int>,b:array<int>,s:array<array<int>>,ml:array<boolean>,v:array<double>>"
+    def layout(self) -> B.Layout:
+        return layout_of(self.cols, self.cuts, self.codes)
 
-
-def _pack(tr: HistTree, depth: int) -> dict:
-    """Heap-ordered arrays of one tree: feature (-1 = leaf), bin, missing
-    direction and leaf value per node id 0 .. 2^(depth+1)-2."""
-    size = 2 ** (depth + 1) - 1
-    f, b, ml, v = [-1] * size, [0] * size, [False] * size, [0.0] * size
-    s: list[list[int]] = [[] for _ in range(size)]
-    for n, (fi, bi, mli, _) in tr.splits.items():
-        f[n], ml[n] = int(fi), bool(mli)
-        if isinstance(bi, (list, tuple)):
-            s[n] = [int(c) for c in bi]
-        else:
-            b[n] = int(bi)
-    for n, val in tr.leaves.items():
-        v[n] = float(val)
-    return {"f": f, "b": b, "s": s, "ml": ml, "v": v}
-
-
-def _walk(t: Column, depth: int) -> Column:
-    """Leaf value reached by the current row in packed tree ``t``."""
-    def step(node, _lvl):
-        i = node + 1
-        f = F.element_at(t["f"], i)
-        v = F.element_at(F.col("bins"), f + 1)
-        cats = F.element_at(t["s"], i)
-        inside = F.when(F.size(cats) > 0, F.array_contains(cats, v)).otherwise(v <= F.element_at(t["b"], i))
-        left = F.when(v < 0, F.element_at(t["ml"], i)).otherwise(inside)
-        return F.when(f < 0, node).otherwise(F.when(left, node * 2 + 1).otherwise(node * 2 + 2))
-    leaf = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
-    return F.element_at(t["v"], leaf + 1)
-
-
-def _route(node: Column, splits: dict) -> Column:
-    """One level of routing: split nodes send rows to 2n+1 / 2n+2."""
-    if not splits:
-        return node
-    expr = None
-    for n, (f, b, ml, _) in splits.items():
-        v = F.element_at(F.col("bins"), f + 1)
-        inside = v.isin([int(c) for c in b]) if isinstance(b, (list, tuple)) else v <= F.lit(b)
-        left = F.when(v < 0, F.lit(bool(ml))).otherwise(inside)
-        child = F.when(left, F.lit(2 * n + 1)).otherwise(F.lit(2 * n + 2))
-        expr = F.when(node == n, child) if expr is None else expr.when(node == n, child)
-    return expr.otherwise(node)
+    def predict_proba(self, df: DataFrame, keep: list[str], use_best: bool = True) -> DataFrame:
+        """Bins and tree walks of an Arrow batch in numpy, in one function over one array column: the plan has
+        one size for every model, and the work is trees x depth gathers per batch."""
+        trees = self.trees[: self.best_iteration + 1] if use_best else self.trees
+        depth, layout, base, width = self.params.max_depth, self.layout(), self.base_margin, len(self.cols)
+        packed = [B.PackedTree.of(t.splits, t.leaves, depth) for t in trees]
+        missing = [s - 1 for s in layout.slots]
+
+        @F.pandas_udf(T.DoubleType())
+        def margin(cells: pd.Series) -> pd.Series:
+            out = []
+            for x in in_slices(cells, width):
+                binned: dict = {}
+
+                def column(j: int, x=x, binned=binned) -> np.ndarray:
+                    if j not in binned:
+                        binned[j] = layout.code(x[:, j], j)
+                    return binned[j]
+
+                m = np.full(len(x), base)
+                for tree in packed:
+                    m += tree.value[tree.nodes(column, missing, len(x), depth)]
+                out.append(m)
+            return pd.Series(np.concatenate(out) if out else np.zeros(0))
+
+        p = F.lit(1.0) / (F.lit(1.0) + F.exp(-margin(cells_of(self.cols))))
+        return df.select(*keep, p.alias("p"))
 
 
 def _leaf(g: float, h: float, p: HistParams) -> float:
@@ -349,13 +225,6 @@ def _leaf(g: float, h: float, p: HistParams) -> float:
     return -p.eta * g_soft / (h + p.reg_lambda)
 
 
-def _tree_margin(tr: HistTree, depth: int) -> Column:
-    """One tree's contribution (used for the per-round margin update)."""
-    packed = F.from_json(F.lit(json.dumps(_pack(tr, depth))),
-                         PACKED)
-    return _walk(packed, depth)
-
-
 def _col_sample(n_features: int, frac: float, seed: int, rnd: int) -> list[int] | None:
     if frac >= 1.0:
         return None
@@ -364,99 +233,212 @@ def _col_sample(n_features: int, frac: float, seed: int, rnd: int) -> list[int]
     return sorted(order[:k])
 
 
+@dataclass
+class TrainingTable:
+    """Train and eval rows as column blocks, ready for any number of fits."""
+
+    cols: list
+    cuts: dict
+    codes: dict
+    sets: list
+    table: DataFrame
+    paths: list
+    with_eval: bool
+
+    @classmethod
+    def of(cls, train: DataFrame, cols: list[str], label: str, key: str, weight: str | None = None,
+           val: DataFrame | None = None, categorical: list[str] | None = None, max_bins: int = 256,
+           base_score: float = 0.5) -> TrainingTable:
+        ensure_checkpoint_dir(train.sparkSession)
+        sets = [c for c in cols if c in set(categorical or [])]
+        cuts = fit_bins(train, [c for c in cols if c not in sets], max_bins, weight) | {c: None for c in sets}
+        codes = count_codes(train, sets)
+        base = base_margin(base_score)
+        layout = layout_of(cols, cuts, codes)
+        packed = B.pack(train, cols, layout, key, label, weight, B.TRAIN, base)
+        if val is not None:
+            known = weight if weight in val.columns else None
+            packed = packed.unionByName(B.pack(val, cols, layout, key, label, known, B.EVAL, base))
+        table, path = B.written(packed, "hist-blocks")
+        return cls(cols, cuts, codes, sets, table, [path], val is not None)
+
+    def forget(self) -> None:
+        B.forget(self.table.sparkSession, self.paths)
+
+
+def base_margin(base_score: float) -> float:
+    return math.log(base_score / (1 - base_score))
+
+
 def fit_hist(train: DataFrame, cols: list[str], label: str, key: str, weight: str | None = None,
              params: HistParams | None = None, val: DataFrame | None = None,
              categorical: list[str] | None = None) -> HistModel:
     """Train with optional early stopping on ``val`` (the last eval set).
     ``categorical`` columns hold codes 0, 1, ... (NULL: missing)."""
     p = params or HistParams()
-    ensure_checkpoint_dir(train.sparkSession)   # row tables are checkpointed every few rounds
-    sets = [c for c in cols if c in set(categorical or [])]
-    cuts = fit_bins(train, [c for c in cols if c not in sets], p.max_bins) | {c: None for c in sets}
-    set_places = [i for i, c in enumerate(cols) if c in sets]
-    base = math.log(p.base_score / (1 - p.base_score))
-    keep = [key, label] + ([weight] if weight else [])
-
-    def prepare(df):
-        b = apply_bins(df, cols, cuts, keep)
-        b = b.withColumn("_w", F.col(weight).cast("double") if weight else F.lit(1.0))
-        return b.withColumn("m", F.lit(base)).checkpoint(eager=True)
-
-    rows = prepare(train)
-    evals = prepare(val) if val is not None else None
-    model = HistModel(cols=cols, cuts=cuts, params=p, base_margin=base)
-    best_val, best_round, since = None, 0, 0
-    y = F.col(label).cast("double")
-    for t in range(p.n_rounds):
-        prob = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("m")))
-        cur = (rows.withColumn("_p", prob)
-               .withColumn("g", F.col("_w") * (F.col("_p") - y))
-               .withColumn("h", F.col("_w") * F.col("_p") * (F.lit(1.0) - F.col("_p")))
-               .withColumn("node", F.lit(0)))
-        if p.subsample < 1.0:
-            cur = cur.withColumn("_in", hash_unit(F.col(key), p.seed, f"row{t}") < F.lit(p.subsample))
+    table = TrainingTable.of(train, cols, label, key, weight, val, categorical, p.max_bins, p.base_score)
+    try:
+        model = fit_on(table, [p])[0]
+    finally:
+        table.forget()
+    if val is not None and model.trees:
+        scored = model.predict_proba(val, [key, label])
+        if p.eval_metric == "logloss":
+            model.best_value = metrics.log_loss(scored, label, "p").first()["log_loss"]
+        else:
+            model.best_value = metrics.pr_auc(scored, label, "p").first()["pr_auc"]
+    return model
+
+
+class Fit:
+    """One booster in training: ``steps`` asks for passes over the blocks, and stops at rungs."""
+
+    def __init__(self, table: TrainingTable, params: HistParams, rungs: tuple = ()):
+        self.p, self.rungs, self.with_eval = params, set(rungs), table.with_eval
+        self.model = HistModel(cols=table.cols, cuts=table.cuts, params=params, base_margin=base_margin(params.base_score),
+                               codes=table.codes)
+        self.layout = self.model.layout()
+        self.sets = frozenset(i for i, c in enumerate(table.cols) if c in table.sets)
+        self.recent: list = []
+        self.slot = 0
+        self.low = self.high = self.model.base_margin
+        self.best, self.since = None, 0
+
+    def work(self, **more) -> B.Pass:
+        p = self.p
+        return B.Pass(layout=self.layout, splitting=B.Splitting(p.reg_lambda, p.reg_alpha, p.gamma, p.min_child_weight),
+                      depth=p.max_depth, recent=self.recent, sets=self.sets, slot=self.slot, positive=p.scale_pos_weight,
+                      **more)
+
+    def ended(self, rows: list) -> bool:
+        """Take down the metrics of the trees so far; whether patience ends the fit."""
+        t = len(self.model.trees) - 1
+        for r in rows:
+            split = "eval" if r["node"] == B.EVAL else "train"
+            self.model.rounds += [(t, split, "logloss", r["gain"]), (t, split, "aucpr", r["gl"]), (t, split, "auc", r["hl"])]
+            if split == "eval":
+                sign = -1 if self.p.eval_metric == "logloss" else 1
+                value = r["gain"] if self.p.eval_metric == "logloss" else r["gl"]
+                self.model.history.append((t, value))
+                if self.best is None or sign * value > sign * self.best:
+                    self.best, self.since, self.model.best_iteration = value, 0, t
+                else:
+                    self.since += 1
+        return self.p.patience is not None and self.since >= self.p.patience
+
+    def steps(self):
+        """Generator: yields a ``Pass`` and is sent its rows, or yields the number of rounds at a rung."""
+        p, model = self.p, self.model
+        for t in range(p.n_rounds):
+            if t in self.rungs:
+                yield t
+            wide = (self.low, self.high) if self.with_eval and t else None
+            work = self.work(features=_col_sample(len(model.cols), p.colsample_bytree, p.seed, t), sample=p.subsample,
+                             salt=p.seed * 1_000_003 + t, sketch_range=wide, active=[0])
+            tree = yield from self.grow(work)
+            if tree is None:
+                return
+            model.trees.append(tree)
+            self.recent.append(B.PackedTree.of(tree.splits, tree.leaves, p.max_depth))
+            self.low, self.high = self.low + min(tree.leaves.values()), self.high + max(tree.leaves.values())
+        if self.with_eval and model.trees:
+            self.ended([r for r in (yield self.work(sketch_range=(self.low, self.high))) if r["kind"] == 1])
         else:
-            cur = cur.withColumn("_in", F.lit(True))
-        feats = _col_sample(len(cols), p.colsample_bytree, p.seed, t)
-        splits_all: dict = {}
+            model.best_iteration = max(0, len(model.trees) - 1)
+
+    def grow(self, work: B.Pass):
+        """One tree, level by level; None if the metrics of the first pass end the fit."""
+        p = self.p
+        splits: dict = {}
         leaves: dict = {}
-        active, pending = [0], {}
-        for lvl in range(p.max_depth):
-            sampled = cur.filter(F.col("_in") & F.col("node").isin(active))
-            hist = level_histogram(sampled, features=feats)
-            lvl_splits = {}
-            for n, g_tot, h_tot, split in best_splits(split_candidates(hist, p, categorical=set_places)):
-                if split is None:
-                    leaves[n] = _leaf(g_tot, h_tot, p)
+        pending: dict = {}
+        for level in range(p.max_depth):
+            work.slot = self.slot
+            rows = yield work
+            if level == 0 and work.sketch_range and self.ended([r for r in rows if r["kind"] == 1]):
+                return None
+            best: dict = {}
+            for r in sorted((r for r in rows if r["kind"] == 0), key=lambda r: (r["f"] is None, r["f"])):
+                known = best.get(r["node"])
+                if known is None or (r["gain"] is not None and (known["gain"] is None or r["gain"] > known["gain"])):
+                    best[r["node"]] = r
+            found = {}
+            for n, r in best.items():
+                if r["gain"] is None or not r["gain"] > 0:
+                    leaves[n] = _leaf(r["g"], r["h"], p)
                     continue
-                f, b, ml, gain, gl, hl = split
-                lvl_splits[n] = (f, b, ml, gain)
-                pending[2 * n + 1], pending[2 * n + 2] = (gl, hl), (g_tot - gl, h_tot - hl)
-            for n in active:          # active but unsampled / empty nodes: the pending stats
-                if n not in lvl_splits and n not in leaves and n in pending:
-                    leaves[n] = _leaf(*pending[n], p)
-            if lvl == 0 and 0 not in lvl_splits and 0 not in leaves:
-                # No cell of the sampled columns is present: the root is a leaf.
-                total = sampled.agg(F.sum("g").alias("G"), F.sum("h").alias("H")).first()
-                leaves[0] = _leaf(total["G"] or 0.0, total["H"] or 0.0, p)
-            if not lvl_splits:
+                b = int(r["b"])
+                if r["codes"] is not None:
+                    b = np.flatnonzero(np.unpackbits(np.frombuffer(bytes(r["codes"]), np.uint8), bitorder="little")).tolist()
+                found[n] = (int(r["f"]), b, bool(r["missing_left"]), float(r["gain"]))
+                pending[2 * n + 1] = (r["gl"], r["hl"])
+                pending[2 * n + 2] = (r["g"] - r["gl"], r["h"] - r["hl"])
+            for n in work.active:     # without a sampled row: the parent's split says what it holds
+                if n not in found and n not in leaves:
+                    leaves[n] = _leaf(*pending.get(n, (0.0, 0.0)), p)
+            splits.update(found)
+            work.active = [c for n in found for c in (2 * n + 1, 2 * n + 2)]
+            work.sketch_range = None
+            if not work.active:
                 break
-            splits_all.update(lvl_splits)
-            active = [c for n in lvl_splits for c in (2 * n + 1, 2 * n + 2)]
-            if lvl + 1 < p.max_depth:
-                cur = cur.withColumn("node", _route(F.col("node"), lvl_splits))
-        else:
-            for n in active:          # children of the deepest level are leaves
-                leaves[n] = _leaf(*pending[n], p)
-        tree = HistTree(splits=splits_all, leaves=leaves)
-        model.trees.append(tree)
-        tv = _tree_margin(tree, p.max_depth)
-        rows = rows.withColumn("m", F.col("m") + tv)
-        if evals is not None:
-            evals = evals.withColumn("m", F.col("m") + tv)
-        if (t + 1) % p.checkpoint_every == 0:
-            rows = rows.checkpoint(eager=True)
-            if evals is not None:
-                evals = evals.checkpoint(eager=True)
-        if evals is not None:
-            scored = evals.withColumn("p", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("m"))))
-            if p.eval_metric == "logloss":
-                v = metrics.log_loss(scored, label, "p", weight="_w").first()["log_loss"]
-                better = best_val is None or v < best_val
-            else:
-                v = metrics.pr_auc(scored, label, "p").first()["pr_auc"]
-                better = best_val is None or v > best_val
-            model.history.append((t, v))
-            if better:
-                best_val, best_round, since = v, t, 0
-            else:
-                since += 1
-                if p.patience is not None and since >= p.patience:
-                    break
-        else:
-            best_round = t
-    model.best_iteration = best_round
-    return model
+            work.growing = B.PackedTree.of(splits, leaves, p.max_depth)
+        for n in work.active:         # children of the deepest level are leaves
+            leaves[n] = _leaf(*pending[n], p)
+        return HistTree(splits=splits, leaves=leaves)
+
+
+def fit_on(table: TrainingTable, params: list[HistParams], rungs: tuple = (), survivors=None) -> list[HistModel]:
+    """Fit a booster for each of ``params`` on one table, in step: every pass over the blocks serves all of
+    them. At a rung (a number of rounds) a booster waits until all others that still train have come there or ended;
+    ``survivors`` (rung, histories by place of all that were not dropped before) then says which go on."""
+    fits = [Fit(table, p, rungs) for p in params]
+    live = {i: fit.steps() for i, fit in enumerate(fits)}
+    asked = {i: next(steps, None) for i, steps in live.items()}
+    tasks = table.table.rdd.getNumPartitions()
+    pruned: set[int] = set()
+
+    def go_on(i: int, rows) -> None:
+        try:
+            asked[i] = live[i].send(rows)
+        except StopIteration:
+            del live[i], asked[i]
+
+    while asked:
+        asked = {i: a for i, a in asked.items() if a is not None}
+        passes = [i for i, a in asked.items() if isinstance(a, B.Pass)]
+        if not passes:
+            # All wait: the lowest rung is decided first.
+            rung = min(asked.values())
+            there = [i for i in asked if asked[i] == rung]
+            stay = survivors(rung, {i: f.model.history for i, f in enumerate(fits) if i not in pruned}) if survivors else there
+            for i in there:
+                if i in stay:
+                    go_on(i, None)
+                else:
+                    pruned.add(i)
+                    del live[i], asked[i]
+            continue
+        if max(len(fits[i].recent) for i in asked) >= fits[0].p.checkpoint_every:
+            _write_margins(table, fits, list(asked))
+            for i in passes:
+                asked[i].recent, asked[i].slot = fits[i].recent, fits[i].slot
+        rows = B.found(table.table, [asked[i] for i in passes], tasks).collect()  # nodes x chunks of each booster
+        for place, i in enumerate(passes):
+            go_on(i, [r for r in rows if r["trial"] == place])
+    return [fit.model for fit in fits]
+
+
+def _write_margins(table: TrainingTable, fits: list[Fit], places: list[int]) -> None:
+    new, path = B.written(B.advanced(table.table, [fits[i].work() for i in places]), "hist-blocks")
+    table.table = new
+    table.paths.append(path)
+    for slot, i in enumerate(places):
+        fits[i].recent, fits[i].slot = [], slot
+
+
+def rounds_frame(spark, model: HistModel) -> DataFrame:
+    """LRN8: ``(round, split, metric, value)`` of train and eval rows."""
+    return spark.createDataFrame(model.rounds, "round int, split string, metric string, value double")
 
 
 def history_frame(spark, model: HistModel) -> DataFrame:

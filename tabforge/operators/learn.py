@@ -3,12 +3,10 @@
 * ``GBTClassifier`` does the distributed fit (histogram bins, tree
   aggregation); the positive-class weight is a weight column (LRN3).
 * Staged scoring (LRN8/LRN11): one ``transform`` with ``leafCol`` gives
-  every row's leaf in every tree; the fitted leaf values (trees x leaves —
-  bounded by ``maxIter * 2**maxDepth``) are broadcast once, and an
-  Arrow-batched pandas UDF turns a batch of leaf vectors into per-round
-  margins with one numpy gather + cumsum. ``posexplode`` then yields
-  ``(row, round, p)`` inside the same stage, so per-round metrics are
-  ordinary grouped aggregates.
+  every row's leaf in every tree; the fitted leaf values (trees x leaves,
+  bounded by ``maxIter * 2**maxDepth``) are broadcast once. Per-round metrics come from one
+  score sketch per round and task (``round_metrics``). ``staged_scores`` gives the scores themselves,
+  one row per row and round.
 * Early stopping (LRN9/LRN10) fits some rounds, finds the best round on the
   validation history (WIN5), fits twice as many while patience has not ended
   the fit, and scores with the first ``best_round + 1`` trees.
@@ -21,19 +19,24 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import delete_folder, scratch_dir
-from . import metrics
+from . import metrics, score_sketch
+from .blocks import MERGE, added
 from .history import early_stopping
+from .wquantile import cell_slices
 
 MAX_LEAF_TABLE = 4_000_000  # trees x leaves held in the broadcast matrix; checked before the fit
 FIRST_ROUNDS = 32  # rounds of the first fit under a larger round budget
@@ -167,7 +170,6 @@ def staged_scores(df: DataFrame, model: GBTClassificationModel, table: LeafTable
         contrib = vals[np.arange(vals.shape[0])[None, :], idx]
         return pd.Series(list(np.cumsum(contrib, axis=1)))
 
-    from pyspark.ml.functions import vector_to_array
     m = model.copy()
     m.setLeafCol("_leaf")
     scored = m.transform(df.select(*keep, features)).select(*keep, vector_to_array("_leaf").alias("_leaf"))
@@ -183,7 +185,6 @@ def final_scores(df: DataFrame, model: GBTClassificationModel, table: LeafTable,
     # Leaf values as one folded array literal (bounded by MAX_LEAF_TABLE);
     # the margin is a JVM-side sum over trees, no Python worker involved.
     lit = F.from_json(F.lit(json.dumps(vals.tolist())), "array<array<double>>")
-    from pyspark.ml.functions import vector_to_array
     m = model.copy()
     m.setLeafCol("_leaf")
     scored = m.transform(df.select(*keep, features)).select(*keep, vector_to_array("_leaf").alias("_leaf"))
@@ -212,6 +213,51 @@ def round_history(staged: DataFrame, label: str, split: str, weight: str | None
     return out
 
 
+def round_metrics(df: DataFrame, model: GBTClassificationModel, table: LeafTable, label: str, split: str,
+                  weight: str | None = None, features: str = "features") -> DataFrame:
+    """LRN8 + MET9/MET10 for every round at once: ``(round, split, metric, value)`` with logloss, aucpr and auc.
+
+    Each task adds its rows' margins of all rounds to one score sketch per round; the shuffle holds
+    tasks x rounds sketches, not rows x rounds. The areas are those of the sketch."""
+    spark = df.sparkSession
+    values = table.values
+    n = len(values)
+    # The range of the margins of each round, from the leaf values.
+    low, high = np.cumsum(values.min(axis=1)), np.cumsum(values.max(axis=1))
+    held = spark.sparkContext.broadcast(values)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vals = held.value
+        total = np.zeros((n, score_sketch.SIZE))
+        for batch in batches:
+            y, w = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("y", "w"))
+            for rows, leaves in cell_slices(batch, "x", n):
+                margin = np.zeros(len(leaves))
+                for t in range(n):
+                    margin += vals[t, leaves[:, t].astype(np.int64)]
+                    total[t] += score_sketch.sketch(margin, y[rows], w[rows], low[t], high[t], 2.0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(n), pa.int32()), pa.array([t.tobytes() for t in total], pa.binary())], ["round", "sums"])
+
+    def partial(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"round": group["round"].iloc[:1], "sums": [added(group["sums"]).tobytes()]})
+
+    def finish(group: pd.DataFrame) -> pd.DataFrame:
+        total = added(group["sums"])
+        pr, roc = score_sketch.areas(total)
+        found = {"logloss": score_sketch.log_loss(total), "aucpr": pr, "auc": roc}
+        return pd.DataFrame({"round": int(group["round"].iloc[0]), "split": split, "metric": list(found), "value": list(found.values())})
+
+    m = model.copy()
+    m.setLeafCol("_leaf")
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    rows = df.filter(F.col(label).isNotNull()).select(F.col(label).cast("double").alias("y"), w.alias("w"), features)
+    leaves = m.transform(rows).select("y", "w", F.slice(vector_to_array("_leaf"), 1, n).alias("x"))
+    sums = leaves.mapInArrow(scan, "round int, sums binary").withColumn("g", F.floor(F.spark_partition_id() / MERGE))
+    once = sums.groupBy("round", "g").applyInPandas(partial, "round int, sums binary")
+    return once.groupBy("round").applyInPandas(finish, "round int, split string, metric string, value double")
+
+
 @dataclass
 class BoostedModel:
     """A fitted booster plus its best iteration (trees used for scoring)."""
@@ -250,12 +296,11 @@ def fit_with_early_stopping(train: DataFrame, val: DataFrame, label: str, key: s
     params = dict(params or {})
     budget = int(params.get("n_estimators", 20))
     rounds = min(budget, max(FIRST_ROUNDS, 2 * patience))
-    keep_val = [key, label] + ([weight] if weight and weight in val.columns else [])
     while True:
         model = fit_gbt(train, label, features, weight, dict(params, n_estimators=rounds))
         table = leaf_table(spark, model)
-        hist = round_history(staged_scores(val, model, table, keep_val, features), label, "eval",
-                             weight if weight and weight in val.columns else None, (metric,))
+        hist = round_metrics(val, model, table, label, "eval", weight if weight in val.columns else None, features)
+        hist = hist.filter(F.col("metric") == metric)
         hist = hist.checkpoint(eager=True)  # small: rounds x splits x metrics
         es = early_stopping(hist, patience, maximize=(metric != "logloss")).first()
         if rounds >= budget or int(es["stop_round"]) - int(es["best_round"]) >= patience:
@@ -264,8 +309,7 @@ def fit_with_early_stopping(train: DataFrame, val: DataFrame, label: str, key: s
     used = int(es["stop_round"]) + 1
     table = LeafTable(table.values[:used])
     if with_train_history:
-        keep_tr = [key, label] + ([weight] if weight else [])
-        hist = hist.unionByName(round_history(staged_scores(train, model, table, keep_tr, features),
-                                              label, "train", weight, (metric,))).checkpoint(eager=True)
+        ours = round_metrics(train, model, table, label, "train", weight, features).filter(F.col("metric") == metric)
+        hist = hist.unionByName(ours).checkpoint(eager=True)
     return BoostedModel(model=model, leaves=table, best_iteration=int(es["best_round"]),
                         history=hist.filter(F.col("round") < used))

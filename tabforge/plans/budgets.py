@@ -21,5 +21,5 @@ class Budget:
 REFERENCE = Budget(rounds=1000, patience=50, depth=7, importance_rounds=100, importance_depth=6, search_trials=30,
                    search_rounds=1000)
 #: The registered queries: patience, not the rounds, is to end their fits.
-QUERIES = Budget(rounds=200, patience=20, depth=3, importance_rounds=20, importance_depth=4, search_trials=5,
+QUERIES = Budget(rounds=200, patience=20, depth=3, importance_rounds=20, importance_depth=4, search_trials=30,
                  search_rounds=200)

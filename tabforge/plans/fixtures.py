@@ -101,6 +101,10 @@ FROM lineitem
 
 # --- emb_binary -----------------------------------------------------------
 
+#: Dimensions of the driver's embeddings.
+EMB_DIMS = 64
+
+
 def emb_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """64-dim embeddings as an ML vector, ``y = (label = 0)`` (~10% positive)."""
     from pyspark.ml.functions import array_to_vector

@@ -2,8 +2,7 @@
 (the reference's full training script, SCO1, RPT1-RPT3).
 
 Everything data-sized runs as Spark jobs; the driver holds only fit
-statistics (one value per column), category dictionaries below the map
-limit, tree leaf tables, importances and per-trial scores.
+statistics (one value per column), trees, importances and per-trial scores.
 """
 
 from __future__ import annotations
@@ -112,6 +111,18 @@ class _Gbt:
     def score(self, model, df: DataFrame, keep: list) -> DataFrame:
         return model.predict_proba(self.ready(df), keep)
 
+    def search(self, spark: SparkSession, half: DataFrame, val: DataFrame) -> DataFrame:
+        """One trial after another: each fit spreads over the cluster by itself."""
+        cfg = self.cfg
+
+        def evaluate(drawn: list[dict]) -> list[tuple[float, int, bool]]:
+            model = self.fit(half, val, dict(drawn[0], n_estimators=cfg.params.get("n_estimators", REFERENCE.search_rounds),
+                                             seed=cfg.seed))
+            scored = self.score(model, val, [cfg.key, cfg.label]).checkpoint(eager=True)
+            return [(metrics.pr_auc(scored, cfg.label, "p").first()["pr_auc"] or 0.0, model.leaves.n_trees, False)]
+
+        return tune.search(spark, cfg.search_space, cfg.search_trials, evaluate, cfg.seed, batch=1)
+
     def save(self, spark, model, path: str) -> None:
         sinks.save_model(model.model, path)
 
@@ -120,14 +131,11 @@ class _Hist:
     """The histogram booster behind the job's calls: L1/L2, gamma, gaps, category sets, and a
     fit that ends when patience does."""
 
-    NAMES = {"n_estimators": "n_rounds", "learning_rate": "eta", "random_state": "seed"}
-
     def __init__(self, cfg: TrainConfig, numeric: list, cards: dict):
         self.cfg, self.cols, self.cards = cfg, [*numeric, *cards], cards
 
     def _params(self, params: dict) -> hist.HistParams:
-        named = {self.NAMES.get(k, k): v for k, v in params.items()}
-        return hist.HistParams(**{"patience": self.cfg.patience, **named})
+        return hist.HistParams.of(params, patience=self.cfg.patience)
 
     def importances(self, train: DataFrame, params: dict):
         model = hist.fit_hist(train, self.cols, self.cfg.label, self.cfg.key, "_w", self._params(params),
@@ -143,6 +151,17 @@ class _Hist:
     def score(self, model, df: DataFrame, keep: list) -> DataFrame:
         return model.predict_proba(df, keep)
 
+    def search(self, spark: SparkSession, half: DataFrame, val: DataFrame) -> DataFrame:
+        """All trials of a batch in step over one table, pruned at rungs."""
+        cfg = self.cfg
+        table = hist.TrainingTable.of(half, self.cols, cfg.label, cfg.key, "_w", val, list(self.cards))
+        fixed = {hist.HistParams.NAMES.get(k, k): v for k, v in cfg.params.items() if k not in cfg.search_space}
+        try:
+            return tune.search_boosters(table, cfg.search_space, cfg.search_trials, cfg.seed,
+                                        **{"patience": cfg.patience, "seed": cfg.seed, **fixed})
+        finally:
+            table.forget()
+
     def save(self, spark, model, path: str) -> None:
         model.save(spark, path)
 
@@ -188,13 +207,7 @@ def train_select_tune(spark: SparkSession, cfg: TrainConfig, train: DataFrame, v
     if cfg.search_trials > 0:
         half = sample.stratified_fraction(prep["train"], cfg.label, cfg.key, cfg.search_fraction, cfg.seed)
 
-        def objective(p):
-            fit_p = dict(p, n_estimators=cfg.params.get("n_estimators", REFERENCE.search_rounds), seed=cfg.seed)
-            trial = learner.fit(half, prep["val"], fit_p)
-            scored = learner.score(trial, prep["val"], [cfg.key, cfg.label]).checkpoint(eager=True)
-            return metrics.pr_auc(scored, cfg.label, "p").first()["pr_auc"] or 0.0
-
-        trials = tune.random_search(spark, cfg.search_space, cfg.search_trials, objective, cfg.seed)
+        trials = learner.search(spark, half, prep["val"])
         best = tune.best_trial(trials, "objective").first()
         params.update({k: (int(v) if k == "max_depth" else v) for k, v in best["params"].items()})
     timings["search"] = time.time() - t0 - sum(timings.values())
@@ -221,8 +234,10 @@ def train_select_tune(spark: SparkSession, cfg: TrainConfig, train: DataFrame, v
         "elapsed_sec": None,
     }
     timings["evaluate"] = time.time() - t0 - sum(timings.values())
+    # RPT1: per-round metrics of train and eval rows, where the learner sketches them.
+    rounds = hist.rounds_frame(spark, bm) if isinstance(bm, hist.HistModel) and bm.rounds else None
     result = {"importance": imp, "selection": sel, "trials": trials, "history": bm.history,
-              "val_scores": scored, "class_report": metrics.class_report(scored, cfg.label, "pred"),
+              "rounds": rounds, "val_scores": scored, "class_report": metrics.class_report(scored, cfg.label, "pred"),
               "confusion": metrics.confusion_matrix(scored, cfg.label, "pred"), "model": bm}
 
     # score test -> submission (SCO1, SNK4)

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import hist, sample
+from ..operators import blocks, hist, sample
 from ..operators.encode import CategoryEncoder
 from ..sources.tables import read_table
 from . import fixtures as fx
@@ -39,20 +39,22 @@ FROM d WHERE HL >= 1e0 AND Ht - HL >= 1e0
 
 @query("root_split_gain", sql=_ROOT_SQL)
 def root_split_gain(spark, sf_dir):
-    rows = _lineitem_bins(spark, sf_dir)
-    h = hist.level_histogram(rows)
-    c = hist.split_candidates(h, hist.HistParams(reg_lambda=1.0, reg_alpha=0.0, gamma=0.0,
-                                                 min_child_weight=1.0))
-    return c.filter(F.col("gain").isNotNull()).select(F.col("f").cast("int").alias("f"), F.col("b").cast("int").alias("b"), "missing_left",
-                    r6("gain").alias("gain"))
+    """Every split that the booster scores at the root."""
+    found = _root_pass(spark, sf_dir, every=True)
+    return found.filter("kind = 0").select("f", "b", "missing_left", r6("gain").alias("gain"))
 
 
-def _lineitem_bins(spark, sf_dir):
+def _root_pass(spark, sf_dir, every):
     li = read_table(spark, sf_dir, "lineitem")
-    y = (F.col("l_returnflag") == "R").cast("double")
-    b1 = F.coalesce(F.nullif(F.round(F.col("l_discount") * 100).cast("int"), F.lit(0)), F.lit(-1))
-    return li.select(F.array(F.col("l_quantity").cast("int"), b1).alias("bins"),
-                     (F.lit(0.5) - y).alias("g"), F.lit(0.25).alias("h"), F.lit(0).alias("node"))
+    # Ordered codes: the quantity, and the discount in percent with 0 as a gap.
+    rows = li.select(F.monotonically_increasing_id().alias("id"), (F.col("l_returnflag") == "R").cast("double").alias("y"),
+                     F.col("l_quantity").cast("int").alias("q"),
+                     F.nullif(F.round(F.col("l_discount") * 100).cast("int"), F.lit(0)).alias("d"))
+    cols = ["q", "d"]
+    layout = hist.layout_of(cols, dict.fromkeys(cols), hist.count_codes(rows, cols))
+    table = blocks.pack(rows, cols, layout, "id", "y", None, blocks.TRAIN, 0.0)
+    work = blocks.Pass(layout=layout, splitting=blocks.Splitting(1.0, 0.0, 0.0, 1.0), depth=1, recent=[], active=[0], every=every)
+    return blocks.found(table, [work], 1)
 
 
 @query("root_split_best", sql=f"""
@@ -60,10 +62,7 @@ SELECT f, b, missing_left, gain FROM ({_ROOT_SQL}) ORDER BY gain DESC, f, b, mis
 """)
 def root_split_best(spark, sf_dir):
     """The split that the booster takes at the root."""
-    c = hist.split_candidates(hist.level_histogram(_lineitem_bins(spark, sf_dir)), hist.HistParams())
-    (_, _, _, (f, b, left, gain, _, _)), = hist.best_splits(c)
-    return spark.createDataFrame([(int(f), int(b), bool(left), round(gain, 6))],
-                                 "f int, b int, missing_left boolean, gain double")
+    return _root_pass(spark, sf_dir, every=False).select("f", "b", "missing_left", r6("gain").alias("gain"))
 
 
 @query("fixed_tree_score", sql="""
@@ -94,7 +93,7 @@ def hist_fit(spark, sf_dir):
     enc = CategoryEncoder(["status", "priority"]).fit(train)
     train, val = enc.transform(train), enc.transform(val)   # NULL codes stay NULL (missing)
     p = hist.HistParams(n_rounds=BUDGET.rounds, max_depth=BUDGET.depth, eta=0.3, max_bins=BUDGET.max_bins, subsample=0.8,
-                        colsample_bytree=0.8, reg_alpha=0.1, gamma=0.1, patience=BUDGET.patience, checkpoint_every=4)
+                        colsample_bytree=0.8, reg_alpha=0.1, gamma=0.1, patience=BUDGET.patience)
     model = hist.fit_hist(train, _HIST_COLS, "label", "id", params=p, val=val, categorical=["status", "priority"])
     return model, val
 

@@ -7,9 +7,10 @@ orthonormal components, ...).
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..operators import learn, metrics, sample, select, tune
+from ..operators import hist, learn, metrics, sample, select, tune
 from ..operators.history import history_table
 from ..operators.profile import class_weight
 from ..operators.reduce import fit_pca_path
@@ -62,9 +63,7 @@ def gbt_importance(spark, sf_dir):
 def gbt_history(spark, sf_dir):
     """LRN8 + RPT1: per-round eval PR-AUC and log loss, pivoted."""
     bm, train, val = fitted(spark, sf_dir)
-    spw = _spw(train)
-    st = learn.staged_scores(_weighted(val, spw), bm.model, bm.leaves, ["vec_id", "y", "w"])
-    long = learn.round_history(st, "y", "eval", weight="w")
+    long = learn.round_metrics(_weighted(val, _spw(train)), bm.model, bm.leaves, "y", "eval", "w")
     return history_table(long, [("eval", "aucpr"), ("eval", "logloss")])
 
 
@@ -78,24 +77,26 @@ def gbt_score(spark, sf_dir):
                     F.lit(bm.best_iteration).alias("best_iteration"))
 
 
+def _emb_columns(df):
+    """The embedding as one column per dimension."""
+    width = fx.EMB_DIMS
+    cell = vector_to_array("features")
+    return df.select("vec_id", "y", *[cell[i].alias(f"f{i}") for i in range(width)])
+
+
 @query("search_trials")
 def search_trials(spark, sf_dir):
-    """TUN2-TUN4: seeded random search on a stratified 50% of train,
-    objective = val PR-AUC at the best iteration."""
+    """TUN2-TUN4: Parzen-estimator search with successive halving over all seven parameters on a stratified
+    50% of train; objective = best val PR-AUC."""
     train, val = emb_splits(spark, sf_dir)
     spw = _spw(train)
     half = sample.stratified_fraction(train, "y", "vec_id", 0.5, 42)
-    space = dict(tune.GBT_SPACE, max_depth=("int", 2, DEPTH + 1))  # every dimension that MLlib has
-
-    def objective(params):
-        p = dict(params, n_estimators=BUDGET.search_rounds, seed=42)
-        bm = learn.fit_with_early_stopping(_weighted(half, spw), _weighted(val, spw), "y", "vec_id",
-                                           weight="w", params=p, patience=PATIENCE)
-        scored = bm.predict_proba(val, ["vec_id", "y"])
-        return metrics.pr_auc(scored, "y", "p").first()["pr_auc"]
-
-    trials = tune.random_search(spark, space, BUDGET.search_trials, objective, seed=42)
-    return trials.select("trial", F.to_json("params").alias("params"), r6("objective").alias("objective"))
+    cols = [f"f{i}" for i in range(fx.EMB_DIMS)]
+    table = hist.TrainingTable.of(_emb_columns(half), cols, "y", "vec_id", val=_emb_columns(val), max_bins=BUDGET.max_bins)
+    trials = tune.search_boosters(table, tune.XGB_SPACE, BUDGET.search_trials, seed=42, n_rounds=BUDGET.search_rounds,
+                                  patience=PATIENCE, scale_pos_weight=spw, max_bins=BUDGET.max_bins)
+    table.forget()
+    return trials.select("trial", F.to_json("params").alias("params"), r6("objective").alias("objective"), "rounds", "pruned")
 
 
 @query("weight_sweep")
@@ -116,7 +117,6 @@ GROUP BY i
 """)
 def embedding_moments(spark, sf_dir):
     """FEA6 input: the moments that standardise the vectors."""
-    from pyspark.ml.functions import vector_to_array
     from ..operators.reduce import vector_moments
     m = vector_moments(fx.emb_binary(spark, sf_dir).select(vector_to_array("features").alias("a")))
     return m.select("i", r6("m").alias("mean"), r6("v").alias("variance"))
@@ -157,8 +157,7 @@ def order_job(spark, sf_dir, search_trials=BUDGET.search_trials, rounds=BUDGET.r
         categorical=["status", "priority"], threshold=0.1, select_cut=0.99, min_features=3,
         importance_params={"n_estimators": BUDGET.importance_rounds, "max_depth": BUDGET.importance_depth},
         search_trials=search_trials,
-        search_space={"learning_rate": ("logfloat", 0.05, 0.3), "max_depth": ("int", 2, 5),
-                      "subsample": ("float", 0.5, 1.0)},
+        search_space=dict(tune.XGB_SPACE), backend="hist",
         params={"n_estimators": rounds, "max_depth": 4, "learning_rate": 0.1, "subsample": 0.8},
         patience=PATIENCE)
     return train_select_tune(spark, cfg, train, val, test.drop("label"))

@@ -177,3 +177,31 @@ def test_category_lookup_joins_unless_bounded(spark, monkeypatch):
     assert sorted((r["id"], r["c"]) for r in coded.collect()) == [(i, i) for i in range(5)]
     with pytest.raises(ValueError):
         encode.CategoryEncoder(["c"], lookup="index").fit(df).transform(df)
+
+
+def test_six_hundred_category_columns(spark, monkeypatch):
+    from tabforge.operators import encode
+    width = 600
+    df = spark.range(400).select("id", *[
+        F.when(F.col("id") % 11 != j % 11, F.concat(F.lit("v"), (F.xxhash64("id", F.lit(j)) % 4).cast("string"))).alias(f"c{j}")
+        for j in range(width)]).checkpoint(eager=True)
+    cols = [f"c{j}" for j in range(width)]
+    began = time.time()
+    model = CategoryEncoder(cols).fit(df.filter("id < 350"))
+    coded = model.transform(df)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    got = {r["id"]: r for r in coded.collect()}
+    assert time.time() - began < 60 and "Join" not in plan
+    for r in df.filter("id % 37 = 0").collect():
+        for j in (0, 7, 599):
+            values = sorted(set(x[0] for x in df.filter("id < 350").select(f"c{j}").collect()) - {None})
+            assert got[r["id"]][f"c{j}"] == (values.index(r[f"c{j}"]) if r[f"c{j}"] in values else None)
+    # The same codes where a column passes a bound and is joined; nulls, unseen and hot values included.
+    rows = [(i, "hot" if i % 3 else f"x{i}", f"v{i % 3}" if i % 5 else None) for i in range(900)]
+    few = spark.createDataFrame(rows, "id long, many string, few string")
+    together = CategoryEncoder(["many", "few"]).fit(few.filter("id < 800"))
+    expected = sorted(map(tuple, together.transform(few).collect()), key=lambda r: r[0])
+    monkeypatch.setattr(encode, "INDEX_VALUES", 100)
+    joined = CategoryEncoder(["many", "few"]).fit(few.filter("id < 800"))
+    assert set(joined.small()) == {"few"}
+    assert sorted(map(tuple, joined.transform(few).collect()), key=lambda r: r[0]) == expected
