@@ -8,7 +8,8 @@ items. Between epochs each island's elite migrates to the next island of its gro
 stay poorly filled are dissolved and packed again together with those of other groups.
 
 Cases: a null text is empty and gives the end token alone; repeated rows and null ids are packed
-row by row; an empty table gives an empty result; extra columns stay out of the result.
+row by row; an empty table gives an empty result; extra columns stay out of the result; texts of any length are
+encoded whole, runs of white space of any length included.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import base64
 import math
 import zlib
 from bisect import bisect_left, insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -59,6 +60,26 @@ def load_tokenizer(vocabulary: str, special: str | None = SPECIAL_TOKEN):
     )
 
 
+def id_encoder(vocabulary: str, model: str | None = None) -> Callable[[str], list[int]]:
+    """Text to ids. The rank file's library is the faster one; its pattern matcher runs out of stack on very long runs
+    of white space, and such a text is read by the JSON form of the same vocabulary (``model``), with the same ids."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    fast = load_tokenizer(vocabulary)
+    whole: list = []
+
+    def encode(text: str) -> list[int]:
+        try:
+            return fast.encode(text, allowed_special="all")
+        except ValueError:
+            if not whole:
+                whole.append(Tokenizer.from_file(model or public_tokenizers.path("byte_bpe_50k.json")))
+            return whole[0].encode(text, add_special_tokens=False).ids
+
+    return encode
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -70,11 +91,11 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
     remainder stands first."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = load_tokenizer(vocabulary)
+        encode = id_encoder(vocabulary)
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = np.array([*tokenizer.encode(text, allowed_special="all"), end_id], dtype="<u4")
+                ids = np.array([*encode(text), end_id], dtype="<u4")
                 first = (len(ids) - 1) % capacity + 1
                 bounds = [0, *range(first, len(ids) + 1, capacity)]
                 raw = ids.tobytes()

@@ -19,6 +19,21 @@ SCHEMA = "doc_id long, text string"
 # packing -----------------------------------------------------------------------------------
 
 
+def test_long_runs_of_white_space_are_encoded(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a" + " " * 1_000_000 + "b", "\n" * 1_000_000, "\t \n" * 300_000]
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), SCHEMA)).collect()
+    for doc, text in enumerate(texts):
+        ids = [*reference.encode(text, add_special_tokens=False).ids, 2]
+        own = sorted((r for r in got if r["doc_id"] == doc), key=lambda r: r["piece"])
+        assert sum(r["length"] for r in own) == len(ids)
+        for r in own:
+            assert r["ids_crc32"] == zlib.crc32(np.array(ids[r["start"] : r["start"] + r["length"]], dtype="<u4").tobytes())
+
+
 def test_pieces_hold_the_tokenizer_ids_and_fill_sequences(spark, documents):
     import public_tokenizers
     from tokenizers import Tokenizer
