@@ -52,15 +52,28 @@ def _shortest(c: Column, s: Column) -> Column:
     return F.when(digits > 16, out).otherwise(s)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, so that nested uses do not repeat it in generated code."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _float_text(java: Column, number: Column) -> Column:
+    """Python's text of a float from Java's; ``number`` is the value of a double, NULL for a narrower float."""
+    def laid_out(s: Column) -> Column:
+        return (F.when(s == "NaN", F.lit("nan")).when(s == "Infinity", F.lit("inf")).when(s == "-Infinity", F.lit("-inf"))
+                .when(F.instr(s, "E") > 0, _sci_to_python(s)).otherwise(s))
+
+    # Few texts have more digits than a double needs at most.
+    long = number.isNotNull() & (F.length(java) > 17)
+    return _bound(F.when(long, _shortest(number, java)).otherwise(java), laid_out)
+
+
 def num_to_text(c: Column, data_type: T.DataType) -> Column:
     """SCL7: Python-style text of a value of ``data_type``."""
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        s = _shortest(c, c.cast("string")) if isinstance(data_type, T.DoubleType) else c.cast("string")
-        return (F.when(F.isnan(c), F.lit("nan"))
-                .when(c == float("inf"), F.lit("inf"))
-                .when(c == float("-inf"), F.lit("-inf"))
-                .when(F.instr(s, "E") > 0, _sci_to_python(s))
-                .otherwise(s))
+        number = c if isinstance(data_type, T.DoubleType) else F.lit(None).cast("double")
+        return _bound(F.struct(c.cast("string").alias("java"), number.alias("number")),
+                      lambda v: _float_text(v["java"], v["number"]))
     if isinstance(data_type, T.BooleanType):
         return F.when(c, F.lit("True")).otherwise(F.lit("False"))
     return c.cast("string")
@@ -68,16 +81,25 @@ def num_to_text(c: Column, data_type: T.DataType) -> Column:
 
 def key_value_text(df, cols: list[str], sep: str = ", ") -> Column:
     """SCL6 + FLT4: ``"name: value"`` for every non-missing cell, joined by
-    ``sep``; ``concat_ws`` skips the NULL arms."""
-    arms = []
+    ``sep``. The cells form one array, so the layout of floats is one expression for any number of columns;
+    ``array_join`` skips the NULLs."""
+    cells = []
     for c in cols:
         dt = df.schema[c].dataType
         col = F.col(f"`{c}`")
-        missing = col.isNull()
+        none = F.lit(None)
+        text, java, number = none.cast("string"), none.cast("string"), none.cast("double")
         if isinstance(dt, (T.DoubleType, T.FloatType)):
-            missing = missing | F.isnan(col)
-        arms.append(F.when(~missing, F.concat(F.lit(f"{c}: "), num_to_text(col, dt))))
-    return F.concat_ws(sep, *arms)
+            present = F.nanvl(col, none.cast(dt))
+            java = present.cast("string")
+            number = present if isinstance(dt, T.DoubleType) else number
+        else:
+            text = num_to_text(col, dt)
+        cells.append(F.struct(F.lit(f"{c}: ").alias("name"), text.alias("text"), java.alias("java"), number.alias("number")))
+    if not cells:
+        return F.lit("")
+    value = lambda e: F.coalesce(e["text"], _float_text(e["java"], e["number"]))
+    return F.array_join(F.transform(F.array(*cells), lambda e: F.concat(e["name"], value(e))), sep)
 
 
 def answer_word(label: Column, yes: str, no: str) -> Column:

@@ -7,7 +7,10 @@ blocks and one shuffle of sums:
 * each task routes its blocks' rows down the tree so far, adds gradients and hessians per
   (node, feature, bin) and sends them feature chunk by feature chunk;
 * one group per chunk adds the tasks' sums, scores every split there and returns the best one of
-  each node; the driver takes the best chunk (at most nodes x chunks rows).
+  each node; the driver takes the best chunk (at most nodes x chunks rows);
+* a node whose rows would fit into one block needs no more passes: its rows go to one group, which grows
+  the whole subtree (Panda et al., PLANET, VLDB 2009: the in-memory build of small nodes). Deep levels would
+  otherwise cost one pass each, with sums for thousands of nodes that hold few rows.
 
 The same pass sketches the scores of all rows under the trees so far (``score_sketch``), so a round
 needs no job of its own for its metrics. Blocks hold the margins of the trees up to the last
@@ -44,6 +47,10 @@ MERGE = 64
 #: Splits of random row sampling.
 UNIT = float(1 << 53)
 TRAIN, EVAL = 0, 1
+#: Chunk numbers from here downwards carry the rows of a small node.
+ROWS_OF_NODE = -100
+#: From so many rows on, a small node's sums are kept by bin, below by sorted row.
+DENSE_ROWS = 1024
 
 U64 = np.uint64
 
@@ -237,6 +244,7 @@ class Pass:
     recent: list
     growing: PackedTree | None = None
     active: list = field(default_factory=list)
+    small: list = field(default_factory=list)   # open nodes that one group finishes
     features: list | None = None
     sets: frozenset = frozenset()
     sample: float = 1.0
@@ -248,9 +256,8 @@ class Pass:
 
     def chunks(self) -> list[list[int]]:
         """Features in chunks of about ``CHUNK_SUMS`` sums."""
-        chosen = range(len(self.layout.slots)) if self.features is None else self.features
         out, size = [], CHUNK_SUMS + 1
-        for f in chosen:
+        for f in self.chosen():
             cells = self.layout.slots[f] * max(1, len(self.active))
             if size + cells > CHUNK_SUMS:
                 out.append([])
@@ -259,6 +266,9 @@ class Pass:
             size += cells
         return out
 
+    def chosen(self) -> list[int]:
+        return list(range(len(self.layout.slots)) if self.features is None else self.features)
+
     def margins(self, row, rows: int, column) -> np.ndarray:
         held = np.frombuffer(row["m"]).reshape(-1, rows)
         # Until the first write all boosters share the base margin.
@@ -278,8 +288,10 @@ class Pass:
 
 
 SUMS = "trial int, chunk int, g int, sums binary"
-#: kind 0: a split (b is its bin, or the place in the order of a set), kind 1: metrics of one part.
-FOUND = "trial int, kind int, node int, f int, b int, missing_left boolean, gain double, gl double, hl double, g double, h double, codes binary"
+#: kind 0: a node with its best split (b: its bin, or the last code of a set; cl and c: rows on the left and in the
+#: node), or with no split but its sums; kind 1: metrics of one part.
+FOUND = ("trial int, kind int, node int, f int, b int, missing_left boolean, gain double, gl double, hl double, "
+         "cl long, g double, h double, c long, codes binary")
 
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -302,12 +314,13 @@ class TaskSums:
         self.work = work
         self.place_of = np.full(2 ** (work.depth + 1) - 1, -1)
         self.place_of[list(work.active)] = np.arange(len(work.active))
+        self.place_of[list(work.small)] = len(work.active) + np.arange(len(work.small))
         self.held: list[tuple] = []
         self.sketches: dict[int, np.ndarray] = {}
 
     def add(self, row: dict, column, y: np.ndarray, w: np.ndarray, k: np.ndarray) -> None:
         work, n = self.work, row["n"]
-        grows = row["part"] == TRAIN and len(work.active) > 0
+        grows = row["part"] == TRAIN and len(work.active) + len(work.small) > 0
         if not grows and work.sketch_range is None:
             return
         m = work.margins(row, n, column)
@@ -326,16 +339,29 @@ class TaskSums:
     def sums(self, features: list[int]) -> bytes:
         """Gradients and hessians of a chunk: for each feature by node and bin."""
         out = []
+        nodes = len(self.work.active)
         for f in features:
             slots = self.work.layout.slots[f]
-            g, h = np.zeros(len(self.work.active) * slots), np.zeros(len(self.work.active) * slots)
+            sums = np.zeros((3, nodes * slots))
             for column, at, place, gs, hs in self.held:
-                cell = place * slots + column(f)[at]
-                g += np.bincount(cell, weights=gs, minlength=len(g))
-                h += np.bincount(cell, weights=hs, minlength=len(h))
-            out += [g, h]
+                big = np.flatnonzero(place < nodes) if self.work.small else slice(None)
+                cell = place[big] * slots + column(f)[at[big]]
+                sums[0] += np.bincount(cell, weights=gs[big], minlength=nodes * slots)
+                sums[1] += np.bincount(cell, weights=hs[big], minlength=nodes * slots)
+                sums[2] += np.bincount(cell, minlength=nodes * slots)
+            out.append(sums.ravel())
         return np.concatenate(out).tobytes()
 
+    def rows(self, which: int) -> bytes | None:
+        """The rows of a small node: their number, gradients, hessians, and bins column by column."""
+        parts = [(c, at[some], gs[some], hs[some]) for c, at, place, gs, hs in self.held
+                 if len(some := np.flatnonzero(place == len(self.work.active) + which))]
+        if not parts:
+            return None
+        g, h = (np.concatenate([p[i] for p in parts]) for i in (2, 3))
+        bins = [np.concatenate([c(f)[at] for c, at, _, _ in parts]).tobytes() for f in self.work.chosen()]
+        return b"".join([np.array([len(g)]).tobytes(), g.tobytes(), h.tobytes(), *bins])
+
 
 def block_sums(works: list[Pass]):
     """Per task and booster: sums by feature chunk (chunk 0, 1, ...) and sketches of the parts (chunk -1, -2)."""
@@ -353,9 +379,13 @@ def block_sums(works: list[Pass]):
                 task.add(row, column, y, w, k)
         for trial, task in enumerate(tasks):
             yield sums_batch([(trial, -1 - part, total.tobytes()) for part, total in task.sketches.items()])
-            if task.held:
+            if task.held and task.work.active:
                 for c, features in enumerate(task.work.chunks()):
                     yield sums_batch([(trial, c, task.sums(features))])
+            for which, node in enumerate(task.work.small if task.held else []):
+                raw = task.rows(which)
+                if raw is not None:
+                    yield sums_batch([(trial, ROWS_OF_NODE - node, raw)])
 
     return scan
 
@@ -371,17 +401,28 @@ def best_of_chunk(works: list[Pass]):
     """The chunk's best split of every open node (all of them if ``every``), or the metrics of a part."""
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
-        trial, chunk, total = int(group["trial"].iloc[0]), int(group["chunk"].iloc[0]), added(group["sums"])
-        if chunk < 0:
+        trial, chunk = int(group["trial"].iloc[0]), int(group["chunk"].iloc[0])
+        work = works[trial]
+        if chunk <= ROWS_OF_NODE:
+            rows = subtree(work, trial, ROWS_OF_NODE - chunk, group["sums"])
+        elif chunk < 0:
+            total = added(group["sums"])
             pr, roc = score_sketch.areas(total)
-            rows = [(trial, 1, -1 - chunk, None, None, None, score_sketch.log_loss(total), pr, roc, None, None, None)]
+            rows = [(trial, 1, -1 - chunk, None, None, None, score_sketch.log_loss(total), pr, roc, None, None, None, None, None)]
         else:
-            rows = splits_of(works[trial], trial, works[trial].chunks()[chunk], total)
+            rows = splits_of(work, trial, work.chunks()[chunk], added(group["sums"]))
         return pd.DataFrame(rows, columns=FOUND_NAMES).astype(FOUND_TYPES)
 
     return join
 
 
+def set_bits(order: np.ndarray, rank: int, codes: int) -> bytes:
+    """One bit for each code of the set that goes left."""
+    bits = np.zeros(codes, dtype=np.uint8)
+    bits[order[: rank + 1]] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
 def splits_of(work: Pass, trial: int, features: list[int], total: np.ndarray) -> list[tuple]:
     nodes = len(work.active)
     best: list = [None] * nodes
@@ -389,13 +430,14 @@ def splits_of(work: Pass, trial: int, features: list[int], total: np.ndarray) ->
     at = 0
     for f in features:
         cells = nodes * work.layout.slots[f]
-        g, h = total[at : at + cells].reshape(nodes, -1), total[at + cells : at + 2 * cells].reshape(nodes, -1)
-        at += 2 * cells
+        g, h, c = total[at : at + 3 * cells].reshape(3, nodes, -1)
+        at += 3 * cells
         order, gain, left_g, left_h = work.splitting.gains(g, h, f in work.sets)
+        left_c = np.cumsum(np.take_along_axis(c[:, :-1], order, axis=1), axis=1)
         for i in range(nodes):
-            sums = float(g[i].sum()), float(h[i].sum())
+            sums = float(g[i].sum()), float(h[i].sum()), int(c[i].sum())
             if best[i] is None:
-                best[i] = (trial, 0, work.active[i], None, None, None, None, None, None, *sums, None)
+                best[i] = (trial, 0, work.active[i], None, None, None, None, None, None, None, *sums, None)
             if gain.shape[1] == 0:
                 continue
             for flat in np.flatnonzero(np.isfinite(gain[i].ravel())) if work.every else [int(np.argmax(gain[i]))]:
@@ -403,13 +445,9 @@ def splits_of(work: Pass, trial: int, features: list[int], total: np.ndarray) ->
                 value = float(gain[i, rank, left])
                 if not math.isfinite(value) or (not work.every and best[i][6] is not None and value <= best[i][6]):
                     continue
-                codes = None
-                if f in work.sets and not work.every:
-                    bits = np.zeros(gain.shape[1], dtype=np.uint8)
-                    bits[order[i, : rank + 1]] = 1
-                    codes = np.packbits(bits, bitorder="little").tobytes()
-                row = (trial, 0, work.active[i], f, int(order[i, rank]), bool(left), value,
-                       float(left_g[i, rank, left]), float(left_h[i, rank, left]), *sums, codes)
+                codes = set_bits(order[i], rank, gain.shape[1]) if f in work.sets and not work.every else None
+                row = (trial, 0, work.active[i], f, int(order[i, rank]), bool(left), value, float(left_g[i, rank, left]),
+                       float(left_h[i, rank, left]), int(left_c[i, rank] + left * c[i, -1]), *sums, codes)
                 if work.every:
                     every.append(row)
                 else:
@@ -417,9 +455,98 @@ def splits_of(work: Pass, trial: int, features: list[int], total: np.ndarray) ->
     return every if work.every else best
 
 
+def best_by_bins(work: Pass, f: int, bins: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple | None:
+    """Best split (gain, bin, missing left, left G and H, set) of one node on one feature, from sums by bin."""
+    slots = work.layout.slots[f]
+    gs, hs = (np.bincount(bins, weights=x, minlength=slots)[None, :] for x in (g, h))
+    order, gain, left_g, left_h = work.splitting.gains(gs, hs, f in work.sets)
+    if gain.shape[1] == 0:
+        return None
+    rank, left = divmod(int(np.argmax(gain[0])), 2)
+    codes = set_bits(order[0], rank, slots - 1) if f in work.sets else None
+    return float(gain[0, rank, left]), int(order[0, rank]), bool(left), float(left_g[0, rank, left]), float(left_h[0, rank, left]), codes
+
+
+def best_by_rows(work: Pass, features: list[int], bins: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple | None:
+    """The same over several features with cut points, from the rows sorted by bin: for nodes with fewer rows than bins."""
+    order = np.argsort(bins, axis=0, kind="stable")
+    ranked = np.take_along_axis(bins, order, axis=0)
+    up_g, up_h = np.cumsum(g[order], axis=0), np.cumsum(h[order], axis=0)
+    present = ranked < np.array([work.layout.slots[f] - 1 for f in features])
+    ends = np.vstack([ranked[1:] != ranked[:-1], np.ones((1, len(features)), dtype=bool)]) & present
+    n_present = present.sum(axis=0)
+    total_g, total_h = up_g[-1], up_h[-1]
+    last = np.maximum(n_present - 1, 0)
+    every = np.arange(len(features))
+    gone_g = np.where(n_present > 0, total_g - up_g[last, every], total_g)
+    gone_h = np.where(n_present > 0, total_h - up_h[last, every], total_h)
+    left_g = np.stack([up_g, up_g + gone_g], axis=2)
+    left_h = np.stack([up_h, up_h + gone_h], axis=2)
+    right_g, right_h = total_g[None, :, None] - left_g, total_h[None, :, None] - left_h
+    sp = work.splitting
+    gain = sp.score(left_g, left_h) + sp.score(right_g, right_h) - sp.score(total_g, total_h)[None, :, None] - sp.gamma
+    allowed = ends[:, :, None] & (left_h >= sp.min_child_weight) & (right_h >= sp.min_child_weight)
+    # Lower feature first, then lower bin, then missing right.
+    gain = np.where(allowed, gain, -np.inf).transpose(1, 0, 2)
+    at = int(np.argmax(gain))
+    j, i, left = np.unravel_index(at, gain.shape)
+    return float(gain[j, i, left]), features[j], int(ranked[i, j]), bool(left), float(left_g[i, j, left]), float(left_h[i, j, left])
+
+
+def subtree(work: Pass, trial: int, root: int, parts: pd.Series) -> list[tuple]:
+    """All nodes below a small one, with its rows at hand."""
+    features = work.chosen()
+    types = [work.layout.types[f] for f in features]
+    g, h, columns = [], [], [[] for _ in features]
+    for raw in parts:
+        n = int(np.frombuffer(raw, dtype=np.int64, count=1)[0])
+        g.append(np.frombuffer(raw, count=n, offset=8))
+        h.append(np.frombuffer(raw, count=n, offset=8 + 8 * n))
+        at = 8 + 16 * n
+        for column, t in zip(columns, types, strict=True):
+            column.append(np.frombuffer(raw, dtype=t, count=n, offset=at))
+            at += n * t.itemsize
+    g, h = np.concatenate(g), np.concatenate(h)
+    bins = [np.concatenate(c) for c in columns]
+    place = {f: i for i, f in enumerate(features)}
+    plain = [f for f in features if f not in work.sets]
+    matrix = np.stack([bins[place[f]].astype(np.int32) for f in plain], axis=1) if plain else None
+    missing = [s - 1 for s in work.layout.slots]
+    found = []
+    todo = [(root, np.arange(len(g)))]
+    while todo:
+        node, at = todo.pop()
+        gs, hs = g[at], h[at]
+        best = (-math.inf,)
+        if len(at) < DENSE_ROWS and plain:
+            value, *rest = best_by_rows(work, plain, matrix[at], gs, hs)
+            best = (value, *rest, None)
+        for f in features if len(at) >= DENSE_ROWS else [f for f in features if f in work.sets]:
+            one = best_by_bins(work, f, bins[place[f]][at], gs, hs)
+            # Equal gains: the lower feature.
+            if one and (one[0] > best[0] or (one[0] == best[0] and len(best) > 1 and f < best[1])):
+                best = (one[0], f, *one[1:])
+        sums = float(gs.sum()), float(hs.sum()), len(at)
+        if not math.isfinite(best[0]):
+            found.append((trial, 0, node, None, None, None, None, None, None, None, *sums, None))
+            continue
+        value, f, b, left, left_g, left_h, codes = best
+        split = PackedTree.of({0: (f, bits_to_codes(codes) if codes else b, left, value)}, {}, 1)
+        side = split.nodes(lambda j, at=at: bins[place[j]][at], missing, len(at), 1)
+        go_left = at[side == 1]
+        found.append((trial, 0, node, f, b, left, value, left_g, left_h, len(go_left), *sums, codes))
+        if value > 0 and 2 * node + 1 < 2 ** work.depth - 1:
+            todo += [(2 * node + 1, go_left), (2 * node + 2, at[side == 2])]
+    return found
+
+
+def bits_to_codes(raw: bytes) -> list[int]:
+    return np.flatnonzero(np.unpackbits(np.frombuffer(bytes(raw), np.uint8), bitorder="little")).tolist()
+
+
 FOUND_NAMES = [c.split()[0] for c in FOUND.split(", ")]
 FOUND_TYPES = {"trial": "int32", "kind": "int32", "node": "int32", "f": "Int32", "b": "Int32", "missing_left": "boolean"} | {
-    c: "float64" for c in ("gain", "gl", "hl", "g", "h")}
+    c: "float64" for c in ("gain", "gl", "hl", "g", "h")} | {"cl": "Int64", "c": "Int64"}
 
 
 def found(blocks: DataFrame, works: list[Pass], tasks: int) -> DataFrame:
@@ -428,12 +555,18 @@ def found(blocks: DataFrame, works: list[Pass], tasks: int) -> DataFrame:
     sums = blocks.mapInArrow(block_sums(works), SUMS)
     if tasks > MERGE:
         def partial(group: pd.DataFrame) -> pd.DataFrame:
+            if group["chunk"].iloc[0] <= ROWS_OF_NODE:
+                return group
             first = {c: [group[c].iloc[0]] for c in ("trial", "chunk", "g")}
             return pd.DataFrame(first | {"sums": [added(group["sums"]).tobytes()]})
 
         dealt = sums.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(int(math.sqrt(tasks)))))
         sums = dealt.groupBy("trial", "chunk", "g").applyInPandas(partial, SUMS)
-    return sums.groupBy("trial", "chunk").applyInPandas(best_of_chunk(works), FOUND)
+    # A group may be few bytes and much work: as many tasks as groups, which no size estimate folds into one.
+    groups = sum(2 + len(w.small) + (len(w.chunks()) if w.active else 0) for w in works)
+    reducers = min(groups, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = sums.repartition(reducers, "trial", "chunk")
+    return dealt.groupBy("trial", "chunk").applyInPandas(best_of_chunk(works), FOUND)
 
 
 def advanced(blocks: DataFrame, works: list[Pass]) -> DataFrame:

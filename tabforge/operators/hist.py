@@ -12,7 +12,7 @@ Data flow:
 1. cut points from a mergeable weighted summary (``wquantile``); rows are packed once into
    column blocks in the shared folder (``blocks``);
 2. a level of a tree is one pass over the blocks and one shuffle of sums; only the best
-   splits (nodes x feature chunks) reach the driver;
+   splits (nodes x feature chunks) reach the driver; nodes that fit into a block are finished by one group;
 3. the first pass of a round also sketches the scores of the round before, for train and eval
    rows alike (``score_sketch``): the history and patience-based stopping cost no job. The exact
    PR-AUC is computed for the chosen round only;
@@ -169,25 +169,30 @@ class HistModel:
         s = sum(avg.values()) or 1.0
         return {c: avg.get(c, 0.0) / s for c in self.cols}
 
-    def save(self, spark, path: str) -> None:
-        """SNK6: the model as one JSON line in a text folder."""
-        text = json.dumps({"cols": self.cols, "cuts": self.cuts, "params": asdict(self.params),
-                           "base_margin": self.base_margin, "history": self.history,
-                           "best_iteration": self.best_iteration, "codes": self.codes, "rounds": self.rounds,
-                           "best_value": self.best_value,
-                           "trees": [{"splits": list(t.splits.items()), "leaves": list(t.leaves.items())}
-                                     for t in self.trees]})
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    def to_dict(self) -> dict:
+        return {"cols": self.cols, "cuts": self.cuts, "params": asdict(self.params),
+                "base_margin": self.base_margin, "history": self.history,
+                "best_iteration": self.best_iteration, "codes": self.codes, "rounds": self.rounds,
+                "best_value": self.best_value,
+                "trees": [{"splits": list(t.splits.items()), "leaves": list(t.leaves.items())} for t in self.trees]}
 
     @classmethod
-    def load(cls, spark, path: str) -> HistModel:
-        d = json.loads(spark.read.text(path).first()["value"])
+    def from_dict(cls, d: dict) -> HistModel:
         trees = [HistTree({int(n): tuple(v) for n, v in t["splits"]}, {int(n): v for n, v in t["leaves"]})
                  for t in d["trees"]]
         return cls(cols=d["cols"], cuts=d["cuts"], params=HistParams(**d["params"]), base_margin=d["base_margin"],
                    trees=trees, history=[tuple(h) for h in d["history"]], best_iteration=d["best_iteration"],
                    codes=d["codes"], rounds=[tuple(r) for r in d["rounds"]], best_value=d["best_value"])
 
+    def save(self, spark, path: str) -> None:
+        """SNK6: the model as one JSON line in a text folder."""
+        text = json.dumps(self.to_dict())
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> HistModel:
+        return cls.from_dict(json.loads(spark.read.text(path).first()["value"]))
+
     def layout(self) -> B.Layout:
         return layout_of(self.cols, self.cuts, self.codes)
 
@@ -244,6 +249,7 @@ class TrainingTable:
     table: DataFrame
     paths: list
     with_eval: bool
+    rows: int   # train rows
 
     @classmethod
     def of(cls, train: DataFrame, cols: list[str], label: str, key: str, weight: str | None = None,
@@ -260,7 +266,8 @@ class TrainingTable:
             known = weight if weight in val.columns else None
             packed = packed.unionByName(B.pack(val, cols, layout, key, label, known, B.EVAL, base))
         table, path = B.written(packed, "hist-blocks")
-        return cls(cols, cuts, codes, sets, table, [path], val is not None)
+        rows = table.filter(F.col("part") == B.TRAIN).agg(F.sum("n")).first()[0] or 0
+        return cls(cols, cuts, codes, sets, table, [path], val is not None, rows)
 
     def forget(self) -> None:
         B.forget(self.table.sparkSession, self.paths)
@@ -300,6 +307,7 @@ class Fit:
         self.layout = self.model.layout()
         self.sets = frozenset(i for i, c in enumerate(table.cols) if c in table.sets)
         self.recent: list = []
+        self.rows = table.rows
         self.slot = 0
         self.low = self.high = self.model.base_margin
         self.best, self.since = None, 0
@@ -334,7 +342,7 @@ class Fit:
                 yield t
             wide = (self.low, self.high) if self.with_eval and t else None
             work = self.work(features=_col_sample(len(model.cols), p.colsample_bytree, p.seed, t), sample=p.subsample,
-                             salt=p.seed * 1_000_003 + t, sketch_range=wide, active=[0])
+                             salt=p.seed * 1_000_003 + t, sketch_range=wide)
             tree = yield from self.grow(work)
             if tree is None:
                 return
@@ -347,43 +355,46 @@ class Fit:
             model.best_iteration = max(0, len(model.trees) - 1)
 
     def grow(self, work: B.Pass):
-        """One tree, level by level; None if the metrics of the first pass end the fit."""
+        """One tree, level by level as long as nodes are larger than a block; None if the metrics of the first pass end
+        the fit."""
         p = self.p
         splits: dict = {}
         leaves: dict = {}
         pending: dict = {}
-        for level in range(p.max_depth):
+        open_nodes = {0: self.rows}   # and how many rows they hold at most
+        most = min(B.BLOCK_ROWS, B.BLOCK_CELLS // max(1, len(work.chosen())))
+        first = True
+        while open_nodes:
+            work.small = [n for n, rows in open_nodes.items() if rows <= most]
+            work.active = [n for n in open_nodes if n not in set(work.small)]
             work.slot = self.slot
             rows = yield work
-            if level == 0 and work.sketch_range and self.ended([r for r in rows if r["kind"] == 1]):
+            if first and work.sketch_range and self.ended([r for r in rows if r["kind"] == 1]):
                 return None
+            first, work.sketch_range = False, None
             best: dict = {}
             for r in sorted((r for r in rows if r["kind"] == 0), key=lambda r: (r["f"] is None, r["f"])):
                 known = best.get(r["node"])
                 if known is None or (r["gain"] is not None and (known["gain"] is None or r["gain"] > known["gain"])):
                     best[r["node"]] = r
-            found = {}
             for n, r in best.items():
                 if r["gain"] is None or not r["gain"] > 0:
                     leaves[n] = _leaf(r["g"], r["h"], p)
                     continue
-                b = int(r["b"])
-                if r["codes"] is not None:
-                    b = np.flatnonzero(np.unpackbits(np.frombuffer(bytes(r["codes"]), np.uint8), bitorder="little")).tolist()
-                found[n] = (int(r["f"]), b, bool(r["missing_left"]), float(r["gain"]))
+                b = int(r["b"]) if r["codes"] is None else B.bits_to_codes(r["codes"])
+                splits[n] = (int(r["f"]), b, bool(r["missing_left"]), float(r["gain"]))
                 pending[2 * n + 1] = (r["gl"], r["hl"])
                 pending[2 * n + 2] = (r["g"] - r["gl"], r["h"] - r["hl"])
-            for n in work.active:     # without a sampled row: the parent's split says what it holds
-                if n not in found and n not in leaves:
-                    leaves[n] = _leaf(*pending.get(n, (0.0, 0.0)), p)
-            splits.update(found)
-            work.active = [c for n in found for c in (2 * n + 1, 2 * n + 2)]
-            work.sketch_range = None
-            if not work.active:
-                break
+            # Below a small node the whole subtree came back.
+            open_nodes = {
+                2 * n + side: (best[n]["cl"], best[n]["c"] - best[n]["cl"])[side - 1]
+                for n in work.active if n in splits and 2 * n + 1 < 2 ** p.max_depth - 1 for side in (1, 2)
+            }
             work.growing = B.PackedTree.of(splits, leaves, p.max_depth)
-        for n in work.active:         # children of the deepest level are leaves
-            leaves[n] = _leaf(*pending[n], p)
+        # Children of the deepest level, and a root without a row.
+        for n in [c for n in splits for c in (2 * n + 1, 2 * n + 2)] or [0]:
+            if n not in splits and n not in leaves:
+                leaves[n] = _leaf(*pending.get(n, (0.0, 0.0)), p)
         return HistTree(splits=splits, leaves=leaves)
 
 

@@ -152,14 +152,15 @@ def _draw(u: float, v: float, centres: list[float], widths: list[float]) -> floa
     return min(1.0, max(0.0, c + w * normal.inv_cdf(min(1 - 1e-12, max(1e-12, low + v * (high - low))))))
 
 
-def tpe_suggest(space: dict, seen: list[tuple[dict, float]], trial: int, seed: int = 42) -> dict:
+def tpe_suggest(space: dict, seen: list[tuple[dict, float]], trial: int, seed: int = 42, running: list[dict] | None = None) -> dict:
     """Parameters of a trial from the finished ones ``(params, objective)``, greater objectives being better: for
     each parameter, of some draws from the density of the good trials, the one with the greatest ratio
-    to the density of the others."""
+    to the density of the others. Trials that still run count among the others, which keeps a batch apart."""
     if len(seen) < STARTUP:
         return suggest(space, trial, seed)
     ranked = sorted(seen, key=lambda s: -s[1])
     n_good = max(1, math.ceil(GOOD_SHARE * len(ranked)))
+    ranked += [(p, -math.inf) for p in running or []]
     out = {}
     for name, spec in space.items():
         good, rest = (parzen([to_unit(*spec, p[name]) for p, _ in part]) for part in (ranked[:n_good], ranked[n_good:]))
@@ -190,13 +191,15 @@ TRIALS = T.StructType([T.StructField("trial", T.IntegerType()),
 
 
 def search(spark: SparkSession, space: dict, n_trials: int,
-           evaluate: Callable[[list[dict]], list[tuple[float, int, bool]]], seed: int = 42, batch: int = 15) -> DataFrame:
+           evaluate: Callable[[list[dict]], list[tuple[float, int, bool]]], seed: int = 42, batch: int = 10) -> DataFrame:
     """TUN3: trials in batches; ``evaluate`` gives (objective, rounds, pruned) for each one's parameters. The
     table ``(trial, params, objective, rounds, pruned)``."""
     rows, seen = [], []
     while len(rows) < n_trials:
         first = len(rows)
-        drawn = [tpe_suggest(space, seen, t, seed) for t in range(first, min(n_trials, first + batch))]
+        drawn: list[dict] = []
+        for t in range(first, min(n_trials, first + batch)):
+            drawn.append(tpe_suggest(space, seen, t, seed, drawn))
         for i, (p, (objective, rounds, pruned)) in enumerate(zip(drawn, evaluate(drawn), strict=True)):
             rows.append((first + i, {k: float(v) for k, v in p.items()}, float(objective), int(rounds), bool(pruned)))
             seen.append((p, float(objective)))
@@ -208,7 +211,7 @@ RUNGS = (5, 20, 80)
 REDUCTION = 4
 
 
-def search_boosters(table, space: dict, n_trials: int, seed: int = 42, batch: int = 15, rungs: tuple = RUNGS,
+def search_boosters(table, space: dict, n_trials: int, seed: int = 42, batch: int = 10, rungs: tuple = RUNGS,
                     reduction: int = REDUCTION, **fixed) -> DataFrame:
     """TUN2-TUN4 on the histogram booster: every trial trains on ``table`` (``hist.TrainingTable``) with ``fixed`` and its own
     parameters; its objective is the best eval metric of its rounds."""
@@ -217,7 +220,7 @@ def search_boosters(table, space: dict, n_trials: int, seed: int = 42, batch: in
     maximize = fixed.get("eval_metric") != "logloss"
 
     def evaluate(drawn: list[dict]) -> list[tuple[float, int, bool]]:
-        params = [HistParams.of(p, **fixed) for p in drawn]
+        params = [HistParams.of(p, seed=seed, **fixed) for p in drawn]
         models = fit_on(table, params, rungs, halving(reduction, maximize))
         out = []
         for model, p in zip(models, params, strict=True):

@@ -20,6 +20,7 @@ from ..operators.encode import CategoryEncoder
 from ..operators.prep import MissingPlan
 from ..sources import sinks
 from ..session import ensure_checkpoint_dir
+from . import stages
 from .budgets import REFERENCE
 from ..sources.tables import REJECT, normalize_nan, read_csv, split_rejects
 
@@ -35,7 +36,7 @@ def ingest_csv(spark: SparkSession, labelled_csv: str, out_dir: str, label: str,
             continue
         # Written as read, so that the CSV is parsed once.
         raw = os.path.join(out_dir, f"{name}.parquet")
-        sinks.write_parquet(read_csv(spark, path, corrupt_col=REJECT), raw)
+        sinks.write_parquet(read_csv(spark, path, corrupt_col=REJECT, quoted_breaks=True), raw)
         good, bad = split_rejects(spark.read.parquet(raw))
         sinks.write_parquet(bad, os.path.join(out_dir, "rejects", f"{name}.parquet"))
         rejected = F.col(REJECT).isNotNull()
@@ -126,6 +127,9 @@ class _Gbt:
     def save(self, spark, model, path: str) -> None:
         sinks.save_model(model.model, path)
 
+    def stage(self, model):
+        return stages.TreesModelStage(model, self.numeric, self.cards)
+
 
 class _Hist:
     """The histogram booster behind the job's calls: L1/L2, gamma, gaps, category sets, and a
@@ -158,13 +162,16 @@ class _Hist:
         fixed = {hist.HistParams.NAMES.get(k, k): v for k, v in cfg.params.items() if k not in cfg.search_space}
         try:
             return tune.search_boosters(table, cfg.search_space, cfg.search_trials, cfg.seed,
-                                        **{"patience": cfg.patience, "seed": cfg.seed, **fixed})
+                                        **{"patience": cfg.patience, **fixed})
         finally:
             table.forget()
 
     def save(self, spark, model, path: str) -> None:
         model.save(spark, path)
 
+    def stage(self, model):
+        return stages.BoosterModelStage(model)
+
 
 BACKENDS = {"mllib": _Gbt, "hist": _Hist}
 
@@ -240,6 +247,11 @@ def train_select_tune(spark: SparkSession, cfg: TrainConfig, train: DataFrame, v
               "rounds": rounds, "val_scores": scored, "class_report": metrics.class_report(scored, cfg.label, "pred"),
               "confusion": metrics.confusion_matrix(scored, cfg.label, "pred"), "model": bm}
 
+    # The whole path from raw columns to the probability, as one model that can be stored.
+    result["pipeline"] = stages.scorer([
+        plan and stages.PlanModelStage(plan), enc and stages.CategoryModelStage(enc),
+        stages.SelectStage(sel_num + list(sel_cat), feats_all), learner.stage(bm)])
+
     # score test -> submission (SCO1, SNK4)
     if test is not None:
         C.check_required(prep["test"], sel_num + list(sel_cat), "test split")
@@ -257,4 +269,5 @@ def train_select_tune(spark: SparkSession, cfg: TrainConfig, train: DataFrame, v
         sinks.write_report_csv(imp, os.path.join(out_dir, "feature_importance"))
         sinks.write_report_csv(sinks.with_json_params(row, "hyperparameters"), os.path.join(out_dir, "summary"))
         learner.save(spark, bm, os.path.join(out_dir, "model"))
+        result["pipeline"].write().overwrite().save(os.path.join(out_dir, "pipeline"))
     return result

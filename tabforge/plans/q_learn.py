@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import hist, learn, metrics, sample, select, tune
 from ..operators.history import history_table
 from ..operators.profile import class_weight
-from ..operators.reduce import fit_pca_path
+from ..operators.reduce import covariance_times, fit_pca_path
 from . import fixtures as fx
 from .budgets import QUERIES as BUDGET
 from .registry import query, r6
@@ -131,6 +131,25 @@ def pca_variance(spark, sf_dir):
     return v.select("component", r6("ratio").alias("ratio"), r6("cumulative_ratio").alias("cumulative_ratio"))
 
 
+@query("pca_quality")
+def pca_quality(spark, sf_dir):
+    """FEA6: each component's length, its greatest product with another one, and its residual as a share of the greatest
+    eigenvalue, against the covariance of all train rows."""
+    import numpy as np
+
+    train, _ = emb_splits(spark, sf_dir)
+    model = fit_pca_path(train, "features", 8)
+    arrays = train.select(vector_to_array("features").alias("a"))
+    c = model.components
+    product, trace, _ = covariance_times(arrays, model.mean, model.scale, c)
+    values = model.explained_variance_ratio
+    residual = np.linalg.norm(product / trace - c * values, axis=0) / values[0]
+    dots = np.abs(c.T @ c - np.diag(np.sum(c * c, axis=0))).max(axis=0)
+    rows = [(i, *map(float, r)) for i, r in enumerate(zip(np.linalg.norm(c, axis=0), dots, residual))]
+    found = spark.createDataFrame(rows, "component int, length double, dot double, residual double")
+    return found.select("component", *[r6(x).alias(x) for x in ("length", "dot", "residual")])
+
+
 @query("pca_scores")
 def pca_scores(spark, sf_dir):
     """FEA4-FEA7: val projected on the train components (key kept)."""

@@ -82,6 +82,20 @@ def toy(spark, n=3000, seed=6):
 COLS = ["a", "b", "d", "e", "c"]
 
 
+def test_small_nodes_split_alike_by_rows_and_by_bins():
+    rng = np.random.default_rng(8)
+    layout = blocks.Layout.of([list(range(1, 9)), list(range(1, 200)), [0.5]], [0, 0, 0])
+    work = blocks.Pass(layout=layout, splitting=blocks.Splitting(1.0, 0.1, 0.05, 0.5), depth=2, recent=[])
+    for n in (1, 2, 5, 40, 700):
+        bins = np.stack([rng.integers(0, s, n) for s in layout.slots], axis=1).astype(np.int32)
+        g, h = rng.normal(size=n), rng.random(n)
+        by_rows = blocks.best_by_rows(work, [0, 1, 2], bins, g, h)
+        by_bins = max(((one[0], -f, *one[1:5]) for f in range(3) if (one := blocks.best_by_bins(work, f, bins[:, f], g, h))), default=None)
+        assert by_rows[0] == pytest.approx(by_bins[0])
+        if math.isfinite(by_rows[0]):
+            assert by_rows[1:4] == (-by_bins[1], *by_bins[2:4]) and by_rows[4:] == pytest.approx(by_bins[4:])
+
+
 @pytest.fixture(scope="module")
 def halves(spark):
     df = toy(spark).checkpoint(eager=True)
@@ -113,6 +127,7 @@ def test_a_tree_equals_brute_force_whatever_the_blocks(spark, halves, monkeypatc
     monkeypatch.setattr(wquantile, "ENTRIES_PER_BIN", 200)  # exact cut points
     p = hist.HistParams(n_rounds=3, max_depth=3, max_bins=16, subsample=0.7, colsample_bytree=0.9)
     whole = hist.fit_hist(train, COLS, "y", "id", "w", p, val, ["c"])
+    # Small blocks: nodes of more than 300 rows are split by passes, over many chunks and in two steps.
     monkeypatch.setattr(blocks, "BLOCK_ROWS", 300)
     monkeypatch.setattr(blocks, "CHUNK_SUMS", 40)
     monkeypatch.setattr(blocks, "MERGE", 2)
