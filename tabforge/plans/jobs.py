@@ -11,7 +11,7 @@ import os
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import columns as C
@@ -30,26 +30,26 @@ def ingest_csv(spark: SparkSession, labelled_csv: str, out_dir: str, label: str,
     """ING1: CSV -> train/val (exact hash split) [+ test] Parquet. Lines that do
     not fit the schema go to ``rejects`` (EXP2). Returns the label distribution
     of the input (AGG1) and the counts ``(table, n_read, n_rejected)`` (AGG11)."""
-    counts = None
+    counts: list = []
     for name, path in (("labelled", labelled_csv), ("test", test_csv)):
         if path is None:
             continue
-        # Written as read, so that the CSV is parsed once.
+        # Written as read, so that the CSV is parsed once; the write itself counts.
         raw = os.path.join(out_dir, f"{name}.parquet")
-        sinks.write_parquet(read_csv(spark, path, corrupt_col=REJECT, quoted_breaks=True), raw)
+        rejected = F.col(REJECT).isNotNull()
+        seen = Observation()
+        read = read_csv(spark, path, corrupt_col=REJECT, quoted_breaks=True)
+        sinks.write_parquet(read.observe(seen, F.count_if(~rejected).alias("n_read"), F.count_if(rejected).alias("n_rejected")), raw)
+        counts.append((name, seen.get["n_read"], seen.get["n_rejected"]))
         good, bad = split_rejects(spark.read.parquet(raw))
         sinks.write_parquet(bad, os.path.join(out_dir, "rejects", f"{name}.parquet"))
-        rejected = F.col(REJECT).isNotNull()
-        one = spark.read.parquet(raw).agg(F.lit(name).alias("table"), F.count_if(~rejected).alias("n_read"),
-                                          F.count_if(rejected).alias("n_rejected"))
-        counts = one if counts is None else counts.unionByName(one)
         if name == "test":
             sinks.write_parquet(good, os.path.join(out_dir, "test_clean.parquet"))
         else:
             full = good
             for split, part in zip(("train", "val"), sample.split_exact(good, key, frac, seed), strict=True):
                 sinks.write_parquet(part, os.path.join(out_dir, f"{split}.parquet"))
-    return profile.label_distribution(full, label), counts
+    return profile.label_distribution(full, label), spark.createDataFrame(counts, "table string, n_read long, n_rejected long")
 
 
 @dataclass

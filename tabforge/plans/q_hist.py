@@ -65,6 +65,52 @@ def root_split_best(spark, sf_dir):
     return _root_pass(spark, sf_dir, every=False).select("f", "b", "missing_left", r6("gain").alias("gain"))
 
 
+def _level_sql(rows: str, name: str) -> str:
+    """CTEs that find the best split of every node of ``rows`` (node, y, q, d): ``<name>`` (node, f, v, nxt,
+    missing_left, gain, gl, hl, g, h)."""
+    return f"""
+{name}_e AS (SELECT node, 0 AS f, q AS v, 0.5e0 - y AS g FROM {rows} UNION ALL SELECT node, 1 AS f, d AS v, 0.5e0 - y AS g FROM {rows}),
+{name}_h AS (SELECT node, f, v, sum(g) AS g, count(*) * 0.25e0 AS h FROM {name}_e GROUP BY ALL),
+{name}_t AS (SELECT node, sum(0.5e0 - y) AS gt, count(*) * 0.25e0 AS ht FROM {rows} GROUP BY node),
+{name}_c AS (SELECT node, f, v, lead(v) OVER w AS nxt, sum(g) OVER w AS gl, sum(h) OVER w AS hl FROM {name}_h WHERE v IS NOT NULL
+             WINDOW w AS (PARTITION BY node, f ORDER BY v)),
+{name}_m AS (SELECT c.*, gt, ht, coalesce(m.g, 0e0) AS gm, coalesce(m.h, 0e0) AS hm FROM {name}_c c JOIN {name}_t USING (node)
+             LEFT JOIN {name}_h m ON m.node = c.node AND m.f = c.f AND m.v IS NULL),
+{name}_d AS (SELECT node, f, v, nxt, false AS missing_left, gl, hl, gt, ht FROM {name}_m
+             UNION ALL SELECT node, f, v, nxt, true AS missing_left, gl + gm, hl + hm, gt, ht FROM {name}_m),
+{name} AS (SELECT *, gl * gl / (hl + 1e0) + (gt - gl) * (gt - gl) / (ht - hl + 1e0) - gt * gt / (ht + 1e0) AS gain
+           FROM {name}_d WHERE hl >= 1e0 AND ht - hl >= 1e0
+           QUALIFY row_number() OVER (PARTITION BY node ORDER BY gl * gl / (hl + 1e0) + (gt - gl) * (gt - gl) / (ht - hl + 1e0) DESC,
+                                      f, v, missing_left) = 1)"""
+
+
+_TREE_SQL = f"""
+WITH r0 AS (SELECT 0 AS node, CASE WHEN l_returnflag = 'R' THEN 1e0 ELSE 0e0 END AS y, CAST(l_quantity AS DOUBLE) AS q,
+                   CAST(NULLIF(round(l_discount * 100), 0) AS DOUBLE) AS d FROM lineitem), {_level_sql("r0", "a")},
+r1 AS (SELECT CASE WHEN coalesce(CASE WHEN a.f = 0 THEN q ELSE d END <= a.v, a.missing_left) THEN 1 ELSE 2 END AS node, y, q, d
+       FROM r0, a WHERE a.gain > 0), {_level_sql("r1", "b")},
+splits AS (SELECT * FROM a WHERE gain > 0 UNION ALL SELECT * FROM b WHERE gain > 0),
+children AS (SELECT 2 * node + 1 AS node, gl AS g, hl AS h FROM splits UNION ALL SELECT 2 * node + 2, gt - gl, ht - hl FROM splits)
+SELECT CAST(node AS INTEGER) AS node, CASE WHEN f = 0 THEN 'q' ELSE 'd' END AS feature, round(coalesce(nxt, 1e9), 6) AS threshold,
+       missing_left, round(gain, 6) AS gain, CAST(NULL AS DOUBLE) AS leaf_value FROM splits
+UNION ALL SELECT CAST(node AS INTEGER), NULL, NULL, NULL, NULL, round(-0.3e0 * g / (h + 1e0), 6) FROM children
+WHERE node NOT IN (SELECT node FROM splits)
+"""
+
+
+@query("tree_nodes", sql=_TREE_SQL)
+def tree_nodes(spark, sf_dir):
+    """LRN2 + SNK6: the node table of a fitted tree of depth 2 on all line items, gaps included."""
+    li = read_table(spark, sf_dir, "lineitem")
+    rows = li.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), (F.col("l_returnflag") == "R").cast("int").alias("y"),
+                     F.col("l_quantity").cast("double").alias("q"),
+                     F.nullif(F.round(F.col("l_discount") * 100), F.lit(0)).cast("double").alias("d"))
+    model = hist.fit_hist(rows, ["q", "d"], "y", "id", params=hist.HistParams(n_rounds=1, max_depth=2))
+    nodes = model.node_table(spark)
+    return nodes.select("node", "feature", r6(F.when(F.col("threshold") > 1e9, 1e9).otherwise(F.col("threshold"))).alias("threshold"), "missing_left",
+                        r6("gain").alias("gain"), r6("leaf_value").alias("leaf_value"))
+
+
 @query("fixed_tree_score", sql="""
 SELECT l_orderkey, l_linenumber, round(1e0 / (1e0 + exp(-(
     CASE WHEN l_quantity < 10 THEN CASE WHEN d IS NULL OR d >= 0.05e0 THEN -0.5e0 ELSE 0.25e0 END

@@ -3,6 +3,9 @@ are small by construction (one row per column or per trial) are coalesced."""
 
 from __future__ import annotations
 
+import csv
+import io
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,14 +24,38 @@ def write_report_csv(df: DataFrame, path: str) -> None:
 
 
 def write_submission_csv(df: DataFrame, path: str) -> None:
-    """SNK4: one ``utf-8-sig`` CSV file. The byte-order mark is the first bytes
-    of the header line, so it is prepended to the first column's name. The
-    rows, an id and a label each, are scored in parallel and moved to a single
-    writer task, since marks and headers of several part files would not join
-    to one valid file."""
-    first = df.columns[0]
-    out = df.repartition(1).withColumnRenamed(first, BOM + first)
-    out.write.mode("overwrite").option("header", True).csv(path)
+    """SNK4: one ``utf-8-sig`` CSV file, ``<path>/part-00000.csv``: byte-order mark, header, rows. The rows
+    are written in parallel as headerless parts; at commit the Hadoop file system joins them behind the header, by
+    ``concat`` where it can (no byte moves), else by copying buffer after buffer. No task sees all rows."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = lambda name: jvm.org.apache.hadoop.fs.Path(name)
+    folder, parts = at(path), f"{path.rstrip('/')}/_parts"
+    fs = folder.getFileSystem(conf)
+    fs.delete(folder, True)
+    df.write.option("header", False).csv(parts)
+    header = io.StringIO()
+    csv.writer(header, lineterminator="\n").writerow(df.columns)
+    unfinished = at(f"{path.rstrip('/')}/_part-00000.csv")
+    out = fs.create(unfinished, True)
+    out.write(bytearray((BOM + header.getvalue()).encode()))
+    files = sorted(s.getPath().toString() for s in fs.listStatus(at(parts)) if s.getPath().getName().startswith("part-"))
+    files = [f for f in files if fs.getFileStatus(at(f)).getLen() > 0]
+    if fs.getScheme() == "hdfs":
+        out.close()
+        array = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Path, len(files))
+        for i, f in enumerate(files):
+            array[i] = at(f)
+        fs.concat(unfinished, array)
+    else:
+        for f in files:
+            part = fs.open(at(f))
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+            part.close()
+        out.close()
+    fs.delete(at(parts), True)
+    # The name appears when the file is whole.
+    fs.rename(unfinished, at(f"{path.rstrip('/')}/part-00000.csv"))
 
 
 def write_jsonl(df: DataFrame, path: str, keep_nulls: bool = True) -> None:

@@ -62,3 +62,32 @@ def test_ingest_keeps_quoted_breaks(spark, tmp_path):
     labels, counts = jobs.ingest_csv(spark, str(tmp_path / "in.csv"), str(tmp_path / "out"), "label", "k")
     assert [tuple(r) for r in counts.collect()] == [("labelled", 50, 0)]
     assert spark.read.parquet(str(tmp_path / "out" / "train.parquet")).filter("t like 'l%\nm'").count() == 40
+
+
+def test_counts_come_from_the_write_itself(spark, tmp_path, monkeypatch):
+    """One scan of the records for reading, rejects and counts; a failing first attempt changes nothing."""
+    text = "k,label,t\n" + "".join(f"{i},{i % 2},x\n" for i in range(40)) + "only\n"
+    (tmp_path / "in.csv").write_text(text)
+    marker = tmp_path / "failed"
+
+    def flaky(session, path, corrupt_col, quoted_breaks):
+        def once(batches):
+            for batch in batches:
+                yield batch
+            try:
+                marker.open("x").close()
+            except FileExistsError:
+                return
+            raise RuntimeError("first attempt")
+
+        whole = tables.read_csv(session, path, corrupt_col=corrupt_col, quoted_breaks=quoted_breaks)
+        return whole.repartition(2, "k").mapInArrow(once, whole.schema)
+
+    monkeypatch.setattr(jobs, "read_csv", flaky)
+    # Local mode allows no second attempt, so the job itself is run again.
+    for attempt in range(2):
+        try:
+            _, counts = jobs.ingest_csv(spark, str(tmp_path / "in.csv"), str(tmp_path / "out"), "label", "k")
+        except Exception:
+            assert attempt == 0
+    assert [tuple(r) for r in counts.collect()] == [("labelled", 40, 1)] and marker.exists()

@@ -29,3 +29,16 @@ def test_jsonl_keeps_nulls_and_utf8(spark):
     raw = open(_parts(out, ".json")[0], "rb").read().decode("utf-8")
     assert "是" in raw
     assert json.loads(raw.splitlines()[0]) == {"output": "是", "input": None}
+
+
+def test_submission_from_parallel_writers_is_byte_equal(spark):
+    out = os.path.join(tempfile.mkdtemp(prefix="tabforge-sink-"), "sub")
+    rows = [(f"id,{i}" if i % 7 == 0 else f"ü{i}", i % 2) for i in range(1000)]
+    df = spark.createDataFrame(rows, "`the \"id\"` string, label int").repartition(6).sortWithinPartitions("label")
+    for _ in range(2):  # the second write takes the first one's place
+        sinks.write_submission_csv(df, out)
+    parts = _parts(out, ".csv")
+    assert [os.path.basename(p) for p in parts] == ["part-00000.csv"] and not glob.glob(os.path.join(out, "_*"))
+    raw = open(parts[0], "rb").read().decode("utf-8-sig").splitlines()
+    assert raw[0] == '"the ""id""",label'
+    assert sorted(raw[1:]) == sorted(f'"{k}",{v}' if "," in k else f"{k},{v}" for k, v in rows)
