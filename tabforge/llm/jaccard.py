@@ -12,7 +12,8 @@ Exact links between documents whose sets of word shingles have a Jaccard similar
    it is verified, and a set that shares too few shingles with any other leaves at once. Parity
    bits of the whole sets bound their difference from below and spare most verifications.
 3. Groups of near copies are linked first through one member each: sets that share one of their
-   first shared shingles are verified against the smallest of them. Only prefix shingles that still lie
+   first shared shingles are verified against the smallest of them, then, round after round, against other members of
+   the largest component of their shingles, as long as that joins components. Only prefix shingles that still lie
    in several components make pairs, and only between different components; every member of the
    components that are not the shingle's largest is paired with the others. Verification intersects
    the whole sets.
@@ -55,6 +56,8 @@ EXTRA_MATCH = 3
 FREQUENT = 64
 #: First shared shingles of each set through which near copies find their common member.
 HUB_KEYS = 3
+#: Rounds of common members end when more than this share of the rows stays outside the largest components.
+LEAST_FALL = 0.8
 #: Words of the parity bits of a set: every shingle flips one of 64 * PARITY_WORDS bits, so two
 #: sets differ in at least as many shingles as their bits differ.
 PARITY_WORDS = 16
@@ -256,8 +259,9 @@ def prefixed(traits: DataFrame, prefix: str, key: str) -> DataFrame:
     return traits.select(F.col("id").alias(key), *[F.col(c).alias(prefix + c) for c in ("n", *PARITY)])
 
 
-def cross_pairs(tokens: DataFrame, roots: DataFrame, traits: DataFrame, rule: Rule) -> DataFrame:
-    """Candidate pairs of different components that share enough prefix shingles."""
+def mixed_tokens(tokens: DataFrame, roots: DataFrame) -> DataFrame:
+    """Prefix shingles that lie in several components, with the component of each row and the shingle's
+    largest one (``major``)."""
     named = roots.withColumnRenamed("node", "id")
     placed = tokens.join(named, "id", "left").withColumn("root", F.coalesce("root", "id"))
     placed = materialize(placed, "jaccard-placed")
@@ -268,7 +272,24 @@ def cross_pairs(tokens: DataFrame, roots: DataFrame, traits: DataFrame, rule: Ru
         .filter(F.col("_roots") > 1)
         .select("token", "major")
     )
-    rows = materialize(placed.join(mixed, "token").drop("n").join(traits, "id"), "jaccard-mixed")
+    return materialize(placed.join(mixed, "token"), "jaccard-mixed")
+
+
+def major_pairs(mixed: DataFrame, traits: DataFrame, rule: Rule, number: int) -> DataFrame:
+    """Pairs of each set outside the largest component of some of its shingles with one member of that component,
+    another one each round, if sizes and parity bits allow a link."""
+    drawn = F.xxhash64("id", "token", F.lit(number))
+    members = mixed.filter(F.col("root") == F.col("major")).groupBy("token").agg(F.min_by("id", drawn).alias("b"))
+    order = Window.partitionBy("id").orderBy(F.xxhash64("token", F.lit(number)))  # one set's prefix
+    outside = mixed.filter(F.col("root") != F.col("major")).select("id", "token", F.row_number().over(order).alias("_k"))
+    pairs = outside.filter(F.col("_k") <= HUB_KEYS).join(members, "token").select(F.col("id").alias("a"), "b").distinct()
+    kept = pairs.join(prefixed(traits, "x_", "a"), "a").join(prefixed(traits, "y_", "b"), "b")
+    return kept.filter(may_be_similar("x_", "y_", rule)).select("a", "b")
+
+
+def cross_pairs(mixed: DataFrame, traits: DataFrame, rule: Rule) -> DataFrame:
+    """Candidate pairs of different components that share enough prefix shingles."""
+    rows = materialize(mixed.drop("n").join(traits, "id"), "jaccard-rows")
     sides = ("id", "root", "n", "l", "i", *PARITY)
     x = rows.filter(F.col("root") != F.col("major")).select("token", *[F.col(c).alias(f"x_{c}") for c in sides])
     y = rows.select("token", "major", *[F.col(c).alias(f"y_{c}") for c in sides])
@@ -292,6 +313,22 @@ def cross_pairs(tokens: DataFrame, roots: DataFrame, traits: DataFrame, rule: Ru
     )
 
 
+def joined_components(tokens: DataFrame, traits: DataFrame, sets: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """Links through common members, round after round, until few new ones come: the links, and the shingles that
+    still lie in several components."""
+    links = materialize(verified(hub_pairs(tokens, traits, rule), sets, rule), "jaccard-near")
+    number, before = 0, None
+    while True:
+        mixed = mixed_tokens(tokens, connected_components(links))
+        outside = mixed.filter(F.col("root") != F.col("major")).count()
+        # Rounds go on while they take away a fifth of the rows that would make pairs.
+        if outside == 0 or (before is not None and outside > LEAST_FALL * before):
+            return links, mixed
+        number, before = number + 1, outside
+        found = materialize(verified(major_pairs(mixed, traits, rule, number), sets, rule), "jaccard-near")
+        links = links.unionByName(found)
+
+
 ENTRIES = "pid int, kind int, token array<long>, id array<long>, p array<long>"
 TOKENS = "token long, id long, p long"
 ENTRY, SHARED, MARK = 0, 1, 2
@@ -386,8 +423,8 @@ def similar_classes(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     wanted = named.join(tokens.select("id").distinct(), "id", "left_semi")
     sets = materialize(needed_sets(plain, wanted, rule), "jaccard-sets")
     traits = found.select("id", "n", *[F.element_at("parity", i + 1).alias(b) for i, b in enumerate(PARITY)])
-    near = materialize(verified(hub_pairs(tokens, traits, rule), sets, rule), "jaccard-near")
-    rest = verified(cross_pairs(tokens, connected_components(near), traits, rule), sets, rule)
+    near, mixed = joined_components(tokens, traits, sets, rule)
+    rest = verified(cross_pairs(mixed, traits, rule), sets, rule)
     roots = connected_components(near.unionByName(rest)).withColumnRenamed("node", "id")
     rooted = named.join(roots, "id", "left")
     # Linked classes take their component's smallest document, the others their own.
