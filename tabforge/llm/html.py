@@ -7,8 +7,10 @@ context of the whole page. The blocks labelled as content make the text.
 
 There are no labelled pages, so the network is trained on a bounded sample of pages whose blocks
 are labelled by their landmarks (``article``, ``main``, ``nav``, ``footer`` and the like, class words such as
-"ad" or "comment"). In training, landmarks are hidden at random, so that the network learns from
-the other signs too.
+"ad" or "comment"). Sites differ in structure and a sample may hold one template only, so every epoch reads
+the pages in another shape (``varied``): containers and text elements exchanged, class words replaced, asides, forms and
+comments put into the article, landmarks taken away; the labels follow the shape. In some pages
+landmarks are hidden from the network, so that it learns from the other signs too.
 
 Cases: a null or empty page, and one without content blocks, gives an empty text; broken or cut
 off markup is read as far as it goes; every row gives one row, repeated rows and null ids too; an
@@ -33,15 +35,17 @@ from tabforge.llm.bytehash import word_hashes
 
 #: Pages that the network is trained on, at most (smallest hashes first), and blocks of a training page.
 FIT_PAGES = 400
-EPOCHS = 12
+EPOCHS = 30
 BATCH_PAGES = 64
 HIDDEN = 12
 PATH_SLOTS = 48
 WORD_SLOTS = 16
-MEASURES = 5
+MEASURES = 9
 RATE = 0.02
 #: Chance that a training page's landmarks are hidden.
-HIDE = 0.2
+HIDE = 0.1
+#: Chance that a training page is read in another shape.
+VARY = 0.7
 #: Blocks times pages of one network run, so that the working arrays stay small.
 RUN_STEPS = 1 << 15
 
@@ -56,6 +60,7 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CONTENT_MARKS = frozenset("article main".split())
+WHOLE = frozenset("html body main".split())
 BOILERPLATE_MARKS = frozenset("head title nav header footer aside form button menu dialog".split())
 BOILERPLATE_WORDS = frozenset(
     "ad ads advert advertisement banner promo sponsor sponsored nav navbar navigation menu breadcrumb breadcrumbs "
@@ -63,8 +68,11 @@ BOILERPLATE_WORDS = frozenset(
     "social related widget login signup subscribe newsletter copyright".split()
 )
 
+#: Attributes: a value in quotes may hold ">"; a quote that is never closed is an ordinary character.
+ATTRIBUTES = r"""(?:[^>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*"""
 MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW_TO_END})\b[^>]*>.*?(?:</\1\s*>|\Z)|<({RAW_IF_CLOSED})\b(?:[^>]*[^/>])?>.*?</\2\s*>|<[!?][^>]*(?:>|\Z)|</?\Z|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<({RAW_TO_END})\b{ATTRIBUTES}>.*?(?:</\1\s*>|\Z)|<({RAW_IF_CLOSED})\b(?:{ATTRIBUTES}[^/>])?>.*?</\2\s*>"
+    rf"|<[!?][^>]*(?:>|\Z)|</?\Z|<(/?)([a-zA-Z][^\s/>]*)({ATTRIBUTES})(?:>|\Z)",
     re.S | re.I,
 )
 MARKS = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -141,13 +149,66 @@ def read_page(markup: str) -> Page:
     return page
 
 
-def landmark_label(path: tuple) -> int:
-    """1 if the landmarks around a block make it content."""
-    names = {name for name, _ in path}
-    if any(w in BOILERPLATE_WORDS for _, marks in path for w in marks) or names & (BOILERPLATE_MARKS - {"header"}):
+def is_boilerplate(path: tuple) -> bool:
+    """Whether an element or class word around a block says that it is not content. The words of the page's own
+    elements (a ``body`` or ``main`` "with sidebar") say nothing about it."""
+    return any(name in BOILERPLATE_MARKS - {"header"} or (name not in WHOLE and not BOILERPLATE_WORDS.isdisjoint(marks)) for name, marks in path)
+
+
+def is_marked(path: tuple) -> bool:
+    return any(name in CONTENT_MARKS for name, _ in path)
+
+
+def landmark_label(path: tuple, marked: bool = False, linked: float = 0.0) -> int:
+    """1 if the landmarks around a block make it content: inside the page's ``article`` or ``main``, if it has one
+    (``marked``), else anything that is neither in a page header nor mostly links."""
+    if is_boilerplate(path):
         return 0
-    inside = bool(names & CONTENT_MARKS)
-    return int(inside or ("header" not in names and "p" in names))
+    if is_marked(path):
+        return 1
+    return int(not marked and linked <= 0.5 and all(name != "header" for name, _ in path))
+
+
+def page_labels(page: Page) -> np.ndarray:
+    marked = has_marks(page)
+    return np.array([landmark_label(p, marked, n / len(t)) for t, p, n in zip(page.texts, page.paths, page.linked, strict=True)], dtype=np.float32)
+
+
+def has_marks(page: Page) -> bool:
+    return any(is_marked(p) and not is_boilerplate(p) for p in page.paths)
+
+
+def varied(page: Page, rng: np.random.Generator) -> Page:
+    """The page in another shape: its paths with other elements, class words and containers."""
+    pick = lambda options: options[rng.integers(len(options))]
+    word = lambda: (pick(sorted(BOILERPLATE_WORDS)),)
+    content = pick([(("article", ()),), (("main", ()),), (("main", ()), ("article", ())), (("section", ()),), (("div", ("story",)),), ()])
+    swapped = {
+        "nav": pick([("nav", ()), ("div", ("menu",)), ("ul", ("navbar",)), ("aside", ()), ("div", ())]),
+        "footer": pick([("footer", ()), ("div", ("footer",)), ("div", ("copyright",))]),
+        "p": pick([("p", ()), ("p", ()), ("div", ()), ("li", ()), ("blockquote", ()), ("td", ()), ("pre", ()), ("dd", ())]),
+        "h1": pick([("h1", ()), ("h2", ()), ("h3", ()), ("div", ("title",))]),
+    }
+    paths = []
+    for path in page.paths:
+        new: list[tuple] = []
+        for name, marks in path:
+            if name in CONTENT_MARKS:
+                new += content
+            elif not BOILERPLATE_WORDS.isdisjoint(marks):
+                new.append((name, word()))
+            else:
+                new.append((swapped[name][0], swapped[name][1] or marks) if name in swapped else (name, marks))
+        if is_marked(path) and not is_boilerplate(path):
+            draw = rng.random()
+            if draw < 0.15:
+                new.insert(len(new) - 1, pick([("aside", ()), ("form", ()), ("nav", ()), ("div", word()), ("section", word()), ("footer", ())]))
+            elif draw < 0.35:
+                new.insert(len(new) - 1, pick([("section", ()), ("div", ("text",)), ("ul", ()), ("table", ()), ("header", ()), ("div", ("wide", "column"))]))
+        elif rng.random() < 0.1:
+            new = [*new[:2], pick([("p", ()), ("div", ()), ("h2", ()), ("li", ())])]
+        paths.append(tuple(new))
+    return Page(page.texts, paths, page.linked)
 
 
 def slot(word: str, slots: int) -> int:
@@ -160,7 +221,7 @@ def path_vector(path: tuple, hide: bool) -> np.ndarray:
         if hide and (name in CONTENT_MARKS or name in BOILERPLATE_MARKS):
             name = "div"
         v[slot(name, PATH_SLOTS)] += 1.0
-        if not hide:
+        if not hide and name not in WHOLE:
             for word in marks:
                 v[slot("." + word, PATH_SLOTS)] += 1.0
     return np.minimum(v, 2.0)
@@ -181,15 +242,22 @@ def features(pages: list[Page], hide: list[bool] | None = None) -> list[np.ndarr
     chars = np.fromiter(map(len, texts), dtype=np.float32, count=len(texts))
     linked = np.array([n for p in pages for n in p.linked], dtype=np.float32)
     ends = np.array([t[-1] in ".!?:;…" for t in texts], dtype=np.float32)
-    x[:, -MEASURES:] = np.column_stack(
+    x[:, -MEASURES:-4] = np.column_stack(
         [np.log1p(chars) / 6, np.log1p(counts) / 5, np.minimum(linked / chars, 1), ends, chars < 30]
     )
     known: dict[tuple, np.ndarray] = {}
+    signs: dict[tuple, tuple] = {}
     at = 0
     out = []
     for i, page in enumerate(pages):
         hidden = bool(hide and hide[i])
+        marked = has_marks(page)
         for k, path in enumerate(page.paths):
+            if not hidden:
+                if (path, marked) not in signs:
+                    plain = landmark_label(path, marked)
+                    signs[path, marked] = (is_boilerplate(path), is_marked(path), marked, plain)
+                x[at + k, -4:] = signs[path, marked]
             v = known.get((path, hidden))
             if v is None:
                 v = known[path, hidden] = path_vector(path, hidden)
@@ -303,10 +371,11 @@ def train(pages: list[Page], seed: int = 3) -> Labeller:
         return model
     rng = np.random.default_rng(seed)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.p.items()}
-    labels = [np.array([landmark_label(path) for path in p.paths], dtype=np.float32) for p in pages]
     step = 0
     for _ in range(EPOCHS):
-        inputs = features(pages, list(rng.random(len(pages)) < HIDE))
+        shaped = [varied(p, rng) if rng.random() < VARY else p for p in pages]
+        labels = [page_labels(p) for p in shaped]
+        inputs = features(shaped, list(rng.random(len(pages)) < HIDE))
         order = rng.permutation(len(pages))
         for at in range(0, len(order), BATCH_PAGES):
             chosen = order[at : at + BATCH_PAGES]
