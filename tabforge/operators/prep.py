@@ -86,7 +86,7 @@ class FillModel:
     unfilled: list = field(default_factory=list)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = df.drop(*C.present(df, self.dropped))
+        out = C.drop_present(df, self.dropped)
         vals = {c: v for c, v in self.values.items() if c in out.columns}
         exprs = []
         for c in out.columns:

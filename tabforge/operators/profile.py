@@ -100,6 +100,6 @@ def missing_total_by_split(df: DataFrame, cols: list[str] | None = None, split:
     return df.groupBy(split).agg(missing_total(df, cols).alias("total_missing"))
 
 
-def shape(df: DataFrame) -> tuple[int, int]:
-    """AGG3: ``(rows, columns)``."""
-    return df.count(), len(df.columns)
+def shape(df: DataFrame) -> DataFrame:
+    """AGG3: one row ``(n_rows, n_columns)``."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))

@@ -202,7 +202,7 @@ def train_select_tune(spark: SparkSession, cfg: TrainConfig, train: DataFrame, v
         chosen = select.selected_names(sel)
     else:
         sel, chosen = None, feats_all
-    sel_num = [c for c in numeric if c in chosen]
+    sel_num = C.intersect_names(chosen, numeric)
     sel_cat = {c: k for c, k in cards.items() if c in chosen}
 
     learner = backend(cfg, sel_num, sel_cat)
@@ -228,6 +228,7 @@ def train_select_tune(spark: SparkSession, cfg: TrainConfig, train: DataFrame, v
     m = metrics.binary_metrics(scored, cfg.label, "pred").first()
     areas = metrics.curve_metrics(scored, cfg.label, "p").first()
     roc, prauc = areas["roc_auc"], areas["pr_auc"]
+    # The names of the summary report, the same as the reference's.
     summary = {
         "model_type": f"boosted trees ({cfg.backend})",
         "feature_selection": f"top {len(chosen)} features" + (f" ({cfg.select_cut} cum importance)"

@@ -181,5 +181,4 @@ def concat_splits(spark, sf_dir):
 # AGG3 --------------------------------------------------------------------------------
 @query("table_shape", sql="SELECT count(*) AS n_rows, CAST(5 AS INTEGER) AS n_columns FROM documents")
 def table_shape(spark, sf_dir):
-    docs = read_table(spark, sf_dir, "documents")
-    return docs.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_columns", F.lit(len(docs.columns)))
+    return profile.shape(read_table(spark, sf_dir, "documents"))

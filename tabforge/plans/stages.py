@@ -135,7 +135,7 @@ class SelectStage(Transformer, Stored):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         C.check_required(dataset, self.features, "input of the feature selection")
         dropped = set(self.among) - set(self.features)
-        return dataset.select(*[f"`{c}`" for c in dataset.columns if c not in dropped])
+        return C.project(dataset, [c for c in dataset.columns if c not in dropped])
 
     def state(self) -> dict:
         return {"features": self.features, "among": self.among}
