@@ -2,40 +2,64 @@
 
 Every segmentation of a text has the probability of a unigram model at a temperature. Gumbel
 noise on the log-probabilities and the ``k`` largest sums draw ``k`` distinct segmentations
-without replacement. They are found by a best-first (A-star) search over the lattice from its
-end: a node's key is the largest perturbed log-probability among the segmentations it stands for,
-drawn top-down (the children's Gumbel values are conditioned on their maximum being the
-parent's), with the exact forward sums as heuristic. A node yields a segmentation with exactly
-its key, so no more than ``k + 1`` open nodes need to be kept. The key of the next best
+without replacement. They are found by a best-first (A-star) search over the lattice from its end.
+An open region of the search is a path from the end of the text to a position, edges that are
+excluded there, and everything before it; its key is the largest perturbed log-probability among
+the segmentations it stands for, with the exact forward sums as heuristic. Taking the region with
+the largest key draws its best segmentation (edge by edge backwards, by the forward sums) and splits
+the rest of the region where it leaves that path; the parts' keys are Gumbel values of their exact
+masses, conditioned on lying below the region's key (top-down sampling). No more regions than
+samples still wanted, and one for the threshold, need to be kept. The key of the next best
 segmentation is the threshold behind the inclusion probability of each sample.
 
-Noise comes from a generator that is seeded by the row's key, so a row's samples do not depend on
-its task. Cases: a null or empty text has the empty segmentation alone; a text with fewer
-segmentations than ``k`` gives them all, with inclusion 1; repeated rows give equal samples; null
-key parts are keys like others; an empty table gives an empty result; extra columns are dropped.
+The best segmentations of a batch of texts are drawn together: the lattices of the distinct chunks
+lie in flat arrays, and one numpy step takes one edge in every chunk of every text.
+
+Noise is a hash of the row's key, the sample's number and the position in the text, so a row's
+samples depend neither on its task nor on its batch. Cases: a null or empty text has the empty
+segmentation alone; a text with fewer segmentations than ``k`` gives them all, with inclusion 1;
+repeated rows give equal samples; null key parts are keys like others; equal keys of regions (ties)
+are taken in the order of their making; a very long text is drawn whole, with its lattice and paths
+in its task's memory; an empty table gives an empty result; extra columns are dropped.
 """
 
 from __future__ import annotations
 
-import random
 from array import array
-from bisect import insort
+from bisect import bisect_right
 from collections.abc import Iterator
-from math import exp, expm1, inf, log, log1p
+from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import chain
+from math import exp, expm1, inf, log
+from operator import itemgetter
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabforge.llm.unigram import KEPT_CHUNKS, Vocabulary, chunks, decode, default_model, load_vocabulary
+from tabforge.llm.common import U64, mix
+from tabforge.llm.unigram import Vocabulary, chunks, decode, default_model, load_vocabulary
 
 SAMPLES = 2
 #: The vocabulary's scores are merge ranks; this turns them into moderate log-probabilities.
 TEMPERATURE = 0.002
 #: Scores below this one mark pieces without a rank; they weigh as little as unknown characters.
 LEAST_SCORE = -1e8
-#: Pieces after which the samples of a batch are handed on, so that long texts stay few in memory.
-BATCH_PIECES = 1 << 20
+#: Characters of text that are drawn together, and handed on together.
+BATCH_CHARS = 1 << 20
+#: Lattice edges that a task keeps; the store is emptied between batches when it is fuller.
+KEPT_EDGES = 1 << 22
+#: Lattices of chunks of up to this many characters are made together, position by position.
+SHORT = 48
+#: With fewer chunks than this still open, edges are taken one at a time.
+FEW = 12
+
+MASK = (1 << 64) - 1
+STEP = 0x9E3779B97F4A7C15
+ALONE = 2.0  # bound of the last edge into a position: above every uniform value
 
 
 def log_sum(values: list[float]) -> float:
@@ -43,6 +67,16 @@ def log_sum(values: list[float]) -> float:
     return top + log(sum(exp(v - top) for v in values))
 
 
+def noise(seeds: np.ndarray, counters: np.ndarray) -> np.ndarray:
+    """Uniform values between 0 and 1, one for each seed and counter."""
+    h = mix(seeds + counters.astype(U64) * U64(STEP))
+    return ((h >> U64(11)).astype(np.float64) + 0.5) * 2.0**-53
+
+
+def noise_of(seed: int, counter: int) -> float:
+    return float(noise(np.array([seed], U64), np.array([counter]))[0])
+
+
 class Sampler:
     def __init__(self, vocabulary: Vocabulary, temperature: float = TEMPERATURE):
         self.vocabulary = vocabulary
@@ -51,88 +85,288 @@ class Sampler:
         usual = [vocabulary.scores[i] for i in vocabulary.ids.values() if vocabulary.scores[i] > LEAST_SCORE]
         self.unknown = temperature * (min(usual) - 10.0)
         self.known = {p for p in vocabulary.ids if len(p) == 1}
-        self.kept: dict[str, tuple] = {}
+        self.known_codes = np.array(sorted(map(ord, self.known)), np.uint32)
+        used = set().union(*vocabulary.ids)
+        #: A character of no piece, so that no match reaches over it.
+        self.gap = next(c for c in map(chr, range(0xF8FF, 0xE000, -1)) if c not in used)
+        self.sizes = np.array([len(p) for p in vocabulary.pieces])
+        scores = np.array(vocabulary.scores)
+        self.weights = np.where(scores > LEAST_SCORE, temperature * scores, self.unknown)
+        self.empty()
+
+    def empty(self) -> None:
+        #: Chunk -> its last node. The node before a node is the position before it.
+        self.kept: dict[str, int] = {}
+        self.first = array("q")  # node -> its first edge
+        self.length, self.piece = array("i"), array("i")  # edge -> characters, piece id or -1 - unknown
+        self.bound = array("d")  # edge -> upper bound of its uniform values
+        self.own, self.others = array("d"), array("d")  # edge -> log-probability, that of the others
+        self.unknowns: list[tuple[int, ...]] = []  # ids of characters without a piece
 
-    def lattice(self, chunk: str) -> tuple[list, list[float]]:
-        """Edges into each position (start, ids, log-weight) and the forward log-sums."""
+    def lattice(self, chunk: str) -> list[list[tuple[int, int, float]]]:
+        """Edges into each position: (characters, piece, log-weight)."""
         edges: list[list] = [[] for _ in range(len(chunk) + 1)]
         for end, (length, score, i) in self.matches(chunk):
-            weight = self.temperature * score if score > LEAST_SCORE else self.unknown
-            edges[end + 1].append((end + 1 - length, (i,), weight))
+            edges[end + 1].append((length, i, self.temperature * score if score > LEAST_SCORE else self.unknown))
         for at, c in enumerate(chunk):
             if c not in self.known:
-                ids = tuple(self.vocabulary.byte_ids[b] for b in c.encode()) or (0,)
-                edges[at + 1].append((at, ids, self.unknown))
-        forward = [0.0] + [-inf] * len(chunk)
-        for end in range(1, len(chunk) + 1):
-            forward[end] = log_sum([forward[s] + w for s, _, w in edges[end]])
-        return edges, forward
-
-    def kept_lattice(self, chunk: str) -> tuple:
-        found = self.kept.get(chunk)
-        if found is None:
-            if len(self.kept) >= KEPT_CHUNKS // 8:
-                self.kept.clear()
-            found = self.kept[chunk] = self.lattice(chunk)
-        return found
+                self.unknowns.append(tuple(self.vocabulary.byte_ids[b] for b in c.encode()) or (0,))
+                edges[at + 1].append((1, -len(self.unknowns), self.unknown))
+        return edges
 
-    def sample(self, text: str, k: int, seed: int) -> list[tuple[list[int], float, float]]:
-        """Up to ``k`` distinct (ids, log-probability, inclusion probability), by falling key."""
-        parts = [self.kept_lattice(c) for c in chunks(text)]
-        uniform = random.Random(seed).random
-        # A node: key, log-probability of the pieces behind it relative to their chunks' sums,
-        # chunk, position, and the pieces behind it as a linked list.
-        open_nodes = [(-log(-log(uniform() or 5e-324)), 0.0, len(parts) - 1, None, None)]
-        done: list[tuple[float, float, tuple | None]] = []
-        while open_nodes and len(done) <= k:
-            key, behind, at, place, pieces = open_nodes.pop()
-            while at >= 0:
-                edges, forward = parts[at]
-                if place is None:
-                    place = len(forward) - 1
-                    behind -= forward[place]
-                into = edges[place]
-                if len(into) == 1:
-                    start, ids, weight = into[0]
-                    behind += weight
-                    pieces = (ids, pieces)
-                else:
-                    logs = [behind + w + forward[s] for s, _, w in into]
-                    noisy = [x - log(-log(uniform() or 5e-324)) for x in logs]
-                    best = max(range(len(into)), key=noisy.__getitem__)
-                    top = noisy[best]
-                    wanted = k + 1 - len(done)
-                    for i, g in enumerate(noisy):
-                        if i != best and wanted > 1:
-                            v = key - g + log1p(-exp(g - top)) if g < top else inf
-                            own = key - max(0.0, v) - log1p(exp(-abs(v)))
-                            if len(open_nodes) < wanted - 1 or own > open_nodes[0][0]:
-                                s, ids, w = into[i]
-                                node = (own, behind + w, at, s, (ids, pieces))
-                                if s == 0:
-                                    node = (own, behind + w, at - 1, None, (ids, pieces))
-                                insort(open_nodes, node, key=lambda x: x[0])
-                                if len(open_nodes) > wanted - 1:
-                                    del open_nodes[0]
-                    start, ids, weight = into[best]
-                    behind += weight
-                    pieces = (ids, pieces)
-                place = start
-                if place == 0:
-                    at, place = at - 1, None
-            done.append((key, behind, pieces))
-        threshold = done[k][0] if len(done) > k else -inf
+    def last_node(self, chunk: str) -> int:
+        """The last node of a chunk, whose lattice is stored when it is new."""
+        forward = [0.0]
+        for end, into in enumerate(self.lattice(chunk)[1:], 1):
+            self.first.append(len(self.length))
+            sums = [forward[end - length] + w for length, _, w in into]
+            total = sums[0] if len(sums) == 1 else log_sum(sums)
+            forward.append(total)
+            upto = 0.0
+            for i in sorted(range(len(into)), key=sums.__getitem__, reverse=True):
+                upto += exp(sums[i] - total)
+                self.length.append(into[i][0])
+                self.piece.append(into[i][1])
+                self.bound.append(upto)
+                self.own.append(sums[i] - total)
+                self.others.append(log_sum(sums[:i] + sums[i + 1 :]) - total if len(sums) > 1 else -inf)
+            self.bound[-1] = ALONE
+        node = self.kept[chunk] = len(self.first) - 1
+        return node
+
+    def add(self, new: list[str]) -> None:
+        """Store the lattices of new chunks."""
+        for chunk in new:
+            if len(chunk) > SHORT:
+                self.last_node(chunk)
+        if not (new := [c for c in new if len(c) <= SHORT]):
+            return
+        joined = self.gap.join(new) + self.gap
+        found = list(self.matches(joined))
+        end = np.fromiter(map(itemgetter(0), found), np.int64, len(found))
+        piece = np.fromiter(map(itemgetter(2), map(itemgetter(1), found)), np.int64, len(found))
+        size, weight = self.sizes[piece], self.weights[piece]
+        gaps = np.cumsum([len(c) + 1 for c in new]) - 1
+        strange = ~np.isin(np.frombuffer(joined.encode("utf-32-le"), np.uint32), self.known_codes)
+        strange[gaps] = False
+        if strange.any():
+            at, first = np.flatnonzero(strange), len(self.unknowns)
+            self.unknowns.extend(tuple(self.vocabulary.byte_ids[b] for b in joined[i].encode()) or (0,) for i in at.tolist())
+            end, piece = np.r_[end, at], np.r_[piece, -1 - first - np.arange(len(at))]
+            size, weight = np.r_[size, np.ones(len(at), np.int64)], np.r_[weight, np.full(len(at), self.unknown)]
+        # ``forward[i]`` stands before character ``i``; it stays 0 where a chunk starts.
+        starts = np.r_[0, gaps[:-1] + 1]
+        chunk = np.searchsorted(gaps, end)
+        order = np.lexsort((end, end - starts[chunk]))
+        end, piece, size, weight, chunk = (a[order] for a in (end, piece, size, weight, chunk))
+        level = end - starts[chunk]
+        forward, own = np.zeros(len(joined) + 1), np.empty(len(end))
+        stops = np.searchsorted(level, np.arange(level[-1] + 2)).tolist()
+        for a, b in zip(stops, stops[1:], strict=False):
+            sums = forward[end[a:b] + 1 - size[a:b]] + weight[a:b]
+            heads = np.flatnonzero(np.r_[True, end[a + 1 : b] != end[a : b - 1]])
+            into = np.diff(np.r_[heads, b - a])
+            top = np.maximum.reduceat(sums, heads)
+            total = top + np.log(np.add.reduceat(np.exp(sums - np.repeat(top, into)), heads))
+            forward[end[a:b][heads] + 1] = total
+            own[a:b] = sums - np.repeat(total, into)
+        # The likeliest edge into a node comes first.
+        order = np.lexsort((size, -own, end))
+        end, piece, size, own, chunk = (a[order] for a in (end, piece, size, own, chunk))
+        heads = np.flatnonzero(np.r_[True, end[1:] != end[:-1]])
+        into = np.diff(np.r_[heads, len(end)])
+        share = np.exp(own)
+        bound, rank = share.copy(), np.arange(len(end)) - np.repeat(heads, into)
+        for r in range(1, int(into.max())):
+            at = np.flatnonzero(rank == r)
+            bound[at] += bound[at - 1]
+        bound[heads + into - 1] = ALONE
+        # Edges but the first have at most half; what the first leaves is added up, as it may be tiny.
+        with np.errstate(divide="ignore"):
+            others = np.log1p(-np.where(rank > 0, share, 0.0))
+            rest = np.where(rank > 0, share, 0.0)
+            others[heads] = np.log(np.add.reduceat(rest, heads))
+        base, edges = len(self.first), len(self.length)
+        self.first.frombytes((heads + edges).tobytes())
+        for store, values, kind in ((self.length, size, "i4"), (self.piece, piece, "i4"), (self.bound, bound, "f8"),
+                                    (self.own, own, "f8"), (self.others, others, "f8")):
+            store.frombytes(values.astype(kind).tobytes())
+        last = base + gaps - np.arange(len(new)) - 1
+        self.kept.update(zip(new, last.tolist(), strict=True))
+
+    def edges_of(self, node: int) -> range:
+        return range(self.first[node], self.first[node + 1] if node + 1 < len(self.first) else len(self.length))
+
+    def draw(self, seeds: np.ndarray, node: np.ndarray, left: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Draw the part of each chunk before a node: ``left`` characters of the chunk, which end
+        at ``at`` in their text. The edges, last first, chunk by chunk, and their number by chunk."""
+        first, length, bound = (np.frombuffer(a, t) for a, t in ((self.first, "i8"), (self.length, "i4"), (self.bound, "f8")))
+        counts, steps, alone = np.zeros(len(node), np.int64), [], []
+        who = np.flatnonzero(left > 0)
+        seeds, node, left, at = seeds[who], node[who], left[who], at[who]
+        while len(who) > FEW:
+            edge = first[node]
+            many = np.flatnonzero(bound[edge] < 1)
+            u, taken = noise(seeds[many], 2 * at[many]), edge[many]
+            beyond = np.flatnonzero(u >= bound[taken])
+            while len(beyond):
+                taken[beyond] += 1
+                beyond = beyond[u[beyond] >= bound[taken[beyond]]]
+            edge[many] = taken
+            steps.append((who, edge))
+            counts[who] += 1
+            size = length[edge]
+            left = left - size
+            on = np.flatnonzero(left)
+            who, seeds, node, left, at = who[on], seeds[on], (node - size)[on], left[on], (at - size)[on]
+        for w, seed, n, rest, place in zip(*(x.tolist() for x in (who, seeds, node, left, at)), strict=True):
+            path = []
+            uniform = noise(np.full(rest, seed, U64), 2 * np.arange(place - rest + 1, place + 1))
+            while rest:
+                edge = self.first[n]
+                while uniform[rest - 1] >= self.bound[edge]:
+                    edge += 1
+                path.append(edge)
+                n, rest = n - self.length[edge], rest - self.length[edge]
+            alone.append((w, path))
+        done = counts.copy()
+        for w, path in alone:
+            counts[w] += len(path)
+        offset = np.cumsum(counts) - counts
+        edges = np.empty(int(counts.sum()), np.int64)
+        for step, (w, e) in enumerate(steps):
+            edges[offset[w] + step] = e
+        for w, path in alone:
+            edges[offset[w] + done[w] : offset[w] + counts[w]] = path
+        return edges, counts
+
+    def split(self, region: "Region", path: np.ndarray, size: int, seed: int, wanted: int) -> tuple[float, list["Region"]]:
+        """The log-probability of a path drawn in a region, and the ``wanted`` parts with the largest
+        keys of what else the region holds, each of which leaves the path at another place."""
+        own, others, length = (
+            np.frombuffer(a, t)[path] for a, t in ((self.own, "f8"), (self.others, "f8"), (self.length, "i4"))
+        )
+        behind = np.cumsum(own)
+        mass = behind - own + others
+        start = region.place
+        if region.without:
+            without = (*region.without, int(path[start]))
+            left = [self.own[e] for e in self.edges_of(region.node) if e not in without]
+            mass[start] = behind[start] - own[start] + (log_sum(left) if left else -inf)
+        places = start + np.flatnonzero(mass[start:] > -inf)
+        ends = (size - (np.cumsum(length) - length))[places]
+        waits = -np.log(noise(np.full(len(ends), seed, U64), 2 * ends + 1))
+        # Gumbel values of the masses, given that they lie below the region's key.
+        keys = mass[places] - np.log(np.exp(mass[places] - region.key) + waits)
+        best = np.argsort(-keys, kind="stable")[:wanted]
+        parts = []
+        for key, place, end in zip(keys[best].tolist(), places[best].tolist(), ends[best].tolist(), strict=True):
+            edge = int(path[place])
+            again = place == start and region.without
+            parts.append(Region(key, path, place, end, bisect_right(self.first, edge) - 1, without if again else (edge,)))
+        return float(behind[-1]) if len(path) else 0.0, parts
+
+    def leave(self, region: "Region", seed: int) -> int:
+        """The edge by which the best segmentation of a region goes on at its place."""
+        open_edges = [e for e in self.edges_of(region.node) if e not in region.without]
+        weights = [self.own[e] for e in open_edges]
+        u = noise_of(seed, 2 * region.end) * exp(log_sum(weights))
+        for edge, w in zip(open_edges, weights, strict=True):
+            u -= exp(w)
+            if u < 0:
+                return edge
+        return open_edges[0]
+
+    def batch(self, texts: list[str], seeds: list[int], k: int) -> list[list[tuple[list[int], float, float]]]:
+        """For each text up to ``k`` distinct (ids, log-probability, inclusion), by falling key."""
+        if len(self.length) > KEPT_EDGES:
+            self.empty()
+        parts = [chunks(text) for text in texts]
+        self.add([c for c in dict.fromkeys(chain.from_iterable(parts)) if c not in self.kept])
+        rows = [self.row(p, seed) for p, seed in zip(parts, seeds, strict=True)]
+        draws = [int(d) for d in mix(np.arange(1, k + 1, dtype=U64))]
+        for n in range(k):
+            taken, walkers = [], []
+            for row in rows:
+                if row.regions:
+                    region, seed = row.regions.pop(0), row.seed ^ draws[n]
+                    prefix, node, at = region.path[: region.place], -1, region.end
+                    if region.without:
+                        edge = self.leave(region, seed)
+                        prefix = np.append(prefix, edge)
+                        node, at = region.node - self.length[edge], at - self.length[edge]
+                    # What is left of the region's own chunk, and the chunks before it.
+                    whole = int(np.searchsorted(-row.ends, -at))
+                    left = at - (int(row.ends[whole]) if whole < len(row.ends) else 0)
+                    walkers.append((np.append(node, row.nodes[whole:]), np.append(left, row.sizes[whole:]), np.append(at, row.ends[whole:])))
+                    taken.append((row, region, prefix, seed))
+            if not taken:
+                break
+            width = np.array([len(w[0]) for w in walkers])
+            streams = np.repeat(np.array([seed for *_, seed in taken], U64), width)
+            edges, counts = self.draw(streams, *(np.concatenate([w[i] for w in walkers]) for i in range(3)))
+            stops = np.cumsum(np.add.reduceat(counts, np.cumsum(width) - width)).tolist()
+            for (row, region, prefix, seed), a, b in zip(taken, [0, *stops], stops, strict=False):
+                path = np.concatenate([prefix, edges[a:b]])
+                log_prob, parts = self.split(region, path, row.size, seed, k - n)
+                row.done.append((path, log_prob))
+                row.regions = sorted(row.regions + parts, key=lambda r: -r.key)[: k - n]
+        return [self.samples(row) for row in rows]
+
+    def row(self, parts: list[str], seed: int) -> "Row":
+        nodes = [self.kept[c] for c in parts]
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        ends, size = np.cumsum(sizes), int(sizes.sum())
+        seed &= MASK
+        key = -log(-log(noise_of(seed, 0)))
+        whole = Region(key, np.empty(0, np.int64), 0, size, -1, ())
+        return Row(seed, size, np.array(nodes[::-1], np.int64), sizes[::-1], ends[::-1], [whole])
+
+    def samples(self, row: "Row") -> list[tuple[list[int], float, float]]:
+        threshold = row.regions[0].key if row.regions else -inf
+        pieces = np.frombuffer(self.piece, "i4")
         found = []
-        for _, log_probability, pieces in done[:k]:
-            ids: list[int] = []
-            while pieces is not None:
-                ids.extend(pieces[0])
-                pieces = pieces[1]
-            gap = log_probability - threshold
-            inclusion = 1.0 if gap > 700 else -expm1(-exp(gap))
-            found.append((ids, log_probability, inclusion))
+        for path, log_prob in row.done:
+            ids = pieces[path[::-1]]
+            if len(ids) and ids.min() < 0:
+                ids = [i for p in ids.tolist() for i in (self.unknowns[-1 - p] if p < 0 else (p,))]
+            else:
+                ids = ids.tolist()
+            gap = log_prob - threshold
+            found.append((ids, log_prob, 1.0 if gap > 700 else -expm1(-exp(gap))))
         return found
 
+    def sample(self, text: str, k: int, seed: int) -> list[tuple[list[int], float, float]]:
+        return self.batch([text], [seed], k)[0]
+
+
+class Region(NamedTuple):
+    """Segmentations that end with ``path[:place]`` and whose edge into the node there, at position
+    ``end`` of the text, is none of ``without`` (empty: every segmentation of the text)."""
+
+    key: float
+    path: np.ndarray
+    place: int
+    end: int
+    node: int
+    without: tuple[int, ...]
+
+
+@dataclass
+class Row:
+    seed: int
+    size: int
+    nodes: np.ndarray  # last node, characters and end of each chunk, last chunk first
+    sizes: np.ndarray
+    ends: np.ndarray
+    regions: list[Region]
+    done: list[tuple[np.ndarray, float]] = field(default_factory=list)
+
+
+@lru_cache(maxsize=1)
+def sampler_of(model: str) -> Sampler:
+    return Sampler(load_vocabulary(model))
+
 
 def sample_segmentations(
     rows: DataFrame, key: list[str], text: str = "text", k: int = SAMPLES, model_file: str | None = None
@@ -144,21 +378,20 @@ def sample_segmentations(
     schema = ", ".join(f"`{c}` {fields[c]}" for c in key)
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = load_vocabulary(model)
-        sampler = Sampler(vocabulary)
+        sampler = sampler_of(model)
         for batch in batches:
-            owner, found, pieces = [], [], 0
-            for i, (t, seed) in enumerate(zip(batch["_text"], batch["_seed"], strict=True)):
-                for n, (ids, log_prob, inclusion) in enumerate(sampler.sample(t, k, int(seed)), 1):
-                    owner.append(i)
-                    found.append((n, array("i", ids), log_prob, inclusion, decode(vocabulary, ids) if ids else ""))
-                    pieces += len(ids)
-                if pieces > BATCH_PIECES or i == len(batch) - 1:
-                    out = batch[key].iloc[owner].reset_index(drop=True)
-                    for c, column in enumerate(("sample", "ids", "log_prob", "inclusion", "decoded")):
-                        out[column] = pd.Series([f[c] for f in found], dtype=object if column in ("ids", "decoded") else None)
-                    yield out
-                    owner, found, pieces = [], [], 0
+            upto = batch["_text"].str.len().cumsum()
+            for _, part in batch.groupby(upto // BATCH_CHARS, sort=False):
+                found = sampler.batch(part["_text"].tolist(), part["_seed"].tolist(), k)
+                owner = [i for i, samples in enumerate(found) for _ in samples]
+                out = part[key].iloc[owner].reset_index(drop=True)
+                flat = [s for samples in found for s in samples]
+                out["sample"] = [n for samples in found for n in range(1, len(samples) + 1)]
+                out["ids"] = pd.Series([np.array(ids, np.int32) for ids, _, _ in flat], dtype=object)
+                out["log_prob"] = [p for _, p, _ in flat]
+                out["inclusion"] = [p for _, _, p in flat]
+                out["decoded"] = pd.Series([decode(sampler.vocabulary, ids) if ids else "" for ids, _, _ in flat], dtype=object)
+                yield out
 
     seeded = rows.select(
         *key, F.coalesce(F.col(text), F.lit("")).alias("_text"), F.xxhash64(*[F.col(c).cast("string") for c in key]).alias("_seed")

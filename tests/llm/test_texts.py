@@ -271,3 +271,70 @@ def test_quality_sql_reads(spark):
     want = sorted(map(str, con.sql(quality.SQL).fetchall()))
     got = sorted(str(tuple(r)) for r in quality.op9_quality_rules(spark, small).collect())
     assert want == got
+
+
+def every_segmentation(sampler, text):
+    """Brute force: ids -> log-probability over all segmentations of a text, by recursion on its start."""
+    voc = sampler.vocabulary
+    whole = "▁" + text.replace(" ", "▁")
+
+    def weight(piece):
+        score = voc.scores[voc.ids[piece]]
+        return sampler.temperature * score if score > sampling.LEAST_SCORE else sampler.unknown
+
+    def from_place(at):
+        if at == len(whole):
+            return [((), 0.0)]
+        steps = [((voc.ids[whole[at:e]],), e, weight(whole[at:e])) for e in range(at + 1, len(whole) + 1) if whole[at:e] in voc.ids]
+        if whole[at] not in voc.ids:
+            steps.append((tuple(voc.byte_ids[b] for b in whole[at].encode()), at + 1, sampler.unknown))
+        return [(ids + behind, w + v) for ids, e, w in steps for behind, v in from_place(e)]
+
+    found = from_place(0)
+    total = math.log(sum(math.exp(w) for _, w in found))
+    return {ids: w - total for ids, w in found}
+
+
+@pytest.mark.parametrize("text", ["tion th", "a ☃ be", "the the"])
+def test_samples_against_every_segmentation(text):
+    sampler = sampling.Sampler(unigram.load_vocabulary(unigram.default_model()), 0.0005)
+    exact = every_segmentation(sampler, text)
+    runs, drawn = 6000, {}
+    for samples in sampler.batch([text] * runs, list(range(runs)), 2):
+        for ids, log_prob, _ in samples:
+            assert abs(log_prob - exact[tuple(ids)]) < 1e-9
+        pair = tuple(tuple(ids) for ids, _, _ in samples)
+        drawn[pair] = drawn.get(pair, 0) + 1
+    # The chance of a first and then a second segmentation, without replacement.
+    for (a, b), n in drawn.items():
+        p = math.exp(exact[a] + exact[b]) / (1 - math.exp(exact[a]))
+        assert abs(n - runs * p) < 5 * math.sqrt(runs * p) + 3
+    everything = sampler.sample(text, len(exact) + 5, 3)
+    assert {tuple(ids) for ids, _, _ in everything} == set(exact)
+    assert all(inclusion == 1.0 for _, _, inclusion in everything)
+
+
+def test_samples_do_not_depend_on_the_batch_and_long_texts_pass():
+    sampler = sampling.Sampler(unigram.load_vocabulary(unigram.default_model()))
+    texts = ["word " * 40_000, "a" * 60_000, " " * 30_000, "é☃" * 500, "", "plain text", "plain text"]
+    together = sampler.batch(texts, [1, 2, 3, 4, 5, 6, 6], 3)
+    assert together[5] == together[6]
+    for text, seed, samples in zip(texts, [1, 2, 3, 4, 5, 6, 6], together, strict=True):
+        alone = sampler.sample(text, 3, seed)
+        assert [ids for ids, _, _ in alone] == [ids for ids, _, _ in samples]
+        assert all(unigram.decode(sampler.vocabulary, ids) == text for ids, _, _ in samples if ids)
+        assert len({tuple(ids) for ids, _, _ in samples}) == len(samples)
+
+
+def test_lattices_made_together_equal_those_made_one_by_one():
+    voc = unigram.load_vocabulary(unigram.default_model())
+    one, many = sampling.Sampler(voc), sampling.Sampler(voc)
+    new = ["▁international", "☃▁", "▁" * 7, "▁a", "▁héllo☃x"]
+    many.add(new)
+    for chunk in new:
+        a, b = one.last_node(chunk), many.kept[chunk]
+        for _ in chunk:
+            x, y = one.edges_of(a), many.edges_of(b)
+            mine = sorted((one.length[e], round(one.own[e], 9), round(max(one.others[e], -1e9), 6)) for e in x)
+            assert mine == sorted((many.length[e], round(many.own[e], 9), round(max(many.others[e], -1e9), 6)) for e in y)
+            a, b = a - 1, b - 1
