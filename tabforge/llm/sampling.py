@@ -19,12 +19,13 @@ Noise is a hash of the row's key, the sample's number and the position in the te
 samples depend neither on its task nor on its batch. Cases: a null or empty text has the empty
 segmentation alone; a text with fewer segmentations than ``k`` gives them all, with inclusion 1;
 repeated rows give equal samples; null key parts are keys like others; equal keys of regions (ties)
-are taken in the order of their making; a very long text is drawn whole, with its lattice and paths
+are taken in any order, the same in each run; a very long text is drawn whole, with its lattice and paths
 in its task's memory; an empty table gives an empty result; extra columns are dropped.
 """
 
 from __future__ import annotations
 
+import sys
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -32,9 +33,9 @@ from dataclasses import dataclass, field
 from functools import lru_cache
 from itertools import chain
 from math import exp, expm1, inf, log
-from operator import itemgetter
 from typing import NamedTuple
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -81,37 +82,50 @@ class Sampler:
     def __init__(self, vocabulary: Vocabulary, temperature: float = TEMPERATURE):
         self.vocabulary = vocabulary
         self.temperature = temperature
-        self.matches = vocabulary.automaton().iter
         usual = [vocabulary.scores[i] for i in vocabulary.ids.values() if vocabulary.scores[i] > LEAST_SCORE]
         self.unknown = temperature * (min(usual) - 10.0)
         self.known = {p for p in vocabulary.ids if len(p) == 1}
-        self.known_codes = np.array(sorted(map(ord, self.known)), np.uint32)
+        self.strange = np.ones(sys.maxunicode + 1, bool)  # by code point
+        self.strange[[ord(c) for c in self.known]] = False
         used = set().union(*vocabulary.ids)
         #: A character of no piece, so that no match reaches over it.
         self.gap = next(c for c in map(chr, range(0xF8FF, 0xE000, -1)) if c not in used)
         self.sizes = np.array([len(p) for p in vocabulary.pieces])
         scores = np.array(vocabulary.scores)
         self.weights = np.where(scores > LEAST_SCORE, temperature * scores, self.unknown)
+        machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for p, i in vocabulary.ids.items():
+            machine.add_word(p, i)
+        machine.make_automaton()
+        self.matches = machine.iter
         self.empty()
 
     def empty(self) -> None:
         #: Chunk -> its last node. The node before a node is the position before it.
         self.kept: dict[str, int] = {}
         self.first = array("q")  # node -> its first edge
+        self.place = array("i")  # node -> its position in its chunk
         self.length, self.piece = array("i"), array("i")  # edge -> characters, piece id or -1 - unknown
         self.bound = array("d")  # edge -> upper bound of its uniform values
         self.own, self.others = array("d"), array("d")  # edge -> log-probability, that of the others
-        self.unknowns: list[tuple[int, ...]] = []  # ids of characters without a piece
+        self.unknowns: list[tuple[int, ...]] = []  # ids of characters that more than one byte stands for
+
+    def stand_in(self, character: str) -> int:
+        """The piece of a character that has none of its own: its byte, or a number for its bytes."""
+        ids = tuple(self.vocabulary.byte_ids[b] for b in character.encode()) if self.vocabulary.byte_ids else (0,)
+        if len(ids) == 1:
+            return ids[0]
+        self.unknowns.append(ids)
+        return -len(self.unknowns)
 
     def lattice(self, chunk: str) -> list[list[tuple[int, int, float]]]:
         """Edges into each position: (characters, piece, log-weight)."""
         edges: list[list] = [[] for _ in range(len(chunk) + 1)]
-        for end, (length, score, i) in self.matches(chunk):
-            edges[end + 1].append((length, i, self.temperature * score if score > LEAST_SCORE else self.unknown))
+        for end, i in self.matches(chunk):
+            edges[end + 1].append((int(self.sizes[i]), i, float(self.weights[i])))
         for at, c in enumerate(chunk):
             if c not in self.known:
-                self.unknowns.append(tuple(self.vocabulary.byte_ids[b] for b in c.encode()) or (0,))
-                edges[at + 1].append((1, -len(self.unknowns), self.unknown))
+                edges[at + 1].append((1, self.stand_in(c), self.unknown))
         return edges
 
     def last_node(self, chunk: str) -> int:
@@ -119,11 +133,12 @@ class Sampler:
         forward = [0.0]
         for end, into in enumerate(self.lattice(chunk)[1:], 1):
             self.first.append(len(self.length))
+            self.place.append(end)
             sums = [forward[end - length] + w for length, _, w in into]
             total = sums[0] if len(sums) == 1 else log_sum(sums)
             forward.append(total)
             upto = 0.0
-            for i in sorted(range(len(into)), key=sums.__getitem__, reverse=True):
+            for i in range(len(into)):
                 upto += exp(sums[i] - total)
                 self.length.append(into[i][0])
                 self.piece.append(into[i][1])
@@ -142,52 +157,48 @@ class Sampler:
         if not (new := [c for c in new if len(c) <= SHORT]):
             return
         joined = self.gap.join(new) + self.gap
-        found = list(self.matches(joined))
-        end = np.fromiter(map(itemgetter(0), found), np.int64, len(found))
-        piece = np.fromiter(map(itemgetter(2), map(itemgetter(1), found)), np.int64, len(found))
+        found = np.fromiter(chain.from_iterable(self.matches(joined)), np.int64).reshape(-1, 2)
+        end, piece = found[:, 0].copy(), found[:, 1].copy()
         size, weight = self.sizes[piece], self.weights[piece]
-        gaps = np.cumsum([len(c) + 1 for c in new]) - 1
-        strange = ~np.isin(np.frombuffer(joined.encode("utf-32-le"), np.uint32), self.known_codes)
+        lengths = np.fromiter(map(len, new), np.int64, len(new))
+        gaps = np.cumsum(lengths + 1) - 1
+        strange = self.strange[np.frombuffer(joined.encode("utf-32-le"), np.uint32)]
         strange[gaps] = False
         if strange.any():
-            at, first = np.flatnonzero(strange), len(self.unknowns)
-            self.unknowns.extend(tuple(self.vocabulary.byte_ids[b] for b in joined[i].encode()) or (0,) for i in at.tolist())
-            end, piece = np.r_[end, at], np.r_[piece, -1 - first - np.arange(len(at))]
-            size, weight = np.r_[size, np.ones(len(at), np.int64)], np.r_[weight, np.full(len(at), self.unknown)]
+            at = np.flatnonzero(strange)
+            behind = np.searchsorted(end, at, "right")
+            end, size, weight = (np.insert(x, behind, y) for x, y in ((end, at), (size, 1), (weight, self.unknown)))
+            piece = np.insert(piece, behind, [self.stand_in(joined[i]) for i in at.tolist()])
         # ``forward[i]`` stands before character ``i``; it stays 0 where a chunk starts.
-        starts = np.r_[0, gaps[:-1] + 1]
-        chunk = np.searchsorted(gaps, end)
-        order = np.lexsort((end, end - starts[chunk]))
-        end, piece, size, weight, chunk = (a[order] for a in (end, piece, size, weight, chunk))
-        level = end - starts[chunk]
+        level = (np.arange(len(joined)) - np.repeat(gaps - lengths, lengths + 1))[end].astype(np.int16)
+        order = np.argsort(level, kind="stable")
+        ends, begins, weight = end[order], end[order] + 1 - size[order], weight[order]
         forward, own = np.zeros(len(joined) + 1), np.empty(len(end))
-        stops = np.searchsorted(level, np.arange(level[-1] + 2)).tolist()
-        for a, b in zip(stops, stops[1:], strict=False):
-            sums = forward[end[a:b] + 1 - size[a:b]] + weight[a:b]
-            heads = np.flatnonzero(np.r_[True, end[a + 1 : b] != end[a : b - 1]])
+        stops = np.cumsum(np.bincount(level)).tolist()
+        for a, b in zip([0, *stops], stops, strict=False):
+            sums = forward[begins[a:b]] + weight[a:b]
+            heads = np.flatnonzero(np.r_[True, ends[a + 1 : b] != ends[a : b - 1]])
             into = np.diff(np.r_[heads, b - a])
             top = np.maximum.reduceat(sums, heads)
             total = top + np.log(np.add.reduceat(np.exp(sums - np.repeat(top, into)), heads))
-            forward[end[a:b][heads] + 1] = total
-            own[a:b] = sums - np.repeat(total, into)
-        # The likeliest edge into a node comes first.
-        order = np.lexsort((size, -own, end))
-        end, piece, size, own, chunk = (a[order] for a in (end, piece, size, own, chunk))
+            forward[ends[a:b][heads] + 1] = total
+            own[order[a:b]] = sums - np.repeat(total, into)
         heads = np.flatnonzero(np.r_[True, end[1:] != end[:-1]])
         into = np.diff(np.r_[heads, len(end)])
         share = np.exp(own)
-        bound, rank = share.copy(), np.arange(len(end)) - np.repeat(heads, into)
+        bound = share.copy()
         for r in range(1, int(into.max())):
-            at = np.flatnonzero(rank == r)
+            at = heads[into > r] + r
             bound[at] += bound[at - 1]
         bound[heads + into - 1] = ALONE
-        # Edges but the first have at most half; what the first leaves is added up, as it may be tiny.
+        # What an edge with more than half leaves to the others is added up, as it may be tiny.
+        most = share > 0.5
+        rest = np.add.reduceat(np.where(most, 0.0, share), heads)
         with np.errstate(divide="ignore"):
-            others = np.log1p(-np.where(rank > 0, share, 0.0))
-            rest = np.where(rank > 0, share, 0.0)
-            others[heads] = np.log(np.add.reduceat(rest, heads))
+            others = np.where(most, np.log(np.repeat(rest, into)), np.log1p(-np.where(most, 0.0, share)))
         base, edges = len(self.first), len(self.length)
         self.first.frombytes((heads + edges).tobytes())
+        self.place.frombytes((level[heads] + 1).astype("i4").tobytes())
         for store, values, kind in ((self.length, size, "i4"), (self.piece, piece, "i4"), (self.bound, bound, "f8"),
                                     (self.own, own, "f8"), (self.others, others, "f8")):
             store.frombytes(values.astype(kind).tobytes())
@@ -258,7 +269,7 @@ class Sampler:
         waits = -np.log(noise(np.full(len(ends), seed, U64), 2 * ends + 1))
         # Gumbel values of the masses, given that they lie below the region's key.
         keys = mass[places] - np.log(np.exp(mass[places] - region.key) + waits)
-        best = np.argsort(-keys, kind="stable")[:wanted]
+        best = np.argpartition(-keys, wanted)[:wanted] if len(keys) > wanted else np.arange(len(keys))
         parts = []
         for key, place, end in zip(keys[best].tolist(), places[best].tolist(), ends[best].tolist(), strict=True):
             edge = int(path[place])
@@ -314,13 +325,13 @@ class Sampler:
         return [self.samples(row) for row in rows]
 
     def row(self, parts: list[str], seed: int) -> "Row":
-        nodes = [self.kept[c] for c in parts]
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts))
+        nodes = np.array([self.kept[c] for c in parts], np.int64)
+        sizes = np.frombuffer(self.place, "i4")[nodes].astype(np.int64) if len(nodes) else nodes
         ends, size = np.cumsum(sizes), int(sizes.sum())
         seed &= MASK
         key = -log(-log(noise_of(seed, 0)))
         whole = Region(key, np.empty(0, np.int64), 0, size, -1, ())
-        return Row(seed, size, np.array(nodes[::-1], np.int64), sizes[::-1], ends[::-1], [whole])
+        return Row(seed, size, nodes[::-1], sizes[::-1], ends[::-1], [whole])
 
     def samples(self, row: "Row") -> list[tuple[list[int], float, float]]:
         threshold = row.regions[0].key if row.regions else -inf

@@ -30,8 +30,10 @@ class Vocabulary:
     def __post_init__(self):
         self.ids = {p: i for i, (p, k) in enumerate(zip(self.pieces, self.kinds, strict=True)) if k == "normal"}
         self.byte_ids = [i for i, k in enumerate(self.kinds) if k == "byte"]
-        self.byte_set = frozenset(self.byte_ids)
-        self.first_byte = self.byte_ids[0] if self.byte_ids else None
+        #: What a piece stands for; bytes above 127 as escapes that encode to that byte.
+        self.texts = list(self.pieces)
+        for byte, i in enumerate(self.byte_ids):
+            self.texts[i] = bytes([byte]).decode("utf-8", "surrogateescape")
         crossing = [p for p in self.ids if re.search(f"[^{BLANK}]{BLANK}", p)]
         if crossing:
             raise ValueError(f"pieces go on past a blank, chunks would not be exact: {crossing[:3]}")
@@ -71,9 +73,5 @@ def chunks(text: str) -> list[str]:
 
 def decode(vocabulary: Vocabulary, ids: list[int]) -> str:
     """The text of piece ids: bytes are joined, blanks restored, the dummy prefix removed."""
-    if vocabulary.first_byte is None or not vocabulary.byte_set.intersection(ids):
-        return "".join([vocabulary.pieces[i] for i in ids]).replace(BLANK, " ")[1:]
-    raw = b"".join(
-        bytes([i - vocabulary.first_byte]) if i in vocabulary.byte_set else vocabulary.pieces[i].encode() for i in ids
-    )
-    return raw.decode("utf-8", "replace").replace(BLANK, " ")[1:]
+    joined = "".join([vocabulary.texts[i] for i in ids])
+    return joined.encode("utf-8", "surrogateescape").decode("utf-8", "replace").replace(BLANK, " ")[1:]
