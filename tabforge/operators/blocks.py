@@ -42,6 +42,10 @@ BLOCK_ROWS = 65_536
 BLOCK_CELLS = 16_000_000
 #: Sums (nodes x bins) of one feature chunk, about.
 CHUNK_SUMS = 262_144
+#: Sums of all boosters of a pass that a task keeps while it reads its blocks, and bytes of blocks and gradients that it
+#: holds where there are more.
+KEPT_SUMS = 2_000_000
+HELD_BYTES = 128 << 20
 #: Partial sums of a chunk that one task adds up at most, about.
 MERGE = 64
 #: Splits of random row sampling.
@@ -315,59 +319,88 @@ class TaskSums:
         self.place_of = np.full(2 ** (work.depth + 1) - 1, -1)
         self.place_of[list(work.active)] = np.arange(len(work.active))
         self.place_of[list(work.small)] = len(work.active) + np.arange(len(work.small))
+        self.chunks = work.chunks() if work.active else []
         self.held: list[tuple] = []
+        self.total: list[np.ndarray] | None = None
         self.sketches: dict[int, np.ndarray] = {}
 
-    def add(self, row: dict, column, y: np.ndarray, w: np.ndarray, k: np.ndarray) -> None:
+    def add(self, row: dict, column, y: np.ndarray, w: np.ndarray, k: np.ndarray) -> list[tuple[int, bytes]]:
+        """Take a block in. Its rows in small nodes are handed on at once: (node, rows)."""
         work, n = self.work, row["n"]
         grows = row["part"] == TRAIN and len(work.active) + len(work.small) > 0
         if not grows and work.sketch_range is None:
-            return
+            return []
         m = work.margins(row, n, column)
         if work.sketch_range is not None:
             one = score_sketch.sketch(m, y, w, *work.sketch_range)
             self.sketches[row["part"]] = self.sketches.get(row["part"], 0.0) + one
-        if grows:
-            place = np.zeros(n, dtype=np.int64)
-            if work.growing is not None:
-                place = self.place_of[work.growing.nodes(column, [s - 1 for s in work.layout.slots], n, work.depth)]
-            at = np.flatnonzero((place >= 0) & work.taken(k))
-            p = sigmoid(m[at])
-            w = w * np.where(y == 1, work.positive, 1.0)
-            self.held.append((column, at, place[at], w[at] * (p - y[at]), w[at] * p * (1.0 - p)))
-
-    def sums(self, features: list[int]) -> bytes:
-        """Gradients and hessians of a chunk: for each feature by node and bin."""
+        if not grows:
+            return []
+        place = np.zeros(n, dtype=np.int64)
+        if work.growing is not None:
+            place = self.place_of[work.growing.nodes(column, [s - 1 for s in work.layout.slots], n, work.depth)]
+        at = np.flatnonzero((place >= 0) & work.taken(k))
+        p = sigmoid(m[at])
+        w = w * np.where(y == 1, work.positive, 1.0)
+        place, gs, hs = place[at], w[at] * (p - y[at]), w[at] * p * (1.0 - p)
+        few = self.rows(column, at, place, gs, hs) if work.small else []
+        if work.active:
+            big = np.flatnonzero(place < len(work.active)) if work.small else slice(None)
+            self.held.append((column, at[big], place[big], gs[big], hs[big]))
+        return few
+
+    def sums(self, features: list[int]) -> np.ndarray:
+        """Gradients and hessians of a chunk, of the blocks held: for each feature by node and bin."""
         out = []
         nodes = len(self.work.active)
         for f in features:
             slots = self.work.layout.slots[f]
             sums = np.zeros((3, nodes * slots))
             for column, at, place, gs, hs in self.held:
-                big = np.flatnonzero(place < nodes) if self.work.small else slice(None)
-                cell = place[big] * slots + column(f)[at[big]]
-                sums[0] += np.bincount(cell, weights=gs[big], minlength=nodes * slots)
-                sums[1] += np.bincount(cell, weights=hs[big], minlength=nodes * slots)
+                cell = place * slots + column(f)[at]
+                sums[0] += np.bincount(cell, weights=gs, minlength=nodes * slots)
+                sums[1] += np.bincount(cell, weights=hs, minlength=nodes * slots)
                 sums[2] += np.bincount(cell, minlength=nodes * slots)
             out.append(sums.ravel())
-        return np.concatenate(out).tobytes()
-
-    def rows(self, which: int) -> bytes | None:
-        """The rows of a small node: their number, gradients, hessians, and bins column by column."""
-        parts = [(c, at[some], gs[some], hs[some]) for c, at, place, gs, hs in self.held
-                 if len(some := np.flatnonzero(place == len(self.work.active) + which))]
-        if not parts:
-            return None
-        g, h = (np.concatenate([p[i] for p in parts]) for i in (2, 3))
-        bins = [np.concatenate([c(f)[at] for c, at, _, _ in parts]).tobytes() for f in self.work.chosen()]
-        return b"".join([np.array([len(g)]).tobytes(), g.tobytes(), h.tobytes(), *bins])
+        return np.concatenate(out)
+
+    def keep(self) -> None:
+        """Add the blocks held to the totals, and let go of them."""
+        if self.held:
+            sums = [self.sums(features) for features in self.chunks]
+            if self.total is None:
+                self.total = sums
+            else:
+                for total, one in zip(self.total, sums, strict=True):
+                    total += one
+            self.held = []
+
+    def flush(self) -> Iterator[tuple[int, bytes]]:
+        """(chunk, sums) of what was added up, or is held, since the last time."""
+        if self.total is not None or self.held:
+            for c, features in enumerate(self.chunks):
+                yield c, (self.sums(features) if self.total is None else self.total[c]).tobytes()
+        self.held, self.total = [], None
+
+    def rows(self, column, at: np.ndarray, place: np.ndarray, gs: np.ndarray, hs: np.ndarray) -> list[tuple[int, bytes]]:
+        """A block's rows in small nodes, by node: their number, gradients, hessians, and bins column by column."""
+        nodes, active = self.work.small, len(self.work.active)
+        order = np.argsort(place, kind="stable")
+        at, g, h = at[order], gs[order], hs[order]
+        bins = [column(f)[at] for f in self.work.chosen()]
+        stops = np.searchsorted(place[order], active + np.arange(len(nodes) + 1))
+        return [(node, b"".join([np.array([b - a]).tobytes(), g[a:b].tobytes(), h[a:b].tobytes(), *(x[a:b].tobytes() for x in bins)]))
+                for node, a, b in zip(nodes, stops[:-1].tolist(), stops[1:].tolist(), strict=True) if b > a]
 
 
 def block_sums(works: list[Pass]):
-    """Per task and booster: sums by feature chunk (chunk 0, 1, ...) and sketches of the parts (chunk -1, -2)."""
+    """Per task and booster: sums by feature chunk (chunk 0, 1, ...) and sketches of the parts (chunk -1, -2). A task
+    holds a block at a time and the sums, or, where these are many, some blocks and the sums of one chunk."""
+    cells = sum(len(w.active) * sum(w.layout.slots[f] for f in w.chosen()) for w in works)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tasks = [TaskSums(work) for work in works]
+        held = 0
         for row in rows_of(batches):
             n, layout = row["n"], works[0].layout
 
@@ -375,17 +408,23 @@ def block_sums(works: list[Pass]):
                 return layout.column(row["bins"], n, j)
 
             y, w, k = (np.frombuffer(row[c], dtype=t) for c, t in (("y", float), ("w", float), ("k", np.int64)))
-            for task in tasks:
-                task.add(row, column, y, w, k)
+            few = [(trial, ROWS_OF_NODE - node, raw) for trial, task in enumerate(tasks) for node, raw in task.add(row, column, y, w, k)]
+            if few:
+                yield sums_batch(few)
+            if cells <= KEPT_SUMS:
+                for task in tasks:
+                    task.keep()
+                continue
+            held += row["bins"].size + 32 * n * len(tasks)
+            if held > HELD_BYTES:
+                for trial, task in enumerate(tasks):
+                    for c, raw in task.flush():
+                        yield sums_batch([(trial, c, raw)])
+                held = 0
         for trial, task in enumerate(tasks):
             yield sums_batch([(trial, -1 - part, total.tobytes()) for part, total in task.sketches.items()])
-            if task.held and task.work.active:
-                for c, features in enumerate(task.work.chunks()):
-                    yield sums_batch([(trial, c, task.sums(features))])
-            for which, node in enumerate(task.work.small if task.held else []):
-                raw = task.rows(which)
-                if raw is not None:
-                    yield sums_batch([(trial, ROWS_OF_NODE - node, raw)])
+            for c, raw in task.flush():
+                yield sums_batch([(trial, c, raw)])
 
     return scan
 

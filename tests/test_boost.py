@@ -2,9 +2,11 @@
 
 import math
 import time
+import tracemalloc
 from statistics import NormalDist
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,6 +144,49 @@ def test_a_tree_equals_brute_force_whatever_the_blocks(spark, halves, monkeypatc
     assert gain == pytest.approx(want[0]) and (-f, -b, not left) == want[1:]
 
 
+def block_row(rows, seed, number=lambda v: v.tobytes()):
+    """A block of two columns with 9 bins, as one batch."""
+    rng = np.random.default_rng(seed)
+    y = rng.integers(0, 2, rows).astype(float)
+    cells = [blocks.TRAIN, rows, rng.integers(0, 9, 2 * rows).astype(np.uint8).tobytes(), number(y), number(np.ones(rows)),
+             rng.integers(0, 1 << 60, rows).tobytes(), number(np.zeros(rows))]
+    types = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
+    return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cells, types)], blocks.NAMES)
+
+
+@pytest.mark.parametrize("kept", [True, False])
+def test_a_task_holds_few_blocks_however_many_it_reads(monkeypatch, kept):
+    number = getattr(blocks, "thin", lambda v: v.tobytes())
+    layout = blocks.Layout([None, None], [9, 9])
+    grown = blocks.PackedTree.of({0: (0, 4, True, 1.0)}, {}, 2)
+    work = blocks.Pass(layout=layout, splitting=blocks.Splitting(1.0, 0.0, 0.0, 1.0), depth=2, recent=[], growing=grown, active=[1], small=[2])
+    if not kept:
+        monkeypatch.setattr(blocks, "KEPT_SUMS", 0)
+        monkeypatch.setattr(blocks, "HELD_BYTES", 200_000)
+
+    def run(n):
+        tracemalloc.start()
+        total, few, peak = 0.0, 0, 0
+        for batch in blocks.block_sums([work])(block_row(5000, i, number) for i in range(n)):
+            for chunk, raw in zip(batch.column("chunk").to_pylist(), batch.column("sums").to_pylist()):
+                if chunk == 0:
+                    total = total + np.frombuffer(raw)
+                else:
+                    few += int(np.frombuffer(raw, dtype=np.int64, count=1)[0])
+            peak = max(peak, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        return total, few, peak
+
+    one, few_one, peak_one = run(4)
+    total, few, peak = run(60)
+    # All rows, each in its node, with the sums of the single blocks.
+    singles = [next(b for b in blocks.block_sums([work])(iter([block_row(5000, i, number)])) if 0 in b.column("chunk").to_pylist()) for i in range(60)]
+    want = sum(np.frombuffer(b.column("sums")[0].as_py()) for b in singles)
+    assert total.reshape(2, 3, 9) == pytest.approx(want.reshape(2, 3, 9))
+    assert few + total.reshape(2, 3, 9)[0, 2].sum() == 60 * 5000
+    assert peak < 2 * peak_one
+
+
 def test_history_and_margins_equal_the_scores(spark, halves):
     train, val = halves
     p = hist.HistParams(n_rounds=9, max_depth=2, max_bins=16, patience=9, checkpoint_every=2)
