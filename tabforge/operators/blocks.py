@@ -8,7 +8,7 @@ blocks and one shuffle of sums:
   (node, feature, bin) and sends them feature chunk by feature chunk;
 * one group per chunk adds the tasks' sums, scores every split there and returns the best one of
   each node; the driver takes the best chunk (at most nodes x chunks rows);
-* a node whose rows would fit into one block needs no more passes: its rows go to one group, which grows
+* a node with few rows (a block's, or in large tables some blocks') needs no more passes: its rows go to one group, which grows
   the whole subtree (Panda et al., PLANET, VLDB 2009: the in-memory build of small nodes). Deep levels would
   otherwise cost one pass each, with sums for thousands of nodes that hold few rows.
 
@@ -25,7 +25,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -40,6 +40,8 @@ from .wquantile import cell_slices, cells_of
 #: Rows of a block at most, and its cells at most (which bounds a block by bytes for wide tables).
 BLOCK_ROWS = 65_536
 BLOCK_CELLS = 16_000_000
+#: Rows of a node that one group finishes at most; in tables of less than four times as many, a quarter of them or a block.
+SMALL_ROWS = 262_144
 #: Sums (nodes x bins) of one feature chunk, about.
 CHUNK_SUMS = 262_144
 #: Sums of all boosters of a pass that a task keeps while it reads its blocks, and bytes of blocks and gradients that it
@@ -102,6 +104,26 @@ BLOCK = "part int, n int, bins binary, y binary, w binary, k binary, m binary"
 NAMES = ["part", "n", "bins", "y", "w", "k", "m"]
 
 
+def thin(values: np.ndarray) -> bytes:
+    """Numbers as bytes: how many distinct ones there are, these, and a byte for each number; or 0 and the numbers, where
+    they are many. Labels, class weights and the base margin take a byte a row and pass."""
+    distinct, place = np.unique(values.view(np.int64), return_inverse=True)
+    if len(distinct) > 256:
+        return raw_numbers(values)
+    return np.array([len(distinct)]).tobytes() + distinct.tobytes() + place.astype(np.uint8).tobytes()
+
+
+def raw_numbers(values: np.ndarray) -> bytes:
+    return np.array([0]).tobytes() + values.tobytes()
+
+
+def numbers(raw) -> np.ndarray:
+    distinct = int(np.frombuffer(raw, dtype=np.int64, count=1)[0])
+    if not distinct:
+        return np.frombuffer(raw, offset=8)
+    return np.frombuffer(raw, count=distinct, offset=8)[np.frombuffer(raw, dtype=np.uint8, offset=8 + 8 * distinct)]
+
+
 def pack(df: DataFrame, cols: list[str], layout: Layout, key: str, label: str, weight: str | None, part: int,
          base: float) -> DataFrame:
     """Blocks of the rows with a label and, if weighted, a weight."""
@@ -111,7 +133,7 @@ def pack(df: DataFrame, cols: list[str], layout: Layout, key: str, label: str, w
     def block(held: list) -> pa.RecordBatch:
         k, y, w = (np.concatenate([h[i] for h in held]) for i in range(3))
         bins = b"".join(np.concatenate([h[3][j] for h in held]).tobytes() for j in range(width))
-        row = [part, len(k), bins, y.tobytes(), w.tobytes(), k.tobytes(), np.full(len(k), base).tobytes()]
+        row = [part, len(k), bins, thin(y), thin(w), k.tobytes(), thin(np.full(len(k), base))]
         types = [pa.int32(), pa.int32(), *[pa.binary()] * 5]
         return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, types, strict=True)], NAMES)
 
@@ -173,29 +195,40 @@ class PackedTree:
         return tree
 
     def nodes(self, column, missing: list[int], rows: int, depth: int) -> np.ndarray:
-        """The node that each row reaches; ``column(j)`` gives the bins of feature ``j``."""
-        node = np.zeros(rows, dtype=np.int64)
-        open_nodes = [0]
-        for _ in range(depth):
-            deeper = []
-            for n in open_nodes:
-                f = int(self.feature[n])
-                if f < 0:
-                    continue
-                at = np.flatnonzero(node == n)
-                v = column(f)[at].astype(np.int64)
-                if n in self.sets:
-                    bits = self.sets[n]
-                    byte = np.minimum(v >> 3, len(bits) - 1)
-                    left = ((bits[byte] >> (v & 7).astype(np.uint8)) & 1).astype(bool) & (v >> 3 < len(bits))
+        """The node that each row reaches; ``column(j)`` gives the bins of feature ``j``. Level by level, and there
+        feature by feature: a row is looked at once for each level, however many nodes the level has."""
+        node = np.zeros(rows, dtype=np.int32)
+        start, size, bits = self.packed_sets()
+        limit, feature = self.bin.astype(np.int32), self.feature.astype(np.int16 if len(missing) < 1 << 15 else np.int32)
+        for level in range(depth):
+            here = slice(2**level - 1, 2 ** (level + 1) - 1)
+            split_on = np.unique(feature[here])
+            if split_on[-1] < 0:
+                break
+            asked = feature[node] if level else None   # rows in leaves are asked nothing
+            for f in split_on[split_on >= 0].tolist():
+                at = np.flatnonzero(asked == f) if level else slice(None)
+                n, v = node[at], column(f)[at]
+                if self.sets and size[here][feature[here] == f].any():
+                    byte, bytes_of = v >> 3, size[n]
+                    in_set = (bits[start[n] + np.minimum(byte, np.maximum(bytes_of, 1) - 1)] >> (v & 7).astype(np.uint8)) & 1
+                    left = np.where(bytes_of > 0, (in_set == 1) & (byte < bytes_of), v <= limit[n])
                 else:
-                    left = v <= self.bin[n]
-                left = np.where(v == missing[f], self.missing_left[n], left)
+                    left = v <= limit[n]
+                gone = np.flatnonzero(v == missing[f])
+                left[gone] = self.missing_left[n[gone]]
                 node[at] = 2 * n + 2 - left
-                deeper += [2 * n + 1, 2 * n + 2]
-            open_nodes = deeper
         return node
 
+    def packed_sets(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bits of all category sets in one array; where each node's start, and how many bytes it has (0: none)."""
+        start, size = (np.zeros(len(self.feature), dtype=np.int64) for _ in range(2))
+        at = 0
+        for n, bits in self.sets.items():
+            start[n], size[n] = at, len(bits)
+            at += len(bits)
+        return start, size, np.concatenate([*self.sets.values(), np.zeros(1, np.uint8)])
+
 
 def sigmoid(m: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-m))
@@ -274,7 +307,7 @@ class Pass:
         return list(range(len(self.layout.slots)) if self.features is None else self.features)
 
     def margins(self, row, rows: int, column) -> np.ndarray:
-        held = np.frombuffer(row["m"]).reshape(-1, rows)
+        held = numbers(row["m"]).reshape(-1, rows)
         # Until the first write all boosters share the base margin.
         m = held[self.slot if len(held) > 1 else 0].copy()
         missing = [s - 1 for s in self.layout.slots]
@@ -407,7 +440,7 @@ def block_sums(works: list[Pass]):
             def column(j: int, row=row, n=n, layout=layout) -> np.ndarray:
                 return layout.column(row["bins"], n, j)
 
-            y, w, k = (np.frombuffer(row[c], dtype=t) for c, t in (("y", float), ("w", float), ("k", np.int64)))
+            y, w, k = numbers(row["y"]), numbers(row["w"]), np.frombuffer(row["k"], dtype=np.int64)
             few = [(trial, ROWS_OF_NODE - node, raw) for trial, task in enumerate(tasks) for node, raw in task.add(row, column, y, w, k)]
             if few:
                 yield sums_batch(few)
@@ -605,7 +638,9 @@ def found(blocks: DataFrame, works: list[Pass], tasks: int) -> DataFrame:
     groups = sum(2 + len(w.small) + (len(w.chunks()) if w.active else 0) for w in works)
     reducers = min(groups, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = sums.repartition(reducers, "trial", "chunk")
-    return dealt.groupBy("trial", "chunk").applyInPandas(best_of_chunk(works), FOUND)
+    # The trees are walked by now.
+    bare = [replace(w, recent=[], growing=None) for w in works]
+    return dealt.groupBy("trial", "chunk").applyInPandas(best_of_chunk(bare), FOUND)
 
 
 def advanced(blocks: DataFrame, works: list[Pass]) -> DataFrame:
@@ -620,7 +655,7 @@ def advanced(blocks: DataFrame, works: list[Pass]) -> DataFrame:
                 def column(j: int, row=row, n=n) -> np.ndarray:
                     return works[0].layout.column(row["bins"], n, j)
 
-                margins.append(np.concatenate([work.margins(row, n, column) for work in works]).tobytes())
+                margins.append(raw_numbers(np.concatenate([work.margins(row, n, column) for work in works])))
             yield batch.set_column(NAMES.index("m"), "m", pa.array(margins, pa.binary()))
 
     return blocks.mapInArrow(scan, BLOCK)

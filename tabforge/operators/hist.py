@@ -16,7 +16,7 @@ Data flow:
 3. the first pass of a round also sketches the scores of the round before, for train and eval
    rows alike (``score_sketch``): the history and patience-based stopping cost no job. The exact
    PR-AUC is computed for the chosen round only;
-4. every ``checkpoint_every`` rounds the blocks are written anew with their margins.
+4. every ``checkpoint_every`` rounds the blocks are written anew with their margins, large tables more often.
 
 * LRN4 (category-set splits): the bins of a categorical column are its codes.
   At each node they are ranked once by their gradient ratio, and a prefix of that
@@ -307,6 +307,7 @@ class Fit:
         self.layout = self.model.layout()
         self.sets = frozenset(i for i, c in enumerate(table.cols) if c in table.sets)
         self.recent: list = []
+        self.unkept = 0   # trees since the last write that the table keeps
         self.rows = table.rows
         self.slot = 0
         self.low = self.high = self.model.base_margin
@@ -348,6 +349,7 @@ class Fit:
                 return
             model.trees.append(tree)
             self.recent.append(B.PackedTree.of(tree.splits, tree.leaves, p.max_depth))
+            self.unkept += 1
             self.low, self.high = self.low + min(tree.leaves.values()), self.high + max(tree.leaves.values())
         if self.with_eval and model.trees:
             self.ended([r for r in (yield self.work(sketch_range=(self.low, self.high))) if r["kind"] == 1])
@@ -355,14 +357,14 @@ class Fit:
             model.best_iteration = max(0, len(model.trees) - 1)
 
     def grow(self, work: B.Pass):
-        """One tree, level by level as long as nodes are larger than a block; None if the metrics of the first pass end
-        the fit."""
+        """One tree, level by level as long as nodes are large; None if the metrics of the first pass end the fit."""
         p = self.p
         splits: dict = {}
         leaves: dict = {}
         pending: dict = {}
         open_nodes = {0: self.rows}   # and how many rows they hold at most
-        most = min(B.BLOCK_ROWS, B.BLOCK_CELLS // max(1, len(work.chosen())))
+        # A quarter of the table at most, so that a pass leaves work for several groups.
+        most = min(max(B.BLOCK_ROWS, min(B.SMALL_ROWS, self.rows // 4)), B.BLOCK_CELLS // max(1, len(work.chosen())))
         first = True
         while open_nodes:
             work.small = [n for n, rows in open_nodes.items() if rows <= most]
@@ -406,6 +408,7 @@ def fit_on(table: TrainingTable, params: list[HistParams], rungs: tuple = (), su
     live = {i: fit.steps() for i, fit in enumerate(fits)}
     asked = {i: next(steps, None) for i, steps in live.items()}
     tasks = table.table.rdd.getNumPartitions()
+    blocks = Margins(table)
     pruned: set[int] = set()
 
     def go_on(i: int, rows) -> None:
@@ -414,37 +417,72 @@ def fit_on(table: TrainingTable, params: list[HistParams], rungs: tuple = (), su
         except StopIteration:
             del live[i], asked[i]
 
-    while asked:
-        asked = {i: a for i, a in asked.items() if a is not None}
-        passes = [i for i, a in asked.items() if isinstance(a, B.Pass)]
-        if not passes:
-            # All wait: the lowest rung is decided first.
-            rung = min(asked.values())
-            there = [i for i in asked if asked[i] == rung]
-            stay = survivors(rung, {i: f.model.history for i, f in enumerate(fits) if i not in pruned}) if survivors else there
-            for i in there:
-                if i in stay:
-                    go_on(i, None)
-                else:
-                    pruned.add(i)
-                    del live[i], asked[i]
-            continue
-        if max(len(fits[i].recent) for i in asked) >= fits[0].p.checkpoint_every:
-            _write_margins(table, fits, list(asked))
-            for i in passes:
-                asked[i].recent, asked[i].slot = fits[i].recent, fits[i].slot
-        rows = B.found(table.table, [asked[i] for i in passes], tasks).collect()  # nodes x chunks of each booster
-        for place, i in enumerate(passes):
-            go_on(i, [r for r in rows if r["trial"] == place])
+    try:
+        while asked:
+            asked = {i: a for i, a in asked.items() if a is not None}
+            passes = [i for i, a in asked.items() if isinstance(a, B.Pass)]
+            if not passes:
+                # All wait: the lowest rung is decided first.
+                rung = min(asked.values())
+                there = [i for i in asked if asked[i] == rung]
+                stay = survivors(rung, {i: f.model.history for i, f in enumerate(fits) if i not in pruned}) if survivors else there
+                for i in there:
+                    if i in stay:
+                        go_on(i, None)
+                    else:
+                        pruned.add(i)
+                        del live[i], asked[i]
+                continue
+            if blocks.renewed([fits[i] for i in asked]):
+                for i in passes:
+                    asked[i].recent, asked[i].slot = fits[i].recent, fits[i].slot
+            rows: dict = {}
+            for r in B.found(blocks.df, [asked[i] for i in passes], tasks).collect():  # nodes x chunks of each booster
+                rows.setdefault(r["trial"], []).append(r)
+            for place, i in enumerate(passes):
+                go_on(i, rows.get(place, []))
+    finally:
+        blocks.forget()
     return [fit.model for fit in fits]
 
 
-def _write_margins(table: TrainingTable, fits: list[Fit], places: list[int]) -> None:
-    new, path = B.written(B.advanced(table.table, [fits[i].work() for i in places]), "hist-blocks")
-    table.table = new
-    table.paths.append(path)
-    for slot, i in enumerate(places):
-        fits[i].recent, fits[i].slot = [], slot
+#: What a write of the blocks costs, in walks of one row down one tree: in all, for each row, and for each row of a booster.
+WRITE = (16_000_000, 10, 2)
+
+
+class Margins:
+    """The blocks that a fit reads, with the margins of its boosters. Every ``checkpoint_every`` trees the table keeps
+    them. Every pass walks the trees since the last write again: there is a write in between, which lasts until
+    the next one, as soon as these walks have cost as much as it will."""
+
+    def __init__(self, table: TrainingTable):
+        self.table, self.df, self.path = table, table.table, None
+        self.walks = 0   # trees walked by the passes since the last write
+
+    def renewed(self, fits: list[Fit]) -> bool:
+        """Whether it was time to write the blocks anew."""
+        kept = max(f.unkept for f in fits) >= fits[0].p.checkpoint_every
+        self.walks += sum(len(f.recent) for f in fits)
+        once, row, booster = WRITE
+        if not kept and self.walks * self.table.rows < once + (row + booster * len(fits)) * self.table.rows:
+            return False
+        self.walks = 0
+        new, path = B.written(B.advanced(self.df, [f.work() for f in fits]), "hist-blocks")
+        self.forget()
+        self.df = new
+        if kept:
+            self.table.table = new
+            self.table.paths.append(path)
+        else:
+            self.path = path
+        for slot, f in enumerate(fits):
+            f.recent, f.slot, f.unkept = [], slot, 0 if kept else f.unkept
+        return True
+
+    def forget(self) -> None:
+        if self.path:
+            B.forget(self.df.sparkSession, [self.path])
+            self.path = None
 
 
 def rounds_frame(spark, model: HistModel) -> DataFrame:

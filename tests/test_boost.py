@@ -202,6 +202,77 @@ def test_history_and_margins_equal_the_scores(spark, halves):
     assert losses == sorted(losses, reverse=True)
 
 
+@pytest.mark.parametrize("depth", [1, 4, 9])
+def test_rows_reach_the_nodes_of_a_walk_by_hand(depth):
+    rng = np.random.default_rng(depth)
+    slots = [300, 9, 8, 30]
+    cols = [rng.integers(0, s, 700).astype(np.uint16 if s > 256 else np.uint8) for s in slots]
+    splits, todo = {}, [(0, 0)]
+    while todo:
+        n, level = todo.pop()
+        if level < depth and rng.random() < 0.85:
+            f = int(rng.integers(0, 4))
+            # Feature 2 splits by sets, feature 3 by both.
+            b = sorted(set(rng.integers(0, slots[f] - 1, 4).tolist())) if f == 2 or (f == 3 and n % 2) else int(rng.integers(0, slots[f] - 1))
+            splits[n] = (f, b, bool(rng.random() < 0.5), 1.0)
+            todo += [(2 * n + 1, level + 1), (2 * n + 2, level + 1)]
+
+    def walk(i):
+        n = 0
+        while n in splits:
+            f, b, missing_left, _ = splits[n]
+            v = int(cols[f][i])
+            left = missing_left if v == slots[f] - 1 else v in b if isinstance(b, list) else v <= b
+            n = 2 * n + 2 - left
+        return n
+
+    tree = blocks.PackedTree.of(splits, {}, depth)
+    missing = [s - 1 for s in slots]
+    assert tree.nodes(lambda j: cols[j], missing, 700, depth).tolist() == [walk(i) for i in range(700)]
+    assert tree.nodes(lambda j: cols[j][:0], missing, 0, depth).tolist() == []
+
+
+def test_writes_in_between_change_no_tree_and_last_until_the_next(spark, halves, monkeypatch):
+    train, val = halves
+    params = [hist.HistParams(n_rounds=8, max_depth=d, eta=0.3, max_bins=16, subsample=0.8, checkpoint_every=5) for d in (2, 3)]
+    fits, scans = {}, {}
+    for often in (False, True):
+        if often:
+            # The costs of a large table.
+            monkeypatch.setattr(hist, "WRITE", (0, 0.5, 0))
+        written, gone, recent = [], [], []
+        for module, name, seen in ((blocks, "written", lambda got: written.append(got[1])), (blocks, "forget", None), (blocks, "found", None)):
+            real = getattr(module, name)
+
+            def spy(*args, real=real, name=name, seen=seen):
+                if name == "forget":
+                    gone.extend(args[1])
+                if name == "found":
+                    recent.append(max(len(w.recent) for w in args[1]))
+                got = real(*args)
+                if seen:
+                    seen(got)
+                return got
+
+            monkeypatch.setattr(module, name, spy)
+        table = hist.TrainingTable.of(train, COLS, "y", "id", "w", val, ["c"], 16)
+        fits[often] = hist.fit_on(table, params)
+        assert set(written) == set(gone) | set(table.paths)
+        table.forget()
+        scans[often] = max(recent)
+        monkeypatch.undo()
+    assert scans == {False: 5 - 1, True: 0}
+    for one, other in zip(*fits.values()):
+        assert one.trees == other.trees and one.history == other.history and one.rounds == other.rounds
+
+
+def test_numbers_of_a_block_come_back(spark):
+    for values in (np.ones(1000), np.array([0.0, -0.0, 2.5, np.nan, np.inf] * 60), np.arange(1000) / 7, np.arange(256.0), np.arange(257.0), np.zeros(0)):
+        back = blocks.numbers(blocks.thin(values))
+        assert back.view(np.int64).tolist() == values.view(np.int64).tolist()
+    assert len(blocks.thin(np.ones(1000))) == 1016
+
+
 def test_trials_in_step_equal_single_fits(spark, halves):
     train, val = halves
     params = [hist.HistParams(n_rounds=4, max_depth=d, eta=e, max_bins=16, checkpoint_every=2, subsample=0.8) for d, e in ((1, 0.3), (3, 0.1), (2, 0.5))]
