@@ -13,7 +13,8 @@ samples still wanted, and one for the threshold, need to be kept. The key of the
 segmentation is the threshold behind the inclusion probability of each sample.
 
 The best segmentations of a batch of texts are drawn together: the lattices of the distinct chunks
-lie in flat arrays, and one numpy step takes one edge in every chunk of every text.
+lie in flat arrays, one numpy step takes one edge in every chunk of every text, and the paths of all
+texts lie one after the other when keys and results are taken from them.
 
 Noise is a hash of the row's key, the sample's number and the position in the text, so a row's
 samples depend neither on its task nor on its batch. Cases: a null or empty text has the empty
@@ -29,20 +30,19 @@ import sys
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 from math import exp, expm1, inf, log
 from typing import NamedTuple
 
-import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabforge.llm.common import U64, mix
-from tabforge.llm.unigram import Vocabulary, chunks, decode, default_model, load_vocabulary
+from tabforge.llm.unigram import Matcher, Vocabulary, chunks, decode_all, default_model, load_vocabulary
 
 SAMPLES = 2
 #: The vocabulary's scores are merge ranks; this turns them into moderate log-probabilities.
@@ -84,20 +84,14 @@ class Sampler:
         self.temperature = temperature
         usual = [vocabulary.scores[i] for i in vocabulary.ids.values() if vocabulary.scores[i] > LEAST_SCORE]
         self.unknown = temperature * (min(usual) - 10.0)
-        self.known = {p for p in vocabulary.ids if len(p) == 1}
         self.strange = np.ones(sys.maxunicode + 1, bool)  # by code point
-        self.strange[[ord(c) for c in self.known]] = False
+        self.strange[[ord(p) for p in vocabulary.ids if len(p) == 1]] = False
         used = set().union(*vocabulary.ids)
         #: A character of no piece, so that no match reaches over it.
         self.gap = next(c for c in map(chr, range(0xF8FF, 0xE000, -1)) if c not in used)
-        self.sizes = np.array([len(p) for p in vocabulary.pieces])
         scores = np.array(vocabulary.scores)
         self.weights = np.where(scores > LEAST_SCORE, temperature * scores, self.unknown)
-        machine = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for p, i in vocabulary.ids.items():
-            machine.add_word(p, i)
-        machine.make_automaton()
-        self.matches = machine.iter
+        self.matcher = Matcher(vocabulary.ids)
         self.empty()
 
     def empty(self) -> None:
@@ -118,15 +112,35 @@ class Sampler:
         self.unknowns.append(ids)
         return -len(self.unknowns)
 
+    def edges(self, joined: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Last character, length, piece and log-weight of the edges in chunks that each end with the
+        gap: by their last character, the longest first."""
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        strange = self.strange[points]
+        strange[points == ord(self.gap)] = False
+        alone = np.flatnonzero(strange)
+        found = self.matcher.matches(points)
+        into = strange.astype(np.int64)
+        for size, (start, _) in enumerate(found):
+            into[start + size] += 1
+        free = np.cumsum(into) - into
+        end, length = np.repeat(np.arange(len(points)), into), np.empty(int(into.sum()), np.int64)
+        piece, weight = np.empty(len(end), np.int64), np.empty(len(end))
+        for size, (start, pieces) in reversed([*enumerate(found, 1)]):
+            at = free[start + size - 1]
+            free[start + size - 1] += 1
+            length[at], piece[at], weight[at] = size, pieces, self.weights[pieces]
+        if len(alone):
+            at = free[alone]
+            length[at], piece[at], weight[at] = 1, [self.stand_in(joined[i]) for i in alone.tolist()], self.unknown
+        return end, length, piece, weight
+
     def lattice(self, chunk: str) -> list[list[tuple[int, int, float]]]:
         """Edges into each position: (characters, piece, log-weight)."""
-        edges: list[list] = [[] for _ in range(len(chunk) + 1)]
-        for end, i in self.matches(chunk):
-            edges[end + 1].append((int(self.sizes[i]), i, float(self.weights[i])))
-        for at, c in enumerate(chunk):
-            if c not in self.known:
-                edges[at + 1].append((1, self.stand_in(c), self.unknown))
-        return edges
+        into: list[list] = [[] for _ in range(len(chunk) + 1)]
+        for end, *edge in zip(*(x.tolist() for x in self.edges(chunk + self.gap)), strict=True):
+            into[end + 1].append(tuple(edge))
+        return into
 
     def last_node(self, chunk: str) -> int:
         """The last node of a chunk, whose lattice is stored when it is new."""
@@ -156,24 +170,14 @@ class Sampler:
                 self.last_node(chunk)
         if not (new := [c for c in new if len(c) <= SHORT]):
             return
-        joined = self.gap.join(new) + self.gap
-        found = np.fromiter(chain.from_iterable(self.matches(joined)), np.int64).reshape(-1, 2)
-        end, piece = found[:, 0].copy(), found[:, 1].copy()
-        size, weight = self.sizes[piece], self.weights[piece]
+        end, size, piece, weight = self.edges(self.gap.join(new) + self.gap)
         lengths = np.fromiter(map(len, new), np.int64, len(new))
         gaps = np.cumsum(lengths + 1) - 1
-        strange = self.strange[np.frombuffer(joined.encode("utf-32-le"), np.uint32)]
-        strange[gaps] = False
-        if strange.any():
-            at = np.flatnonzero(strange)
-            behind = np.searchsorted(end, at, "right")
-            end, size, weight = (np.insert(x, behind, y) for x, y in ((end, at), (size, 1), (weight, self.unknown)))
-            piece = np.insert(piece, behind, [self.stand_in(joined[i]) for i in at.tolist()])
         # ``forward[i]`` stands before character ``i``; it stays 0 where a chunk starts.
-        level = (np.arange(len(joined)) - np.repeat(gaps - lengths, lengths + 1))[end].astype(np.int16)
+        level = (np.arange(gaps[-1] + 1) - np.repeat(gaps - lengths, lengths + 1)).astype(np.int16)[end]
         order = np.argsort(level, kind="stable")
         ends, begins, weight = end[order], end[order] + 1 - size[order], weight[order]
-        forward, own = np.zeros(len(joined) + 1), np.empty(len(end))
+        forward, own = np.zeros(gaps[-1] + 2), np.empty(len(end))
         stops = np.cumsum(np.bincount(level)).tolist()
         for a, b in zip([0, *stops], stops, strict=False):
             sums = forward[begins[a:b]] + weight[a:b]
@@ -193,15 +197,16 @@ class Sampler:
         bound[heads + into - 1] = ALONE
         # What an edge with more than half leaves to the others is added up, as it may be tiny.
         most = share > 0.5
-        rest = np.add.reduceat(np.where(most, 0.0, share), heads)
+        less = np.where(most, 0.0, share)
+        others = np.log1p(-less)
         with np.errstate(divide="ignore"):
-            others = np.where(most, np.log(np.repeat(rest, into)), np.log1p(-np.where(most, 0.0, share)))
+            others[most] = np.log(np.add.reduceat(less, heads)[np.repeat(np.arange(len(heads)), into)[most]])
         base, edges = len(self.first), len(self.length)
-        self.first.frombytes((heads + edges).tobytes())
-        self.place.frombytes((level[heads] + 1).astype("i4").tobytes())
+        self.first.frombytes((heads + edges).view("u1"))
+        self.place.frombytes((level[heads] + 1).astype("i4").view("u1"))
         for store, values, kind in ((self.length, size, "i4"), (self.piece, piece, "i4"), (self.bound, bound, "f8"),
                                     (self.own, own, "f8"), (self.others, others, "f8")):
-            store.frombytes(values.astype(kind).tobytes())
+            store.frombytes(values.astype(kind, copy=False).view("u1"))
         last = base + gaps - np.arange(len(new)) - 1
         self.kept.update(zip(new, last.tolist(), strict=True))
 
@@ -251,31 +256,43 @@ class Sampler:
             edges[offset[w] + done[w] : offset[w] + counts[w]] = path
         return edges, counts
 
-    def split(self, region: "Region", path: np.ndarray, size: int, seed: int, wanted: int) -> tuple[float, list["Region"]]:
-        """The log-probability of a path drawn in a region, and the ``wanted`` parts with the largest
-        keys of what else the region holds, each of which leaves the path at another place."""
-        own, others, length = (
-            np.frombuffer(a, t)[path] for a, t in ((self.own, "f8"), (self.others, "f8"), (self.length, "i4"))
-        )
-        behind = np.cumsum(own)
-        mass = behind - own + others
-        start = region.place
-        if region.without:
-            without = (*region.without, int(path[start]))
-            left = [self.own[e] for e in self.edges_of(region.node) if e not in without]
-            mass[start] = behind[start] - own[start] + (log_sum(left) if left else -inf)
-        places = start + np.flatnonzero(mass[start:] > -inf)
-        ends = (size - (np.cumsum(length) - length))[places]
-        waits = -np.log(noise(np.full(len(ends), seed, U64), 2 * ends + 1))
+    def split(self, paths: "Paths", regions: list["Region"], wanted: int) -> list[list["Region"]]:
+        """For each path, drawn in its region, the ``wanted`` parts with the largest keys of what else
+        the region holds, each of which leaves the path at another place."""
+        others, length = np.frombuffer(self.others, "f8")[paths.edges], np.frombuffer(self.length, "i4")[paths.edges]
+        mass = paths.behind - paths.own + others
+        # Places before the one where a region begins are its own path; nothing leaves there.
+        begins = paths.starts[:-1] + [region.place for region in regions]
+        for region, at in zip(regions, begins.tolist(), strict=True):
+            if region.without:
+                without = (*region.without, int(paths.edges[at]))
+                left = [self.own[e] for e in self.edges_of(region.node) if e not in without]
+                mass[at] = paths.behind[at] - paths.own[at] + (log_sum(left) if left else -inf)
+        widths = np.diff(paths.starts)
+        within = np.arange(len(mass)) >= np.repeat(begins, widths)
+        places = np.flatnonzero(within & (mass > -inf))
+        row = np.repeat(np.arange(len(regions)), widths)[places]
+        before = np.cumsum(length) - length
+        ends = (np.append(before, 0)[paths.starts[:-1]] + paths.sizes)[row] - before[places]
+        mass = mass[places]
+        waits = -np.log(noise(paths.seeds[row], 2 * ends + 1))
         # Gumbel values of the masses, given that they lie below the region's key.
-        keys = mass[places] - np.log(np.exp(mass[places] - region.key) + waits)
-        best = np.argpartition(-keys, wanted)[:wanted] if len(keys) > wanted else np.arange(len(keys))
+        keys = mass - np.log(np.exp(mass - np.array([region.key for region in regions])[row]) + waits)
+        stops = np.searchsorted(places, paths.starts).tolist()
         parts = []
-        for key, place, end in zip(keys[best].tolist(), places[best].tolist(), ends[best].tolist(), strict=True):
-            edge = int(path[place])
-            again = place == start and region.without
-            parts.append(Region(key, path, place, end, bisect_right(self.first, edge) - 1, without if again else (edge,)))
-        return float(behind[-1]) if len(path) else 0.0, parts
+        for n, (region, a, b) in enumerate(zip(regions, stops, stops[1:], strict=False)):
+            if b - a > wanted:
+                best = a + np.argpartition(-keys[a:b], wanted)[:wanted] if wanted > 1 else (a + int(keys[a:b].argmax()),)
+            else:
+                best = range(a, b)
+            path, start = paths.path(n), int(paths.starts[n])
+            parts.append([])
+            for i in best:
+                place = int(places[i]) - start
+                edge = int(path[place])
+                without = (*region.without, edge) if place == region.place else (edge,)
+                parts[-1].append(Region(float(keys[i]), path, place, int(ends[i]), bisect_right(self.first, edge) - 1, without))
+        return parts
 
     def leave(self, region: "Region", seed: int) -> int:
         """The edge by which the best segmentation of a region goes on at its place."""
@@ -288,64 +305,91 @@ class Sampler:
                 return edge
         return open_edges[0]
 
-    def batch(self, texts: list[str], seeds: list[int], k: int) -> list[list[tuple[list[int], float, float]]]:
-        """For each text up to ``k`` distinct (ids, log-probability, inclusion), by falling key."""
+    def draw_batch(self, texts: list[str], seeds: list[int], k: int) -> "Drawn":
+        """For each text up to ``k`` distinct segmentations, by falling key."""
         if len(self.length) > KEPT_EDGES:
             self.empty()
         parts = [chunks(text) for text in texts]
-        self.add([c for c in dict.fromkeys(chain.from_iterable(parts)) if c not in self.kept])
-        rows = [self.row(p, seed) for p, seed in zip(parts, seeds, strict=True)]
-        draws = [int(d) for d in mix(np.arange(1, k + 1, dtype=U64))]
+        flat = list(chain.from_iterable(parts))
+        nodes = np.fromiter(map(self.kept.get, flat, repeat(-1)), np.int64, len(flat))
+        if len(missing := np.flatnonzero(nodes < 0)):
+            new = [flat[i] for i in missing.tolist()]
+            self.add(list(dict.fromkeys(new)))
+            nodes[missing] = list(map(self.kept.__getitem__, new))
+        sizes = np.frombuffer(self.place, "i4")[nodes].astype(np.int64)
+        upto = np.cumsum(sizes)
+        begins = np.cumsum([0, *map(len, parts)])  # text -> its first chunk
+        bases = np.append(0, upto)[begins]  # text -> characters before it
+        seeds = np.array([seed & MASK for seed in seeds], U64)
+        open_regions = [
+            [Region(-log(-log(u)), np.empty(0, np.int64), 0, size, -1, ())]
+            for u, size in zip(noise(seeds, np.zeros(len(seeds), np.int64)).tolist(), np.diff(bases).tolist(), strict=True)
+        ]
+        rounds = []
         for n in range(k):
-            taken, walkers = [], []
-            for row in rows:
-                if row.regions:
-                    region, seed = row.regions.pop(0), row.seed ^ draws[n]
-                    prefix, node, at = region.path[: region.place], -1, region.end
-                    if region.without:
-                        edge = self.leave(region, seed)
-                        prefix = np.append(prefix, edge)
-                        node, at = region.node - self.length[edge], at - self.length[edge]
-                    # What is left of the region's own chunk, and the chunks before it.
-                    whole = int(np.searchsorted(-row.ends, -at))
-                    left = at - (int(row.ends[whole]) if whole < len(row.ends) else 0)
-                    walkers.append((np.append(node, row.nodes[whole:]), np.append(left, row.sizes[whole:]), np.append(at, row.ends[whole:])))
-                    taken.append((row, region, prefix, seed))
-            if not taken:
+            who = np.array([i for i, regions in enumerate(open_regions) if regions], np.int64)
+            if not len(who):
                 break
-            width = np.array([len(w[0]) for w in walkers])
-            streams = np.repeat(np.array([seed for *_, seed in taken], U64), width)
-            edges, counts = self.draw(streams, *(np.concatenate([w[i] for w in walkers]) for i in range(3)))
-            stops = np.cumsum(np.add.reduceat(counts, np.cumsum(width) - width)).tolist()
-            for (row, region, prefix, seed), a, b in zip(taken, [0, *stops], stops, strict=False):
-                path = np.concatenate([prefix, edges[a:b]])
-                log_prob, parts = self.split(region, path, row.size, seed, k - n)
-                row.done.append((path, log_prob))
-                row.regions = sorted(row.regions + parts, key=lambda r: -r.key)[: k - n]
-        return [self.samples(row) for row in rows]
-
-    def row(self, parts: list[str], seed: int) -> "Row":
-        nodes = np.array([self.kept[c] for c in parts], np.int64)
-        sizes = np.frombuffer(self.place, "i4")[nodes].astype(np.int64) if len(nodes) else nodes
-        ends, size = np.cumsum(sizes), int(sizes.sum())
-        seed &= MASK
-        key = -log(-log(noise_of(seed, 0)))
-        whole = Region(key, np.empty(0, np.int64), 0, size, -1, ())
-        return Row(seed, size, nodes[::-1], sizes[::-1], ends[::-1], [whole])
-
-    def samples(self, row: "Row") -> list[tuple[list[int], float, float]]:
-        threshold = row.regions[0].key if row.regions else -inf
-        pieces = np.frombuffer(self.piece, "i4")
-        found = []
-        for path, log_prob in row.done:
-            ids = pieces[path[::-1]]
-            if len(ids) and ids.min() < 0:
-                ids = [i for p in ids.tolist() for i in (self.unknowns[-1 - p] if p < 0 else (p,))]
-            else:
-                ids = ids.tolist()
-            gap = log_prob - threshold
-            found.append((ids, log_prob, 1.0 if gap > 700 else -expm1(-exp(gap))))
-        return found
+            taken = [open_regions[i].pop(0) for i in who.tolist()]
+            streams = seeds[who] ^ mix(np.array([n + 1], U64))
+            prefixes, node, at = [], np.full(len(who), -1), np.array([region.end for region in taken], np.int64)
+            for i, region in enumerate(taken):
+                prefix = region.path[: region.place]
+                if region.without:
+                    edge = self.leave(region, int(streams[i]))
+                    prefix = np.append(prefix, edge)
+                    node[i], at[i] = region.node - self.length[edge], region.end - self.length[edge]
+                prefixes.append(prefix)
+            # What is left of a region's own chunk, and the chunks before it, the last first.
+            whole = np.searchsorted(upto, bases[who] + at, "right")
+            whole = np.maximum(whole, begins[who])
+            width = whole - begins[who] + 1
+            heads = np.cumsum(width) - width
+            chunk = np.repeat(whole + heads, width) - np.arange(int(width.sum()))
+            own = np.append(upto, 0)[whole - 1]
+            chunk[heads] = 0
+            walkers = [x[chunk] if len(x) else np.zeros(len(chunk), np.int64) for x in (nodes, sizes, upto)]
+            walkers[2] -= np.repeat(bases[who], width)
+            walkers[0][heads], walkers[2][heads] = node, at
+            walkers[1][heads] = at - np.where(whole > begins[who], own - bases[who], 0)
+            edges, counts = self.draw(np.repeat(streams, width), *walkers)
+            stops = np.cumsum(np.add.reduceat(counts, heads)).tolist()
+            pieces = [x for prefix, a, b in zip(prefixes, [0, *stops], stops, strict=False) for x in (prefix, edges[a:b])]
+            starts = np.cumsum([0, *(len(a) + len(b) for a, b in zip(pieces[::2], pieces[1::2], strict=True))])
+            paths = Paths(who, np.concatenate(pieces), starts, streams, np.diff(bases)[who], self)
+            rounds.append(paths)
+            for i, found in zip(who.tolist(), self.split(paths, taken, k - n), strict=True):
+                open_regions[i] = sorted(open_regions[i] + found, key=lambda r: -r.key)[: k - n]
+        return self.drawn(rounds, [regions[0].key if regions else -inf for regions in open_regions])
+
+    def drawn(self, rounds: list["Paths"], thresholds: list[float]) -> "Drawn":
+        found = sorted((i, n, place) for n, paths in enumerate(rounds) for place, i in enumerate(paths.who.tolist()))
+        log_prob = [float(rounds[n].log_prob[place]) for _, n, place in found]
+        gaps = [p - thresholds[i] for p, (i, _, _) in zip(log_prob, found, strict=True)]
+        edges = [rounds[n].path(place)[::-1] for _, n, place in found]
+        ids = np.frombuffer(self.piece, "i4")[np.concatenate(edges)] if edges else np.empty(0, np.int32)
+        offsets = np.cumsum([0, *map(len, edges)])
+        if len(ids) and ids.min() < 0:
+            number = -1 - ids[ids < 0]
+            bytes_of = np.array([len(b) for b in self.unknowns])
+            width = np.ones(len(ids), np.int64)
+            width[ids < 0] = bytes_of[number]
+            behind = np.append(0, np.cumsum(width))
+            place = np.flatnonzero(np.repeat(ids < 0, width))
+            ids = np.repeat(ids, width)
+            ids[place] = list(chain.from_iterable(self.unknowns[i] for i in number.tolist()))
+            offsets = behind[offsets]
+        inclusion = [1.0 if gap > 700 else -expm1(-exp(gap)) for gap in gaps]
+        return Drawn([i for i, _, _ in found], [n + 1 for _, n, _ in found], ids, offsets, log_prob, inclusion)
+
+    def batch(self, texts: list[str], seeds: list[int], k: int) -> list[list[tuple[list[int], float, float]]]:
+        """For each text up to ``k`` distinct (ids, log-probability, inclusion), by falling key."""
+        out: list[list] = [[] for _ in texts]
+        drawn = self.draw_batch(texts, seeds, k)
+        for n, i in enumerate(drawn.owner):
+            ids = drawn.ids[drawn.offsets[n] : drawn.offsets[n + 1]].tolist()
+            out[i].append((ids, drawn.log_prob[n], drawn.inclusion[n]))
+        return out
 
     def sample(self, text: str, k: int, seed: int) -> list[tuple[list[int], float, float]]:
         return self.batch([text], [seed], k)[0]
@@ -363,15 +407,32 @@ class Region(NamedTuple):
     without: tuple[int, ...]
 
 
-@dataclass
-class Row:
-    seed: int
-    size: int
-    nodes: np.ndarray  # last node, characters and end of each chunk, last chunk first
-    sizes: np.ndarray
-    ends: np.ndarray
-    regions: list[Region]
-    done: list[tuple[np.ndarray, float]] = field(default_factory=list)
+class Paths:
+    """Paths through the lattices of several texts, one after the other, each from its text's end."""
+
+    def __init__(self, who: np.ndarray, edges: np.ndarray, starts: np.ndarray, seeds: np.ndarray, sizes: np.ndarray, sampler: Sampler):
+        self.who, self.edges, self.starts, self.seeds, self.sizes = who, edges, starts, seeds, sizes
+        self.own = np.frombuffer(sampler.own, "f8")[edges]
+        #: Log-probability of a path as far as an edge; added up path by path, so that it does not depend on the batch.
+        self.behind = np.empty(len(edges))
+        bounds = starts.tolist()
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            self.own[a:b].cumsum(out=self.behind[a:b])
+        self.log_prob = np.where(np.diff(starts) > 0, np.append(self.behind, 0.0)[starts[1:] - 1], 0.0)
+
+    def path(self, n: int) -> np.ndarray:
+        return self.edges[self.starts[n] : self.starts[n + 1]]
+
+
+class Drawn(NamedTuple):
+    """Samples of a batch, one after the other: their text, number, place of their ids, and figures."""
+
+    owner: list[int]
+    sample: list[int]
+    ids: np.ndarray
+    offsets: np.ndarray
+    log_prob: list[float]
+    inclusion: list[float]
 
 
 @lru_cache(maxsize=1)
@@ -388,26 +449,28 @@ def sample_segmentations(
     fields = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
     schema = ", ".join(f"`{c}` {fields[c]}" for c in key)
 
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = sampler_of(model)
         for batch in batches:
-            upto = batch["_text"].str.len().cumsum()
-            for _, part in batch.groupby(upto // BATCH_CHARS, sort=False):
-                found = sampler.batch(part["_text"].tolist(), part["_seed"].tolist(), k)
-                owner = [i for i, samples in enumerate(found) for _ in samples]
-                out = part[key].iloc[owner].reset_index(drop=True)
-                flat = [s for samples in found for s in samples]
-                out["sample"] = [n for samples in found for n in range(1, len(samples) + 1)]
-                out["ids"] = pd.Series([np.array(ids, np.int32) for ids, _, _ in flat], dtype=object)
-                out["log_prob"] = [p for _, p, _ in flat]
-                out["inclusion"] = [p for _, _, p in flat]
-                out["decoded"] = pd.Series([decode(sampler.vocabulary, ids) if ids else "" for ids, _, _ in flat], dtype=object)
-                yield out
+            upto = np.cumsum(pc.utf8_length(batch["_text"]).to_numpy(zero_copy_only=False)) // BATCH_CHARS
+            cuts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), len(upto)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                found = sampler.draw_batch(part["_text"].to_pylist(), part["_seed"].to_pylist(), k)
+                owner = pa.array(found.owner, pa.int32())
+                columns = [part.column(i).take(owner) for i in range(len(key))]
+                columns.append(pa.array(found.sample, pa.int32()))
+                columns.append(pa.ListArray.from_arrays(pa.array(found.offsets, pa.int32()), pa.array(found.ids, pa.int32())))
+                columns += [pa.array(found.log_prob, pa.float64()), pa.array(found.inclusion, pa.float64())]
+                columns.append(pa.array(decode_all(sampler.vocabulary, found.ids, found.offsets), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, [*key, "sample", "ids", "log_prob", "inclusion", "decoded"])
 
     seeded = rows.select(
         *key, F.coalesce(F.col(text), F.lit("")).alias("_text"), F.xxhash64(*[F.col(c).cast("string") for c in key]).alias("_seed")
     )
-    return seeded.mapInPandas(draw, f"{schema}, sample int, ids array<int>, log_prob double, inclusion double, decoded string")
+    return seeded.mapInArrow(draw, f"{schema}, sample int, ids array<int>, log_prob double, inclusion double, decoded string")
 
 
 def op7_sampled_segmentations(spark, sf_dir: str) -> DataFrame:
@@ -426,4 +489,4 @@ def op7_sampled_segmentations(spark, sf_dir: str) -> DataFrame:
 
 
 def ids_digest(column: str):
-    return F.crc32(F.concat_ws(",", F.transform(F.col(column), lambda x: x.cast("string"))))
+    return F.crc32(F.concat_ws(",", F.col(column).cast("array<string>")))

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -338,3 +339,40 @@ def test_lattices_made_together_equal_those_made_one_by_one():
             mine = sorted((one.length[e], round(one.own[e], 9), round(max(one.others[e], -1e9), 6)) for e in x)
             assert mine == sorted((many.length[e], round(many.own[e], 9), round(max(many.others[e], -1e9), 6)) for e in y)
             a, b = a - 1, b - 1
+
+
+def test_matcher_finds_every_piece():
+    pieces = ["a", "ab", "abc", "b", "bca", "cab", "é☃", "x" * 20, "▁", "▁a", "▁ab"] + [f"q{i}" for i in range(40)]
+    ids = {p: 3 * n for n, p in enumerate(pieces)}
+    texts = ["▁abcab", "☃é☃é", "x" * 45, "zzz", "q17q3q", "▁▁a"]
+    joined = "\uf8ff".join(texts) + "\uf8ff"
+    found = unigram.Matcher(ids).matches(np.frombuffer(joined.encode("utf-32-le"), np.uint32))
+    got = [(int(at), int(i)) for at, words in found for at, i in zip(at, words, strict=True)]
+    want = [(at, i) for p, i in ids.items() for at in range(len(joined)) if joined.startswith(p, at)]
+    assert sorted(got) == sorted(want)
+    for size, (at, words) in enumerate(found, 1):
+        assert (np.diff(at) > 0).all() and all(len(pieces[i // 3]) == size for i in words.tolist())
+    assert unigram.Matcher({}).matches(np.array([97, 98])) == []
+
+
+def test_texts_drawn_and_decoded_together_equal_those_done_one_by_one():
+    """A batch gives its ids, and decodes them, in flat arrays, with no step for each text's pieces."""
+    voc = unigram.load_vocabulary(unigram.default_model())
+    sampler, texts = sampling.Sampler(voc), [*ODD_TEXTS, "日本語 \U0001f600" * 3, "", "plain text"]
+    drawn = sampler.draw_batch(texts, list(range(len(texts))), 3)
+    decoded = unigram.decode_all(voc, drawn.ids, drawn.offsets)
+    assert len(decoded) == len(drawn.owner) == len(drawn.log_prob) == len(drawn.offsets) - 1
+    samples = [sampler.sample(text, 3, seed) for seed, text in enumerate(texts)]
+    want = [(i, n, *sample) for i, found in enumerate(samples) for n, sample in enumerate(found, 1)]
+    ids = [drawn.ids[a:b].tolist() for a, b in zip(drawn.offsets, drawn.offsets[1:], strict=False)]
+    assert want == list(zip(drawn.owner, drawn.sample, ids, drawn.log_prob, drawn.inclusion, strict=True))
+    assert decoded == [unigram.decode(voc, i) if i else "" for i in ids]
+    assert decoded == [texts[i].replace("▁", " ") for i in drawn.owner]
+    nothing = sampler.draw_batch([], [], 2)
+    assert nothing.owner == [] and unigram.decode_all(voc, nothing.ids, nothing.offsets) == []
+
+
+def test_chunks_are_runs_of_blanks_with_a_word():
+    for text in [*ODD_TEXTS, "a b", "a  b", "▁ a", "a▁", "x y z "]:
+        whole = unigram.BLANK + text.replace(" ", unigram.BLANK)
+        assert unigram.chunks(text) == (unigram.CHUNK.findall(whole) if text else [])
