@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLANK = "▁"
 CHUNK = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
@@ -61,8 +62,8 @@ class Matcher:
 
     def __init__(self, ids: dict[str, int]):
         characters = sorted(set().union(*ids))
-        #: Number of a character; 0 for those of no piece, over which no match reaches.
-        self.number = np.zeros(sys.maxunicode + 1, np.int32)
+        #: Number of a character; 0 for those of no piece, over which no match reaches, and for one past the last.
+        self.number = np.zeros(sys.maxunicode + 2, np.int32)
         self.number[[ord(c) for c in characters]] = np.arange(1, len(characters) + 1)
         number = {c: n for n, c in enumerate(characters, 1)}
         children: list[dict[int, int]] = [{}]
@@ -163,12 +164,24 @@ def decode(vocabulary: Vocabulary, ids: list[int]) -> str:
     return joined.encode("utf-8", "surrogateescape").decode("utf-8", "replace").replace(BLANK, " ")[1:]
 
 
-def decode_all(vocabulary: Vocabulary, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+def decode_array(vocabulary: Vocabulary, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """``decode`` of many lists of ids, which lie one after the other from ``offsets[i]`` to ``offsets[i + 1]``."""
     if vocabulary.raw is None:
-        vocabulary.raw = pa.array([t.encode("utf-8", "surrogateescape") for t in vocabulary.texts], pa.binary())
+        vocabulary.raw = pa.array([t.replace(BLANK, " ").encode("utf-8", "surrogateescape") for t in vocabulary.texts], pa.binary())
     joined = vocabulary.raw.take(pa.array(ids))
     _, starts, data = joined.buffers()
-    cuts = np.frombuffer(starts, np.int32)[joined.offset + offsets].tolist() if len(ids) else [0] * len(offsets)
-    data = memoryview(data) if data else b""
-    return [str(data[a:b], "utf-8", "replace").replace(BLANK, " ")[1:] for a, b in zip(cuts, cuts[1:], strict=False)]
+    cuts = np.frombuffer(starts, np.int32)[joined.offset + offsets] if len(ids) else np.zeros(len(offsets), np.int32)
+    data = memoryview(data or b"")[: int(cuts[-1])]
+    # Bytes can make up a blank, or what is no text; such lists are decoded one by one.
+    if BLANK.encode() not in bytes(data):
+        try:
+            texts = pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+            return pc.utf8_slice_codeunits(texts.cast(pa.string()), 1)
+        except pa.ArrowInvalid:
+            pass
+    cuts = cuts.tolist()
+    return pa.array([str(data[a:b], "utf-8", "replace").replace(BLANK, " ")[1:] for a, b in zip(cuts, cuts[1:], strict=False)], pa.string())
+
+
+def decode_all(vocabulary: Vocabulary, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+    return decode_array(vocabulary, ids, offsets).to_pylist()

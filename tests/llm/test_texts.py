@@ -376,3 +376,52 @@ def test_chunks_are_runs_of_blanks_with_a_word():
     for text in [*ODD_TEXTS, "a b", "a  b", "▁ a", "a▁", "x y z "]:
         whole = unigram.BLANK + text.replace(" ", unigram.BLANK)
         assert unigram.chunks(text) == (unigram.CHUNK.findall(whole) if text else [])
+
+
+def test_ties_at_one_half_keep_both_segmentations():
+    sampler = sampling.Sampler(unigram.load_vocabulary(unigram.default_model()))
+    text = "☃a\x00hb☃日▁ \n本e\tthb☃%\n\n.☃😀😀ttt.!\t\n"
+    for seed in range(5):
+        samples = sampler.sample(text, 2, seed)
+        assert [round(log_prob, 6) for _, log_prob, _ in samples] == [round(math.log(0.5), 6)] * 2
+    sampler.add(chunks := ["☃\n.😀" * n + "ttt" for n in range(1, 11)])
+    for chunk in chunks:
+        edges = sampler.edges_of(sampler.kept[chunk])
+        assert sum(sampler.others[e] > math.log(0.4) for e in edges) >= 2
+
+
+def test_characters_of_private_use_are_like_others():
+    sampler = sampling.Sampler(unigram.load_vocabulary(unigram.default_model()))
+    texts = ["a \uf8ff b\uf8ff", "\uf8fe\U0010ffff", "\uf8ff" * 60, "plain"]
+    for text, samples in zip(texts, sampler.batch(texts, [1, 2, 3, 4], 2), strict=True):
+        assert samples and all(unigram.decode(sampler.vocabulary, ids) == text for ids, _, _ in samples)
+
+
+def test_texts_are_cut_where_no_piece_goes_on_and_chunks_are_kept_once(monkeypatch):
+    voc = unigram.load_vocabulary(unigram.default_model())
+    sampler, texts = sampling.Sampler(voc), ["the☃the ☃", "☃the the", "", "the", *ODD_TEXTS, "the"]
+    points = sampling.code_points("▁the☃the▁☃")
+    assert sampler.chunks(points, np.array([0])).tolist() == [0, 4, 5, 8, 9]
+    want = sampler.batch(texts, list(range(len(texts))), 3)
+    known = len(sampler.kept.key)
+    assert sampler.batch(texts, list(range(len(texts))), 3) == want and len(sampler.kept.key) == known
+    # Chunks with equal hashes, also where many are looked up in a small table.
+    monkeypatch.setattr(sampling.Chunks, "keys", staticmethod(lambda points, starts, widths: np.full(len(starts), 7, np.uint64)))
+    assert sampling.Sampler(voc).batch(texts, list(range(len(texts))), 3) == want
+
+
+def test_many_chunks_outgrow_the_table():
+    words = [f"{i:x}" for i in range(120_000)]
+    points, widths = sampling.code_points("".join(words)), np.array([len(w) for w in words])
+    kept = sampling.Chunks()
+    numbers = [kept.number(points[: widths[:n].sum()], np.cumsum(widths[:n]) - widths[:n], widths[:n]) for n in (1000, len(words))]
+    assert sorted(numbers[1].tolist()) == list(range(len(words))) and (numbers[0] == numbers[1][:1000]).all()
+
+
+def test_lists_of_bytes_decode_as_one_by_one():
+    voc = unigram.load_vocabulary(unigram.default_model())
+    blank = [voc.byte_ids[b] for b in unigram.BLANK.encode()]
+    word = voc.ids["▁the"]
+    for lists in ([[word, *blank, word], [], [word]], [[*blank, word]], [[word, blank[0]], [blank[1], word]], [[word, word], [], [voc.ids["é"], word]]):
+        ids, offsets = np.array([i for found in lists for i in found], np.int32), np.cumsum([0, *map(len, lists)])
+        assert unigram.decode_all(voc, ids, offsets) == [unigram.decode(voc, found) for found in lists]
