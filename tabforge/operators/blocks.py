@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
 import numpy as np
@@ -48,6 +49,13 @@ CHUNK_SUMS = 262_144
 #: holds where there are more.
 KEPT_SUMS = 2_000_000
 HELD_BYTES = 128 << 20
+#: Bytes of an Arrow batch of blocks or sums, about: a task holds one on each side of Python, and copies of it.
+BATCH_BYTES = 8 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: How block tables are written. A row is up to some MB, but Parquet's writer looks at the size of what it holds after a
+#: hundred rows first, and a task holds a whole row group when it writes one and when it reads one.
+ROW_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "1",
+              "parquet.page.size.row.check.max": "1", "parquet.enable.dictionary": "false"}
 #: Partial sums of a chunk that one task adds up at most, about.
 MERGE = 64
 #: Splits of random row sampling.
@@ -159,11 +167,24 @@ def pack(df: DataFrame, cols: list[str], layout: Layout, key: str, label: str, w
     return rows.filter(F.col("y").isNotNull() & F.col("w").isNotNull()).mapInArrow(scan, BLOCK)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What runs in here gets Arrow batches of about ``BATCH_BYTES``, a row at least: the session's setting counts rows
+    by thousands and bytes by some 100 MB, which each running task would hold several times."""
+    was = spark.conf.get(BATCH_CONF, None)
+    spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_CONF) if was is None else spark.conf.set(BATCH_CONF, was)
+
+
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """A block table in the shared folder: one task's blocks are lost with no executor."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark, name)}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.options(**ROW_GROUPS).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -400,12 +421,11 @@ class TaskSums:
     def keep(self) -> None:
         """Add the blocks held to the totals, and let go of them."""
         if self.held:
-            sums = [self.sums(features) for features in self.chunks]
             if self.total is None:
-                self.total = sums
+                self.total = [self.sums(features) for features in self.chunks]
             else:
-                for total, one in zip(self.total, sums, strict=True):
-                    total += one
+                for total, features in zip(self.total, self.chunks, strict=True):
+                    total += self.sums(features)
             self.held = []
 
     def flush(self) -> Iterator[tuple[int, bytes]]:
@@ -441,9 +461,10 @@ def block_sums(works: list[Pass]):
                 return layout.column(row["bins"], n, j)
 
             y, w, k = numbers(row["y"]), numbers(row["w"]), np.frombuffer(row["k"], dtype=np.int64)
-            few = [(trial, ROWS_OF_NODE - node, raw) for trial, task in enumerate(tasks) for node, raw in task.add(row, column, y, w, k)]
-            if few:
-                yield sums_batch(few)
+            for trial, task in enumerate(tasks):
+                few = [(trial, ROWS_OF_NODE - node, raw) for node, raw in task.add(row, column, y, w, k)]
+                if few:
+                    yield sums_batch(few)
             if cells <= KEPT_SUMS:
                 for task in tasks:
                     task.keep()
@@ -469,21 +490,57 @@ def added(raw: pd.Series) -> np.ndarray:
     return total
 
 
+def plus(total: np.ndarray | None, batch: pa.RecordBatch) -> np.ndarray:
+    """The total with the sums of a batch, which are let go of."""
+    for raw in batch.column("sums"):
+        one = np.frombuffer(raw.as_buffer())
+        if total is None:
+            total = one.copy()
+        else:
+            total += one
+    return total
+
+
+def place_of_group(batch: pa.RecordBatch) -> tuple[int, int]:
+    return batch.column("trial")[0].as_py(), batch.column("chunk")[0].as_py()
+
+
+def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Some tasks' sums of a chunk as one; rows of a small node as they are."""
+    total = None
+    for batch in batches:
+        trial, chunk = place_of_group(batch)
+        if chunk <= ROWS_OF_NODE:
+            yield batch
+        else:
+            total = plus(total, batch)
+    if total is not None:
+        yield sums_batch([(trial, chunk, total.tobytes())])
+
+
 def best_of_chunk(works: list[Pass]):
-    """The chunk's best split of every open node (all of them if ``every``), or the metrics of a part."""
+    """The chunk's best split of every open node (all of them if ``every``), or the metrics of a part. A group comes
+    batch by batch: its sums, a part from each task, are never held together."""
 
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        trial, chunk = int(group["trial"].iloc[0]), int(group["chunk"].iloc[0])
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, parts = None, []
+        for batch in batches:
+            trial, chunk = place_of_group(batch)
+            if chunk <= ROWS_OF_NODE:
+                parts += [raw.as_buffer() for raw in batch.column("sums")]
+            else:
+                total = plus(total, batch)
         work = works[trial]
         if chunk <= ROWS_OF_NODE:
-            rows = subtree(work, trial, ROWS_OF_NODE - chunk, group["sums"])
+            rows = subtree(work, trial, ROWS_OF_NODE - chunk, parts)
         elif chunk < 0:
-            total = added(group["sums"])
             pr, roc = score_sketch.areas(total)
             rows = [(trial, 1, -1 - chunk, None, None, None, score_sketch.log_loss(total), pr, roc, None, None, None, None, None)]
         else:
-            rows = splits_of(work, trial, work.chunks()[chunk], added(group["sums"]))
-        return pd.DataFrame(rows, columns=FOUND_NAMES).astype(FOUND_TYPES)
+            rows = splits_of(work, trial, work.chunks()[chunk], total)
+        columns = zip(*rows, strict=True) if rows else [[]] * len(FOUND_TYPES)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t, from_pandas=True) for c, t in zip(columns, FOUND_TYPES.values(), strict=True)],
+                                         list(FOUND_TYPES))
 
     return join
 
@@ -565,7 +622,7 @@ def best_by_rows(work: Pass, features: list[int], bins: np.ndarray, g: np.ndarra
     return float(gain[j, i, left]), features[j], int(ranked[i, j]), bool(left), float(left_g[i, j, left]), float(left_h[i, j, left])
 
 
-def subtree(work: Pass, trial: int, root: int, parts: pd.Series) -> list[tuple]:
+def subtree(work: Pass, trial: int, root: int, parts: list) -> list[tuple]:
     """All nodes below a small one, with its rows at hand."""
     features = work.chosen()
     types = [work.layout.types[f] for f in features]
@@ -616,9 +673,8 @@ def bits_to_codes(raw: bytes) -> list[int]:
     return np.flatnonzero(np.unpackbits(np.frombuffer(bytes(raw), np.uint8), bitorder="little")).tolist()
 
 
-FOUND_NAMES = [c.split()[0] for c in FOUND.split(", ")]
-FOUND_TYPES = {"trial": "int32", "kind": "int32", "node": "int32", "f": "Int32", "b": "Int32", "missing_left": "boolean"} | {
-    c: "float64" for c in ("gain", "gl", "hl", "g", "h")} | {"cl": "Int64", "c": "Int64"}
+ARROW = {"int": pa.int32(), "long": pa.int64(), "boolean": pa.bool_(), "double": pa.float64(), "binary": pa.binary()}
+FOUND_TYPES = {c: ARROW[t] for c, t in (field.split() for field in FOUND.split(", "))}
 
 
 def found(blocks: DataFrame, works: list[Pass], tasks: int) -> DataFrame:
@@ -626,37 +682,31 @@ def found(blocks: DataFrame, works: list[Pass], tasks: int) -> DataFrame:
     tasks their sums are added in two steps."""
     sums = blocks.mapInArrow(block_sums(works), SUMS)
     if tasks > MERGE:
-        def partial(group: pd.DataFrame) -> pd.DataFrame:
-            if group["chunk"].iloc[0] <= ROWS_OF_NODE:
-                return group
-            first = {c: [group[c].iloc[0]] for c in ("trial", "chunk", "g")}
-            return pd.DataFrame(first | {"sums": [added(group["sums"]).tobytes()]})
-
         dealt = sums.withColumn("g", F.pmod(F.spark_partition_id(), F.lit(int(math.sqrt(tasks)))))
-        sums = dealt.groupBy("trial", "chunk", "g").applyInPandas(partial, SUMS)
+        sums = dealt.groupBy("trial", "chunk", "g").applyInArrow(partial, SUMS)
     # A group may be few bytes and much work: as many tasks as groups, which no size estimate folds into one.
     groups = sum(2 + len(w.small) + (len(w.chunks()) if w.active else 0) for w in works)
     reducers = min(groups, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     dealt = sums.repartition(reducers, "trial", "chunk")
     # The trees are walked by now.
     bare = [replace(w, recent=[], growing=None) for w in works]
-    return dealt.groupBy("trial", "chunk").applyInPandas(best_of_chunk(bare), FOUND)
+    return dealt.groupBy("trial", "chunk").applyInArrow(best_of_chunk(bare), FOUND)
 
 
 def advanced(blocks: DataFrame, works: list[Pass]) -> DataFrame:
     """The blocks with margins for each of ``works``, their recent trees added."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            margins = []
-            for row in rows_of(iter([batch])):
+        # A block at a time: with the margins of many boosters it is several times as large as before.
+        for one in (batch.slice(i, 1) for batch in batches for i in range(batch.num_rows)):
+            for row in rows_of(iter([one])):
                 n = row["n"]
 
                 def column(j: int, row=row, n=n) -> np.ndarray:
                     return works[0].layout.column(row["bins"], n, j)
 
-                margins.append(raw_numbers(np.concatenate([work.margins(row, n, column) for work in works])))
-            yield batch.set_column(NAMES.index("m"), "m", pa.array(margins, pa.binary()))
+                margins = raw_numbers(np.concatenate([work.margins(row, n, column) for work in works]))
+                yield one.set_column(NAMES.index("m"), "m", pa.array([margins], pa.binary()))
 
     return blocks.mapInArrow(scan, BLOCK)
 

@@ -437,7 +437,9 @@ def fit_on(table: TrainingTable, params: list[HistParams], rungs: tuple = (), su
                 for i in passes:
                     asked[i].recent, asked[i].slot = fits[i].recent, fits[i].slot
             rows: dict = {}
-            for r in B.found(blocks.df, [asked[i] for i in passes], tasks).collect():  # nodes x chunks of each booster
+            with B.small_batches(table.table.sparkSession):
+                found = B.found(blocks.df, [asked[i] for i in passes], tasks).collect()  # nodes x chunks of each booster
+            for r in found:
                 rows.setdefault(r["trial"], []).append(r)
             for place, i in enumerate(passes):
                 go_on(i, rows.get(place, []))

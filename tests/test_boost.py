@@ -7,6 +7,7 @@ from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -359,3 +360,96 @@ def test_fifty_thousand_categories_train(spark):
     assert 0.4 * k < len(left) < 0.6 * k
     scored = model.predict_proba(df.filter("c is not null"), ["id", "y"], use_best=False)
     assert metrics.roc_auc(scored, "y", "p").first()[0] == 1.0
+
+
+def test_a_row_group_holds_few_blocks(spark, tmp_path):
+    def megabytes(batches):
+        for batch in batches:
+            for i in batch.column("id").to_pylist():
+                raw = np.random.default_rng(i).bytes(1 << 20)
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([raw], pa.binary())], ["id", "raw"])
+
+    df, path = blocks.written(spark.range(30).coalesce(1).mapInArrow(megabytes, "id long, raw binary"), "test-blocks")
+    assert df.agg(F.count("*"), F.sum("id"), F.min(F.length("raw"))).first()[:] == (30, 435, 1 << 20)
+    groups = [meta.row_group(g) for f in df.inputFiles() for meta in [pq.ParquetFile(f.removeprefix("file://")).metadata] for g in range(meta.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 30
+    assert max(g.total_byte_size for g in groups) <= 10 << 20
+    blocks.forget(spark, [path])
+
+
+def test_margins_are_written_a_block_at_a_time():
+    layout = blocks.Layout([None, None], [9, 9])
+    trees = [blocks.PackedTree.of({0: (f, 4, True, 1.0)}, {1: -1.0 - f, 2: 1.0 + f}, 2) for f in (0, 1)]
+    works = [blocks.Pass(layout=layout, splitting=blocks.Splitting(1.0, 0.0, 0.0, 1.0), depth=2, recent=[t]) for t in trees]
+    several = pa.Table.from_batches([block_row(500, i, blocks.thin) for i in range(7)]).combine_chunks().to_batches()
+    assert [b.num_rows for b in several] == [7]
+
+    class Blocks:
+        def mapInArrow(self, scan, schema):
+            return list(scan(iter(several)))
+
+    out = blocks.advanced(Blocks(), works)
+    assert [b.num_rows for b in out] == [1] * 7
+    for i, b in enumerate(out):
+        bins = np.frombuffer(block_row(500, i).column("bins")[0].as_py(), np.uint8).reshape(2, 500)
+        want = [np.where((bins[f] <= 4) | (bins[f] == 8), -1.0 - f, 1.0 + f) for f in (0, 1)]
+        assert blocks.numbers(b.column("m")[0].as_buffer()).reshape(2, 500) == pytest.approx(np.stack(want))
+        assert b.column("k")[0] == several[0].column("k")[i]
+
+
+def test_a_group_adds_its_sums_up_as_they_come():
+    layout = blocks.Layout([None, None], [20_001, 20_001])
+    work = blocks.Pass(layout=layout, splitting=blocks.Splitting(1.0, 0.0, 0.0, 1.0), depth=2, recent=[], active=[0])
+    sums = np.random.default_rng(8).random((2, 3, 20_001))
+    sums[0, 0, :7000] -= 5.0   # where the best split is
+
+    def batches(n):
+        for _ in range(n):
+            yield blocks.sums_batch([(0, 0, (sums / n).tobytes())])
+
+    def run(n):
+        before = pa.total_allocated_bytes()
+        tracemalloc.start()
+        most = 0
+
+        def watched():
+            nonlocal most
+            for batch in batches(n):
+                most = max(most, pa.total_allocated_bytes() - before)
+                yield batch
+
+        once = list(blocks.partial(watched()))
+        [found] = list(blocks.best_of_chunk([work])(watched()))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return once, found.to_pylist(), most + peak
+
+    once, found, few = run(3)
+    again, same, many = run(60)
+    for part in (once, again):
+        assert len(part) == 1 and part[0].num_rows == 1
+        assert np.frombuffer(part[0].column("sums")[0].as_py()) == pytest.approx(sums.ravel())
+    assert [(r["f"], r["b"]) for r in found] == [(0, 6999)] == [(r["f"], r["b"]) for r in same]
+    assert same[0]["g"] == pytest.approx(sums[0, 0].sum()) and same[0]["gain"] == pytest.approx(found[0]["gain"])
+    assert many < 1.5 * few
+    # Rows of small nodes are no sums: they go on as they are.
+    rows = [blocks.sums_batch([(0, blocks.ROWS_OF_NODE - 1, bytes([i] * 8))]) for i in range(3)]
+    assert list(blocks.partial(iter(rows))) == rows
+
+
+def test_batches_are_small_only_inside(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "BATCH_BYTES", 1)
+
+    def rows(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    was = spark.conf.get(blocks.BATCH_CONF)
+    ids = spark.range(10).coalesce(1)
+    with blocks.small_batches(spark):
+        inside = [r["n"] for r in ids.mapInArrow(rows, "n long").collect()]
+    assert inside == [1] * 10 and spark.conf.get(blocks.BATCH_CONF) == was
+    with pytest.raises(ValueError), blocks.small_batches(spark):
+        raise ValueError
+    assert spark.conf.get(blocks.BATCH_CONF) == was
+    assert [r["n"] for r in ids.mapInArrow(rows, "n long").collect()] == [10]
